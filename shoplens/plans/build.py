@@ -58,3 +58,14 @@ class Build:
     @cached_property
     def countries(self) -> DataFrame:
         return R.customer_countries(self.lines, self.rfm)
+
+    # --- model ---
+    @cached_property
+    def model(self):
+        from ..operators.model import fit_model
+
+        return fit_model(self.rfm, self.params)
+
+    @cached_property
+    def segmented(self) -> DataFrame:
+        return self.model.segmented()

@@ -110,6 +110,33 @@ def rfm_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# ---------------------------------------------------------------- model
+def customer_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with capped and scaled features, raw cluster, segment, distance, flags."""
+    seg = _b(spark, sf_dir).segmented
+    return seg.select(
+        "customer_id",
+        "country_display",
+        day_text(F.col("last_purchase")).alias("last_purchase_date"),
+        "recency",
+        "frequency",
+        money_out(F.col("gross_monetary")).alias("gross_monetary"),
+        money_out(F.col("net_monetary")).alias("net_monetary"),
+        dbl(F.col("frequency_capped")).alias("frequency_capped"),
+        dbl(F.col("net_monetary_capped")).alias("net_monetary_capped"),
+        dbl(F.col("scaled_recency")).alias("scaled_recency"),
+        dbl(F.col("scaled_frequency")).alias("scaled_frequency"),
+        dbl(F.col("scaled_net_monetary")).alias("scaled_net_monetary"),
+        F.col("raw_cluster").cast("bigint").alias("raw_cluster"),
+        "segment_code",
+        dbl(F.col("centroid_distance")).alias("centroid_distance"),
+        "frequency_capped_flag",
+        "monetary_capped_flag",
+        "any_capped_flag",
+        "is_representative",
+    )
+
+
 def registry() -> dict[str, Query]:
     return {
         "rfm_profile": rfm_profile,
@@ -118,4 +145,5 @@ def registry() -> dict[str, Query]:
         "lines_deduplicated": lines_deduplicated,
         "lines_flagged": lines_flagged,
         "customer_countries": customer_countries,
+        "customer_segments": customer_segments,
     }

@@ -195,3 +195,198 @@ def oracle_texts(p: Params = DEFAULT) -> dict[str, str]:
         p,
     )
     return q
+
+
+# ---------------------------------------------------------------- model oracles
+def net_d(c: str = "net_monetary") -> str:
+    """Decimal money to a correctly rounded double (via text, as Spark's cast does)."""
+    return f"CAST(CAST({c} AS VARCHAR) AS DOUBLE)"
+
+
+def draw_sql(seed: str, init: str, step: str, cid: str = "customer_id") -> str:
+    key = f"CAST({seed} AS VARCHAR) || '|' || CAST({init} AS VARCHAR) || '|' || CAST({step} AS VARCHAR) || '|' || {cid}"
+    return f"((CAST('0x' || substr(md5({key}), 1, 8) AS BIGINT) + 0.5) / 4294967296.0)"
+
+
+def d2_sql(px: str, py: str, pz: str, cx: str, cy: str, cz: str, rounded: bool = True) -> str:
+    s = f"({px} - {cx}) * ({px} - {cx}) + ({py} - {cy}) * ({py} - {cy}) + ({pz} - {cz}) * ({pz} - {cz})"
+    return f"round({s}, 10)" if rounded else s
+
+
+def prep_ctes(quantile: float | None, src: str = "rfm", prefix: str = "") -> dict[str, str]:
+    """Caps, z-scores and points of one clustering input (``prefix`` names the CTEs)."""
+    if quantile is None:
+        caps = "SELECT CAST(NULL AS DOUBLE) AS fcap, CAST(NULL AS DOUBLE) AS mcap"
+        fc, mc = "f", "m"
+        ff, mf = "false", "false"
+    else:
+        caps = f"""SELECT quantile_cont(CAST(frequency AS DOUBLE), {quantile}) AS fcap,
+                          quantile_cont({net_d()}, {quantile}) AS mcap FROM {src}"""
+        fc, mc = "least(f, fcap)", "least(m, mcap)"
+        ff, mf = "f > fcap", "m > mcap"
+    P = prefix
+    return {
+        f"{P}caps": caps,
+        f"{P}capped": f"""
+            SELECT r.*, {fc} AS frequency_capped, {mc} AS net_monetary_capped,
+                   {ff} AS frequency_capped_flag, {mf} AS monetary_capped_flag,
+                   ({ff}) OR ({mf}) AS any_capped_flag
+            FROM (SELECT *, CAST(frequency AS DOUBLE) AS f, {net_d()} AS m FROM {src}) r, {P}caps""",
+        f"{P}stats": f"""
+            SELECT avg(CAST(recency AS DOUBLE)) AS m0, avg(frequency_capped) AS m1, avg(net_monetary_capped) AS m2,
+                   stddev_pop(CAST(recency AS DOUBLE)) AS s0, stddev_pop(frequency_capped) AS s1,
+                   stddev_pop(net_monetary_capped) AS s2
+            FROM {P}capped""",
+        f"{P}scaled": f"""
+            SELECT c.*,
+                   round((CAST(recency AS DOUBLE) - m0) / CASE WHEN s0 = 0 OR s0 IS NULL THEN 1 ELSE s0 END, 10) AS scaled_recency,
+                   round((frequency_capped - m1) / CASE WHEN s1 = 0 OR s1 IS NULL THEN 1 ELSE s1 END, 10) AS scaled_frequency,
+                   round((net_monetary_capped - m2) / CASE WHEN s2 = 0 OR s2 IS NULL THEN 1 ELSE s2 END, 10) AS scaled_net_monetary
+            FROM {P}capped c, {P}stats""",
+        f"{P}points": f"""
+            SELECT customer_id, scaled_recency AS x, scaled_frequency AS y, scaled_net_monetary AS z FROM {P}scaled""",
+    }
+
+
+def kpp_ctes(fits: str, k_max: int, prefix: str = "", points: str = "points") -> dict[str, str]:
+    """Seeded k-means++ picks for every fit in ``fits`` (columns fit, seed, init, k)."""
+    P = prefix
+    out: dict[str, str] = {}
+    for j in range(k_max):
+        if j == 0:
+            score = f"-ln({draw_sql('f.seed', 'f.init', 0, 'p.customer_id')})"
+            src = f"{points} p, {fits} f"
+            where = ""
+        else:
+            d2 = f"min({d2_sql('p.x', 'p.y', 'p.z', 'c.x', 'c.y', 'c.z')})"
+            score = None
+            src = None
+        if j == 0:
+            out[f"{P}pick0"] = f"""
+                SELECT f.fit, 0 AS l, min({{'s': {score}, 'id': p.customer_id, 'x': p.x, 'y': p.y, 'z': p.z}}) AS p
+                FROM {src} GROUP BY f.fit"""
+        else:
+            chosen = " UNION ALL ".join(f"SELECT fit, p.x AS x, p.y AS y, p.z AS z FROM {P}pick{i}" for i in range(j))
+            out[f"{P}dsq{j}"] = f"""
+                SELECT f.fit, f.seed, f.init, p.customer_id, p.x, p.y, p.z,
+                       min({d2_sql('p.x', 'p.y', 'p.z', 'c.x', 'c.y', 'c.z')}) AS d2
+                FROM {points} p, {fits} f JOIN ({chosen}) c ON c.fit = f.fit
+                WHERE f.k > {j}
+                GROUP BY ALL"""
+            sc = f"CASE WHEN d2 > 0 THEN -ln({draw_sql('seed', 'init', j)}) / d2 ELSE 'inf'::DOUBLE END"
+            out[f"{P}pick{j}"] = f"""
+                SELECT fit, {j} AS l, min({{'s': {sc}, 'id': customer_id, 'x': x, 'y': y, 'z': z}}) AS p
+                FROM {P}dsq{j} GROUP BY fit"""
+    out[f"{P}kpp"] = " UNION ALL ".join(
+        f"SELECT fit, l, p.id AS pick_id, p.x AS cx, p.y AS cy, p.z AS cz FROM {P}pick{j}" for j in range(k_max)
+    )
+    return out
+
+
+def lloyd_ctes(fits: str, max_iter: int, prefix: str = "", points: str = "points") -> dict[str, str]:
+    """Lloyd rounds for every fit until its centres stop moving: ``{prefix}final`` holds
+    (fit, l, cx, cy, cz, iterations)."""
+    P = prefix
+    dec = "DECIMAL(18,10)"
+
+    def mean(c: str, old: str) -> str:
+        return (
+            f"CASE WHEN count(CASE WHEN w = l THEN 1 END) > 0 THEN "
+            f"CAST(CAST(sum(CASE WHEN w = l THEN CAST({c} AS {dec}) END) AS VARCHAR) AS DOUBLE)"
+            f" / count(CASE WHEN w = l THEN 1 END) ELSE {old} END"
+        )
+
+    return {
+        f"{P}lloyd": f"""
+            SELECT 0 AS it, fit, l, cx, cy, cz, true AS moving FROM {P}kpp
+            UNION ALL
+            SELECT it + 1, fit, l, nx, ny, nz,
+                   bool_or(nx <> cx OR ny <> cy OR nz <> cz) OVER (PARTITION BY fit) AS moving
+            FROM (
+              SELECT it, fit, l, cx, cy, cz, {mean('x', 'cx')} AS nx, {mean('y', 'cy')} AS ny, {mean('z', 'cz')} AS nz
+              FROM (
+                SELECT s.it, s.fit, s.l, s.cx, s.cy, s.cz, p.x, p.y, p.z,
+                       (min({{'d2': {d2_sql('p.x', 'p.y', 'p.z', 's.cx', 's.cy', 's.cz')}, 'l': s.l}})
+                          OVER (PARTITION BY s.fit, p.customer_id)).l AS w
+                FROM {P}lloyd s JOIN {fits} f ON s.fit = f.fit JOIN {points} p ON true
+                WHERE s.moving AND s.it < {max_iter}
+              ) GROUP BY it, fit, l, cx, cy, cz
+            )""",
+        f"{P}final": f"""
+            SELECT fit, l, cx, cy, cz, it AS iterations FROM {P}lloyd
+            QUALIFY it = max(it) OVER (PARTITION BY fit)""",
+    }
+
+
+def assign_sql(final: str, points: str = "points", fits: str | None = None) -> str:
+    """(fit, customer_id, x, y, z, label, d2, dist) against final centres."""
+    join_fits = f"JOIN {fits} f ON f.fit = c.fit" if fits else ""
+    return f"""
+        SELECT fit, customer_id, x, y, z, b.l AS label, b.d2 AS d2, b.dist AS dist FROM (
+          SELECT c.fit, p.customer_id, p.x, p.y, p.z,
+                 min({{'d2': {d2_sql('p.x', 'p.y', 'p.z', 'c.cx', 'c.cy', 'c.cz')}, 'l': c.l,
+                      'dist': sqrt({d2_sql('p.x', 'p.y', 'p.z', 'c.cx', 'c.cy', 'c.cz', rounded=False)})}}) AS b
+          FROM {final} c {join_fits} JOIN {points} p ON true
+          GROUP BY c.fit, p.customer_id, p.x, p.y, p.z)"""
+
+
+def model_ctes(p: Params = DEFAULT) -> dict[str, str]:
+    """The final model: best of n_init seeded fits, named segments, representatives."""
+    out = prep_ctes(p.cap_quantile)
+    out["mfits"] = (
+        f"SELECT CAST(range AS INTEGER) AS fit, {p.seed} AS seed, CAST(range AS INTEGER) AS init, {p.k} AS k "
+        f"FROM range({p.n_init})"
+    )
+    out.update(kpp_ctes("mfits", p.k, prefix="m_"))
+    out.update(lloyd_ctes("mfits", p.max_iter, prefix="m_"))
+    out["m_assign"] = assign_sql("m_final")
+    out["m_best"] = """
+        SELECT fit FROM (SELECT fit, sum(CAST(d2 AS DECIMAL(20,10))) AS inertia FROM m_assign GROUP BY fit)
+        ORDER BY inertia, fit LIMIT 1"""
+    out["labelled"] = """
+        SELECT s.*, a.label AS raw_cluster, a.dist AS centroid_distance
+        FROM scaled s JOIN m_assign a ON a.customer_id = s.customer_id
+        WHERE a.fit = (SELECT fit FROM m_best)"""
+    out["mapping"] = """
+        SELECT raw_cluster, 'S' || CAST(row_number() OVER (ORDER BY med, raw_cluster) AS VARCHAR) AS segment_code,
+               CAST(row_number() OVER (ORDER BY med, raw_cluster) AS INTEGER) AS segment_order, med
+        FROM (SELECT raw_cluster, quantile_cont(CAST(CAST(net_monetary AS VARCHAR) AS DOUBLE), 0.5) AS med
+              FROM labelled GROUP BY raw_cluster)"""
+    out["reps"] = """
+        SELECT segment_code, (min({'d': centroid_distance, 'id': customer_id})).id AS customer_id
+        FROM labelled JOIN mapping USING (raw_cluster) GROUP BY segment_code"""
+    out["segmented"] = """
+        SELECT l.*, m.segment_code, m.segment_order, l.customer_id IN (SELECT customer_id FROM reps) AS is_representative
+        FROM labelled l JOIN mapping m USING (raw_cluster)"""
+    out["centroids"] = """
+        SELECT m.segment_code, f.l AS raw_cluster, f.cx, f.cy, f.cz
+        FROM m_final f JOIN mapping m ON m.raw_cluster = f.l WHERE f.fit = (SELECT fit FROM m_best)"""
+    return out
+
+
+def model_query(body: str, p: Params = DEFAULT, extra: dict[str, str] | None = None) -> str:
+    ctes = dict(model_ctes(p))
+    ctes.update(extra or {})
+    return "WITH RECURSIVE " + with_ctes(body, ["rfm"], p, ctes)[len("WITH "):]
+
+
+def model_oracles(p: Params = DEFAULT) -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["customer_segments"] = model_query(
+        f"""SELECT customer_id, country_display, {day('last_purchase')} AS last_purchase_date, recency, frequency,
+                   {money('gross_monetary')} AS gross_monetary, {money('net_monetary')} AS net_monetary,
+                   {dbl('frequency_capped')} AS frequency_capped, {dbl('net_monetary_capped')} AS net_monetary_capped,
+                   {dbl('scaled_recency')} AS scaled_recency, {dbl('scaled_frequency')} AS scaled_frequency,
+                   {dbl('scaled_net_monetary')} AS scaled_net_monetary, CAST(raw_cluster AS BIGINT) AS raw_cluster,
+                   segment_code, {dbl('centroid_distance')} AS centroid_distance,
+                   frequency_capped_flag, monetary_capped_flag, any_capped_flag, is_representative
+            FROM segmented""",
+        p,
+    )
+    return q
+
+
+def all_oracles(p: Params = DEFAULT) -> dict[str, str]:
+    out = oracle_texts(p)
+    out.update(model_oracles(p))
+    return out
