@@ -62,3 +62,8 @@ def pop_zscore(x: Column, mean: float, std: float) -> Column:
     """z-score with the population standard deviation; a zero std divides by one."""
     divisor = std if std not in (0.0, None) and std == std else 1.0
     return (x - F.lit(float(mean))) / F.lit(float(divisor))
+
+
+def dec_to_double(c: Column) -> Column:
+    """Decimal → double through its text form: correctly rounded, the same in every engine."""
+    return c.cast("string").cast("double")

@@ -23,3 +23,14 @@ def money_out(c: Column) -> Column:
 
 def dbl(c: Column, digits: int = OUTPUT_DIGITS) -> Column:
     return F.round(c.cast("double"), digits)
+
+
+def quantile_out(c: Column) -> Column:
+    """Interpolated quantiles of values with at most 4 decimals have at most 7: rounding at 8
+    places removes engine noise without creating ties."""
+    return F.round(c.cast("double"), 8)
+
+
+def decimal_round(c: Column, digits: int) -> Column:
+    """Round a value with at most 10 decimals as a decimal (half away from zero), then to double."""
+    return F.round(c.cast("decimal(38,10)"), digits).cast("double")

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import dec_to_double
 from ..params import FEATURE_DIGITS
 
 
@@ -29,7 +30,7 @@ class Scale:
 
 
 def net_double(df: DataFrame):
-    return F.col("net_monetary").cast("double")
+    return dec_to_double(F.col("net_monetary"))
 
 
 def compute_caps(rfm: DataFrame, quantile: float | None) -> Caps:

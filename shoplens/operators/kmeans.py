@@ -4,9 +4,9 @@ Data layout
 -----------
 ``points``: (space, customer_id, x, y, z). A *space* is one clustering input (a cap
 threshold, a line variant); several spaces share one table. ``specs``: one row per fit
-(fit, space, k, seed, init). Centres of all active fits travel as a small table (one row
-per fit, an array of k centres), broadcast and equi-joined on ``space``; its size is bounded
-by the number of fits × k, which the caller fixes, never by the data.
+(fit, space, k, seed, init). Centres of all active fits travel as a small inline table (one
+row per fit, k centres as columns), broadcast and equi-joined on ``space``; its size is
+bounded by the number of fits × k, which the caller fixes, never by the data.
 
 One Lloyd round is one job: every point meets the centres of its space's fits, takes the
 nearest (an ``array_min`` over (distance, label) structs, so ties go to the lower label),
@@ -24,45 +24,20 @@ an exponential race, i.e. an exact D²-proportional draw that no partitioning ca
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    ArrayType,
-    DoubleType,
-    IntegerType,
-    LongType,
-    StringType,
-    StructField,
-    StructType,
-)
 
+from ..functions.numeric import dec_to_double
 from ..params import DISTANCE_DIGITS
 
 Centre = tuple[float, float, float]
 COORD_DEC = "decimal(18,10)"
 D2_DEC = "decimal(20,10)"
 
-CENTRE_TYPE = StructType(
-    [
-        StructField("l", IntegerType(), False),
-        StructField("x", DoubleType(), False),
-        StructField("y", DoubleType(), False),
-        StructField("z", DoubleType(), False),
-    ]
-)
-FITS_SCHEMA = StructType(
-    [
-        StructField("fit", IntegerType(), False),
-        StructField("space", StringType(), False),
-        StructField("cs", ArrayType(CENTRE_TYPE), False),
-        StructField("ps", ArrayType(CENTRE_TYPE), True),
-    ]
-)
-
-
 @dataclass(frozen=True)
 class FitSpec:
     fit: int
@@ -82,15 +57,29 @@ class FitState:
     converged: bool = False
 
 
-def _d2_sql(c: str = "c") -> str:
-    return (
-        f"round((x - {c}.x) * (x - {c}.x) + (y - {c}.y) * (y - {c}.y) + (z - {c}.z) * (z - {c}.z), {DISTANCE_DIGITS})"
-    )
+def _d2(prefix: str, j: int) -> Column:
+    """Rounded squared distance from (x, y, z) to centre j of the fit row."""
+    t = None
+    for axis in ("x", "y", "z"):
+        d = F.col(axis) - F.col(f"{prefix}{j}_{axis}")
+        t = d * d if t is None else t + d * d
+    return F.round(t, DISTANCE_DIGITS)
+
+
+def nearest(kmax: int, prefix: str = "c") -> Column:
+    """(d2, l) struct of the nearest centre: ``array_min`` over (distance, label) structs, so
+    ties go to the lower label; missing centres (k < kmax) are null elements and skipped.
+    Plain element expressions keep the whole round in generated code."""
+    elems = [
+        F.when(F.col(f"{prefix}{j}_x").isNotNull(), F.struct(_d2(prefix, j).alias("d2"), F.lit(j).alias("l")))
+        for j in range(kmax)
+    ]
+    return F.array_min(F.array(*elems))
 
 
-NEAREST_SQL = f"array_min(transform(cs, c -> named_struct('d2', {_d2_sql()}, 'l', c.l)))"
-NEAREST_PREV_SQL = f"array_min(transform(ps, c -> named_struct('d2', {_d2_sql()}, 'l', c.l)))"
-MIN_D2_SQL = f"array_min(transform(cs, c -> {_d2_sql()}))"
+def min_d2(kmax: int, prefix: str = "c") -> Column:
+    terms = [F.when(F.col(f"{prefix}{j}_x").isNotNull(), _d2(prefix, j)) for j in range(kmax)]
+    return terms[0] if len(terms) == 1 else F.least(*terms)
 
 
 def draw(seed_col, init_col, step_col, id_col="customer_id"):
@@ -100,39 +89,63 @@ def draw(seed_col, init_col, step_col, id_col="customer_id"):
     return (h + F.lit(0.5)) / F.lit(4294967296.0)
 
 
-def fits_frame(spark: SparkSession, states: Sequence[FitState], previous: dict[int, list[Centre]] | None = None) -> DataFrame:
+def _num(v: float | None) -> str:
+    return "CAST(NULL AS DOUBLE)" if v is None else f"{float(v)!r}D"
+
+
+def _text(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def fits_table(
+    spark: SparkSession, states: Sequence[FitState], previous: dict[int, list[Centre]] | None = None
+) -> tuple[DataFrame, int]:
+    """The active fits as a small inline table, one row per fit: (fit, fspace, seed, init,
+    c{j}_x/y/z..., p{j}_x/y/z...). Size is fits × k, fixed by the caller. An inline VALUES
+    table is a local relation: broadcasting it needs no job, and the generated code of a
+    round is the same from one round to the next (only the table's data changes)."""
+    kmax = max([len(st.centres) for st in states] + [len(v) for v in (previous or {}).values()] + [0])
+    names = ["fit", "fspace", "seed", "init"]
+    names += [f"c{j}_{a}" for j in range(kmax) for a in "xyz"]
+    if previous is not None:
+        names += [f"p{j}_{a}" for j in range(kmax) for a in "xyz"]
     rows = []
-    for s in states:
-        cs = [(i, *c) for i, c in enumerate(s.centres)]
-        ps = None
-        if previous is not None and s.spec.fit in previous:
-            ps = [(i, *c) for i, c in enumerate(previous[s.spec.fit])]
-        rows.append((s.spec.fit, s.spec.space, cs, ps))
-    return spark.createDataFrame(rows, FITS_SCHEMA)
+    for st in states:
+        vals = [str(st.spec.fit), _text(st.spec.space), str(st.spec.seed), str(st.spec.init)]
+        for j in range(kmax):
+            c = st.centres[j] if j < len(st.centres) else (None, None, None)
+            vals += [_num(v) for v in c]
+        if previous is not None:
+            prev = previous.get(st.spec.fit, [])
+            for j in range(kmax):
+                c = prev[j] if j < len(prev) else (None, None, None)
+                vals += [_num(v) for v in c]
+        rows.append("(" + ", ".join(vals) + ")")
+    sql = f"SELECT * FROM VALUES {', '.join(rows)} AS t({', '.join(names)})"
+    return spark.sql(sql), kmax
+
+
+def with_fits(points: DataFrame, states: Sequence[FitState], previous: dict[int, list[Centre]] | None = None) -> tuple[DataFrame, int]:
+    """Every point next to each fit of its space (equi-join on the space, fits broadcast)."""
+    fits, kmax = fits_table(points.sparkSession, states, previous)
+    paired = points.join(F.broadcast(fits), points["space"] == fits["fspace"]).drop("fspace")
+    return paired, kmax
 
 
 def seed_centres(points: DataFrame, specs: Sequence[FitSpec]) -> dict[int, FitState]:
     """k-means++ start for every fit; one aggregate job per step (k jobs for the largest k)."""
-    spark = points.sparkSession
     states = {s.fit: FitState(s, []) for s in specs}
-    spec_rows = spark.createDataFrame(
-        [(s.fit, s.space, s.seed, s.init) for s in specs], "fit int, space string, seed int, init int"
-    )
     for step in range(max(s.k for s in specs)):
         active = [st for st in states.values() if len(st.centres) < st.spec.k and step == len(st.centres)]
         if not active:
             break
-        act_ids = [st.spec.fit for st in active]
-        spec_step = spec_rows.where(F.col("fit").isin(act_ids))
+        joined, kmax = with_fits(points, active)
+        u = draw(F.col("seed"), F.col("init"), F.lit(step))
         if step == 0:
-            joined = points.join(F.broadcast(spec_step), "space")
-            score = -F.log(draw(F.col("seed"), F.col("init"), F.lit(step)))
+            score = -F.log(u)
         else:
-            cs = fits_frame(spark, active).select("fit", "cs")
-            joined = points.join(F.broadcast(spec_step.join(cs, "fit")), "space")
-            d2 = F.expr(MIN_D2_SQL)
-            raw = -F.log(draw(F.col("seed"), F.col("init"), F.lit(step))) / d2
-            score = F.when(d2 > 0, raw).otherwise(F.lit(float("inf")))
+            d2 = min_d2(kmax)
+            score = F.when(d2 > 0, -F.log(u) / d2).otherwise(F.lit(float("inf")))
         picks = (
             joined.groupBy("fit")
             .agg(F.min(F.struct(score.alias("s"), "customer_id", "x", "y", "z")).alias("p"))
@@ -148,10 +161,10 @@ def seed_centres(points: DataFrame, specs: Sequence[FitSpec]) -> dict[int, FitSt
     return states
 
 
-def lloyd_round(points: DataFrame, fits: DataFrame, with_changes: bool = False) -> DataFrame:
-    """One assignment + recentring round for all fits in ``fits``: (fit, l, n, x, y, z[, changed])."""
-    a = points.join(F.broadcast(fits), "space").select(
-        "fit", "x", "y", "z", F.expr(NEAREST_SQL).alias("b"), *( [F.expr(NEAREST_PREV_SQL).alias("pb")] if with_changes else [])
+def lloyd_round(paired: DataFrame, kmax: int, with_changes: bool = False) -> DataFrame:
+    """One assignment + recentring round over ``with_fits`` rows: (fit, l, n, x, y, z, inertia[, changed])."""
+    a = paired.select(
+        "fit", "x", "y", "z", nearest(kmax).alias("b"), *([nearest(kmax, "p").alias("pb")] if with_changes else [])
     )
     aggs = [
         F.count(F.lit(1)).alias("n"),
@@ -167,9 +180,9 @@ def lloyd_round(points: DataFrame, fits: DataFrame, with_changes: bool = False)
         "fit",
         "l",
         "n",
-        (F.col("sx").cast("double") / F.col("n")).alias("x"),
-        (F.col("sy").cast("double") / F.col("n")).alias("y"),
-        (F.col("sz").cast("double") / F.col("n")).alias("z"),
+        (dec_to_double(F.col("sx")) / F.col("n")).alias("x"),
+        (dec_to_double(F.col("sy")) / F.col("n")).alias("y"),
+        (dec_to_double(F.col("sz")) / F.col("n")).alias("z"),
         "inertia",
         *(["changed"] if with_changes else []),
     )
@@ -185,7 +198,7 @@ def run_lloyd(points: DataFrame, states: dict[int, FitState], max_iter: int) ->
         active = [st for st in states.values() if not st.converged]
         if not active:
             break
-        rows = lloyd_round(points, fits_frame(spark, active)).collect()
+        rows = lloyd_round(*with_fits(points, active)).collect()
         new: dict[int, dict[int, Centre]] = {}
         for r in rows:
             new.setdefault(r["fit"], {})[r["l"]] = (r["x"], r["y"], r["z"])
@@ -201,15 +214,15 @@ def run_lloyd(points: DataFrame, states: dict[int, FitState], max_iter: int) ->
 
 def assign(points: DataFrame, states: Sequence[FitState]) -> DataFrame:
     """Nearest final centre per (fit, customer): (fit, space, customer_id, x, y, z, label, d2)."""
-    fits = fits_frame(points.sparkSession, list(states)).select("fit", "space", "cs")
-    return points.join(F.broadcast(fits), "space").select(
+    paired, kmax = with_fits(points, list(states))
+    return paired.select(
         "fit",
         "space",
         "customer_id",
         "x",
         "y",
         "z",
-        F.expr(NEAREST_SQL).alias("b"),
+        nearest(kmax).alias("b"),
     ).select(
         "fit", "space", "customer_id", "x", "y", "z", F.col("b.l").alias("label"), F.col("b.d2").alias("d2")
     )
@@ -247,11 +260,11 @@ def trace(points: DataFrame, state: FitState, max_iter: int) -> list[dict]:
     frames = []
     for it in range(1, max_iter + 1):
         st = FitState(state.spec, centres)
-        fits = fits_frame(spark, [st], {state.spec.fit: previous} if previous else None)
-        rows = {r["l"]: r for r in lloyd_round(points, fits, with_changes=previous is not None).collect()}
+        paired, kmax = with_fits(points, [st], {state.spec.fit: previous} if previous else None)
+        rows = {r["l"]: r for r in lloyd_round(paired, kmax, with_changes=previous is not None).collect()}
         updated = [(rows[i]["x"], rows[i]["y"], rows[i]["z"]) if i in rows else c for i, c in enumerate(centres)]
         changed = sum(int(r["changed"]) for r in rows.values()) if previous is not None else 0
-        shift = max(sum((a - b) ** 2 for a, b in zip(u, c, strict=True)) ** 0.5 for u, c in zip(updated, centres, strict=True))
+        shift = max(math.sqrt(sum((a - b) * (a - b) for a, b in zip(u, c, strict=True))) for u, c in zip(updated, centres, strict=True))
         frames.append(
             {
                 "iteration": it,
@@ -267,5 +280,3 @@ def trace(points: DataFrame, state: FitState, max_iter: int) -> list[dict]:
         previous, centres = centres, updated
     return frames
 
-
-LONG_SCHEMA = StructType([StructField("fit", IntegerType()), StructField("n", LongType())])

@@ -93,10 +93,19 @@ def partitioned(df: DataFrame, key: str = "customer_id") -> DataFrame:
     return df.repartition(n, key)
 
 
+def iteration_input(points: DataFrame, rows: int, fits: int, rows_per_task: int = 2_000_000) -> DataFrame:
+    """Narrow the (checkpointed) points to as many partitions as the point × fit work needs:
+    one task per ~2M pairs, never more than the partitions it already has (no shuffle)."""
+    have = points.rdd.getNumPartitions()
+    want = max(1, min(have, -(-rows * fits // rows_per_task)))
+    return points.coalesce(want) if want < have else points
+
+
 def fit_model(rfm: DataFrame, params: Params, space: str = "base") -> Model:
     caps, scale, scaled = prepare_customers(rfm, params.cap_quantile)
     customers = cut_lineage(partitioned(scaled))
-    points = as_points(customers, space)
+    # In memory on top of the checkpoint: rounds re-read it; a lost block is re-read from the checkpoint.
+    points = iteration_input(as_points(customers, space), customers.count(), params.n_init).persist()
     specs = [K.FitSpec(fit=i, space=space, k=params.k, seed=params.seed, init=i) for i in range(params.n_init)]
     states = K.fit_many(points, specs, params.max_iter)
     best = K.best_of(points, states, {0: [s.fit for s in specs]})[0]

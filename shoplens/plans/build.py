@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import lines as L
 from ..operators import rfm as R
 from ..params import DEFAULT, Params
+from ..session import cut_lineage
 from ..sources.adapter import source_lines
 
 _BUILDS: dict[tuple, "Build"] = {}
@@ -53,7 +54,10 @@ class Build:
     # --- customers ---
     @cached_property
     def rfm(self) -> DataFrame:
-        return R.build_rfm(self.lines, self.params)
+        """Checkpointed once: every customer-level query starts here, not at the lines."""
+        from ..operators.model import partitioned
+
+        return cut_lineage(partitioned(R.build_rfm(self.lines, self.params)))
 
     @cached_property
     def countries(self) -> DataFrame:
@@ -69,3 +73,28 @@ class Build:
     @cached_property
     def segmented(self) -> DataFrame:
         return self.model.segmented()
+
+    @cached_property
+    def demo_customer(self) -> str:
+        """The representative of the top segment (the customer the pages open on)."""
+        reps = self.model.representatives
+        return reps[max(reps, key=lambda c: int(c[1:]))]
+
+    @cached_property
+    def trace(self) -> list[dict]:
+        """Lloyd trace of the first restart of the final model (model seed, init 0)."""
+        from ..operators.kmeans import trace
+
+        return trace(self.model.points, self.model.states[0], self.params.max_iter)
+
+    @cached_property
+    def profiles(self) -> DataFrame:
+        from ..operators.segments import dimension, profiles
+
+        return profiles(self.segmented, dimension(self.spark, self.params.segments))
+
+    @cached_property
+    def timeline(self) -> DataFrame:
+        from ..operators.serving import invoice_timeline
+
+        return invoice_timeline(self.lines)

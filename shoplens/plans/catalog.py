@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.output import day_text, dbl, money_out, timestamp_text
+from ..functions.output import day_text, dbl, money_out, quantile_out, timestamp_text
 from ..operators import lines as L
 from ..params import DEFAULT, Params
 from ..sources.adapter import LINE_COLUMNS
@@ -122,14 +122,14 @@ def customer_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
         "frequency",
         money_out(F.col("gross_monetary")).alias("gross_monetary"),
         money_out(F.col("net_monetary")).alias("net_monetary"),
-        dbl(F.col("frequency_capped")).alias("frequency_capped"),
-        dbl(F.col("net_monetary_capped")).alias("net_monetary_capped"),
-        dbl(F.col("scaled_recency")).alias("scaled_recency"),
-        dbl(F.col("scaled_frequency")).alias("scaled_frequency"),
-        dbl(F.col("scaled_net_monetary")).alias("scaled_net_monetary"),
+        quantile_out(F.col("frequency_capped")).alias("frequency_capped"),
+        quantile_out(F.col("net_monetary_capped")).alias("net_monetary_capped"),
+        "scaled_recency",
+        "scaled_frequency",
+        "scaled_net_monetary",
         F.col("raw_cluster").cast("bigint").alias("raw_cluster"),
         "segment_code",
-        dbl(F.col("centroid_distance")).alias("centroid_distance"),
+        "centroid_distance",
         "frequency_capped_flag",
         "monetary_capped_flag",
         "any_capped_flag",
@@ -138,6 +138,8 @@ def customer_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Query]:
+    from . import catalog_model
+
     return {
         "rfm_profile": rfm_profile,
         "source_facts": source_facts,
@@ -146,4 +148,5 @@ def registry() -> dict[str, Query]:
         "lines_flagged": lines_flagged,
         "customer_countries": customer_countries,
         "customer_segments": customer_segments,
+        **catalog_model.registry(),
     }

@@ -370,19 +370,348 @@ def model_query(body: str, p: Params = DEFAULT, extra: dict[str, str] | None = N
     return "WITH RECURSIVE " + with_ctes(body, ["rfm"], p, ctes)[len("WITH "):]
 
 
+def q8(c: str) -> str:
+    return f"round(CAST({c} AS DOUBLE), 8)"
+
+
+def dround(c: str, digits: int) -> str:
+    return f"CAST(round(CAST({c} AS DECIMAL(38,10)), {digits}) AS DOUBLE)"
+
+
+def dim_sql(p: Params) -> str:
+    rows = ", ".join(
+        "(" + ", ".join([_lit(c), str(int(c[1:])), _lit(n), _lit(d), _lit(h), _lit(k)]) + ")" for c, n, d, h, k in p.segments
+    )
+    return (
+        f"SELECT * FROM (VALUES {rows}) AS t(segment_code, segment_order, segment_name, description, "
+        "strategy_hypothesis, future_kpis)"
+    )
+
+
+def _lit(v: str) -> str:
+    return "'" + v.replace("'", "''") + "'"
+
+
+PROFILE_METRICS = ("recency", "frequency", "gross_monetary", "net_monetary")
+
+
+def _as_double(m: str) -> str:
+    return net_d(m) if "monetary" in m else f"CAST({m} AS DOUBLE)"
+
+
+def serving_ctes(p: Params) -> dict[str, str]:
+    aggs = []
+    for m in PROFILE_METRICS:
+        v = _as_double(m)
+        aggs.append(f"avg({v}) AS {m}_mean")
+        aggs.append(f"quantile_cont({v}, 0.25) AS {m}_q25")
+        aggs.append(f"quantile_cont({v}, 0.5) AS {m}_median")
+        aggs.append(f"quantile_cont({v}, 0.75) AS {m}_q75")
+    cols = ", ".join(f"b.{m}_{n}" for m in PROFILE_METRICS for n in ("mean", "q25", "median", "q75"))
+    return {
+        "dim": dim_sql(p),
+        "pbase": f"""
+            SELECT segment_code, count(*) AS customers, sum(net_monetary) AS net_monetary_total, {', '.join(aggs)}
+            FROM segmented GROUP BY segment_code""",
+        "ptot": "SELECT count(*) AS n_all, sum(net_monetary) AS net_all FROM segmented",
+        "profiles": f"""
+            SELECT d.*, coalesce(b.customers, 0) AS customers, coalesce(b.customers, 0) / t.n_all AS customer_share,
+                   coalesce(b.net_monetary_total, 0) AS net_monetary_total,
+                   {net_d('coalesce(b.net_monetary_total, 0)')} / {net_d('t.net_all')} AS net_monetary_share, {cols}
+            FROM dim d LEFT JOIN pbase b USING (segment_code), ptot t""",
+        "demo": f"SELECT customer_id FROM reps WHERE segment_code = 'S{p.k}'",
+        "timeline": """
+            SELECT customer_id, invoice_no, min(invoice_date) AS invoice_date, sum(line_amount) AS invoice_amount,
+                   count(*) AS line_count, bool_or(is_cancellation) AS is_cancellation,
+                   bool_or(is_valid_positive_purchase) AS has_valid_positive_line
+            FROM known GROUP BY customer_id, invoice_no""",
+        "countries": """
+            SELECT customer_id, country FROM known WHERE customer_id IN (SELECT customer_id FROM rfm)
+            GROUP BY customer_id, country""",
+    }
+
+
+def trace_ctes(p: Params) -> dict[str, str]:
+    """Lloyd trace of restart 0 from its k-means++ start (before/after centres, sizes, changes)."""
+    dec = "DECIMAL(18,10)"
+
+    def mean(c: str, old: str) -> str:
+        return (
+            f"CASE WHEN count(CASE WHEN w = l THEN 1 END) > 0 THEN "
+            f"CAST(CAST(sum(CASE WHEN w = l THEN CAST({c} AS {dec}) END) AS VARCHAR) AS DOUBLE)"
+            f" / count(CASE WHEN w = l THEN 1 END) ELSE {old} END"
+        )
+
+    d_a = d2_sql("p.x", "p.y", "p.z", "t.a_x", "t.a_y", "t.a_z")
+    d_b = d2_sql("p.x", "p.y", "p.z", "t.b_x", "t.b_y", "t.b_z")
+    d_k = d2_sql("p.x", "p.y", "p.z", "k.cx", "k.cy", "k.cz")
+    return {
+        "trace": f"""
+            SELECT 1 AS it, l, cx AS b_x, cy AS b_y, cz AS b_z, {mean('x', 'cx')} AS a_x, {mean('y', 'cy')} AS a_y,
+                   {mean('z', 'cz')} AS a_z, count(CASE WHEN w = l THEN 1 END) AS n, 0 AS changed, true AS cont
+            FROM (SELECT k.l, k.cx, k.cy, k.cz, p.x, p.y, p.z,
+                         (min({{'d2': {d_k}, 'l': k.l}}) OVER (PARTITION BY p.customer_id)).l AS w
+                  FROM (SELECT * FROM m_kpp WHERE fit = 0) k, points p)
+            GROUP BY l, cx, cy, cz
+            UNION ALL
+            SELECT it + 1, l, a_x, a_y, a_z, nx, ny, nz, n, sum(ch) OVER () AS changed, sum(ch) OVER () > 0 AS cont
+            FROM (
+              SELECT it, l, a_x, a_y, a_z, {mean('x', 'a_x')} AS nx, {mean('y', 'a_y')} AS ny, {mean('z', 'a_z')} AS nz,
+                     count(CASE WHEN w = l THEN 1 END) AS n, count(CASE WHEN w = l AND pw <> w THEN 1 END) AS ch
+              FROM (SELECT t.it, t.l, t.a_x, t.a_y, t.a_z, p.x, p.y, p.z,
+                           (min({{'d2': {d_a}, 'l': t.l}}) OVER (PARTITION BY p.customer_id)).l AS w,
+                           (min({{'d2': {d_b}, 'l': t.l}}) OVER (PARTITION BY p.customer_id)).l AS pw
+                    FROM trace t, points p WHERE t.cont AND t.it < {p.max_iter})
+              GROUP BY it, l, a_x, a_y, a_z)""",
+        "trace_out": """
+            SELECT it, l, n, b_x, b_y, b_z, a_x, a_y, a_z, changed,
+                   max(sqrt((a_x - b_x) * (a_x - b_x) + (a_y - b_y) * (a_y - b_y) + (a_z - b_z) * (a_z - b_z))) OVER (PARTITION BY it)
+                     AS shift
+            FROM trace""",
+        "trace_labels": f"""
+            SELECT p.customer_id, (min({{'d2': {d2_sql('p.x', 'p.y', 'p.z', 't.b_x', 't.b_y', 't.b_z')}, 'l': t.l}})).l AS trace_label
+            FROM points p, (SELECT * FROM trace WHERE it = (SELECT max(it) FROM trace)) t
+            GROUP BY p.customer_id""",
+    }
+
+
+def ari_sql(pairs: str, a: str, b: str) -> str:
+    """ARI of two labelings given as columns of ``pairs`` (one row per item)."""
+    return f"""
+        SELECT CASE WHEN den = 0 THEN 1.0 ELSE (s_ij - expected) / den END AS ari FROM (
+          SELECT s_ij, s_a * s_b / (n_all * (n_all - 1) / 2.0) AS expected,
+                 (s_a + s_b) / 2.0 - s_a * s_b / (n_all * (n_all - 1) / 2.0) AS den
+          FROM (SELECT sum(n * (n - 1) / 2.0) AS s_ij, sum(n) AS n_all FROM (SELECT count(*) AS n FROM {pairs} GROUP BY {a}, {b})),
+               (SELECT sum(n * (n - 1) / 2.0) AS s_a FROM (SELECT count(*) AS n FROM {pairs} GROUP BY {a})),
+               (SELECT sum(n * (n - 1) / 2.0) AS s_b FROM (SELECT count(*) AS n FROM {pairs} GROUP BY {b})))"""
+
+
 def model_oracles(p: Params = DEFAULT) -> dict[str, str]:
     q: dict[str, str] = {}
-    q["customer_segments"] = model_query(
+    sv = serving_ctes(p)
+    tr = trace_ctes(p)
+
+    def mq(body: str, *extra: dict[str, str]) -> str:
+        merged: dict[str, str] = {}
+        for e in extra:
+            merged.update(e)
+        return model_query(body, p, merged)
+
+    q["customer_segments"] = mq(
         f"""SELECT customer_id, country_display, {day('last_purchase')} AS last_purchase_date, recency, frequency,
                    {money('gross_monetary')} AS gross_monetary, {money('net_monetary')} AS net_monetary,
-                   {dbl('frequency_capped')} AS frequency_capped, {dbl('net_monetary_capped')} AS net_monetary_capped,
-                   {dbl('scaled_recency')} AS scaled_recency, {dbl('scaled_frequency')} AS scaled_frequency,
-                   {dbl('scaled_net_monetary')} AS scaled_net_monetary, CAST(raw_cluster AS BIGINT) AS raw_cluster,
-                   segment_code, {dbl('centroid_distance')} AS centroid_distance,
+                   {q8('frequency_capped')} AS frequency_capped, {q8('net_monetary_capped')} AS net_monetary_capped,
+                   scaled_recency, scaled_frequency, scaled_net_monetary, CAST(raw_cluster AS BIGINT) AS raw_cluster,
+                   segment_code, centroid_distance,
                    frequency_capped_flag, monetary_capped_flag, any_capped_flag, is_representative
-            FROM segmented""",
+            FROM segmented"""
+    )
+    q["feature_caps"] = mq(
+        f"""SELECT CAST({p.cap_quantile} AS DOUBLE) AS cap_quantile, {q8('max(fcap)')} AS frequency_cap,
+                   {q8('max(mcap)')} AS net_monetary_cap,
+                   CAST(count(*) FILTER (WHERE frequency_capped_flag) AS BIGINT) AS frequency_capped_customers,
+                   CAST(count(*) FILTER (WHERE monetary_capped_flag) AS BIGINT) AS monetary_capped_customers,
+                   CAST(count(*) FILTER (WHERE any_capped_flag) AS BIGINT) AS either_affected
+            FROM capped, caps"""
+    )
+    q["rfm_capped"] = mq(
+        f"""SELECT customer_id, {q8('frequency_capped')} AS frequency_capped, {q8('net_monetary_capped')} AS net_monetary_capped,
+                   frequency_capped_flag, monetary_capped_flag, any_capped_flag FROM capped"""
+    )
+    q["rfm_scaled"] = mq("SELECT customer_id, scaled_recency, scaled_frequency, scaled_net_monetary FROM scaled")
+    q["feature_finite_check"] = mq(
+        """SELECT CAST(count(*) FILTER (WHERE x IS NULL OR y IS NULL OR z IS NULL OR isnan(x) OR isnan(y) OR isnan(z)
+                                            OR isinf(x) OR isinf(y) OR isinf(z)) AS BIGINT) AS non_finite_rows
+           FROM points"""
+    )
+    steps = " UNION ALL ".join(f"SELECT {j} AS step, customer_id, d2 FROM m_dsq{j} WHERE fit = 0" for j in range(1, p.k))
+    q["kpp_weights"] = mq(
+        f"""SELECT CAST(step + 1 AS BIGINT) AS center_number, customer_id, d2, d2 / total AS probability,
+                   round(least(greatest(d2 / cap, 0.0), 1.0), 6) AS display_intensity, customer_id = pick_id AS is_selected
+            FROM ksteps JOIN ktot USING (step) LEFT JOIN kcap USING (step) JOIN kpicks USING (step)
+            UNION ALL
+            SELECT CAST(1 AS BIGINT), customer_id, CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(0.0 AS DOUBLE),
+                   customer_id = (SELECT pick_id FROM kpicks WHERE step = 0)
+            FROM points""",
+        {
+            "ksteps": steps,
+            "ktot": "SELECT step, CAST(CAST(sum(CAST(d2 AS DECIMAL(20,10))) AS VARCHAR) AS DOUBLE) AS total FROM ksteps GROUP BY step",
+            "kcap": "SELECT step, quantile_cont(d2, 0.995) AS cap FROM ksteps WHERE d2 > 0 GROUP BY step",
+            "kpicks": "SELECT l AS step, pick_id FROM m_kpp WHERE fit = 0",
+        },
+    )
+    nearest_k = f"""
+        SELECT p.customer_id, p.x, p.y, p.z,
+               min({{'d2': {d2_sql('p.x', 'p.y', 'p.z', 'k.cx', 'k.cy', 'k.cz')}, 'l': k.l,
+                    'dist': sqrt({d2_sql('p.x', 'p.y', 'p.z', 'k.cx', 'k.cy', 'k.cz', rounded=False)})}}) AS b
+        FROM points p, (SELECT * FROM m_kpp WHERE fit = 0) k GROUP BY p.customer_id, p.x, p.y, p.z"""
+    q["assign_nearest"] = mq(
+        "SELECT customer_id, CAST(b.l AS BIGINT) AS label, b.d2 AS d2, b.dist AS distance FROM nk",
+        {"nk": nearest_k},
+    )
+
+    def cmean(c: str) -> str:
+        return f"CAST(CAST(sum(CAST({c} AS DECIMAL(18,10))) AS VARCHAR) AS DOUBLE) / count(*)"
+
+    q["lloyd_step"] = mq(
+        f"""SELECT CAST(b.l AS BIGINT) AS label, CAST(count(*) AS BIGINT) AS size, {cmean('x')} AS x, {cmean('y')} AS y,
+                   {cmean('z')} AS z, CAST(CAST(sum(CAST(b.d2 AS DECIMAL(20,10))) AS VARCHAR) AS DOUBLE) AS inertia
+            FROM nk GROUP BY b.l""",
+        {"nk": nearest_k},
+    )
+    q["lloyd_trace"] = mq(
+        """SELECT CAST(it AS BIGINT) AS iteration, CAST(l AS BIGINT) AS label, CAST(n AS BIGINT) AS size,
+                  b_x AS before_x, b_y AS before_y, b_z AS before_z, a_x AS after_x, a_y AS after_y, a_z AS after_z,
+                  CAST(changed AS BIGINT) AS changed_count, round(shift, 6) AS max_centroid_shift
+           FROM trace_out""",
+        tr,
+    )
+    q["semantic_mapping"] = mq(
+        f"""SELECT CAST(m.raw_cluster AS BIGINT) AS raw_cluster, m.segment_code, CAST(m.segment_order AS BIGINT) AS segment_order,
+                   {q8('m.med')} AS median_net_monetary, CAST(c.n AS BIGINT) AS customers
+            FROM mapping m JOIN (SELECT raw_cluster, count(*) AS n FROM labelled GROUP BY raw_cluster) c USING (raw_cluster)"""
+    )
+    q["majority_mapping"] = mq(
+        """SELECT CAST(trace_label AS BIGINT) AS raw_cluster, segment_code, CAST(members AS BIGINT) AS members,
+                  CAST(n AS BIGINT) AS agreeing, round((SELECT ari FROM mm_ari), 6) AS ari_vs_final
+           FROM (SELECT trace_label, segment_code, n, sum(n) OVER (PARTITION BY trace_label) AS members,
+                        row_number() OVER (PARTITION BY trace_label ORDER BY n DESC, segment_code) AS rk
+                 FROM (SELECT trace_label, segment_code, count(*) AS n FROM mm_pairs GROUP BY ALL))
+           WHERE rk = 1""",
+        tr,
+        {
+            "mm_pairs": "SELECT t.trace_label, s.segment_code FROM trace_labels t JOIN segmented s USING (customer_id)",
+            "mm_ari": ari_sql("mm_pairs", "trace_label", "segment_code"),
+        },
+    )
+    prof_cols = []
+    for m in PROFILE_METRICS:
+        for n in ("mean", "q25", "median", "q75"):
+            f = dbl if n == "mean" else q8
+            prof_cols.append(f"{f(f'{m}_{n}')} AS {m}_{n}")
+    q["segment_profiles"] = mq(
+        f"""SELECT segment_code, CAST(segment_order AS BIGINT) AS segment_order, segment_name, description,
+                   strategy_hypothesis, future_kpis, CAST(customers AS BIGINT) AS customers,
+                   {dbl('customer_share')} AS customer_share, {money('net_monetary_total')} AS net_monetary_total,
+                   {dbl('net_monetary_share')} AS net_monetary_share, {', '.join(prof_cols)}
+            FROM profiles""",
+        sv,
+    )
+    q["cluster_centroids"] = mq(
+        """SELECT segment_code, CAST(raw_cluster AS BIGINT) AS raw_cluster, cx AS scaled_recency, cy AS scaled_frequency,
+                  cz AS scaled_net_monetary FROM centroids"""
+    )
+    q["segment_counts"] = mq("SELECT segment_code, CAST(count(*) AS BIGINT) AS customers FROM segmented GROUP BY segment_code")
+    q["representatives"] = mq("SELECT segment_code, customer_id, centroid_distance FROM segmented WHERE is_representative")
+    top = f"('S{p.k - 1}', 'S{p.k}')"
+    q["findings_high_value"] = mq(
+        f"""SELECT CAST(sum(customers) FILTER (WHERE segment_code IN {top}) AS BIGINT) AS top_customers,
+                   {dbl(f'sum(customer_share) FILTER (WHERE segment_code IN {top})')} AS top_customer_share,
+                   {dbl(f'sum(net_monetary_share) FILTER (WHERE segment_code IN {top})')} AS top_net_share,
+                   {money('sum(net_monetary_total)')} AS clustered_net_total
+            FROM profiles""",
+        sv,
+    )
+    q["overview_shares"] = mq(
+        f"""SELECT segment_code, segment_name, 'customers' AS measure, {dbl('customer_share * 100.0')} AS share_percent FROM profiles
+            UNION ALL
+            SELECT segment_code, segment_name, 'net_monetary', {dbl('net_monetary_share * 100.0')} FROM profiles""",
+        sv,
+    )
+    q["monotone_ladder"] = mq(
+        f"""SELECT segment_code, CAST(segment_order AS BIGINT) AS segment_order, {q8('recency_median')} AS recency_median,
+                   {q8('frequency_median')} AS frequency_median, {q8('net_monetary_median')} AS net_monetary_median,
+                   r_ok, f_ok, m_ok, bool_and(r_ok AND f_ok AND m_ok) OVER () AS ordering
+            FROM (SELECT *, coalesce(recency_median <= lag(recency_median) OVER w, true) AS r_ok,
+                         coalesce(frequency_median >= lag(frequency_median) OVER w, true) AS f_ok,
+                         coalesce(net_monetary_median >= lag(net_monetary_median) OVER w, true) AS m_ok
+                  FROM profiles WHERE customers > 0 WINDOW w AS (ORDER BY segment_order))""",
+        sv,
+    )
+    q["long_tail"] = with_ctes(
+        f"""SELECT metric, {q8('quantile_cont(v, 0.5)')} AS median, {q8('quantile_cont(v, 0.995)')} AS q995, max(v) AS maximum
+            FROM (SELECT 'frequency' AS metric, CAST(frequency AS DOUBLE) AS v FROM rfm
+                  UNION ALL SELECT 'net_monetary', {net_d()} FROM rfm)
+            GROUP BY metric""",
+        ["rfm"],
         p,
     )
+    q["gross_net_gap"] = with_ctes(
+        f"""SELECT CAST(row_number() OVER (ORDER BY gap DESC, customer_id) AS BIGINT) AS rank, customer_id,
+                   {money('gross_monetary')} AS gross_monetary, {money('net_monetary')} AS net_monetary, {money('gap')} AS gap
+            FROM (SELECT customer_id, gross_monetary, net_monetary, gross_monetary - net_monetary AS gap FROM rfm)
+            ORDER BY gap DESC, customer_id LIMIT 20""",
+        ["rfm"],
+        p,
+    )
+    q["line_funnel"] = mq(
+        """SELECT (SELECT CAST(count(*) AS BIGINT) FROM known) AS known_transaction_lines,
+                  (SELECT CAST(count(*) FILTER (WHERE is_valid_positive_purchase) AS BIGINT) FROM known) AS valid_positive_lines,
+                  (SELECT CAST(count(*) AS BIGINT) FROM capped) AS customers,
+                  (SELECT CAST(count(*) FILTER (WHERE any_capped_flag) AS BIGINT) FROM capped) AS cap_affected_customers"""
+    )
+    tl_cols = f"""customer_id, invoice_no, {ts('invoice_date')} AS invoice_date, {money('invoice_amount')} AS invoice_amount,
+                  CAST(line_count AS BIGINT) AS line_count, is_cancellation, has_valid_positive_line"""
+    q["invoice_timeline"] = mq(
+        f"""SELECT {tl_cols},
+                   CASE WHEN is_cancellation THEN 'cancellation' WHEN invoice_amount >= 0 THEN 'purchase'
+                        ELSE 'negative_other' END AS entry_class
+            FROM timeline""",
+        sv,
+    )
+    q["customer_timeline"] = mq(
+        f"SELECT {tl_cols} FROM timeline WHERE customer_id = (SELECT customer_id FROM demo) ORDER BY invoice_date, invoice_no",
+        sv,
+    )
+    q["customer_page"] = mq(
+        f"""SELECT s.customer_id, s.segment_code, d.segment_name, s.country_display, s.recency, s.frequency,
+                   {money('s.gross_monetary')} AS gross_monetary, {money('s.net_monetary')} AS net_monetary,
+                   s.centroid_distance,
+                   CAST((SELECT count(*) FROM timeline t WHERE t.customer_id = s.customer_id) AS BIGINT) AS invoice_count,
+                   CAST((SELECT count(*) FILTER (WHERE is_cancellation) FROM timeline t WHERE t.customer_id = s.customer_id) AS BIGINT)
+                     AS cancellation_count,
+                   s.is_representative
+            FROM segmented s JOIN dim d USING (segment_code)
+            WHERE s.customer_id = (SELECT customer_id FROM demo)""",
+        sv,
+    )
+    unions = " UNION ALL ".join(
+        f"SELECT '{m}' AS metric, {_as_double('s.' + m)} AS value, pr.{m}_median AS median "
+        f"FROM segmented s JOIN profiles pr USING (segment_code) WHERE s.customer_id = (SELECT customer_id FROM demo)"
+        for m in PROFILE_METRICS
+    )
+    q["customer_vs_segment"] = mq(
+        f"""SELECT metric, value AS customer_value, {q8('median')} AS segment_median, {dbl('top')} AS top,
+                   {dbl('least(100.0, 100.0 * abs(value) / top)')} AS customer_width,
+                   {dbl('least(100.0, 100.0 * abs(median) / top)')} AS median_width
+            FROM (SELECT *, 1.18 * greatest(abs(value), abs(median), 1.0) AS top FROM ({unions}))""",
+        sv,
+    )
+    q["filtered_customers"] = mq(
+        f"""SELECT customer_id, segment_code, country_display, any_capped_flag FROM segmented
+            WHERE segment_code IN {top} AND NOT any_capped_flag
+              AND customer_id IN (SELECT customer_id FROM countries WHERE country IN ({_lit(p.home_country)}, 'ASIA'))""",
+        sv,
+    )
+    q["country_index"] = mq(
+        f"""SELECT country, CAST(customers AS BIGINT) AS customers,
+                   CAST(row_number() OVER (ORDER BY country <> {_lit(p.home_country)}, country) AS BIGINT) AS option_order
+            FROM (SELECT country, count(DISTINCT customer_id) AS customers FROM countries WHERE country IS NOT NULL GROUP BY country)""",
+        sv,
+    )
+    q["customer_options"] = mq(
+        "SELECT customer_id || ' · ' || segment_code || ' · ' || country_display AS label, customer_id AS value FROM segmented"
+    )
+    q["explorer_points"] = mq(
+        f"""SELECT CASE WHEN customer_id = (SELECT customer_id FROM demo) THEN customer_id
+                        ELSE printf('P%04d', row_number() OVER (ORDER BY customer_id)) END AS point_id,
+                   segment_code AS segment, {dround('scaled_recency', 8)} AS x, {dround('scaled_frequency', 8)} AS y,
+                   {dround('scaled_net_monetary', 8)} AS z, recency AS r, frequency AS f,
+                   CAST(round(net_monetary, 2) AS DOUBLE) AS m, any_capped_flag AS capped,
+                   customer_id = (SELECT customer_id FROM demo) AS demo
+            FROM segmented""",
+        sv,
+    )
     return q
 
 
