@@ -24,6 +24,7 @@ an exponential race, i.e. an exact D²-proportional draw that no partitioning ca
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -132,25 +133,101 @@ def with_fits(points: DataFrame, states: Sequence[FitState], previous: dict[int,
     return paired, kmax
 
 
+_VIEWS = itertools.count()
+
+
+def points_view(points: DataFrame) -> str:
+    """A session temp view over the iteration input, registered once per input."""
+    name = getattr(points, "_shoplens_view", None)
+    if name is None:
+        name = f"shoplens_points_{next(_VIEWS)}"
+        points.createOrReplaceTempView(name)
+        points._shoplens_view = name
+    return name
+
+
+def values_sql(states: Sequence[FitState], previous: dict[int, list[Centre]] | None = None) -> tuple[str, int]:
+    """The active fits as an inline VALUES relation (see ``fits_table``)."""
+    kmax = max([len(st.centres) for st in states] + [len(v) for v in (previous or {}).values()] + [0])
+    names = ["fit", "fspace", "seed", "init"]
+    names += [f"c{j}_{a}" for j in range(kmax) for a in "xyz"]
+    if previous is not None:
+        names += [f"p{j}_{a}" for j in range(kmax) for a in "xyz"]
+    rows = []
+    for st in states:
+        vals = [str(st.spec.fit), _text(st.spec.space), str(st.spec.seed), str(st.spec.init)]
+        for j in range(kmax):
+            c = st.centres[j] if j < len(st.centres) else (None, None, None)
+            vals += [_num(v) for v in c]
+        if previous is not None:
+            prev = previous.get(st.spec.fit, [])
+            for j in range(kmax):
+                c = prev[j] if j < len(prev) else (None, None, None)
+                vals += [_num(v) for v in c]
+        rows.append("(" + ", ".join(vals) + ")")
+    return f"(SELECT * FROM VALUES {', '.join(rows)} AS t({', '.join(names)}))", kmax
+
+
+def _d2_text(prefix: str, j: int) -> str:
+    t = " + ".join(f"({a} - {prefix}{j}_{a}) * ({a} - {prefix}{j}_{a})" for a in "xyz")
+    return f"round({t}, {DISTANCE_DIGITS})"
+
+
+def nearest_text(kmax: int, prefix: str = "c") -> str:
+    elems = ", ".join(
+        f"CASE WHEN {prefix}{j}_x IS NOT NULL THEN named_struct('d2', {_d2_text(prefix, j)}, 'l', {j}) END"
+        for j in range(kmax)
+    )
+    return f"array_min(array({elems}))"
+
+
+def min_d2_text(kmax: int) -> str:
+    terms = [f"CASE WHEN c{j}_x IS NOT NULL THEN {_d2_text('c', j)} END" for j in range(kmax)]
+    return terms[0] if len(terms) == 1 else f"least({', '.join(terms)})"
+
+
+def draw_text(step: int) -> str:
+    key = f"concat_ws('|', CAST(seed AS STRING), CAST(init AS STRING), '{step}', customer_id)"
+    return f"((CAST(conv(substring(md5({key}), 1, 8), 16, 10) AS DOUBLE) + 0.5D) / 4294967296.0D)"
+
+
+def round_sql(view: str, values: str, kmax: int, with_changes: bool = False) -> str:
+    """One Lloyd round as a single statement: nearest centre per (fit, point), then exact
+    decimal sums per (fit, cluster). Map-side partial aggregation keeps the shuffle at
+    (tasks × fits × k) rows."""
+    prev = f", {nearest_text(kmax, 'p')} AS pb" if with_changes else ""
+    changed = ", count(CASE WHEN pb.l <> b.l THEN 1 END) AS changed" if with_changes else ""
+    mean = lambda a: f"CAST(CAST(sum(CAST({a} AS {COORD_DEC})) AS STRING) AS DOUBLE) / count(1)"
+    return f"""
+        SELECT fit, b.l AS l, count(1) AS n, {mean('x')} AS x, {mean('y')} AS y, {mean('z')} AS z,
+               sum(CAST(b.d2 AS {D2_DEC})) AS inertia{changed}
+        FROM (SELECT /*+ BROADCAST(t) */ fit, x, y, z, {nearest_text(kmax)} AS b{prev}
+              FROM {view} JOIN {values} t ON space = fspace)
+        GROUP BY fit, b.l"""
+
+
+def seed_sql(view: str, values: str, kmax: int, step: int) -> str:
+    if step == 0:
+        score = f"-ln({draw_text(step)})"
+    else:
+        d2 = min_d2_text(kmax)
+        score = f"CASE WHEN {d2} > 0 THEN -ln({draw_text(step)}) / {d2} ELSE CAST('Infinity' AS DOUBLE) END"
+    return f"""
+        SELECT fit, min(named_struct('s', {score}, 'customer_id', customer_id, 'x', x, 'y', y, 'z', z)) AS p
+        FROM (SELECT /*+ BROADCAST(t) */ * FROM {view} JOIN {values} t ON space = fspace)
+        GROUP BY fit"""
+
+
 def seed_centres(points: DataFrame, specs: Sequence[FitSpec]) -> dict[int, FitState]:
     """k-means++ start for every fit; one aggregate job per step (k jobs for the largest k)."""
+    spark = points.sparkSession
     states = {s.fit: FitState(s, []) for s in specs}
     for step in range(max(s.k for s in specs)):
         active = [st for st in states.values() if len(st.centres) < st.spec.k and step == len(st.centres)]
         if not active:
             break
-        joined, kmax = with_fits(points, active)
-        u = draw(F.col("seed"), F.col("init"), F.lit(step))
-        if step == 0:
-            score = -F.log(u)
-        else:
-            d2 = min_d2(kmax)
-            score = F.when(d2 > 0, -F.log(u) / d2).otherwise(F.lit(float("inf")))
-        picks = (
-            joined.groupBy("fit")
-            .agg(F.min(F.struct(score.alias("s"), "customer_id", "x", "y", "z")).alias("p"))
-            .collect()
-        )
+        values, kmax = values_sql(active)
+        picks = spark.sql(seed_sql(points_view(points), values, kmax, step)).collect()
         for r in picks:
             st = states[r["fit"]]
             p = r["p"]
@@ -198,7 +275,8 @@ def run_lloyd(points: DataFrame, states: dict[int, FitState], max_iter: int) ->
         active = [st for st in states.values() if not st.converged]
         if not active:
             break
-        rows = lloyd_round(*with_fits(points, active)).collect()
+        values, kmax = values_sql(active)
+        rows = spark.sql(round_sql(points_view(points), values, kmax)).collect()
         new: dict[int, dict[int, Centre]] = {}
         for r in rows:
             new.setdefault(r["fit"], {})[r["l"]] = (r["x"], r["y"], r["z"])
@@ -260,8 +338,9 @@ def trace(points: DataFrame, state: FitState, max_iter: int) -> list[dict]:
     frames = []
     for it in range(1, max_iter + 1):
         st = FitState(state.spec, centres)
-        paired, kmax = with_fits(points, [st], {state.spec.fit: previous} if previous else None)
-        rows = {r["l"]: r for r in lloyd_round(paired, kmax, with_changes=previous is not None).collect()}
+        values, kmax = values_sql([st], {state.spec.fit: previous} if previous else None)
+        sql = round_sql(points_view(points), values, kmax, with_changes=previous is not None)
+        rows = {r["l"]: r for r in spark.sql(sql).collect()}
         updated = [(rows[i]["x"], rows[i]["y"], rows[i]["z"]) if i in rows else c for i, c in enumerate(centres)]
         changed = sum(int(r["changed"]) for r in rows.values()) if previous is not None else 0
         shift = max(math.sqrt(sum((a - b) * (a - b) for a, b in zip(u, c, strict=True))) for u, c in zip(updated, centres, strict=True))
