@@ -29,6 +29,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,15 +72,12 @@ def nearest(kmax: int, prefix: str = "c") -> Column:
     """(d2, l) struct of the nearest centre: ``array_min`` over (distance, label) structs, so
     ties go to the lower label; missing centres (k < kmax) are null elements and skipped.
     Plain element expressions keep the whole round in generated code."""
-    elems = [
-        F.when(F.col(f"{prefix}{j}_x").isNotNull(), F.struct(_d2(prefix, j).alias("d2"), F.lit(j).alias("l")))
-        for j in range(kmax)
-    ]
+    elems = [F.when(F.lit(j) < F.col("k"), F.struct(_d2(prefix, j).alias("d2"), F.lit(j).alias("l"))) for j in range(kmax)]
     return F.array_min(F.array(*elems))
 
 
 def min_d2(kmax: int, prefix: str = "c") -> Column:
-    terms = [F.when(F.col(f"{prefix}{j}_x").isNotNull(), _d2(prefix, j)) for j in range(kmax)]
+    terms = [F.when(F.lit(j) < F.col("k"), _d2(prefix, j)) for j in range(kmax)]
     return terms[0] if len(terms) == 1 else F.least(*terms)
 
 
@@ -90,45 +88,58 @@ def draw(seed_col, init_col, step_col, id_col="customer_id"):
     return (h + F.lit(0.5)) / F.lit(4294967296.0)
 
 
-def _num(v: float | None) -> str:
-    return "CAST(NULL AS DOUBLE)" if v is None else f"{float(v)!r}D"
-
-
-def _text(v: str) -> str:
-    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+_FITS = itertools.count()
 
 
-def fits_table(
+def fits_frame(
     spark: SparkSession, states: Sequence[FitState], previous: dict[int, list[Centre]] | None = None
 ) -> tuple[DataFrame, int]:
-    """The active fits as a small inline table, one row per fit: (fit, fspace, seed, init,
-    c{j}_x/y/z..., p{j}_x/y/z...). Size is fits × k, fixed by the caller. An inline VALUES
-    table is a local relation: broadcasting it needs no job, and the generated code of a
-    round is the same from one round to the next (only the table's data changes)."""
-    kmax = max([len(st.centres) for st in states] + [len(v) for v in (previous or {}).values()] + [0])
-    names = ["fit", "fspace", "seed", "init"]
-    names += [f"c{j}_{a}" for j in range(kmax) for a in "xyz"]
+    """The active fits as a small table, one row per fit: (fit, fspace, seed, init, k,
+    c{j}_x/y/z..., p{j}_x/y/z...), centres beyond a fit's own count padded with 0 and
+    masked by ``k``. Its size is fits × k, fixed by the caller, never by the data. It is
+    built from Arrow batches (exact doubles), so a round needs no large SQL text."""
+    kmax = max([len(st.centres) for st in states] + [len(v) for v in (previous or {}).values()] + [1])
+    cols: dict[str, list] = {"fit": [], "fspace": [], "seed": [], "init": [], "k": []}
+    for j in range(kmax):
+        for a in "xyz":
+            cols[f"c{j}_{a}"] = []
     if previous is not None:
-        names += [f"p{j}_{a}" for j in range(kmax) for a in "xyz"]
-    rows = []
+        for j in range(kmax):
+            for a in "xyz":
+                cols[f"p{j}_{a}"] = []
     for st in states:
-        vals = [str(st.spec.fit), _text(st.spec.space), str(st.spec.seed), str(st.spec.init)]
+        cols["fit"].append(st.spec.fit)
+        cols["fspace"].append(st.spec.space)
+        cols["seed"].append(st.spec.seed)
+        cols["init"].append(st.spec.init)
+        cols["k"].append(len(st.centres))
         for j in range(kmax):
-            c = st.centres[j] if j < len(st.centres) else (None, None, None)
-            vals += [_num(v) for v in c]
+            c = st.centres[j] if j < len(st.centres) else (0.0, 0.0, 0.0)
+            for a, v in zip("xyz", c, strict=True):
+                cols[f"c{j}_{a}"].append(float(v))
         if previous is not None:
             prev = previous.get(st.spec.fit, [])
             for j in range(kmax):
-                c = prev[j] if j < len(prev) else (None, None, None)
-                vals += [_num(v) for v in c]
-        rows.append("(" + ", ".join(vals) + ")")
-    sql = f"SELECT * FROM VALUES {', '.join(rows)} AS t({', '.join(names)})"
-    return spark.sql(sql), kmax
+                c = prev[j] if j < len(prev) else (0.0, 0.0, 0.0)
+                for a, v in zip("xyz", c, strict=True):
+                    cols[f"p{j}_{a}"].append(float(v))
+    pdf = pd.DataFrame(cols)
+    schema = ", ".join(
+        f"{n} {'string' if n == 'fspace' else ('int' if n in ('fit', 'seed', 'init', 'k') else 'double')}" for n in pdf.columns
+    )
+    return spark.createDataFrame(pdf, schema), kmax
+
+
+def fits_view(spark: SparkSession, states: Sequence[FitState], previous: dict[int, list[Centre]] | None = None) -> tuple[str, int]:
+    df, kmax = fits_frame(spark, states, previous)
+    name = f"shoplens_fits_{next(_FITS)}"
+    df.createOrReplaceTempView(name)
+    return name, kmax
 
 
 def with_fits(points: DataFrame, states: Sequence[FitState], previous: dict[int, list[Centre]] | None = None) -> tuple[DataFrame, int]:
     """Every point next to each fit of its space (equi-join on the space, fits broadcast)."""
-    fits, kmax = fits_table(points.sparkSession, states, previous)
+    fits, kmax = fits_frame(points.sparkSession, states, previous)
     paired = points.join(F.broadcast(fits), points["space"] == fits["fspace"]).drop("fspace")
     return paired, kmax
 
@@ -146,28 +157,6 @@ def points_view(points: DataFrame) -> str:
     return name
 
 
-def values_sql(states: Sequence[FitState], previous: dict[int, list[Centre]] | None = None) -> tuple[str, int]:
-    """The active fits as an inline VALUES relation (see ``fits_table``)."""
-    kmax = max([len(st.centres) for st in states] + [len(v) for v in (previous or {}).values()] + [0])
-    names = ["fit", "fspace", "seed", "init"]
-    names += [f"c{j}_{a}" for j in range(kmax) for a in "xyz"]
-    if previous is not None:
-        names += [f"p{j}_{a}" for j in range(kmax) for a in "xyz"]
-    rows = []
-    for st in states:
-        vals = [str(st.spec.fit), _text(st.spec.space), str(st.spec.seed), str(st.spec.init)]
-        for j in range(kmax):
-            c = st.centres[j] if j < len(st.centres) else (None, None, None)
-            vals += [_num(v) for v in c]
-        if previous is not None:
-            prev = previous.get(st.spec.fit, [])
-            for j in range(kmax):
-                c = prev[j] if j < len(prev) else (None, None, None)
-                vals += [_num(v) for v in c]
-        rows.append("(" + ", ".join(vals) + ")")
-    return f"(SELECT * FROM VALUES {', '.join(rows)} AS t({', '.join(names)}))", kmax
-
-
 def _d2_text(prefix: str, j: int) -> str:
     t = " + ".join(f"({a} - {prefix}{j}_{a}) * ({a} - {prefix}{j}_{a})" for a in "xyz")
     return f"round({t}, {DISTANCE_DIGITS})"
@@ -175,14 +164,14 @@ def _d2_text(prefix: str, j: int) -> str:
 
 def nearest_text(kmax: int, prefix: str = "c") -> str:
     elems = ", ".join(
-        f"CASE WHEN {prefix}{j}_x IS NOT NULL THEN named_struct('d2', {_d2_text(prefix, j)}, 'l', {j}) END"
+        f"CASE WHEN {j} < k THEN named_struct('d2', {_d2_text(prefix, j)}, 'l', {j}) END"
         for j in range(kmax)
     )
     return f"array_min(array({elems}))"
 
 
 def min_d2_text(kmax: int) -> str:
-    terms = [f"CASE WHEN c{j}_x IS NOT NULL THEN {_d2_text('c', j)} END" for j in range(kmax)]
+    terms = [f"CASE WHEN {j} < k THEN {_d2_text('c', j)} END" for j in range(kmax)]
     return terms[0] if len(terms) == 1 else f"least({', '.join(terms)})"
 
 
@@ -226,7 +215,7 @@ def seed_centres(points: DataFrame, specs: Sequence[FitSpec]) -> dict[int, FitSt
         active = [st for st in states.values() if len(st.centres) < st.spec.k and step == len(st.centres)]
         if not active:
             break
-        values, kmax = values_sql(active)
+        values, kmax = fits_view(spark, active)
         picks = spark.sql(seed_sql(points_view(points), values, kmax, step)).collect()
         for r in picks:
             st = states[r["fit"]]
@@ -275,7 +264,7 @@ def run_lloyd(points: DataFrame, states: dict[int, FitState], max_iter: int) ->
         active = [st for st in states.values() if not st.converged]
         if not active:
             break
-        values, kmax = values_sql(active)
+        values, kmax = fits_view(spark, active)
         rows = spark.sql(round_sql(points_view(points), values, kmax)).collect()
         new: dict[int, dict[int, Centre]] = {}
         for r in rows:
@@ -338,7 +327,7 @@ def trace(points: DataFrame, state: FitState, max_iter: int) -> list[dict]:
     frames = []
     for it in range(1, max_iter + 1):
         st = FitState(state.spec, centres)
-        values, kmax = values_sql([st], {state.spec.fit: previous} if previous else None)
+        values, kmax = fits_view(spark, [st], {state.spec.fit: previous} if previous else None)
         sql = round_sql(points_view(points), values, kmax, with_changes=previous is not None)
         rows = {r["l"]: r for r in spark.sql(sql).collect()}
         updated = [(rows[i]["x"], rows[i]["y"], rows[i]["z"]) if i in rows else c for i, c in enumerate(centres)]

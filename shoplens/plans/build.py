@@ -98,3 +98,9 @@ class Build:
         from ..operators.serving import invoice_timeline
 
         return invoice_timeline(self.lines)
+
+    @cached_property
+    def sweep(self):
+        from ..operators.sweeps import run_sweep
+
+        return run_sweep(self)

@@ -138,7 +138,7 @@ def customer_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Query]:
-    from . import catalog_model
+    from . import catalog_eval, catalog_model
 
     return {
         "rfm_profile": rfm_profile,
@@ -149,4 +149,5 @@ def registry() -> dict[str, Query]:
         "customer_countries": customer_countries,
         "customer_segments": customer_segments,
         **catalog_model.registry(),
+        **catalog_eval.registry(),
     }

@@ -7,7 +7,7 @@ removal, flags, RFM, ...) is written once. They read the pre-registered views
 
 from __future__ import annotations
 
-from ..params import DEFAULT, PRODUCT_LIKE_PATTERN, Params
+from ..params import DEFAULT, PRODUCT_LIKE_PATTERN, SCHEMA_VERSION, Params
 
 LINE_COLS = "invoice_no, stock_code, description, quantity, invoice_date, unit_price, customer_id, country"
 ORDER_ALL = ", ".join(f"{c} ASC NULLS FIRST" for c in LINE_COLS.split(", "))
@@ -364,10 +364,10 @@ def model_ctes(p: Params = DEFAULT) -> dict[str, str]:
     return out
 
 
-def model_query(body: str, p: Params = DEFAULT, extra: dict[str, str] | None = None) -> str:
+def model_query(body: str, p: Params = DEFAULT, extra: dict[str, str] | None = None, bases: tuple[str, ...] = ("rfm",)) -> str:
     ctes = dict(model_ctes(p))
     ctes.update(extra or {})
-    return "WITH RECURSIVE " + with_ctes(body, ["rfm"], p, ctes)[len("WITH "):]
+    return "WITH RECURSIVE " + with_ctes(body, list(bases), p, ctes)[len("WITH "):]
 
 
 def q8(c: str) -> str:
@@ -715,7 +715,191 @@ def model_oracles(p: Params = DEFAULT) -> dict[str, str]:
     return q
 
 
+def eval_oracles(p: Params = DEFAULT) -> dict[str, str]:
+    q: dict[str, str] = {}
+    sv = serving_ctes(p)
+
+    def mq(body: str, *extra: dict[str, str], bases: tuple[str, ...] = ("rfm",)) -> str:
+        merged: dict[str, str] = {}
+        for e in extra:
+            merged.update(e)
+        return model_query(body, p, merged, bases)
+
+    kcurve = {
+        "ifits": " UNION ALL ".join(
+            f"SELECT {i} AS fit, {p.seed} AS seed, 0 AS init, {k} AS k" for i, k in enumerate(p.k_values)
+        )
+    }
+    kcurve.update(kpp_ctes("ifits", max(p.k_values), prefix="i_"))
+    kcurve.update(lloyd_ctes("ifits", p.max_iter, prefix="i_"))
+    kcurve["i_assign"] = assign_sql("i_final")
+    q["inertia_by_k"] = mq(
+        """SELECT CAST(f.k AS BIGINT) AS k, CAST(CAST(sum(CAST(a.d2 AS DECIMAL(20,10))) AS VARCHAR) AS DOUBLE) AS inertia,
+                  CAST((SELECT min(n) FROM (SELECT count(*) AS n FROM i_assign b WHERE b.fit = f.fit GROUP BY b.label)) AS BIGINT)
+                    AS min_cluster_size,
+                  CAST((SELECT max(iterations) FROM i_final x WHERE x.fit = f.fit) AS BIGINT) AS iterations
+           FROM i_assign a JOIN ifits f ON a.fit = f.fit GROUP BY f.fit, f.k""",
+        kcurve,
+    )
+    pair_d = "sqrt((a.scaled_recency - b.scaled_recency) * (a.scaled_recency - b.scaled_recency) + (a.scaled_frequency - b.scaled_frequency) * (a.scaled_frequency - b.scaled_frequency) + (a.scaled_net_monetary - b.scaled_net_monetary) * (a.scaled_net_monetary - b.scaled_net_monetary))"
+    q["silhouette_euclidean"] = mq(
+        f"""SELECT round(avg(s), 6) AS silhouette, CAST(count(*) AS BIGINT) AS customers FROM (
+              SELECT customer_id,
+                     CASE WHEN n_own > 1 AND greatest(a_in, b_out) > 0 THEN (b_out - a_in) / greatest(a_in, b_out) ELSE 0 END AS s
+              FROM (
+                SELECT customer_id, max(CASE WHEN c = own THEN n END) AS n_own,
+                       max(CASE WHEN c = own THEN sm / greatest(n - 1, 1) END) AS a_in,
+                       min(CASE WHEN c <> own THEN sm / n END) AS b_out
+                FROM (SELECT a.customer_id, a.raw_cluster AS own, b.raw_cluster AS c, sum({pair_d}) AS sm
+                      FROM segmented a, segmented b GROUP BY a.customer_id, a.raw_cluster, b.raw_cluster) x
+                JOIN (SELECT raw_cluster AS c, count(*) AS n FROM segmented GROUP BY raw_cluster) z USING (c)
+                GROUP BY customer_id))"""
+    )
+    nearest_k = f"""
+        SELECT p.customer_id, (min({{'d2': {d2_sql('p.x', 'p.y', 'p.z', 'k.cx', 'k.cy', 'k.cz')}, 'l': k.l}})).l AS start_label
+        FROM points p, (SELECT * FROM m_kpp WHERE fit = 0) k GROUP BY p.customer_id"""
+    q["ari_pair"] = mq(
+        "SELECT round((SELECT ari FROM ap_ari), 6) AS ari",
+        {
+            "ap_start": nearest_k,
+            "ap_pairs": "SELECT s.start_label, g.raw_cluster FROM ap_start s JOIN segmented g USING (customer_id)",
+            "ap_ari": ari_sql("ap_pairs", "start_label", "raw_cluster"),
+        },
+    )
+    # constraint report
+    tl = f"""
+        SELECT * FROM (
+          SELECT row_number() OVER (ORDER BY source_row_number) AS line_id, *
+          FROM (SELECT {LINE_COLS}, CAST(min(rn) AS BIGINT) AS source_row_number
+                FROM (SELECT *, row_number() OVER (ORDER BY {ORDER_ALL}) + 1 AS rn FROM raw_lines) GROUP BY ALL) n0
+          WHERE {_strip('customer_id')} IS NOT NULL AND {_strip('customer_id')} <> '')"""
+
+    def nn(t: str, src: str, cols: list[str]) -> list[str]:
+        return [f"SELECT '{t}' AS table_name, 'not_null:{c}' AS constraint_name, CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS violations FROM {src}" for c in cols]
+
+    def uq(t: str, src: str, cols: str, name: str) -> str:
+        return f"SELECT '{t}', '{name}', CAST(coalesce(sum(n - 1), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM {src} GROUP BY {cols})"
+
+    codes = ", ".join(_lit(c) for c, *_ in p.segments)
+    checks = [
+        *nn("transaction_lines", "tl", ["line_id", "source_row_number", "invoice_no", "stock_code", "quantity", "invoice_date",
+                                         "unit_price", "customer_id", "country", "CAST(quantity * unit_price AS DECIMAL(18,4))"]),
+        uq("transaction_lines", "tl", "line_id", "primary_key"),
+        uq("transaction_lines", "tl", "source_row_number", "unique:source_row_number"),
+        *nn("customer_segments", "segmented", ["customer_id", "country_display", "last_purchase", "recency", "frequency",
+                                                "gross_monetary", "net_monetary", "segment_code", "centroid_distance"]),
+        uq("customer_segments", "segmented", "customer_id", "primary_key"),
+        f"SELECT 'customer_segments', 'check:segment_code', CAST(count(*) FILTER (WHERE segment_code NOT IN ({codes})) AS BIGINT) FROM segmented",
+        *nn("customer_countries", "countries", ["customer_id", "country"]),
+        uq("customer_countries", "countries", "customer_id, country", "primary_key"),
+        "SELECT 'customer_countries', 'foreign_key:customer_id->customer_segments', CAST(count(*) AS BIGINT) FROM countries c "
+        "WHERE NOT EXISTS (SELECT 1 FROM segmented s WHERE s.customer_id = c.customer_id)",
+        uq("segment_profiles", "profiles", "segment_code", "primary_key"),
+        uq("segment_profiles", "profiles", "segment_order", "unique:segment_order"),
+        uq("cluster_centroids", "centroids", "segment_code", "primary_key"),
+        uq("cluster_centroids", "centroids", "raw_cluster", "unique:raw_cluster"),
+        "SELECT 'cluster_centroids', 'foreign_key:segment_code->segment_profiles', CAST(count(*) AS BIGINT) FROM centroids c "
+        "WHERE NOT EXISTS (SELECT 1 FROM profiles s WHERE s.segment_code = c.segment_code)",
+    ]
+    # the tenth not-null check names the line amount column
+    checks[9] = checks[9].replace("not_null:CAST(quantity * unit_price AS DECIMAL(18,4))", "not_null:line_amount")
+    q["constraint_report"] = mq("\nUNION ALL\n".join(checks), sv, {"tl": tl})
+    q["net_reconciliation"] = mq(
+        """SELECT CAST(count(*) AS BIGINT) AS customers_compared, CAST(max(abs(s.net_monetary - l.line_net)) AS DOUBLE) AS max_abs_difference,
+                  CAST(max(abs(s.net_monetary - l.line_net)) AS DOUBLE) <= 1e-6 AS within_tolerance
+           FROM segmented s JOIN (SELECT customer_id, sum(line_amount) AS line_net FROM known GROUP BY customer_id) l USING (customer_id)"""
+    )
+    facts = [
+        ("raw_rows", "SELECT sum(copies) FROM dedup"),
+        ("deduplicated_rows", "SELECT count(*) FROM dedup"),
+        ("duplicate_extra_rows", "SELECT sum(copies - 1) FROM dedup"),
+        ("known_transaction_lines", "SELECT count(*) FROM known"),
+        ("known_transaction_customers", "SELECT count(DISTINCT customer_id) FROM known"),
+        ("customers", "SELECT count(*) FROM segmented"),
+        ("positive_rows", "SELECT count(*) FILTER (WHERE is_valid_positive_purchase) FROM known"),
+        ("positive_invoices", "SELECT count(DISTINCT invoice_no) FILTER (WHERE is_valid_positive_purchase) FROM known"),
+        ("cap_affected_customers", "SELECT count(*) FILTER (WHERE any_capped_flag) FROM segmented"),
+        ("profiles", "SELECT count(*) FROM profiles"),
+        ("centroids", "SELECT count(*) FROM centroids"),
+        ("clustered_net_total", f"SELECT {money('sum(net_monetary)')} FROM segmented"),
+    ]
+    fact_sql = " UNION ALL ".join(
+        f"SELECT '{n}' AS check_name, CAST(({sq}) AS DOUBLE) AS actual_value, CAST(NULL AS VARCHAR) AS actual_text" for n, sq in facts
+    )
+    q["core_checks"] = mq(
+        f"""{fact_sql}
+            UNION ALL SELECT 'segment_count:' || segment_code, CAST(count(*) AS DOUBLE), NULL FROM segmented GROUP BY segment_code
+            UNION ALL SELECT 'representative:' || segment_code, NULL, customer_id FROM segmented WHERE is_representative""",
+        sv,
+    )
+    q["assignment_fingerprint"] = mq(
+        f"""SELECT fingerprint, buckets, rows_n AS rows,
+                   substr(sha256('{SCHEMA_VERSION}|{p.reference_date}|' || fingerprint), 1, 20) AS build_id
+            FROM (SELECT sha256(string_agg(h, '' ORDER BY b)) AS fingerprint, CAST(count(*) AS BIGINT) AS buckets,
+                         CAST(sum(n) AS BIGINT) AS rows_n
+                  FROM (SELECT b, sha256(string_agg(line, chr(10) ORDER BY customer_id)) AS h, count(*) AS n
+                        FROM (SELECT customer_id, customer_id || ',' || segment_code AS line,
+                                     (row_number() OVER (ORDER BY customer_id) - 1) // 1000000 AS b FROM segmented)
+                        GROUP BY b))"""
+    )
+    # scoring of copies-kept customers with the stored base model
+    known_raw = f"""
+        SELECT *, coalesce(starts_with(invoice_no, 'C'), false) AS c_, coalesce(quantity <= 0, false) AS q_,
+               coalesce(unit_price <= 0, false) AS p_
+        FROM norm_raw WHERE customer_id IS NOT NULL AND customer_id <> ''"""
+    rfm_dup = f"""
+        SELECT customer_id,
+               CAST(date_diff('day', max(CASE WHEN v THEN CAST(invoice_date AS DATE) END), DATE '{p.reference_date}') AS BIGINT) AS recency,
+               CAST(count(DISTINCT CASE WHEN v THEN invoice_no END) AS BIGINT) AS frequency,
+               sum(line_amount) AS net_monetary
+        FROM (SELECT *, NOT c_ AND NOT q_ AND NOT p_ AS v FROM known_raw) GROUP BY customer_id HAVING bool_or(v)"""
+    fc, mc = ("least(CAST(frequency AS DOUBLE), fcap)", f"least({net_d()}, mcap)") if p.cap_quantile is not None else (
+        "CAST(frequency AS DOUBLE)", net_d())
+    scored = f"""
+        SELECT customer_id,
+               round((CAST(recency AS DOUBLE) - m0) / CASE WHEN s0 = 0 OR s0 IS NULL THEN 1 ELSE s0 END, 10) AS x,
+               round(({fc} - m1) / CASE WHEN s1 = 0 OR s1 IS NULL THEN 1 ELSE s1 END, 10) AS y,
+               round(({mc} - m2) / CASE WHEN s2 = 0 OR s2 IS NULL THEN 1 ELSE s2 END, 10) AS z
+        FROM rfm_dup, caps, stats"""
+    best_final = "SELECT l, cx, cy, cz FROM m_final WHERE fit = (SELECT fit FROM m_best)"
+    q["score_customers"] = mq(
+        f"""SELECT customer_id, CAST(b.l AS BIGINT) AS raw_cluster, m.segment_code, b.dist AS centroid_distance
+            FROM (SELECT p.customer_id,
+                         min({{'d2': {d2_sql('p.x', 'p.y', 'p.z', 'c.cx', 'c.cy', 'c.cz')}, 'l': c.l,
+                              'dist': sqrt({d2_sql('p.x', 'p.y', 'p.z', 'c.cx', 'c.cy', 'c.cz', rounded=False)})}}) AS b
+                  FROM sc_points p, sc_centres c GROUP BY p.customer_id) s
+            JOIN mapping m ON m.raw_cluster = s.b.l""",
+        {"known_raw": known_raw, "rfm_dup": rfm_dup, "sc_points": scored, "sc_centres": best_final},
+        bases=("rfm", "norm_raw"),
+    )
+    # pairwise ARI of the single-init seeds at the chosen k
+    seeds = {
+        "sfits": " UNION ALL ".join(f"SELECT {i} AS fit, {s_} AS seed, 0 AS init, {p.k} AS k" for i, s_ in enumerate(p.seeds))
+    }
+    seeds.update(kpp_ctes("sfits", p.k, prefix="s_"))
+    seeds.update(lloyd_ctes("sfits", p.max_iter, prefix="s_"))
+    seeds["s_assign"] = assign_sql("s_final")
+    seeds["s_lab"] = "SELECT f.seed, a.customer_id, a.label FROM s_assign a JOIN sfits f ON a.fit = f.fit"
+    seeds["s_cells"] = """
+        SELECT a.seed AS seed_a, b.seed AS seed_b, a.label AS la, b.label AS lb, count(*) AS n
+        FROM s_lab a JOIN s_lab b ON a.customer_id = b.customer_id AND a.seed < b.seed GROUP BY ALL"""
+    q["ari_seed_pairs"] = mq(
+        """SELECT CAST(seed_a AS BIGINT) AS seed_a, CAST(seed_b AS BIGINT) AS seed_b,
+                  round(CASE WHEN den = 0 THEN 1.0 ELSE (s_ij - expected) / den END, 6) AS ari
+           FROM (SELECT seed_a, seed_b, s_ij, s_a * s_b / (n_all * (n_all - 1) / 2.0) AS expected,
+                        (s_a + s_b) / 2.0 - s_a * s_b / (n_all * (n_all - 1) / 2.0) AS den
+                 FROM (SELECT seed_a, seed_b, sum(n * (n - 1) / 2.0) AS s_ij, sum(n) AS n_all FROM s_cells GROUP BY ALL)
+                 JOIN (SELECT seed_a, seed_b, sum(m * (m - 1) / 2.0) AS s_a
+                       FROM (SELECT seed_a, seed_b, la, sum(n) AS m FROM s_cells GROUP BY ALL) GROUP BY ALL) USING (seed_a, seed_b)
+                 JOIN (SELECT seed_a, seed_b, sum(m * (m - 1) / 2.0) AS s_b
+                       FROM (SELECT seed_a, seed_b, lb, sum(n) AS m FROM s_cells GROUP BY ALL) GROUP BY ALL) USING (seed_a, seed_b))""",
+        seeds,
+    )
+    return q
+
+
 def all_oracles(p: Params = DEFAULT) -> dict[str, str]:
     out = oracle_texts(p)
     out.update(model_oracles(p))
+    out.update(eval_oracles(p))
     return out
