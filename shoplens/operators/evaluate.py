@@ -141,8 +141,8 @@ def silhouettes(labelled: DataFrame, sizes: dict[int, list[int]], fit_order: dic
     def finish(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
         for f, g in pdf.groupby("fit"):
-            sz = np.asarray(g["sizes"].iloc[0])
-            sums = np.stack([np.array([v for _, v in cv]) for cv in g["cv"]])
+            sz = np.asarray(list(g["sizes"].iloc[0]), dtype=np.float64)
+            sums = np.stack([np.array([e["v"] for e in cv], dtype=np.float64) for cv in g["cv"]])
             s = _silhouette_values(sums, g["label"].to_numpy(np.int64), sz)
             out.append((int(f), float(s.sum()), len(s)))
         return pd.DataFrame(out, columns=["fit", "s", "n"])
