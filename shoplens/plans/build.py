@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import lines as L
 from ..operators import rfm as R
 from ..params import DEFAULT, Params
-from ..session import cut_lineage
+from ..session import cut_lineage, materialize
 from ..sources.adapter import source_lines
 
 _BUILDS: dict[tuple, "Build"] = {}
@@ -37,19 +37,27 @@ class Build:
     def raw(self) -> DataFrame:
         return source_lines(self.spark, self.sf_dir)
 
+    @cached_property
+    def dedup(self) -> DataFrame:
+        """The source after exact-copy removal, with the copy count of every line: written
+        once (Parquet, shared checkpoint folder), so the star-schema joins run once per build
+        and every line-level query scans only the columns it needs."""
+        return materialize(L.deduplicate(self.raw), "dedup")
+
     @cached_property
     def lines(self) -> DataFrame:
         """Known, normalised, flagged lines of the deduplicated source."""
-        return L.clean_lines(self.raw)
+        return L.known_lines(self.dedup.drop("copies"))
 
     @cached_property
     def raw_known_lines(self) -> DataFrame:
-        """Known lines with copies kept (the duplicates-kept variant)."""
-        return L.known_lines(self.raw)
+        """Known lines with copies kept (the duplicates-kept variant): every deduplicated
+        line repeated ``copies`` times, which is the raw source again."""
+        return L.known_lines(L.with_copies(self.dedup))
 
     @cached_property
     def numbered(self) -> DataFrame:
-        return L.numbered_lines(self.raw)
+        return L.number_deduplicated(self.dedup)
 
     # --- customers ---
     @cached_property

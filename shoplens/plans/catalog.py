@@ -32,7 +32,7 @@ def _line_cols_out() -> list:
 # ---------------------------------------------------------------- source and lines
 def source_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Source facts in one aggregate over the copy groups."""
-    dedup = L.deduplicate(_b(spark, sf_dir).raw)
+    dedup = _b(spark, sf_dir).dedup
     return dedup.agg(
         F.sum("copies").cast("bigint").alias("raw_rows"),
         F.lit(len(LINE_COLUMNS)).cast("bigint").alias("fields"),
@@ -52,7 +52,7 @@ def source_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def duplicate_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every 8-column line that occurs more than once, with its copy count."""
-    dedup = L.deduplicate(_b(spark, sf_dir).raw)
+    dedup = _b(spark, sf_dir).dedup
     return dedup.where(F.col("copies") > 1).select(
         *_line_cols_out(),
         F.col("copies").cast("bigint").alias("copies"),

@@ -1,0 +1,5 @@
+"""Streaming.
+
+The reference implementation processes a finished extract in batch and has no stream
+inputs, watermarks, windows or stateful operators, so this package defines no operators.
+"""
