@@ -93,9 +93,9 @@ def partitioned(df: DataFrame, key: str = "customer_id") -> DataFrame:
     return df.repartition(n, key)
 
 
-def iteration_input(points: DataFrame, rows: int, fits: int, rows_per_task: int = 250_000) -> DataFrame:
+def iteration_input(points: DataFrame, rows: int, fits: int, rows_per_task: int = 40_000) -> DataFrame:
     """Narrow the (checkpointed) points to as many partitions as the point × fit work needs:
-    one task per ~250k (point, fit) pairs, never more than the partitions it already has (no shuffle)."""
+    one task per ~40k (point, fit) pairs, never more than the partitions it already has (no shuffle)."""
     have = points.rdd.getNumPartitions()
     want = max(1, min(have, -(-rows * fits // rows_per_task)))
     return points.coalesce(want) if want < have else points
