@@ -185,7 +185,8 @@ def ari_from_cells(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
     s_a = cells.groupBy(*keys, "la").agg(F.sum("n").alias("n")).groupBy(*keys).agg(F.sum(c2(F.col("n"))).alias("s_a"))
     s_b = cells.groupBy(*keys, "lb").agg(F.sum("n").alias("n")).groupBy(*keys).agg(F.sum(c2(F.col("n"))).alias("s_b"))
     j = s_ij.join(s_a, list(keys)).join(s_b, list(keys))
-    expected = F.col("s_a") * F.col("s_b") / (F.col("n_all") * (F.col("n_all") - 1) / 2.0)
+    pairs = F.col("n_all") * (F.col("n_all") - 1) / 2.0
+    expected = F.when(pairs > 0, F.col("s_a") * F.col("s_b") / pairs).otherwise(F.lit(0.0))
     denom = (F.col("s_a") + F.col("s_b")) / 2.0 - expected
     return j.select(*keys, F.when(denom == 0, F.lit(1.0)).otherwise((F.col("s_ij") - expected) / denom).alias("ari"))
 

@@ -116,6 +116,29 @@ def normalise(lines: DataFrame) -> DataFrame:
     )
 
 
+NORMALISED = ("invoice_no", "stock_code", "customer_id", "country")
+
+
+def with_normalised(dedup: DataFrame) -> DataFrame:
+    """Deduplicated lines plus their normalised text (``n_*``) and line amount, stored side by
+    side so that readers filter on stored columns (pushdown) and ranks use the raw ones."""
+    return dedup.withColumns(
+        {
+            "n_invoice_no": py_strip(F.col("invoice_no")),
+            "n_stock_code": F.upper(py_strip(F.col("stock_code"))),
+            "n_customer_id": py_strip(F.col("customer_id")),
+            "n_country": py_strip(F.col("country")),
+            "line_amount": money(F.col("quantity") * F.col("unit_price")),
+        }
+    )
+
+
+def normalised_view(stored: DataFrame) -> DataFrame:
+    """The normalised lines (plus ``copies``) of a ``with_normalised`` table."""
+    cols = [F.col(f"n_{c}").alias(c) if c in NORMALISED else F.col(c) for c in LINE_COLUMNS]
+    return stored.select(*cols, "line_amount", "copies")
+
+
 def known(lines: DataFrame) -> Column:
     return F.col("customer_id").isNotNull() & (F.col("customer_id") != "")
 
@@ -135,9 +158,9 @@ def add_flags(lines: DataFrame) -> DataFrame:
     )
 
 
-def known_lines(lines: DataFrame) -> DataFrame:
+def known_lines(lines: DataFrame, normalised: bool = False) -> DataFrame:
     """Normalised, flagged lines of known customers (after trim: not null, not empty)."""
-    norm = normalise(lines)
+    norm = lines if normalised else normalise(lines)
     return add_flags(norm.where(known(norm)))
 
 
@@ -148,7 +171,7 @@ def clean_lines(raw: DataFrame) -> DataFrame:
 
 def with_copies(dedup: DataFrame) -> DataFrame:
     """Back from (line, copies) to one row per copy (a local explode, no shuffle)."""
-    return dedup.select(*LINE_COLUMNS, F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))).alias("_c")).drop("_c")
+    return dedup.withColumn("_c", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).drop("_c")
 
 
 def numbered_lines(raw: DataFrame) -> DataFrame:

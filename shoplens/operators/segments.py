@@ -119,7 +119,8 @@ def adjusted_rand(pairs: DataFrame, a: str, b: str) -> DataFrame:
     s_b = rows_b.agg(F.sum(c2(F.col("n"))).alias("s_b"))
     one = lambda df: df.withColumn("_one", F.lit(1))
     allv = one(s_ij).join(one(s_a), "_one").join(one(s_b), "_one")
-    expected = F.col("s_a") * F.col("s_b") / (F.col("n_all") * (F.col("n_all") - 1) / 2.0)
+    pairs = F.col("n_all") * (F.col("n_all") - 1) / 2.0
+    expected = F.when(pairs > 0, F.col("s_a") * F.col("s_b") / pairs).otherwise(F.lit(0.0))
     maximum = (F.col("s_a") + F.col("s_b")) / 2.0
     denom = maximum - expected
     return allv.select(

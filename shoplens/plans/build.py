@@ -14,7 +14,7 @@ from ..operators import lines as L
 from ..operators import rfm as R
 from ..params import DEFAULT, Params
 from ..session import cut_lineage, materialize
-from ..sources.adapter import source_lines
+from ..sources.adapter import LINE_COLUMNS, source_lines
 
 _BUILDS: dict[tuple, "Build"] = {}
 
@@ -42,18 +42,23 @@ class Build:
         """The source after exact-copy removal, with the copy count of every line: written
         once (Parquet, shared checkpoint folder), so the star-schema joins run once per build
         and every line-level query scans only the columns it needs."""
-        return materialize(L.deduplicate(self.raw), "dedup")
+        return self.stored.select(*LINE_COLUMNS, "copies")
+
+    @cached_property
+    def stored(self) -> DataFrame:
+        """Raw and normalised columns of every deduplicated line, written once."""
+        return materialize(L.with_normalised(L.deduplicate(self.raw)), "lines")
 
     @cached_property
     def lines(self) -> DataFrame:
         """Known, normalised, flagged lines of the deduplicated source."""
-        return L.known_lines(self.dedup.drop("copies"))
+        return L.known_lines(L.normalised_view(self.stored).drop("copies"), normalised=True)
 
     @cached_property
     def raw_known_lines(self) -> DataFrame:
         """Known lines with copies kept (the duplicates-kept variant): every deduplicated
         line repeated ``copies`` times, which is the raw source again."""
-        return L.known_lines(L.with_copies(self.dedup))
+        return L.known_lines(L.with_copies(L.normalised_view(self.stored)).drop("copies"), normalised=True)
 
     @cached_property
     def numbered(self) -> DataFrame:
