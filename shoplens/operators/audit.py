@@ -21,7 +21,10 @@ def _row(table: str, constraint: str, violations) -> DataFrame:
 
 
 def not_null(df: DataFrame, table: str, cols: Sequence[str]) -> list[DataFrame]:
-    return [_row(table, f"not_null:{c}", df.agg(F.count(F.when(F.col(c).isNull(), 1)).alias("v"))) for c in cols]
+    """All NOT NULL checks of a table in one scan (one aggregate), then one row per column."""
+    counts = df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(f"not_null:{c}") for c in cols])
+    long = counts.unpivot([], [f"not_null:{c}" for c in cols], "constraint_name", "v")
+    return [long.select(F.lit(table).alias("table_name"), "constraint_name", F.col("v").cast("bigint").alias("violations"))]
 
 
 def unique(df: DataFrame, table: str, cols: Sequence[str], name: str) -> DataFrame:

@@ -57,6 +57,7 @@ class FitState:
     picks: list[str] = field(default_factory=list)
     iterations: int = 0
     converged: bool = False
+    history: list[list[Centre]] | None = None  # centres after each round, kept on request
 
 
 def _d2(prefix: str, j: int) -> Column:
@@ -130,8 +131,38 @@ def fits_frame(
     return spark.createDataFrame(pdf, schema), kmax
 
 
+INLINE_FITS = 64
+
+
+def _values_frame(
+    spark: SparkSession, states: Sequence[FitState], previous: dict[int, list[Centre]] | None = None
+) -> tuple[DataFrame, int]:
+    """Same table as ``fits_frame`` as an inline VALUES relation: a local relation, so its
+    broadcast needs no job (doubles are written with their exact ``repr``)."""
+    kmax = max([len(st.centres) for st in states] + [len(v) for v in (previous or {}).values()] + [1])
+    names = ["fit", "fspace", "seed", "init", "k"] + [f"c{j}_{a}" for j in range(kmax) for a in "xyz"]
+    if previous is not None:
+        names += [f"p{j}_{a}" for j in range(kmax) for a in "xyz"]
+    rows = []
+    for st in states:
+        vals = [str(st.spec.fit), "'" + st.spec.space.replace("'", "\\'") + "'", str(st.spec.seed), str(st.spec.init), str(len(st.centres))]
+        for j in range(kmax):
+            c = st.centres[j] if j < len(st.centres) else (0.0, 0.0, 0.0)
+            vals += [f"{float(v)!r}D" for v in c]
+        if previous is not None:
+            prev = previous.get(st.spec.fit, [])
+            for j in range(kmax):
+                c = prev[j] if j < len(prev) else (0.0, 0.0, 0.0)
+                vals += [f"{float(v)!r}D" for v in c]
+        rows.append("(" + ", ".join(vals) + ")")
+    return spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS t({', '.join(names)})"), kmax
+
+
 def fits_view(spark: SparkSession, states: Sequence[FitState], previous: dict[int, list[Centre]] | None = None) -> tuple[str, int]:
-    df, kmax = fits_frame(spark, states, previous)
+    """A temp view of the fit table: inline VALUES for a few fits (no broadcast job), Arrow
+    batches for many (no large SQL text to parse)."""
+    make = _values_frame if len(states) <= INLINE_FITS else fits_frame
+    df, kmax = make(spark, states, previous)
     name = f"shoplens_fits_{next(_FITS)}"
     df.createOrReplaceTempView(name)
     return name, kmax
@@ -276,6 +307,8 @@ def run_lloyd(points: DataFrame, states: dict[int, FitState], max_iter: int) ->
             if updated == st.centres:
                 st.converged = True
             st.centres = updated
+            if st.history is not None:
+                st.history.append(list(updated))
     return states
 
 
@@ -303,8 +336,11 @@ def inertia_table(assigned: DataFrame) -> DataFrame:
     )
 
 
-def fit_many(points: DataFrame, specs: Sequence[FitSpec], max_iter: int) -> dict[int, FitState]:
-    return run_lloyd(points, seed_centres(points, specs), max_iter)
+def fit_many(points: DataFrame, specs: Sequence[FitSpec], max_iter: int, keep_history: Sequence[int] = ()) -> dict[int, FitState]:
+    states = seed_centres(points, specs)
+    for f in keep_history:
+        states[f].history = [list(states[f].initial)]
+    return run_lloyd(points, states, max_iter)
 
 
 def best_of(points: DataFrame, states: dict[int, FitState], groups: dict[int, list[int]]) -> dict[int, FitState]:
@@ -320,31 +356,45 @@ def best_of(points: DataFrame, states: dict[int, FitState], groups: dict[int, li
 def trace(points: DataFrame, state: FitState, max_iter: int) -> list[dict]:
     """Lloyd trace of one fit from its seeded start: per iteration the centres before and
     after, cluster sizes, changed-label count (0 in the first round) and the largest centre
-    shift. Stops at the first round whose labels equal the previous round's."""
+    shift; it stops at the first round whose labels equal the previous round's.
+
+    The fit kept its centre history, so every frame is recomputed in ONE job: frame i is a
+    pseudo-fit with centres c(i−1) and previous centres c(i−2), and a single batched round
+    gives its sizes, new centres and changed-label count."""
     spark = points.sparkSession
-    centres = list(state.initial)
-    previous: list[Centre] | None = None
+    hist = state.history
+    if hist is None:
+        hist = [list(state.initial)]
+        st = FitState(state.spec, list(state.initial), history=hist)
+        run_lloyd(points, {state.spec.fit: st}, max_iter)
+    n_frames = min(len(hist), max_iter)  # frames 1..T+1 (T rounds kept, plus the stable one)
+    frames_states, previous = [], {}
+    for i in range(1, n_frames + 1):
+        frames_states.append(FitState(FitSpec(i, state.spec.space, state.spec.k, state.spec.seed, state.spec.init), list(hist[i - 1])))
+        previous[i] = list(hist[i - 2]) if i >= 2 else list(hist[0])
+    values, kmax = fits_view(spark, frames_states, previous)
+    rows = spark.sql(round_sql(points_view(points), values, kmax, with_changes=True)).collect()
+    by: dict[int, dict[int, object]] = {}
+    for r in rows:
+        by.setdefault(r["fit"], {})[r["l"]] = r
     frames = []
-    for it in range(1, max_iter + 1):
-        st = FitState(state.spec, centres)
-        values, kmax = fits_view(spark, [st], {state.spec.fit: previous} if previous else None)
-        sql = round_sql(points_view(points), values, kmax, with_changes=previous is not None)
-        rows = {r["l"]: r for r in spark.sql(sql).collect()}
-        updated = [(rows[i]["x"], rows[i]["y"], rows[i]["z"]) if i in rows else c for i, c in enumerate(centres)]
-        changed = sum(int(r["changed"]) for r in rows.values()) if previous is not None else 0
+    for st in frames_states:
+        i = st.spec.fit
+        centres = st.centres
+        got = by.get(i, {})
+        updated = [(got[j]["x"], got[j]["y"], got[j]["z"]) if j in got else c for j, c in enumerate(centres)]
+        changed = sum(int(r["changed"]) for r in got.values()) if i >= 2 else 0
         shift = max(math.sqrt(sum((a - b) * (a - b) for a, b in zip(u, c, strict=True))) for u, c in zip(updated, centres, strict=True))
         frames.append(
             {
-                "iteration": it,
+                "iteration": i,
                 "centres_before": centres,
                 "centres_after": updated,
-                "sizes": [int(rows[i]["n"]) if i in rows else 0 for i in range(len(centres))],
+                "sizes": [int(got[j]["n"]) if j in got else 0 for j in range(len(centres))],
                 "changed_count": changed,
                 "max_centroid_shift": shift,
             }
         )
-        if previous is not None and changed == 0:
+        if i >= 2 and changed == 0:
             break
-        previous, centres = centres, updated
     return frames
-

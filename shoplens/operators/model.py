@@ -107,7 +107,8 @@ def fit_model(rfm: DataFrame, params: Params, space: str = "base") -> Model:
     # In memory on top of the checkpoint: rounds re-read it; a lost block is re-read from the checkpoint.
     points = iteration_input(as_points(customers, space), customers.count(), params.n_init).persist()
     specs = [K.FitSpec(fit=i, space=space, k=params.k, seed=params.seed, init=i) for i in range(params.n_init)]
-    states = K.fit_many(points, specs, params.max_iter)
+    # Restart 0 keeps its centre history: the Lloyd trace is recomputed from it in one job.
+    states = K.fit_many(points, specs, params.max_iter, keep_history=[0])
     best = K.best_of(points, states, {0: [s.fit for s in specs]})[0]
     label, dist = labels_for(best.centres)
     labelled = customers.select("customer_id", "net_monetary", label.alias("raw_cluster"), dist.alias("centroid_distance"))
