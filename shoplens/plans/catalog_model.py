@@ -431,6 +431,7 @@ def customer_page(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.coalesce(F.col("invoice_count"), F.lit(0)).cast("bigint").alias("invoice_count"),
             F.coalesce(F.col("cancellation_count"), F.lit(0)).cast("bigint").alias("cancellation_count"),
             "is_representative",
+            F.when(F.col("any_capped_flag"), F.lit("Yes")).otherwise(F.lit("No")).alias("capped_display"),
         )
     )
 
@@ -523,6 +524,25 @@ def explorer_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def explorer_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Explorer partition of the points into segment × capped groups (empty groups never
+    appear) with the centre of each visible segment (C9)."""
+    b = _b(spark, sf_dir)
+    m = b.model
+    groups = b.segmented.groupBy("segment_code", "any_capped_flag").agg(F.count(F.lit(1)).cast("bigint").alias("customers"))
+    centres = spark.createDataFrame(
+        [(m.mapping[i], *c) for i, c in enumerate(m.centres)], "segment_code string, x double, y double, z double"
+    )
+    return groups.join(F.broadcast(centres), "segment_code").select(
+        "segment_code",
+        F.col("any_capped_flag").alias("capped"),
+        "customers",
+        F.col("x").alias("centre_recency"),
+        F.col("y").alias("centre_frequency"),
+        F.col("z").alias("centre_net_monetary"),
+    )
+
+
 def registry() -> dict:
     return {
         "feature_caps": feature_caps,
@@ -553,4 +573,5 @@ def registry() -> dict:
         "country_index": country_index,
         "customer_options": customer_options,
         "explorer_points": explorer_points,
+        "explorer_groups": explorer_groups,
     }

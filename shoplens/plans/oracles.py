@@ -670,7 +670,7 @@ def model_oracles(p: Params = DEFAULT) -> dict[str, str]:
                    CAST((SELECT count(*) FROM timeline t WHERE t.customer_id = s.customer_id) AS BIGINT) AS invoice_count,
                    CAST((SELECT count(*) FILTER (WHERE is_cancellation) FROM timeline t WHERE t.customer_id = s.customer_id) AS BIGINT)
                      AS cancellation_count,
-                   s.is_representative
+                   s.is_representative, CASE WHEN s.any_capped_flag THEN 'Yes' ELSE 'No' END AS capped_display
             FROM segmented s JOIN dim d USING (segment_code)
             WHERE s.customer_id = (SELECT customer_id FROM demo)""",
         sv,
@@ -702,6 +702,12 @@ def model_oracles(p: Params = DEFAULT) -> dict[str, str]:
     q["customer_options"] = mq(
         "SELECT customer_id || ' · ' || segment_code || ' · ' || country_display AS label, customer_id AS value FROM segmented"
     )
+    q["explorer_groups"] = mq(
+        """SELECT g.segment_code, g.any_capped_flag AS capped, CAST(g.n AS BIGINT) AS customers,
+                  c.cx AS centre_recency, c.cy AS centre_frequency, c.cz AS centre_net_monetary
+           FROM (SELECT segment_code, any_capped_flag, count(*) AS n FROM segmented GROUP BY ALL) g
+           JOIN centroids c USING (segment_code)"""
+    )
     q["explorer_points"] = mq(
         f"""SELECT CASE WHEN customer_id = (SELECT customer_id FROM demo) THEN customer_id
                         ELSE printf('P%04d', row_number() OVER (ORDER BY customer_id)) END AS point_id,

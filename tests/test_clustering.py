@@ -93,3 +93,18 @@ def test_fit_does_not_depend_on_partitioning(build, spark):
     one = K.fit_many(pts.coalesce(1), specs, 300)[0]
     many = K.fit_many(pts.repartition(5), specs, 300)[0]
     assert one.centres == many.centres and one.initial == many.initial
+
+
+def test_sweep_queries_run_and_are_complete(build, spark):
+    from shoplens.plans import catalog_eval as CE
+
+    comp = {r.check_name: r for r in CE.evidence_completeness(spark, SF_SMALL, SMALL).collect()}
+    assert all(comp[n].complete for n in ("k_selection", "cap_sensitivity", "directed_sensitivity"))
+    assert comp["no_hard_stop"].expected == len(SMALL.variants)
+    d = CE.directed_sensitivity(spark, SF_SMALL, SMALL).collect()
+    assert {r.variant_id for r in d} == set(SMALL.variants)
+    assert all(-1.0 <= r.representative_common_ari <= 1.0 for r in d)
+    piv = CE.evidence_pivot(spark, SF_SMALL, SMALL).collect()
+    assert [r.k for r in piv] == sorted(SMALL.k_values) and all(r.complete for r in piv)
+    caps = {r.threshold_id: r for r in CE.cap_sensitivity(spark, SF_SMALL, SMALL).collect()}
+    assert caps["none"].either_affected == 0 and caps["cap990"].either_affected >= caps["cap999"].either_affected

@@ -69,3 +69,13 @@ def test_write_build_and_schema_gate(spark):
     bad = meta.withColumn("metadata_value", F.when(F.col("metadata_key") == "schema_version", "99").otherwise(F.col("metadata_value")))
     with pytest.raises(ValueError):
         sinks.assert_schema_version(bad)
+
+
+def test_json_export_keeps_nulls(spark):
+    from shoplens.plans import catalog_model
+
+    out = tempfile.mkdtemp(prefix="shoplens-json-", dir="/tmp")
+    paths = sinks.export_sections({"kpp_weights": catalog_model.kpp_weights(spark, SF_SMALL)}, out)
+    back = spark.read.json(paths["kpp_weights"])
+    first = back.where("center_number = 1").select("probability").first()
+    assert "probability" in back.columns and first.probability is None
