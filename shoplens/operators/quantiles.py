@@ -54,7 +54,10 @@ def _percentile_path(data: DataFrame, groups: Sequence[str], probs: Sequence[flo
 
 
 def _sorted_path(data: DataFrame, groups: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    ranked = running_ranks(data, [*groups, "_v"], {"_pos": F.lit(1)}, {"_pos": 0})
+    # A row id breaks ties in the sort key, so a value shared by a third of all rows is still
+    # split over many range partitions (tied rows are interchangeable for a quantile).
+    data = data.withColumn("_tb", F.monotonically_increasing_id())
+    ranked = running_ranks(data, [*groups, "_v", "_tb"], {"_pos": F.lit(1)}, {"_pos": 0})
     bounds = ranked.groupBy(*groups).agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
     # Target positions per (group, p): bounded by #groups × #probs.
     targets = bounds.select(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import country_display
@@ -39,15 +39,20 @@ def build_rfm(lines: DataFrame, params: Params) -> DataFrame:
     )
 
 
-def customer_countries(lines: DataFrame, rfm: DataFrame) -> DataFrame:
-    """Lines, distinct invoices and net per (customer, country) of clustered customers.
+def customer_countries(lines: DataFrame, rfm: DataFrame | None = None) -> DataFrame:
+    """Lines, distinct invoices and net per (customer, country) of clustered customers (those
+    with at least one valid purchase). A null country stays a group.
 
-    The customer restriction is a left-semi join on the RFM keys (shuffle on customer, or a
-    broadcast only if the RFM side is measured small). A null country stays a group.
+    The restriction is applied after the aggregate, not by joining the lines: the
+    (customer, country) rows carry ``max(valid)``, and a window over a customer's few rows
+    (one per country) keeps customers with any valid line. No line-level join exists, so a
+    customer owning a third of all lines never lands whole in one join task.
     """
-    selected = lines.join(rfm.select("customer_id"), "customer_id", "left_semi")
-    return selected.groupBy("customer_id", "country").agg(
+    per = lines.groupBy("customer_id", "country").agg(
         F.count(F.lit(1)).alias("transaction_lines"),
         F.count_distinct("invoice_no").alias("distinct_invoices"),
         F.sum("line_amount").alias("net_monetary"),
+        F.max("is_valid_positive_purchase").alias("_valid"),
     )
+    clustered = per.withColumn("_clustered", F.max("_valid").over(Window.partitionBy("customer_id")))
+    return clustered.where("_clustered").drop("_valid", "_clustered")
