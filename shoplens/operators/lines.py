@@ -169,11 +169,6 @@ def clean_lines(raw: DataFrame) -> DataFrame:
     return known_lines(deduplicate(raw).drop("copies"))
 
 
-def with_copies(dedup: DataFrame) -> DataFrame:
-    """Back from (line, copies) to one row per copy (a local explode, no shuffle)."""
-    return dedup.withColumn("_c", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).drop("_c")
-
-
 def numbered_lines(raw: DataFrame) -> DataFrame:
     """Deduplicated lines with ``source_row_number`` (line number of the first copy, data
     starting at 2 as under a header) and ``line_id`` (1..m over known lines in source order)."""

@@ -20,15 +20,10 @@ from ..session import cut_lineage
 from . import kmeans as K
 from .evaluate import pairwise_ari, silhouettes
 from .model import as_points, iteration_input, partitioned, prepare_customers
-from .rfm import build_rfm
 
 BASE_SPACE = "cap995"
 
 
-def cap_space(name: str) -> str:
-    return name
-
-
 @dataclass
 class Sweep:
     params: Params
@@ -118,8 +113,9 @@ def variant_lines(build) -> DataFrame:
     """Union of the line variants with a ``variant`` key (one scan per line source)."""
     p = build.params
     lines = build.lines
-    product = lines.where("is_product_like").withColumn("variant", F.lit("product_like_only"))
-    home = lines.where(F.col("country") == p.home_country).withColumn("variant", F.lit("home_country_only"))
+    wide = lambda df: df.withColumn("line_amount", F.col("line_amount").cast("decimal(38,4)"))
+    product = wide(lines.where("is_product_like")).withColumn("variant", F.lit("product_like_only"))
+    home = wide(lines.where(F.col("country") == p.home_country)).withColumn("variant", F.lit("home_country_only"))
     dupes = build.raw_known_lines.withColumn("variant", F.lit("duplicates_kept"))
     return dupes.unionByName(product).unionByName(home)
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import lines as L
 from ..operators import rfm as R
@@ -56,9 +57,13 @@ class Build:
 
     @cached_property
     def raw_known_lines(self) -> DataFrame:
-        """Known lines with copies kept (the duplicates-kept variant): every deduplicated
-        line repeated ``copies`` times, which is the raw source again."""
-        return L.known_lines(L.with_copies(L.normalised_view(self.stored)).drop("copies"), normalised=True)
+        """Known lines with copies kept (the duplicates-kept variant), as weighted rows: each
+        deduplicated line once, its amount multiplied by its copy count. Everything the RFM
+        reads is either copy-invariant (dates, distinct invoices, countries, flags) or a sum
+        of amounts, so this equals the raw source without ever materialising a group of
+        copies (which may hold a third of all rows) in one task."""
+        lines = L.known_lines(L.normalised_view(self.stored), normalised=True)
+        return lines.withColumn("line_amount", (F.col("line_amount") * F.col("copies")).cast("decimal(38,4)")).drop("copies")
 
     @cached_property
     def numbered(self) -> DataFrame:
