@@ -11,11 +11,12 @@ aggregate job per Lloyd round. Variant RFMs come from one aggregate keyed by
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..params import Params
+from ..params import DISTANCE_DIGITS, Params
 from ..session import cut_lineage
 from . import kmeans as K
 from .evaluate import pairwise_ari, silhouettes
@@ -44,31 +45,56 @@ class Sweep:
     @property
     def labelled(self) -> DataFrame:
         """(space, customer_id, x, y, z, labels) with labels aligned to ``fit_order[space]``;
-        checkpointed, as silhouettes and ARIs both read it."""
+        checkpointed, as silhouettes and ARIs both read it.
+
+        Each point meets its space's fits once (a broadcast equi-join on the space to one row
+        per space holding that space's fits, bounded by fits × k), and one higher-order
+        expression gives the nearest label for every fit: label vectors are built in place,
+        with no shuffle of (point, fit) rows. Cluster sizes and inertia are partial
+        aggregates over the exploded vectors (fits × k rows reach the driver)."""
         if self._labelled is None:
             spark = self.points.sparkSession
+            rows = []
+            for sp, fl in self.fit_order.items():
+                fits = [(f, [(i, *c) for i, c in enumerate(self.states[f].centres)]) for f in fl]
+                rows.append((sp, fits))
+            by_space = spark.createDataFrame(
+                rows, "space string, fits array<struct<fit:int, cs:array<struct<l:int, x:double, y:double, z:double>>>>"
+            )
+            best = F.expr(
+                "transform(fits, f -> array_min(transform(f.cs, c -> named_struct("
+                f"'d2', round((x - c.x) * (x - c.x) + (y - c.y) * (y - c.y) + (z - c.z) * (z - c.z), {DISTANCE_DIGITS}), "
+                "'l', c.l))))"
+            )
+            lab = self.points.join(F.broadcast(by_space), "space").select(
+                "space", "customer_id", "x", "y", "z", best.alias("best")
+            )
+            self._labelled = cut_lineage(
+                lab.select(
+                    "space", "customer_id", "x", "y", "z",
+                    F.transform("best", lambda b: b["l"]).alias("labels"),
+                    F.transform("best", lambda b: b["d2"]).alias("d2s"),
+                )
+            )
             pos = spark.createDataFrame(
-                [(sp, f, i) for sp, fl in self.fit_order.items() for i, f in enumerate(fl)], "space string, fit int, pos int"
+                [(sp, i, f) for sp, fl in self.fit_order.items() for i, f in enumerate(fl)], "space string, pos int, fit int"
+            )
+            stats = (
+                self._labelled.select("space", F.posexplode(F.arrays_zip("labels", "d2s")).alias("pos", "v"))
+                .join(F.broadcast(pos), ["space", "pos"])
+                .groupBy("fit", F.col("v.labels").alias("label"))
+                .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("v.d2s").cast(K.D2_DEC)).alias("d2"))
+                .collect()
             )
-            long = K.assign(self.points, list(self.states.values())).join(F.broadcast(pos), ["space", "fit"])
-            stats = long.groupBy("fit", "label").agg(
-                F.count(F.lit(1)).alias("n"), F.sum(F.col("d2").cast(K.D2_DEC)).alias("d2")
-            ).collect()
             sizes: dict[int, dict[int, int]] = {}
-            inertia: dict[int, float] = {}
+            exact: dict[int, Decimal] = {}
             for r in stats:
                 sizes.setdefault(r["fit"], {})[r["label"]] = r["n"]
-                inertia[r["fit"]] = inertia.get(r["fit"], 0.0) + float(str(r["d2"]))
+                exact[r["fit"]] = exact.get(r["fit"], Decimal(0)) + r["d2"]
             self._sizes = {
                 f: [sizes.get(f, {}).get(i, 0) for i in range(self.states[f].spec.k)] for f in self.states
             }
-            self._inertia = inertia
-            wide = long.groupBy("space", "customer_id", "x", "y", "z").agg(
-                F.sort_array(F.collect_list(F.struct("pos", "label"))).alias("pl")
-            )
-            self._labelled = cut_lineage(
-                wide.select("space", "customer_id", "x", "y", "z", F.transform("pl", lambda s: s["label"]).alias("labels"))
-            )
+            self._inertia = {f: float(str(v)) for f, v in exact.items()}
         return self._labelled
 
     @property
