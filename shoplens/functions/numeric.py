@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..params import DISTANCE_DIGITS, MONEY_SQL_TYPE, OUTPUT_DIGITS
+from ..params import DISTANCE_DIGITS, MONEY_SQL_TYPE
 
 
 def money(c: Column) -> Column:
@@ -15,22 +15,8 @@ def money(c: Column) -> Column:
     return c.cast(MONEY_SQL_TYPE)
 
 
-def out_double(c: Column, digits: int = OUTPUT_DIGITS) -> Column:
-    """Final double output, rounded so two engines produce the same value."""
-    return F.round(c.cast("double"), digits)
 
 
-def uniform_hash(*parts: Column | str) -> Column:
-    """A deterministic uniform draw in (0, 1) from md5 of the '|'-joined parts.
-
-    The first 8 hex digits give an integer h in [0, 2^32); u = (h + 0.5) / 2^32.
-    The same value is reproducible in plain SQL, and it does not depend on
-    partitioning or on which executor computes it.
-    """
-    cols = [F.col(p) if isinstance(p, str) else p for p in parts]
-    key = F.concat_ws("|", *[c.cast("string") for c in cols])
-    h = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("double")
-    return (h + F.lit(0.5)) / F.lit(4294967296.0)
 
 
 def squared_distance(point: Sequence[Column], centre: Sequence[Column | float]) -> Column:
@@ -58,10 +44,6 @@ def nearest_centre(point: Sequence[Column], centres: Sequence[Sequence[float]])
     return best["label"], best["d2"]
 
 
-def pop_zscore(x: Column, mean: float, std: float) -> Column:
-    """z-score with the population standard deviation; a zero std divides by one."""
-    divisor = std if std not in (0.0, None) and std == std else 1.0
-    return (x - F.lit(float(mean))) / F.lit(float(divisor))
 
 
 def dec_to_double(c: Column) -> Column:

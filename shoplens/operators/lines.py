@@ -169,10 +169,6 @@ def clean_lines(raw: DataFrame) -> DataFrame:
     return known_lines(deduplicate(raw).drop("copies"))
 
 
-def numbered_lines(raw: DataFrame) -> DataFrame:
-    """Deduplicated lines with ``source_row_number`` (line number of the first copy, data
-    starting at 2 as under a header) and ``line_id`` (1..m over known lines in source order)."""
-    return number_deduplicated(deduplicate(raw))
 
 
 def number_deduplicated(dedup: DataFrame) -> DataFrame:

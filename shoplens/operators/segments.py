@@ -103,8 +103,6 @@ def profiles(segmented: DataFrame, dim: DataFrame) -> DataFrame:
     )
 
 
-def centroid_rows(mapping: dict[int, str], centres: Sequence[tuple[float, float, float]]) -> list[tuple]:
-    return [(mapping[i], i, *centres[i]) for i in range(len(centres))]
 
 
 def adjusted_rand(pairs: DataFrame, a: str, b: str) -> DataFrame:
