@@ -68,7 +68,8 @@ def _sorted_path(data: DataFrame, groups: Sequence[str], probs: Sequence[float])
         "_first",
         ((F.col("_n") - 1) * F.col("p")).alias("_pos_in"),
     ).withColumns({"_lo": F.floor("_pos_in").cast("bigint"), "_hi": F.ceil("_pos_in").cast("bigint")})
-    near = ranked.join(F.broadcast(targets), [*groups]).where(
+    # Plain join: targets has one row per (group, p); Catalyst broadcasts it only when small.
+    near = ranked.join(targets, [*groups]).where(
         ((F.col("_pos") - F.col("_first")) == F.col("_lo")) | ((F.col("_pos") - F.col("_first")) == F.col("_hi"))
     )
     rank = F.col("_pos") - F.col("_first")
