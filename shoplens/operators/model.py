@@ -1,9 +1,9 @@
 """The segmentation model: caps → z-scores → best of n seeded K-means fits → named segments.
 
 Only small things reach the driver: two caps, three means and stds, k centres per fit,
-k medians, k representatives. The customer table is checkpointed once (it is both the
-iteration input and the base of every customer-level output) and hash-partitioned on the
-customer id, so later joins on the id can reuse that partitioning.
+k medians, k representatives. The customer table is written once as Parquet in the shared
+checkpoint folder (it is both the iteration input and the base of every customer-level
+output), so later queries read only the columns they need.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..params import Params
-from ..session import cut_lineage
+from ..session import materialize
 from . import kmeans as K
 from .features import Caps, Scale, apply_caps, apply_scale, compute_caps, compute_scale
 from .segments import code_expr, representatives, semantic_mapping
@@ -94,16 +94,23 @@ def partitioned(df: DataFrame, key: str = "customer_id") -> DataFrame:
 
 
 def iteration_input(points: DataFrame, rows: int, fits: int, rows_per_task: int = 40_000) -> DataFrame:
-    """Narrow the (checkpointed) points to as many partitions as the point × fit work needs:
-    one task per ~40k (point, fit) pairs, never more than the partitions it already has (no shuffle)."""
+    """Size the iteration input to the point × fit work: one task per ~40k (point, fit)
+    pairs, at most max(shuffle partitions, current partitions). Narrowing is a coalesce;
+    widening is one repartition of the point table before the rounds start (sums are exact
+    decimals, so the row placement cannot change a result)."""
     have = points.rdd.getNumPartitions()
-    want = max(1, min(have, -(-rows * fits // rows_per_task)))
-    return points.coalesce(want) if want < have else points
+    cap = max(have, int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    want = max(1, min(cap, -(-rows * fits // rows_per_task)))
+    if want < have:
+        return points.coalesce(want)
+    if want > have:
+        return points.repartition(want, "customer_id")
+    return points
 
 
 def fit_model(rfm: DataFrame, params: Params, space: str = "base") -> Model:
     caps, scale, scaled = prepare_customers(rfm, params.cap_quantile)
-    customers = cut_lineage(partitioned(scaled))
+    customers = materialize(scaled, "customers")
     # In memory on top of the checkpoint: rounds re-read it; a lost block is re-read from the checkpoint.
     points = iteration_input(as_points(customers, space), customers.count(), params.n_init).persist()
     specs = [K.FitSpec(fit=i, space=space, k=params.k, seed=params.seed, init=i) for i in range(params.n_init)]

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..params import DISTANCE_DIGITS, Params
-from ..session import cut_lineage
+from ..session import cut_lineage, materialize
 from . import kmeans as K
 from .evaluate import pairwise_ari, silhouettes
 from .model import as_points, iteration_input, partitioned, prepare_customers
@@ -170,7 +170,7 @@ def variant_rfm(build) -> DataFrame:
         "gross_monetary",
         "net_monetary",
     )
-    return cut_lineage(partitioned(out))
+    return materialize(out, "variant_rfm")
 
 
 def run_sweep(build) -> Sweep:

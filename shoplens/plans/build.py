@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..operators import lines as L
 from ..operators import rfm as R
 from ..params import DEFAULT, Params
-from ..session import cut_lineage, materialize
+from ..session import materialize
 from ..sources.adapter import LINE_COLUMNS, source_lines
 
 _BUILDS: dict[tuple, "Build"] = {}
@@ -72,10 +72,9 @@ class Build:
     # --- customers ---
     @cached_property
     def rfm(self) -> DataFrame:
-        """Checkpointed once: every customer-level query starts here, not at the lines."""
-        from ..operators.model import partitioned
-
-        return cut_lineage(partitioned(R.build_rfm(self.lines, self.params)))
+        """Written once (Parquet, shared checkpoint folder): every customer-level query
+        starts here, not at the lines, and reads only the columns it needs."""
+        return materialize(R.build_rfm(self.lines, self.params), "rfm")
 
     @cached_property
     def countries(self) -> DataFrame:
