@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import licenses, pii, sharding, simhash
+from . import licenses, ngram_join, pii, sharding, simhash
 from .common import read_table
 
 
@@ -12,6 +12,10 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_report(read_table(spark, sf_dir, "documents"))
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(read_table(spark, sf_dir, "documents"), k=3, percent=90)
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"), shards=8)
 
@@ -25,5 +29,5 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict:
-    found = [op1_license_scan, op4_sharding, op6_fingerprints, op7_pii]
+    found = [op1_license_scan, op3_ngram_join, op4_sharding, op6_fingerprints, op7_pii]
     return {f.__name__: f for f in found}

@@ -26,7 +26,7 @@ def license_scan() -> str:
       FROM documents),
     grams_ AS (
       SELECT rid, unnest(generate_series(0, len(w) - 2)) AS pos,
-             unnest(list_transform(generate_series(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1])) AS gram
+             unnest(list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1])) AS gram
       FROM tokens WHERE len(w) >= 2),
     votes AS (
       SELECT rid, tpl, label, base, grams, pos - tpos AS diagonal, count(*) AS votes
