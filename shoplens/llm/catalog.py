@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import licenses, ngram_join, pii, sharding, simhash
+from . import language, licenses, ngram_join, pii, quality, sharding, simhash
 from .common import read_table
 
 
@@ -12,6 +12,11 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_report(read_table(spark, sf_dir, "documents"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return quality.quality_scores(docs, quality.fit_on(docs, read_table(spark, sf_dir, "labels")))
+
+
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(read_table(spark, sf_dir, "documents"), k=3, percent=90)
 
@@ -20,6 +25,11 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"), shards=8)
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return language.predict_languages(docs, language.fit_on(docs))
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.fingerprint_report(read_table(spark, sf_dir, "documents"))
 
@@ -29,5 +39,5 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict:
-    found = [op1_license_scan, op3_ngram_join, op4_sharding, op6_fingerprints, op7_pii]
+    found = [op1_license_scan, op2_quality, op3_ngram_join, op4_sharding, op5_language, op6_fingerprints, op7_pii]
     return {f.__name__: f for f in found}
