@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import language, licenses, ngram_join, pii, quality, sharding, simhash
+from . import language, licenses, mixing, ngram_join, pii, quality, segment, sharding, simhash, vectors
 from .common import read_table
 
 
@@ -38,6 +39,33 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(read_table(spark, sf_dir, "documents"))
 
 
+def op8_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(read_table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+#: Shares of all tokens by domain (quality and toxicity of the labels table).
+MIX_WEIGHTS = {"good-clean": 0.86, "good-toxic": 0.02, "poor-clean": 0.11, "poor-toxic": 0.01}
+
+
+def domain_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, domain) of the labels table; null where either label is."""
+    good = F.when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "poor")
+    toxic = F.when(F.col("toxic") == 1, "toxic").when(F.col("toxic") == 0, "clean")
+    return read_table(spark, sf_dir, "labels").select("doc_id", F.concat(good, F.lit("-"), toxic).alias("domain"))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(read_table(spark, sf_dir, "documents"), domain_labels(spark, sf_dir), MIX_WEIGHTS)
+
+
+def op10_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segment.sample_segmentations(read_table(spark, sf_dir, "documents"), k=2)
+
+
+#: For the pipeline, whose first stage has taken poor documents out: less toxic text, the rest as it is.
+PIPELINE_WEIGHTS = {"good-toxic": 0.02, "poor-toxic": 0.0}
+
+
 def registry() -> dict:
-    found = [op1_license_scan, op2_quality, op3_ngram_join, op4_sharding, op5_language, op6_fingerprints, op7_pii]
+    found = [op1_license_scan, op2_quality, op3_ngram_join, op4_sharding, op5_language, op6_fingerprints, op7_pii, op8_near_vectors, op9_mixing, op10_sampled_pieces]
     return {f.__name__: f for f in found}
