@@ -8,9 +8,14 @@ from pyspark.sql import functions as F
 from ..params import NA_TOKENS, PRODUCT_LIKE_PATTERN
 
 
+#: What ``str.strip`` removes, as a character class: ASCII white space and separators, next line, no-break space and the
+#: other Unicode spaces.
+STRIPPED = r"[\x09-\x0D\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
+
+
 def py_strip(c: Column) -> Column:
-    """Trim like Python's ``str.strip()``: all leading/trailing whitespace, not only spaces."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    """Trim like Python's ``str.strip()``: every kind of white space, not only ASCII blanks."""
+    return F.regexp_replace(c, rf"^{STRIPPED}+|{STRIPPED}+$", "")
 
 
 def na_to_null(c: Column) -> Column:

@@ -7,6 +7,7 @@ go into later plans as literals, so no join is needed to apply them.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import dec_to_double
 from ..params import FEATURE_DIGITS
+from .quantiles import exact_quantiles
 
 
 @dataclass(frozen=True)
@@ -34,14 +36,19 @@ def net_double(df: DataFrame):
 
 
 def compute_caps(rfm: DataFrame, quantile: float | None) -> Caps:
-    """Exact interpolated quantiles of frequency and net (``percentile``, not the approximate one)."""
+    """Exact interpolated quantiles of frequency and net, by the distributed quantile operator."""
     if quantile is None:
         return Caps(None, None, None)
-    row = rfm.agg(
-        F.percentile(F.col("frequency").cast("double"), quantile).alias("f"),
-        F.percentile(net_double(rfm), quantile).alias("m"),
-    ).first()
-    return Caps(quantile, float(row["f"]), float(row["m"]))
+    long = rfm.select(
+        F.inline(
+            F.array(
+                F.struct(F.lit("f").alias("metric"), F.col("frequency").cast("double").alias("v")),
+                F.struct(F.lit("m").alias("metric"), net_double(rfm).alias("v")),
+            )
+        )
+    )
+    found = {r["metric"]: float(r["q"]) for r in exact_quantiles(long, ["metric"], "v", [quantile]).collect()}
+    return Caps(quantile, found["f"], found["m"])
 
 
 def apply_caps(rfm: DataFrame, caps: Caps) -> DataFrame:
@@ -70,16 +77,25 @@ def apply_caps(rfm: DataFrame, caps: Caps) -> DataFrame:
     )
 
 
+SQUARE_DIGITS = 6
+
+
 def compute_scale(capped: DataFrame) -> Scale:
+    """Mean and population standard deviation of the three features.
+
+    Sums and sums of squares are DECIMAL, so they do not depend on partitioning or row order; the last steps are the
+    same double operations in every engine: mean = Σx / n, var = Σx² / n − mean²."""
+    values = [F.col("recency").cast("double"), F.col("frequency_capped"), F.col("net_monetary_capped")]
     row = capped.agg(
-        F.avg(F.col("recency").cast("double")).alias("m0"),
-        F.avg("frequency_capped").alias("m1"),
-        F.avg("net_monetary_capped").alias("m2"),
-        F.stddev_pop(F.col("recency").cast("double")).alias("s0"),
-        F.stddev_pop("frequency_capped").alias("s1"),
-        F.stddev_pop("net_monetary_capped").alias("s2"),
+        F.count(F.lit(1)).alias("n"),
+        *[dec_to_double(F.sum(v.cast("decimal(38,10)"))).alias(f"s{i}") for i, v in enumerate(values)],
+        *[dec_to_double(F.sum((v * v).cast(f"decimal(38,{SQUARE_DIGITS})"))).alias(f"q{i}") for i, v in enumerate(values)],
     ).first()
-    return Scale((row["m0"], row["m1"], row["m2"]), (row["s0"], row["s1"], row["s2"]))
+    n = row["n"]
+    if not n:
+        return Scale((0.0, 0.0, 0.0), (0.0, 0.0, 0.0))
+    means = tuple(row[f"s{i}"] / n for i in range(3))
+    return Scale(means, tuple(math.sqrt(max(0.0, row[f"q{i}"] / n - means[i] * means[i])) for i in range(3)))
 
 
 def apply_scale(capped: DataFrame, scale: Scale) -> DataFrame:

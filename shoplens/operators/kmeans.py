@@ -16,8 +16,8 @@ exact and do not depend on partitioning or row order.
 
 Seeded start
 ------------
-For seed s, init i, step j and customer c, u = (h + 0.5) / 2^32 with h the first 8 hex of
-md5("s|i|j|c"). The pick of step j is the point with the smallest −ln(u)/D² (D² = squared
+For seed s, init i, step j and customer c, u = (h + 0.5) / 2^52 with h the first 13 hex of
+md5("s|i|j|c") (52 bits: all that a double holds next to the half). The pick of step j is the point with the smallest −ln(u)/D² (D² = squared
 distance to the nearest centre picked so far, 1 at step 0), ties to the lower customer id:
 an exponential race, i.e. an exact D²-proportional draw that no partitioning can change.
 """
@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -85,8 +86,8 @@ def min_d2(kmax: int, prefix: str = "c") -> Column:
 def draw(seed_col, init_col, step_col, id_col="customer_id"):
     """Deterministic uniform in (0, 1) from md5 of 'seed|init|step|customer'."""
     key = F.concat_ws("|", seed_col.cast("string"), init_col.cast("string"), step_col.cast("string"), F.col(id_col))
-    h = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("double")
-    return (h + F.lit(0.5)) / F.lit(4294967296.0)
+    h = F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("double")
+    return (h + F.lit(0.5)) / F.lit(float(1 << 52))
 
 
 _FITS = itertools.count()
@@ -131,38 +132,9 @@ def fits_frame(
     return spark.createDataFrame(pdf, schema), kmax
 
 
-INLINE_FITS = 64
-
-
-def _values_frame(
-    spark: SparkSession, states: Sequence[FitState], previous: dict[int, list[Centre]] | None = None
-) -> tuple[DataFrame, int]:
-    """Same table as ``fits_frame`` as an inline VALUES relation: a local relation, so its
-    broadcast needs no job (doubles are written with their exact ``repr``)."""
-    kmax = max([len(st.centres) for st in states] + [len(v) for v in (previous or {}).values()] + [1])
-    names = ["fit", "fspace", "seed", "init", "k"] + [f"c{j}_{a}" for j in range(kmax) for a in "xyz"]
-    if previous is not None:
-        names += [f"p{j}_{a}" for j in range(kmax) for a in "xyz"]
-    rows = []
-    for st in states:
-        vals = [str(st.spec.fit), "'" + st.spec.space.replace("'", "\\'") + "'", str(st.spec.seed), str(st.spec.init), str(len(st.centres))]
-        for j in range(kmax):
-            c = st.centres[j] if j < len(st.centres) else (0.0, 0.0, 0.0)
-            vals += [f"{float(v)!r}D" for v in c]
-        if previous is not None:
-            prev = previous.get(st.spec.fit, [])
-            for j in range(kmax):
-                c = prev[j] if j < len(prev) else (0.0, 0.0, 0.0)
-                vals += [f"{float(v)!r}D" for v in c]
-        rows.append("(" + ", ".join(vals) + ")")
-    return spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS t({', '.join(names)})"), kmax
-
-
 def fits_view(spark: SparkSession, states: Sequence[FitState], previous: dict[int, list[Centre]] | None = None) -> tuple[str, int]:
-    """A temp view of the fit table: inline VALUES for a few fits (no broadcast job), Arrow
-    batches for many (no large SQL text to parse)."""
-    make = _values_frame if len(states) <= INLINE_FITS else fits_frame
-    df, kmax = make(spark, states, previous)
+    """A temp view of the fit table, dropped by the caller after its round."""
+    df, kmax = fits_frame(spark, states, previous)
     name = f"shoplens_fits_{next(_FITS)}"
     df.createOrReplaceTempView(name)
     return name, kmax
@@ -208,7 +180,7 @@ def min_d2_text(kmax: int) -> str:
 
 def draw_text(step: int) -> str:
     key = f"concat_ws('|', CAST(seed AS STRING), CAST(init AS STRING), '{step}', customer_id)"
-    return f"((CAST(conv(substring(md5({key}), 1, 8), 16, 10) AS DOUBLE) + 0.5D) / 4294967296.0D)"
+    return f"((CAST(conv(substring(md5({key}), 1, 13), 16, 10) AS DOUBLE) + 0.5D) / 4503599627370496.0D)"
 
 
 def round_sql(view: str, values: str, kmax: int, with_changes: bool = False) -> str:
@@ -248,6 +220,7 @@ def seed_centres(points: DataFrame, specs: Sequence[FitSpec]) -> dict[int, FitSt
             break
         values, kmax = fits_view(spark, active)
         picks = spark.sql(seed_sql(points_view(points), values, kmax, step)).collect()
+        spark.catalog.dropTempView(values)
         for r in picks:
             st = states[r["fit"]]
             p = r["p"]
@@ -288,7 +261,8 @@ def lloyd_round(paired: DataFrame, kmax: int, with_changes: bool = False) -> Dat
 def run_lloyd(points: DataFrame, states: dict[int, FitState], max_iter: int) -> dict[int, FitState]:
     """Lloyd rounds until every fit's centres stop moving (labels stable) or ``max_iter``.
 
-    An empty cluster keeps its previous centre.
+    An empty cluster keeps its previous centre. Fits that have not settled say so: their ``converged`` stays false and
+    a warning names them.
     """
     spark = points.sparkSession
     for _ in range(max_iter):
@@ -297,6 +271,7 @@ def run_lloyd(points: DataFrame, states: dict[int, FitState], max_iter: int) ->
             break
         values, kmax = fits_view(spark, active)
         rows = spark.sql(round_sql(points_view(points), values, kmax)).collect()
+        spark.catalog.dropTempView(values)
         new: dict[int, dict[int, Centre]] = {}
         for r in rows:
             new.setdefault(r["fit"], {})[r["l"]] = (r["x"], r["y"], r["z"])
@@ -309,6 +284,9 @@ def run_lloyd(points: DataFrame, states: dict[int, FitState], max_iter: int) ->
             st.centres = updated
             if st.history is not None:
                 st.history.append(list(updated))
+    open_fits = [st.spec.fit for st in states.values() if not st.converged]
+    if open_fits:
+        warnings.warn(f"fits {open_fits} have not converged in {max_iter} rounds", stacklevel=2)
     return states
 
 
@@ -374,6 +352,7 @@ def trace(points: DataFrame, state: FitState, max_iter: int) -> list[dict]:
         previous[i] = list(hist[i - 2]) if i >= 2 else list(hist[0])
     values, kmax = fits_view(spark, frames_states, previous)
     rows = spark.sql(round_sql(points_view(points), values, kmax, with_changes=True)).collect()
+    spark.catalog.dropTempView(values)
     by: dict[int, dict[int, object]] = {}
     for r in rows:
         by.setdefault(r["fit"], {})[r["l"]] = r

@@ -8,14 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ..functions.numeric import money
 from ..functions.text import is_cancellation, is_product_like, py_strip
-from ..session import cut_lineage
+from ..session import materialize
 from ..sources.adapter import LINE_COLUMNS
 
 FLAG_COLUMNS = (
@@ -50,6 +50,10 @@ def duplicate_extra_rows(raw: DataFrame) -> DataFrame:
     )
 
 
+#: Rows that a rank partition is meant to hold; the partition count follows the data.
+ROWS_A_PARTITION = 500_000
+
+
 def running_ranks(
     df: DataFrame,
     order_cols: Sequence[str],
@@ -60,43 +64,41 @@ def running_ranks(
     """Contiguous ranks in a global order without a single-task window.
 
     For each name in ``weights`` the row gets ``start + Σ weight of all rows before it``.
-    Plan: range-partition on the order (sampled bounds, many tasks) and sort inside each
-    partition; one Arrow pass per partition computes the running sums; per-partition totals
-    (one row per partition, bounded by the partition count) give the offsets, which are
-    broadcast back. Rows that tie on every order column are interchangeable. The ranked
-    partitions are checkpointed, so a lost executor cannot renumber rows.
+    Plan: range-partition on the order (sampled bounds, as many partitions as the rows ask
+    for) and sort inside each partition; one Arrow pass per partition appends the running
+    sums and leaves every other column as it is; per-partition totals (one row per
+    partition) give the offsets. Rows that tie on every order column are interchangeable. The
+    ranked partitions are written as Parquet: a lost executor cannot renumber rows, and
+    readers prune columns.
     """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     names = list(weights)
+    weighted = df.withColumns({f"_w_{k}": w.cast("long") for k, w in weights.items()})
+    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // ROWS_A_PARTITION))
     tagged = (
-        df.withColumns({f"_w_{k}": w.cast("long") for k, w in weights.items()})
-        .repartitionByRange(n, *_order_keys(order_cols))
+        weighted.repartitionByRange(n, *_order_keys(order_cols))
         .sortWithinPartitions(*_order_keys(order_cols))
         .withColumn("_pid", F.spark_partition_id())
     )
-    out_schema = StructType(
-        list(tagged.schema.fields) + [StructField(f"_b_{k}", LongType(), False) for k in names]
-    )
+    out_schema = StructType(list(tagged.schema.fields) + [StructField(f"_b_{k}", LongType(), False) for k in names])
 
-    def prefix(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        carried = {k: 0 for k in names}
-        for pdf in batches:
+    def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        carried = dict.fromkeys(names, 0)
+        for batch in batches:
+            before = []
             for k in names:
-                w = pdf[f"_w_{k}"].astype("int64")
-                pdf[f"_b_{k}"] = w.cumsum() - w + carried[k]
+                w = batch.column(f"_w_{k}").to_numpy(zero_copy_only=False).astype("int64")
+                before.append(pa.array(w.cumsum() - w + carried[k], pa.int64()))
                 carried[k] += int(w.sum())
-            yield pdf
+            yield pa.RecordBatch.from_arrays([*batch.columns, *before], names=[*batch.schema.names, *(f"_b_{k}" for k in names)])
 
     # Range bounds are sampled from input whose row order is not fixed, so the ranked
-    # partitions are materialised once (reliable checkpoint) and totals read from that copy.
-    local = cut_lineage(tagged.mapInPandas(prefix, out_schema))
+    # partitions are written once and totals read from that copy.
+    local = materialize(tagged.mapInArrow(prefix, out_schema), "ranks")
     totals = local.groupBy("_pid").agg(*[F.sum(f"_w_{k}").alias(f"_t_{k}") for k in names])
     whole = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        "_pid", *[F.coalesce(F.sum(f"_t_{k}").over(whole), F.lit(0)).alias(f"_o_{k}") for k in names]
-    )
-    ranked = local.join(F.broadcast(offsets), "_pid")
+    offsets = totals.select("_pid", *[F.coalesce(F.sum(f"_t_{k}").over(whole), F.lit(0)).alias(f"_o_{k}") for k in names])
+    ranked = local.join(F.broadcast(offsets), "_pid")  # one row per partition
     return ranked.select(
         *df.columns,
         *[(F.lit(start[k]) + F.col(f"_o_{k}") + F.col(f"_b_{k}")).cast("bigint").alias(k) for k in names],

@@ -8,7 +8,6 @@ output), so later queries read only the columns they need.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -125,7 +124,3 @@ def fit_model(rfm: DataFrame, params: Params, space: str = "base") -> Model:
         for r in representatives(labelled.withColumn("segment_code", code_expr(F.col("raw_cluster"), mapping))).collect()
     }
     return Model(params, caps, scale, customers, points, states, best, mapping, reps)
-
-
-def shift(a: K.Centre, b: K.Centre) -> float:
-    return math.sqrt(sum((x - y) * (x - y) for x, y in zip(a, b, strict=True)))

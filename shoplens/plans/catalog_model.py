@@ -10,6 +10,7 @@ from ..functions.output import dbl, decimal_round, money_out, quantile_out, time
 from ..operators import kmeans as K
 from ..operators import serving as S
 from ..operators.features import non_finite_count
+from ..operators.lines import running_ranks
 from ..operators.model import XYZ, labels_for
 from ..operators.quantiles import exact_quantiles
 from ..operators.segments import PROFILE_METRICS, adjusted_rand, mapping_frame
@@ -336,16 +337,15 @@ def long_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gross_net_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Top-20 report of gross minus net (refunds), ties by customer id.
+    """Gross minus net (refunds) of every customer, ranked by the gap, ties by customer id.
 
-    ``orderBy + limit`` plans as a per-partition top-k and a merge of k rows per task."""
+    Ranks are running counts over range partitions, so no task holds all customers."""
     rfm = _b(spark, sf_dir).rfm
     gap = F.col("gross_monetary") - F.col("net_monetary")
-    top = rfm.select("customer_id", "gross_monetary", "net_monetary", gap.alias("gap")).orderBy(
-        F.desc("gap"), "customer_id"
-    ).limit(20)
-    return top.select(
-        F.row_number().over(Window.orderBy(F.desc("gap"), "customer_id")).cast("bigint").alias("rank"),
+    rows = rfm.select("customer_id", "gross_monetary", "net_monetary", gap.alias("gap"), (-gap).alias("_down"))
+    ranked = running_ranks(rows, ["_down", "customer_id"], {"rank": F.lit(1)}, {"rank": 1})
+    return ranked.select(
+        F.col("rank").cast("bigint").alias("rank"),
         "customer_id",
         money_out(F.col("gross_monetary")).alias("gross_monetary"),
         money_out(F.col("net_monetary")).alias("net_monetary"),
@@ -500,8 +500,6 @@ def customer_options(spark: SparkSession, sf_dir: str) -> DataFrame:
 def explorer_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Anonymous explorer points P0001.. in customer order, the page customer kept by id."""
     b = _b(spark, sf_dir)
-    from ..operators.lines import running_ranks
-
     seg = b.segmented
     ranked = running_ranks(
         seg.select("customer_id", "segment_code", *XYZ, "recency", "frequency", "net_monetary", "any_capped_flag"),

@@ -14,7 +14,8 @@ ORDER_ALL = ", ".join(f"{c} ASC NULLS FIRST" for c in LINE_COLS.split(", "))
 
 
 def _strip(c: str) -> str:
-    return f"regexp_replace({c}, '^\\s+|\\s+$', '', 'g')"
+    space = r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+    return f"regexp_replace({c}, '^{space}+|{space}+$', '', 'g')"
 
 
 def ts(c: str) -> str:
@@ -205,7 +206,7 @@ def net_d(c: str = "net_monetary") -> str:
 
 def draw_sql(seed: str, init: str, step: str, cid: str = "customer_id") -> str:
     key = f"CAST({seed} AS VARCHAR) || '|' || CAST({init} AS VARCHAR) || '|' || CAST({step} AS VARCHAR) || '|' || {cid}"
-    return f"((CAST('0x' || substr(md5({key}), 1, 8) AS BIGINT) + 0.5) / 4294967296.0)"
+    return f"((CAST('0x' || substr(md5({key}), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0)"
 
 
 def d2_sql(px: str, py: str, pz: str, cx: str, cy: str, cz: str, rounded: bool = True) -> str:
@@ -225,6 +226,12 @@ def prep_ctes(quantile: float | None, src: str = "rfm", prefix: str = "") -> dic
         fc, mc = "least(f, fcap)", "least(m, mcap)"
         ff, mf = "f > fcap", "m > mcap"
     P = prefix
+
+    def exact(v: str, i: int = 0) -> str:
+        """Decimal sum and sum of squares of a double, as doubles (independent of row order)."""
+        text = lambda e, d: f"CAST(CAST(sum(CAST({e} AS DECIMAL(38,{d}))) AS VARCHAR) AS DOUBLE)"
+        return f"{text(v, 10)} AS t{i}, {text(f'{v} * {v}', 6)} AS q{i}"
+
     return {
         f"{P}caps": caps,
         f"{P}capped": f"""
@@ -233,10 +240,11 @@ def prep_ctes(quantile: float | None, src: str = "rfm", prefix: str = "") -> dic
                    ({ff}) OR ({mf}) AS any_capped_flag
             FROM (SELECT *, CAST(frequency AS DOUBLE) AS f, {net_d()} AS m FROM {src}) r, {P}caps""",
         f"{P}stats": f"""
-            SELECT avg(CAST(recency AS DOUBLE)) AS m0, avg(frequency_capped) AS m1, avg(net_monetary_capped) AS m2,
-                   stddev_pop(CAST(recency AS DOUBLE)) AS s0, stddev_pop(frequency_capped) AS s1,
-                   stddev_pop(net_monetary_capped) AS s2
-            FROM {P}capped""",
+            SELECT m0, m1, m2, sqrt(greatest(0.0, q0 / n - m0 * m0)) AS s0, sqrt(greatest(0.0, q1 / n - m1 * m1)) AS s1,
+                   sqrt(greatest(0.0, q2 / n - m2 * m2)) AS s2
+            FROM (SELECT n, q0, q1, q2, t0 / n AS m0, t1 / n AS m1, t2 / n AS m2
+                  FROM (SELECT CAST(count(*) AS DOUBLE) AS n, {exact("CAST(recency AS DOUBLE)")},
+                               {exact("frequency_capped", 1)}, {exact("net_monetary_capped", 2)} FROM {P}capped))""",
         f"{P}scaled": f"""
             SELECT c.*,
                    round((CAST(recency AS DOUBLE) - m0) / CASE WHEN s0 = 0 OR s0 IS NULL THEN 1 ELSE s0 END, 10) AS scaled_recency,
@@ -640,7 +648,7 @@ def model_oracles(p: Params = DEFAULT) -> dict[str, str]:
         f"""SELECT CAST(row_number() OVER (ORDER BY gap DESC, customer_id) AS BIGINT) AS rank, customer_id,
                    {money('gross_monetary')} AS gross_monetary, {money('net_monetary')} AS net_monetary, {money('gap')} AS gap
             FROM (SELECT customer_id, gross_monetary, net_monetary, gross_monetary - net_monetary AS gap FROM rfm)
-            ORDER BY gap DESC, customer_id LIMIT 20""",
+""",
         ["rfm"],
         p,
     )

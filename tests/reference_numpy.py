@@ -11,8 +11,8 @@ import numpy as np
 
 
 def draw(seed: int, init: int, step: int, cid: str) -> float:
-    h = int(hashlib.md5(f"{seed}|{init}|{step}|{cid}".encode()).hexdigest()[:8], 16)
-    return (h + 0.5) / 4294967296.0
+    h = int(hashlib.md5(f"{seed}|{init}|{step}|{cid}".encode()).hexdigest()[:13], 16)
+    return (h + 0.5) / 4503599627370496.0
 
 
 def d2(p, c) -> float:

@@ -1,12 +1,15 @@
-"""The at-scale code paths, forced on small data: sorted exact quantiles and running ranks."""
+"""Exact quantiles, scale statistics and running ranks: values, plans and independence of partitions."""
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from shoplens.operators.features import apply_caps, compute_caps, compute_scale
 from shoplens.operators.lines import running_ranks
 from shoplens.operators.quantiles import exact_quantiles
 
+from .conftest import SF_SMALL
+
 
 @pytest.fixture(scope="module")
 def values(spark):
@@ -16,22 +19,50 @@ def values(spark):
     return spark.createDataFrame(rows, "g string, v double").repartition(5)
 
 
-def test_sorted_path_equals_percentile(values):
+def test_quantiles_equal_sorted_values(values):
     probs = [0.0, 0.25, 0.5, 0.75, 0.995, 1.0]
-    small = {(r.g, r.p): r.q for r in exact_quantiles(values, ["g"], "v", probs).collect()}
-    big = {(r.g, r.p): r.q for r in exact_quantiles(values, ["g"], "v", probs, max_in_task=0).collect()}
-    assert small.keys() == big.keys()
-    for key, q in small.items():
-        assert big[key] == pytest.approx(q, abs=1e-12)
+    got = {(r.g, r.p): r.q for r in exact_quantiles(values, ["g"], "v", probs).collect()}
     pdf = values.toPandas()
     for g, grp in pdf.groupby("g"):
         for p in probs:
-            assert small[(g, p)] == pytest.approx(float(grp["v"].quantile(p)), abs=1e-9)
+            assert got.pop((g, p)) == pytest.approx(float(grp["v"].quantile(p)), abs=1e-9)
+    assert not got
+
+
+def test_global_quantile_with_wide_values_nulls_and_a_null_group(spark):
+    rng = np.random.default_rng(3)
+    v = np.concatenate([rng.normal(0, 1e6, 30_000), np.full(20_000, 12.5)])
+    rows = [(None if i % 7 == 0 else "x", float(x)) for i, x in enumerate(v)] + [("x", None)] * 50
+    df = spark.createDataFrame(rows, "g string, v double").repartition(7)
+    for p in (0.001, 0.33, 0.5, 0.995):
+        assert exact_quantiles(df, [], "v", [p]).first().q == pytest.approx(float(np.quantile(v, p)), rel=1e-12)
+    by = {r.g: r.q for r in exact_quantiles(df, ["g"], "v", [0.5]).collect()}
+    assert by.keys() == {None, "x"}
+    assert by[None] == pytest.approx(float(np.quantile(v[::7], 0.5)))
+
+
+def test_quantile_plan_has_no_single_task_over_rows(values):
+    plan = exact_quantiles(values, [], "v", [0.5])._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "percentile(" not in plan
+
+
+def test_caps_and_scale_do_not_depend_on_partitions(spark):
+    from shoplens.plans.build import Build
+
+    rfm = Build.of(spark, SF_SMALL).rfm
+    seen = set()
+    for n in (1, 4, 16):
+        part = rfm.repartition(n)
+        caps = compute_caps(part, 0.995)
+        seen.add((caps, compute_scale(apply_caps(part, caps))))
+    assert len(seen) == 1
 
 
-def test_global_quantile_without_groups(values):
-    got = exact_quantiles(values, [], "v", [0.5], max_in_task=0).first().q
-    assert got == pytest.approx(float(values.toPandas()["v"].median()))
+def test_running_ranks_leave_large_integers_beside_nulls_alone(spark):
+    big = 9007199254740993
+    df = spark.createDataFrame([(1, big), (2, None), (3, big + 2)], "k long, n long").repartition(3)
+    got = running_ranks(df, ["k"], {"pos": F.lit(1)}, {"pos": 1}).orderBy("k").collect()
+    assert [(r.n, r.pos) for r in got] == [(big, 1), (None, 2), (big + 2, 3)]
 
 
 def test_running_ranks_are_contiguous_and_ordered(spark, values):
