@@ -1,7 +1,8 @@
 """The build graph: one memoised set of lazy DataFrames per (session, input folder, params).
 
-Each stage is declared once; queries pick the stages they need. Only the small,
-iterated-over tables (RFM points) are checkpointed, and only when a fit needs them.
+Each stage is declared once; queries pick the stages they need. The line table, the RFM table and the customer table
+are each written once as Parquet in the shared checkpoint folder, when a query first needs them. The source is the
+driver's star tables or any DataFrame in the 8-column layout, such as a CSV scan.
 """
 
 from __future__ import annotations
@@ -21,10 +22,19 @@ _BUILDS: dict[tuple, "Build"] = {}
 
 
 class Build:
-    def __init__(self, spark: SparkSession, sf_dir: str, params: Params = DEFAULT):
+    def __init__(self, spark: SparkSession, sf_dir: str, params: Params = DEFAULT, source: DataFrame | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
         self.params = params
+        self.source = source
+
+    @classmethod
+    def from_csv(cls, spark: SparkSession, path: str, params: Params = DEFAULT, multi_line: bool = False) -> "Build":
+        """A build over a CSV file or folder. Copies are removed on the text of the eight columns, as written: two
+        spellings of one date are two lines."""
+        from ..sources.csv_source import read_source_text
+
+        return cls(spark, path, params, read_source_text(spark, path, multi_line))
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str, params: Params = DEFAULT) -> "Build":
@@ -36,7 +46,7 @@ class Build:
     # --- lines ---
     @cached_property
     def raw(self) -> DataFrame:
-        return source_lines(self.spark, self.sf_dir)
+        return source_lines(self.spark, self.sf_dir) if self.source is None else self.source
 
     @cached_property
     def dedup(self) -> DataFrame:
@@ -48,7 +58,12 @@ class Build:
     @cached_property
     def stored(self) -> DataFrame:
         """Raw and normalised columns of every deduplicated line, written once."""
-        return materialize(L.with_normalised(L.deduplicate(self.raw)), "lines")
+        distinct = L.deduplicate(self.raw)
+        if dict(distinct.dtypes)["invoice_date"] == "string":  # text lines: typed only now, after the copies are gone
+            from ..sources.csv_source import typed
+
+            distinct = typed(distinct)
+        return materialize(L.with_normalised(distinct), "lines")
 
     @cached_property
     def lines(self) -> DataFrame:

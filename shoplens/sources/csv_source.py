@@ -9,7 +9,7 @@ turning into null.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -26,45 +26,64 @@ TIMESTAMP_FORMATS = (
     "yyyy-MM-dd HH:mm",
     "yyyy-MM-dd",
 )
-
-
-class SourceFormatError(ValueError):
-    pass
+_DAY, _ISO = r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
+#: Shape of the text of each layout: only a text of that shape is handed to its parser.
+TIMESTAMP_SHAPES = (
+    rf"{_DAY} [0-9]{{1,2}}:[0-9]{{2}}$",
+    rf"{_DAY} [0-9]{{1,2}}:[0-9]{{2}}:[0-9]{{2}}$",
+    rf"{_ISO} [0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}}$",
+    rf"{_ISO}T[0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}}$",
+    rf"{_ISO} [0-9]{{2}}:[0-9]{{2}}$",
+    rf"{_ISO}$",
+)
 
 
 def source_schema() -> StructType:
     return StructType([StructField(c, StringType(), True) for c in SOURCE_COLUMNS])
 
 
-def read_source_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Source lines in the 8-column layout with snake_case names and typed columns.
+def read_source_text(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """The 8 columns as text with snake_case names, missing-value tokens as null.
 
-    Quantity: integer text, else error (a fractional value is an error too). Unit price:
-    number or missing. Invoice date: the first layout that parses; text that no layout
-    parses fails the job (``assert_true``)."""
+    Doubled quotes inside a quoted field are read as quotes. ``multi_line`` also reads quoted line breaks; a file is
+    one task then (Spark cannot split it), so it is off unless asked for."""
     raw = (
         spark.read.schema(source_schema())
         .option("header", True)
         .option("enforceSchema", False)
         .option("mode", "FAILFAST")
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("multiLine", multi_line)
         .csv(path)
     )
-    cols = {src: dst for src, dst in zip(SOURCE_COLUMNS, LINE_COLUMNS, strict=True)}
-    text = raw.select(*[na_to_null(F.col(s)).alias(d) for s, d in cols.items()])
-    parsed_ts = F.coalesce(*[F.try_to_timestamp(F.col("invoice_date"), F.lit(f)) for f in TIMESTAMP_FORMATS])
+    return raw.select(*[na_to_null(F.col(s)).alias(d) for s, d in zip(SOURCE_COLUMNS, LINE_COLUMNS, strict=True)])
+
+
+def parse_date(text: Column) -> Column:
+    """The first layout that parses, as a timestamp without a zone (a local time in a clock change stays as written);
+    text that no layout parses fails the job."""
+    shaped = [
+        F.when(text.rlike(shape), F.to_timestamp_ntz(text, F.lit(layout)))
+        for layout, shape in zip(TIMESTAMP_FORMATS, TIMESTAMP_SHAPES, strict=True)
+    ]
+    unread = F.raise_error(F.concat(F.lit("unparseable InvoiceDate: "), text)).cast("timestamp_ntz")
+    return F.when(text.isNotNull(), F.coalesce(*shaped, unread))
+
+
+def typed(text: DataFrame) -> DataFrame:
+    """Numbers and dates of text lines. Quantity: integer text, else error (a fractional value is an error too). Unit
+    price: number or missing."""
     qty = F.col("quantity")
-    return text.select(
-        "invoice_no",
-        "stock_code",
-        "description",
-        F.when(qty.isNull(), F.raise_error(F.lit("missing Quantity"))).otherwise(qty.cast("bigint")).alias("quantity"),
-        F.when(
-            F.col("invoice_date").isNotNull() & parsed_ts.isNull(),
-            F.raise_error(F.concat(F.lit("unparseable InvoiceDate: "), F.col("invoice_date"))),
-        )
-        .otherwise(parsed_ts.cast("timestamp_ntz"))
-        .alias("invoice_date"),
-        F.col("unit_price").cast("double").alias("unit_price"),
-        "customer_id",
-        "country",
+    return text.withColumns(
+        {
+            "quantity": F.when(qty.isNull(), F.raise_error(F.lit("missing Quantity"))).otherwise(qty.cast("bigint")),
+            "invoice_date": parse_date(F.col("invoice_date")),
+            "unit_price": F.col("unit_price").cast("double"),
+        }
     )
+
+
+def read_source_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Source lines in the 8-column layout with typed columns."""
+    return typed(read_source_text(spark, path, multi_line))

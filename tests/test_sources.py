@@ -6,6 +6,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
+from shoplens.functions.text import py_strip
 from shoplens.operators.scoring import score
 from shoplens.plans.build import Build
 from shoplens.sources import sinks
@@ -37,6 +38,51 @@ def test_typed_scan_with_tokens_and_formats(spark):
     assert df[0].invoice_date.hour == 8 and df[2].invoice_date.minute == 28
 
 
+def test_quotes_line_breaks_and_local_times(spark):
+    path = _csv(
+        HEADER
+        + '1,22633,"SET ""A"", BIG",6,3/13/2011 2:30,2.55,17850,United Kingdom\n'
+        + '2,22633,"TWO\nLINES",6,2011-03-13 02:30:00,2.55,17850,United Kingdom\n'
+    )
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        rows = read_source_csv(spark, path, multi_line=True).orderBy("invoice_no").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert [r.description for r in rows] == ['SET "A", BIG', "TWO\nLINES"]
+    assert [(r.invoice_date.hour, r.invoice_date.minute) for r in rows] == [(2, 30), (2, 30)]
+
+
+def test_unreadable_dates_fail(spark):
+    for text in ("13/45/2011 8:26", "soon"):
+        with pytest.raises(Exception):
+            read_source_csv(spark, _csv(HEADER + f"1,22633,X,1,{text},1.0,1,UK\n")).collect()
+
+
+def test_strip_takes_every_kind_of_space(spark):
+    texts = ["\u00a0a\u3000", "\x1c b\x85", "\u2003", "a\u00a0b"]
+    got = [r.t for r in spark.createDataFrame([(t,) for t in texts], "t string").select(py_strip(F.col("t")).alias("t")).collect()]
+    assert got == [t.strip() for t in texts]
+
+
+def test_build_from_csv_keeps_two_spellings_of_a_date_apart(spark):
+    line = "{},10000,TEST PRODUCT,{},{},10.0,{},United Kingdom\n"
+    path = _csv(
+        HEADER
+        + line.format("100", 10, "1/1/2011 0:00", "A") * 3
+        + line.format("100", 10, "2011-01-01", "A")
+        + line.format("C100", -2, "1/2/2011 0:00", "A")
+        + line.format("101", 1, "2/1/2011 0:00", "\u00a0")
+        + line.format("102", 1, "2/1/2011 0:00", "B")
+    )
+    b = Build.from_csv(spark, path)
+    rfm = {r.customer_id: r for r in b.rfm.collect()}
+    assert set(rfm) == {"A", "B"}
+    assert (rfm["A"].frequency, float(rfm["A"].gross_monetary), float(rfm["A"].net_monetary)) == (1, 200.0, 180.0)
+    assert b.dedup.agg(F.sum("copies")).first()[0] == 7 and b.dedup.count() == 5
+
+
 def test_wrong_header_fails(spark):
     path = _csv("Invoice,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n1,2,3,4,2010-12-01,1,2,3\n")
     with pytest.raises(Exception):
