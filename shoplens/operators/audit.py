@@ -6,9 +6,10 @@ is their union, so every check runs distributed and only counts reach the driver
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .lines import running_ranks
@@ -75,3 +76,50 @@ def bucketed_fingerprint(df: DataFrame, key: str, line, bucket: int = FINGERPRIN
         F.count(F.lit(1)).cast("bigint").alias("buckets"),
         F.sum("_n").cast("bigint").alias("rows"),
     )
+
+
+def expectation_report(spark: SparkSession, actual: dict, expected: dict, tolerance: float = 1e-6) -> DataFrame:
+    """(check_name, expected, actual, passed) of named facts, a few rows: numbers agree within ``tolerance``, texts exactly; a
+    fact that is missing fails."""
+
+    def same(a, b) -> bool:
+        if isinstance(a, int | float) and isinstance(b, int | float):
+            return abs(float(a) - float(b)) <= tolerance
+        return a is not None and str(a) == str(b)
+
+    rows = [(name, str(want), None if actual.get(name) is None else str(actual[name]), same(actual.get(name), want))
+            for name, want in sorted(expected.items())]
+    return spark.createDataFrame(rows, "check_name string, expected string, actual string, passed boolean")
+
+
+def require_passed(report: DataFrame) -> DataFrame:
+    """The report itself when all checks passed, else an error that names every failed one."""
+    failed = report.where("not passed").orderBy("check_name").collect()
+    if failed:
+        raise ValueError("failed checks: " + "; ".join(f"{r['check_name']}: expected {r['expected']}, got {r['actual']}" for r in failed))
+    return report
+
+
+def archive_comparison(computed: DataFrame, archive: DataFrame, keys: list[str], metrics: list[str], tolerance: float = 1e-9) -> DataFrame:
+    """Computed metrics against archived ones of the same keys: (keys, metric, computed, archived, passed); a row that only
+    one side has fails."""
+    long = lambda df, name: df.select(*keys, *[F.col(m).cast("double") for m in metrics]).unpivot(keys, metrics, "metric", name)
+    both = long(computed, "computed").join(long(archive, "archived"), [*keys, "metric"], "full")
+    close = F.coalesce(F.abs(F.col("computed") - F.col("archived")) <= tolerance, F.lit(False))
+    return both.withColumn("passed", close)
+
+
+def content_digest(df: DataFrame) -> str:
+    """A digest of a table's rows that no order or partitioning can change: the row count and exact sums of two 64-bit
+    hashes of each row. Two inputs that differ in any line get different digests (up to hash collisions)."""
+    row = df.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")).alias("a"),
+        F.sum(F.xxhash64(F.lit(1), *df.columns).cast("decimal(38,0)")).alias("b"),
+    ).first()
+    return hashlib.sha256(f"{row['n']}|{row['a']}|{row['b']}".encode()).hexdigest()
+
+
+def build_id(assignment_id: str, input_digest: str) -> str:
+    """Identifier of a build: the assignment's id (schema, reference date, segments) together with its input."""
+    return hashlib.sha256(f"{assignment_id}|{input_digest}".encode()).hexdigest()[:20]
