@@ -74,5 +74,62 @@ def sharding() -> str:
     SELECT doc_id, CAST(size AS BIGINT) AS size, 'bytes' AS law, CAST({shard} AS INTEGER) AS shard FROM rows_"""
 
 
+#: The patterns as the contract states them (no possessive loops, no anchors), and the method's own kinds.
+PII_PATTERNS = (
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"),
+    ("ip", r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)"),
+    ("card", r"[0-9](?:[\x20-]?[0-9])+"),
+    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"),
+    ("iban", r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?"),
+    ("token", r"[0-9A-Fa-f]{32,}"),
+)
+
+
+def pii() -> str:
+    """Matches and the gaps between them, places as running sums of lengths, checks in SQL."""
+    from .pii import KINDS, WINDOW
+
+    found = " UNION ALL ".join(
+        f"SELECT rid, {n} AS kind, '{name}' AS name, unnest(generate_series(1, len(m))) AS i, unnest(m) AS value, unnest(g[1:len(m)]) AS gap, unnest(g[2:len(m) + 1]) AS after "
+        f"FROM (SELECT rid, regexp_extract_all(text, '{rx}') AS m, string_split_regex(text, '{rx}') AS g FROM docs) WHERE len(m) > 0"
+        for n, (name, rx) in enumerate(PII_PATTERNS))
+    context = " ".join(f"WHEN {n} THEN regexp_matches(before, '(?i)(?:{k.context})')" for n, k in enumerate(KINDS))
+    return rf"""
+    WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+    found AS ({found}),
+    placed AS (
+      SELECT *, regexp_replace(value, '[^0-9]', '', 'g') AS digits, replace(value, ' ', '') AS plain,
+             right(gap, {WINDOW}) AS before, left(after, 1) AS next,
+             sum(length(gap) + length(value)) OVER (PARTITION BY rid, kind ORDER BY i) AS stop
+      FROM found),
+    edged AS (SELECT *, NOT regexp_matches(before, '[A-Za-z0-9]$') AND NOT regexp_matches(next, '^[A-Za-z0-9]') AS edge FROM placed),
+    checked AS (
+      SELECT rid, kind, name, CAST(stop - length(value) AS BIGINT) AS start, CAST(stop AS BIGINT) AS stop, CASE kind {context} END AS near_word
+      FROM edged WHERE CASE name
+        WHEN 'ip' THEN list_bool_and(list_transform(string_split(value, '.'), lambda x: length(ltrim(x, '0')) <= 3 AND coalesce(TRY_CAST(right('000' || x, 3) AS INTEGER), 999) <= 255))
+        WHEN 'card' THEN length(digits) BETWEEN 16 AND 19 AND list_sum(list_transform(generate_series(0, length(digits) - 1),
+          lambda i: CASE WHEN i % 2 = 0 THEN CAST(reverse(digits)[i + 1] AS INTEGER)
+                         WHEN CAST(reverse(digits)[i + 1] AS INTEGER) > 4 THEN CAST(reverse(digits)[i + 1] AS INTEGER) * 2 - 9
+                         ELSE CAST(reverse(digits)[i + 1] AS INTEGER) * 2 END)) % 10 = 0
+        WHEN 'phone' THEN length(digits) BETWEEN 8 AND 15
+        WHEN 'iban' THEN edge AND length(plain) BETWEEN 15 AND 34 AND list_reduce(list_transform(
+          string_split(array_to_string(list_transform(string_split(plain[5:] || plain[:4], ''),
+            lambda c: CASE WHEN ascii(c) < 58 THEN c ELSE CAST(ascii(c) - 55 AS VARCHAR) END), ''), ''), lambda d: CAST(d AS INTEGER)),
+          lambda a, b: (a * 10 + b) % 97) = 1
+        WHEN 'token' THEN edge AND regexp_matches(before, '(?i)(?:token|secret|passw(?:or)?d|key)[^A-Za-z0-9]{{1,6}}$')
+        ELSE true END),
+    reports AS (
+      SELECT rid, count(*) FILTER (kind = 0) AS n_email, count(*) FILTER (kind = 1) AS n_ip, count(*) FILTER (kind = 2) AS n_card,
+             count(*) FILTER (kind = 3) AS n_phone,
+             string_agg(name || ':' || start || ':' || stop, ',' ORDER BY kind, start) FILTER (kind < 4) AS base,
+             string_agg(name || ':' || start || ':' || stop, ',' ORDER BY kind, start) AS spans,
+             max(50 + CASE WHEN name IN ('card', 'iban') THEN 30 ELSE 10 END + CASE WHEN near_word THEN 20 ELSE 0 END) / 100.0 AS best
+      FROM checked GROUP BY rid)
+    SELECT doc_id, CAST(coalesce(n_email, 0) AS BIGINT) AS n_email, CAST(coalesce(n_ip, 0) AS BIGINT) AS n_ip, CAST(coalesce(n_card, 0) AS BIGINT) AS n_card,
+           CAST(coalesce(n_phone, 0) AS BIGINT) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+           CAST(coalesce(best, 0) AS DOUBLE) AS best_score
+    FROM docs LEFT JOIN reports USING (rid)"""
+
+
 def all_oracles() -> dict[str, str]:
-    return {"op1_license_scan": license_scan()}
+    return {"op1_license_scan": license_scan(), "op7_pii": pii()}
