@@ -154,12 +154,16 @@ def redact(docs: DataFrame, kinds=KINDS, text_col: str = "text") -> DataFrame:
     for k in sorted(kinds, key=lambda k: rank.get(k.name, 9)):
         gaps, found = F.split(text, k.pattern, -1), F.regexp_extract_all(text, F.lit(k.pattern), F.lit(0))
         cell = F.arrays_zip(gaps.alias("gap"), found.alias("value"), F.slice(gaps, F.lit(2), F.size(gaps)).alias("next"))
-        tag = F.lit(f"[{k.name.upper()}]")
-
-        def piece(x: Column, k=k, tag=tag) -> Column:
-            confirmed = _valid(k.name, x["value"], F.right(x["gap"], F.lit(WINDOW)), F.left(x["next"], F.lit(1)))
-            return F.concat(x["gap"], F.when(x["value"].isNull(), F.lit("")).when(confirmed, tag).otherwise(x["value"]))
-
-        clean = F.array_join(F.transform(cell, piece), "")
+        clean = F.array_join(F.transform(cell, _replacement(k.name)), "")
         out = out.withColumn(text_col, F.when(text.rlike(k.hint), clean).otherwise(text))
     return out
+
+
+def _replacement(kind: str):
+    """A gap and what follows it: nothing after the last gap, the kind for a confirmed match, else the match itself."""
+
+    def piece(x: Column) -> Column:
+        confirmed = _valid(kind, x["value"], F.right(x["gap"], F.lit(WINDOW)), F.left(x["next"], F.lit(1)))
+        return F.concat(x["gap"], F.when(x["value"].isNull(), F.lit("")).when(confirmed, F.lit(f"[{kind.upper()}]")).otherwise(x["value"]))
+
+    return piece
