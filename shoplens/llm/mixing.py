@@ -8,8 +8,8 @@ its posterior, so rates are never stored between steps. The residual is weighted
 token Gram matrix over the documents that are not clipped, and a step is halved when the one before made things worse:
 a handful of steps is enough.
 
-The classifier is a softmax over the presence of the ``WORDS`` words whose document shares differ most between domains,
-learned from at most ``MAX_LABELLED`` labelled rows (by hash of the id; ids with crc32 mod 3 equal to 1 are left out).
+The classifier is a softmax over the presence of the ``WORDS`` terms whose document shares differ most between domains (terms:
+words without the marks around them, the marks that end words, and whether words are in capitals), learned from at most ``MAX_LABELLED`` labelled rows (by hash of the id; ids with crc32 mod 3 equal to 1 are left out).
 
 Null texts count as empty; documents without words get the posterior of the intercepts and no tokens, and their rate.
 Rows with a null domain are not learned from. Without labelled rows there is one domain and every rate is 1. A domain
@@ -33,10 +33,39 @@ from .quality import labelled_sample
 
 MAX_LABELLED = 12_000
 WORDS = 256
-LEAST_TEXTS = 15  # a word must be in so many labelled texts
+LEAST_TEXTS = 8  # a term must be in so many labelled texts
 STEPS, TOLERANCE = 30, 1e-5  # of all tokens
 
 
+MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
+
+
+def terms_of(word: bytes) -> tuple[bytes, ...]:
+    """Terms of a word: its lower-cased core, the marks behind it, and a sign for three or more capitals."""
+    bare = word.rstrip(MARKS)
+    core = bare.lstrip(MARKS)
+    out = (core.lower(),) if core else ()
+    if len(bare) < len(word):
+        out += (b"\x00" + word[len(bare):],)
+    if len(core) > 2 and core.isupper():
+        out += (b"\x00A",)
+    return out
+
+
+class TermIndex(dict):
+    """Word -> places of its known terms, remembered (memory only, no effect on results)."""
+
+    def __init__(self, known: dict[bytes, int]) -> None:
+        super().__init__()
+        self.known = known
+
+    def __missing__(self, word: bytes) -> tuple[int, ...]:
+        if len(self) >= 500_000:
+            self.clear()
+        found = self[word] = tuple(self.known[t] for t in terms_of(word) if t in self.known)
+        return found
+
+
 @dataclass
 class Domains:
     names: list
@@ -44,14 +73,14 @@ class Domains:
     weights: np.ndarray  # (words + 1) x domains, the last row the intercepts
 
     def posteriors(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-        """(tokens, posteriors) of whole texts: words are runs without ASCII white space, A-Z lower-cased."""
+        """(tokens, posteriors) of whole texts: words are runs without ASCII white space."""
         tokens = np.zeros(len(texts), np.int64)
         z = np.repeat(self.weights[-1][None, :], len(texts), 0)
-        known = self.words
+        index = TermIndex(self.words)
         for n, text in enumerate(texts):
-            words = text.lower().split() if text else []
+            words = text.split() if text else []
             tokens[n] = len(words)
-            at = {known[w] for w in words if w in known}
+            at = set().union(*map(index.__getitem__, set(words)))
             if at:
                 z[n] += self.weights[sorted(at)].sum(0)
         z = np.exp(z - z.max(1, keepdims=True))
@@ -93,7 +122,8 @@ def fit_domains(docs: DataFrame, labels: DataFrame, domain_col: str = "domain",
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = [sorted({known[w] for w in (t or b"").lower().split() if w in known}) for t in batch.column("text").to_pylist()]
+            index = TermIndex(known)
+            at = [sorted(set().union(*map(index.__getitem__, set((t or b"").split())))) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(at, pa.list_(pa.int32()))], names=["doc_id", "label", "at"])
 
     rows = sample.mapInArrow(present, "doc_id long, label string, at array<int>").toArrow().to_pylist()
@@ -109,7 +139,7 @@ def fit_domains(docs: DataFrame, labels: DataFrame, domain_col: str = "domain",
 def _text_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
-            words = sorted(set((text or b"").lower().split()))
+            words = sorted(set().union(*map(terms_of, set((text or b"").split()))))
             yield pa.RecordBatch.from_arrays([pa.array([label] * len(words), pa.string()), pa.array(words, pa.binary())], names=["label", "word"])
 
 
