@@ -32,11 +32,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 SPACE = "▁"
 HEAD = 45.0
 NODES, EDGES = 4_000_000, 8_000_000  # lattice kept in a worker; it starts anew beyond that (memory only, no effect on results)
 BATCH_CHARS = 1_000_000
+NO_CHAR = 0x1FFFFF  # stands for U+0000, whose column the space mark has; no piece holds either
 DENSE = 256  # code points below it have a column of their own in the trie (the space mark takes column 0)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -184,7 +186,7 @@ class Lattice:
         lengths = np.fromiter(map(len, units), np.int64, len(units))
         chars = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
         left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(chars))  # characters to the unit's end
-        columns = np.where(chars == ord(SPACE), 0, np.where(chars == 0, DENSE, chars))
+        columns = np.where(chars == ord(SPACE), 0, np.where(chars == 0, NO_CHAR, chars))
         at, state = np.arange(len(chars)), np.zeros(len(chars), np.int64)
         srcs, spans, labels = [], [], []
         lone = np.ones(len(chars), bool)
@@ -458,4 +460,4 @@ def decode_ids(samples: DataFrame, model_path: str | None = None, ids_col: str =
             texts = [v.decode(np.array(x or [], np.int64)).decode("utf-8", "replace") for x in batch.column(ids_col).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
 
-    return samples.mapInArrow(run, samples.schema.add("decoded", "string"))
+    return samples.mapInArrow(run, StructType([*samples.schema.fields, StructField("decoded", StringType())]))
