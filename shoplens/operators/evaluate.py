@@ -24,6 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .segments import adjusted_rand
 
 ROW_BLOCK = 2_000
@@ -156,9 +157,10 @@ def silhouettes(labelled: DataFrame, sizes: dict[int, list[int]], fit_order: dic
 def pairwise_ari(labelled: DataFrame, groups: dict[str, list[tuple[str, list[int], list[int]]]]) -> DataFrame:
     """ARI for every unordered pair of labelings inside each group.
 
-    ``groups[space]`` lists (group name, positions in the labels array, fit ids). Pairs are a
-    literal list (bounded by seeds²) expanded next to each customer; the contingency counts
-    are partial aggregates, so only (pair × k × k) rows are shuffled."""
+    ``groups[space]`` lists (group name, positions in the labels array, fit ids). Customers with
+    the same label vector are counted first, so the literal pair list (bounded by seeds²) is
+    expanded next to the distinct vectors only; stable seeds leave few of them. The contingency
+    counts are partial aggregates of (pair × k × k) rows, written once for their three readers."""
     entries = []
     for space, gl in groups.items():
         for gname, positions, fits in gl:
@@ -168,14 +170,15 @@ def pairwise_ari(labelled: DataFrame, groups: dict[str, list[tuple[str, list[int
     spark = labelled.sparkSession
     pairs = spark.createDataFrame(entries, "space string, grp string, pa int, pb int, fa long, fb long")
     by_space = pairs.groupBy("space").agg(F.collect_list(F.struct("grp", "pa", "pb", "fa", "fb")).alias("pl"))
+    vectors = labelled.groupBy("space", "labels").agg(F.count(F.lit(1)).alias("customers"))
     cells = (
-        labelled.join(F.broadcast(by_space), "space")
-        .select("labels", F.inline("pl"))
-        .select("grp", "fa", "fb", F.element_at("labels", F.col("pa") + 1).alias("la"), F.element_at("labels", F.col("pb") + 1).alias("lb"))
+        vectors.join(F.broadcast(by_space), "space")
+        .select("labels", "customers", F.inline("pl"))
+        .select("grp", "fa", "fb", F.element_at("labels", F.col("pa") + 1).alias("la"), F.element_at("labels", F.col("pb") + 1).alias("lb"), "customers")
         .groupBy("grp", "fa", "fb", "la", "lb")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("customers").alias("n"))
     )
-    return ari_from_cells(cells, ["grp", "fa", "fb"])
+    return ari_from_cells(materialize(cells, "ari-cells"), ["grp", "fa", "fb"])
 
 
 def ari_from_cells(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
