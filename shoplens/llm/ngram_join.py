@@ -4,13 +4,15 @@
 2. In hash order, two sets that reach the threshold share at least ``l`` of their first ``p - 1 + l`` tokens (``p`` is the
    usual prefix length). Only these *extended prefixes* are exploded and counted; a class whose extended prefix
    shares fewer tokens with others than any partner would need is done: nothing can be linked with it.
-3. For the classes left, tokens that no other class holds are dropped and the rest ordered by rarity; the first
-   ones are the joinable prefix. Classes with the same size and the same joinable prefix form one *group*.
-4. Groups are joined on prefix tokens under the size filter. First each bucket's groups are checked against the bucket's
-   least group, and each group's members against their group's least member: as many pairs as members. Their links
-   are contracted to components; then every pair of groups that share a bucket is expanded, but only to members
-   whose components still differ. Pairs inside a component cannot change the result, so a large group of near copies
-   costs no square; no other pair is left out.
+3. The classes left get their whole sets counted. A token that no other class holds can be in no overlap, so a class with
+   more such tokens than any partner allows is done as well. For the rest, these tokens are dropped and the others
+   ordered by rarity; the first ones are the joinable prefix. Classes with the same size and the same joinable prefix form
+   one *group*.
+4. Groups are joined on prefix tokens under the size and overlap filters. First each bucket's groups are checked against the
+   bucket's group with the fewest tokens of its own, and each group's members against their group's least member: as
+   many pairs as members. Their links are contracted to components; then every pair of groups that share a bucket is
+   expanded, but only to members whose components still differ. Pairs inside a component cannot change the result, so a
+   large group of near copies costs no square; no other pair is left out.
 5. Pairs are verified on whole sets.
 
 Null and empty texts, and texts without words, have the empty set: size 0, linked with nothing, a component of their own.
@@ -40,8 +42,15 @@ def _needed(n: Column, percent: int) -> Column:
     return F.lit(1) + F.floor(F.ceil(n * percent / 100) / EXTRA)
 
 
-def _fits(a: Column, b: Column, percent: int) -> Column:
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+def _overlap(a: Column, b: Column, percent: int) -> Column:
+    """Least overlap of two sets of these sizes that reaches the threshold."""
+    return F.ceil((a + b) * percent / (100 + percent))
+
+
+def _possible(na: Column, own_a: Column, nb: Column, own_b: Column, percent: int) -> Column:
+    """Sizes are close enough, and neither set has more tokens of its own than the overlap leaves."""
+    need = _overlap(na, nb, percent)
+    return (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (na - own_a >= need) & (nb - own_b >= need)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -62,36 +71,46 @@ def _classes(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str)
 
     firsts = rows.where("n > 0").groupBy("digest").agg(F.min("row").alias("cid"), F.max("n").alias("n"), F.min_by("prefix", "row").alias("prefix"))
     tokens = firsts.select("cid", F.col("n").cast("int").alias("n"), F.explode("prefix").alias("token"))
-    shared = tokens.withColumn("df", F.count("*").over(Window.partitionBy("token"))).where("df > 1")
-    listed = shared.groupBy("cid", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("t"))
-    joinable = F.size("t") - _needed(F.col("n"), percent).cast("int") + 1
-    left = listed.where(joinable >= 1).select("cid", "n", F.transform(F.slice("t", F.lit(1), joinable), lambda x: x["token"]).alias("prefix"))
-    members = left.withColumn("gid", F.min("cid").over(Window.partitionBy("n", "prefix")))
+    left = _shared(tokens).groupBy("cid", "n").agg(F.count("*").alias("shared")).where(F.col("shared") >= _needed(F.col("n"), percent))
+    left = materialize(left.select("cid"), "classes-left")
+    sets = _whole_sets(source, left, classes, k)
+
+    # whole sets: first among all classes left, then among those that can still have a partner
+    counted = _shared(sets.select("cid", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))).groupBy("cid", "n").agg(
+        F.count("*").alias("shared")).where(F.col("shared") >= F.ceil(F.col("n") * percent / 100))
+    sets = materialize(sets.join(counted.select("cid"), "cid", "left_semi"), "sets")
+    listed = _shared(sets.select("cid", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))).groupBy("cid", "n").agg(
+        F.sort_array(F.collect_list(F.struct("df", "token"))).alias("t"))
+    own = F.col("n") - F.size("t")
+    joinable = F.size("t") - F.ceil(F.col("n") * percent / 100).cast("int") + 1
+    members = listed.where(joinable >= 1).select("cid", "n", own.alias("own"), F.transform(F.slice("t", F.lit(1), joinable), lambda x: x["token"]).alias("prefix"))
+    members = members.withColumn("gid", F.min("cid").over(Window.partitionBy("n", "prefix")))  # same size and prefix: same ``own``
     members = materialize(members, "prefix-groups")
 
-    sets = _whole_sets(source, members, classes, k)
-    buckets = members.where("gid = cid").select("gid", "n", F.explode("prefix").alias("token"))
-    least = F.min(F.struct("gid", "n")).over(Window.partitionBy("token"))
-    star = buckets.withColumn("least", least).where(F.col("gid") > F.col("least.gid")).where(_fits(F.col("n"), F.col("least.n"), percent))
-    first = star.select(F.col("least.gid").alias("a"), F.col("gid").alias("b")).unionByName(
+    buckets = members.where("gid = cid").select("gid", "n", "own", F.explode("prefix").alias("token"))
+    least = F.min(F.struct("own", "gid", "n")).over(Window.partitionBy("token"))
+    star = buckets.withColumn("least", least).where(F.col("gid") != F.col("least.gid")).where(
+        _possible(F.col("n"), F.col("own"), F.col("least.n"), F.col("least.own"), percent))
+    first = star.select(F.least("least.gid", "gid").alias("a"), F.greatest("least.gid", "gid").alias("b")).unionByName(
         members.where("gid < cid").select(F.col("gid").alias("a"), F.col("cid").alias("b"))).distinct()
     first = materialize(first, "pairs")
     links = materialize(_verified(first, sets, percent), "links")
     reached = connected_components(links, "a", "b")
 
-    placed = members.select("cid", "gid", "n").join(reached.withColumnRenamed("node", "cid"), "cid", "left").select(
-        "cid", "gid", "n", F.coalesce("component", "cid").alias("comp"))
+    placed = members.select("cid", "gid", "n", "own").join(reached.withColumnRenamed("node", "cid"), "cid", "left").select(
+        "cid", "gid", "n", "own", F.coalesce("component", "cid").alias("comp"))
     placed = materialize(placed, "placed")
-    parts = placed.select("gid", "n", "comp").distinct()
-    spread = buckets.select("gid", "token").join(parts, "gid")
+    parts = placed.select("gid", "comp").distinct()
+    spread = buckets.join(parts, "gid")
     open_ = spread.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
     spread = spread.join(open_, "token")
-    x = spread.select("token", F.col("gid").alias("ga"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-    y = spread.select("token", F.col("gid").alias("gb"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
-    crossed = x.join(y, (x["token"] == y["token"]) & (F.col("ca") < F.col("cb")) & _fits(F.col("na"), F.col("nb"), percent)).select(
-        "ga", "ca", "gb", "cb").distinct()
-    expanded = crossed.join(placed.select(F.col("gid").alias("ga"), F.col("comp").alias("ca"), F.col("cid").alias("a")), ["ga", "ca"]).join(
-        placed.select(F.col("gid").alias("gb"), F.col("comp").alias("cb"), F.col("cid").alias("b")), ["gb", "cb"]).select(
+    x = spread.select("token", *[F.col(c).alias(f"{c}_a") for c in ("gid", "n", "own", "comp")])
+    y = spread.select("token", *[F.col(c).alias(f"{c}_b") for c in ("gid", "n", "own", "comp")])
+    crossed = x.join(y, (x["token"] == y["token"]) & (F.col("comp_a") < F.col("comp_b"))
+                     & _possible(F.col("n_a"), F.col("own_a"), F.col("n_b"), F.col("own_b"), percent)).select(
+        "gid_a", "comp_a", "gid_b", "comp_b").distinct()
+    side = lambda e: placed.select(F.col("gid").alias(f"gid_{e}"), F.col("comp").alias(f"comp_{e}"), F.col("cid").alias(e))
+    expanded = crossed.join(side("a"), ["gid_a", "comp_a"]).join(side("b"), ["gid_b", "comp_b"]).select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     rest = _verified(expanded.join(first, ["a", "b"], "left_anti"), sets, percent)
     found = connected_components(links.unionByName(rest), "a", "b")
@@ -111,12 +130,17 @@ def ngram_components(docs: DataFrame, k: int = 3, percent: int = 90, id_col: str
     return rows.join(ids, "digest", "left").select("doc_id", F.col("n").alias("n_shingles"), own("least").alias("component_id"), own("doc").alias("class_id"))
 
 
+def _shared(tokens: DataFrame) -> DataFrame:
+    """Tokens (cid, n, token) that several classes hold, with their number of classes ``df``."""
+    return tokens.withColumn("df", F.count("*").over(Window.partitionBy("token"))).where("df > 1")
+
+
 def _whole_sets(source: DataFrame, members: DataFrame, classes: DataFrame, k: int) -> DataFrame:
     """(cid, tokens) of the classes that are left, from one more pass over their texts.
 
     A fixed-size bit table of ids lets other texts go before the shuffle; the join after it is exact."""
     left = classes.join(members.select("cid"), "cid", "left_semi").select("digest", "cid", "doc")
-    left = materialize(left, "classes-left")
+    left = materialize(left, "class-names")
     ids = left.select(F.col("doc").alias("doc_id")).distinct()
     texts = maybe_in(source.where("doc_id is not null"), "doc_id", ids).join(ids, "doc_id", "left_semi")
     nameless = source.where("doc_id is null")  # classes of rows without ids only
