@@ -5,8 +5,8 @@ that the expected domain token totals, sum of r * tokens * posterior, match the
 gradient, starting at rate 1. Each step is one aggregate over a narrow written table (tokens and posteriors); the
 driver sees one total per domain and adds one small vector, and a document's rate is the fold of those vectors over
 its posterior, so rates are never stored between steps. The residual is weighted by the inverse of the domains'
-token Gram matrix over the documents that are not clipped, and a step is halved when the one before made things worse:
-a handful of steps is enough.
+token Gram matrix over the documents that are not clipped, and a step that makes the residual larger is taken back and
+halved, so the fit only ever improves on rate 1.
 
 The classifier is a softmax over the presence of the ``WORDS`` terms whose document shares differ most between domains (terms:
 words without the marks around them, the marks that end words, and whether words are in capitals), learned from at most ``MAX_LABELLED`` labelled rows (by hash of the id; ids with crc32 mod 3 equal to 1 are left out).
@@ -35,6 +35,7 @@ MAX_LABELLED = 12_000
 WORDS = 256
 LEAST_TEXTS = 8  # a term must be in so many labelled texts
 STEPS, TOLERANCE = 30, 1e-5  # of all tokens
+RIDGE = 1e-6  # of all tokens; keeps the metric sound where a domain has next to none
 
 
 MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
@@ -198,22 +199,24 @@ def fit_mix(table: DataFrame, domains: Domains, weights: dict[str, float]) -> Mi
     others = sum(have[g] for g in range(count) if g not in named)
     share = np.array([named.get(g, rest * have[g] / others if others else 0.0) for g in range(count)])
     targets = share / max(share.sum(), 1e-12) * total
-    steps, now, damp, last = [], have, 1.0, np.inf
+    steps, now, damp = [], have, 1.0
     for _ in range(STEPS):
         residual = (now - targets) / total
         size = np.abs(residual).max()
-        if size < TOLERANCE:
+        if size < TOLERANCE or damp < 1e-3:
             break
-        damp = damp / 2 if size > last else min(1.0, damp * 2)
-        last = size
         # the residual's metric is the Gram matrix of the documents whose rate is not at its bound: a full step would solve
-        # the problem if no further rate were clipped
-        steps.append(np.round(damp * np.linalg.pinv(gram / total + 1e-9 * np.eye(count)) @ residual, 12).tolist())
-        r = _rate_column(steps, count)
-        sums = table.select("*", r.alias("r")).agg(
+        # the problem if no further rate were clipped. A step that makes things worse is taken back and halved.
+        direction = np.linalg.pinv(gram / total + RIDGE * np.eye(count)) @ residual
+        tried = [*steps, np.round(damp * direction, 12).tolist()]
+        sums = table.select("*", _rate_column(tried, count).alias("r")).agg(
             *[exact(F.col("tokens") * F.col(f"p{g}") * F.col("r")) for g in range(count)],
             *[exact(F.when(F.col("r") > 0, F.col("tokens") * F.col(f"p{a}") * F.col(f"p{b}")).otherwise(0.0)) for a, b in pairs]).first()
-        now = np.array([float(x) for x in sums[:count]])
+        reached = np.array([float(x) for x in sums[:count]])
+        if np.abs(reached - targets).max() >= size * total:
+            damp /= 2
+            continue
+        steps, now, damp = tried, reached, min(1.0, damp * 2)
         for (a, b), x in zip(pairs, sums[count:], strict=True):
             gram[a, b] = gram[b, a] = float(x)
     return Mix(domains, steps, targets.tolist(), now.tolist())
