@@ -36,8 +36,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 SPACE = "▁"
 HEAD = 45.0
-NODES, EDGES = 4_000_000, 8_000_000  # lattice kept in a worker; it starts anew beyond that (memory only, no effect on results)
-BATCH_CHARS = 1_000_000
+NODES, EDGES = 1_500_000, 3_500_000  # lattice kept in a worker; it starts anew beyond that (memory only, no effect on results)
+BATCH_CHARS = 500_000
 NO_CHAR = 0x1FFFFF  # stands for U+0000, whose column the space mark has; no piece holds either
 DENSE = 256  # code points below it have a column of their own in the trie (the space mark takes column 0)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -302,13 +302,14 @@ def _siblings(lat: Lattice, path: Path, a: int, b: int) -> tuple[np.ndarray, np.
     return place, edge, before + lat.share[edge]
 
 
-def _open(lat: Lattice, seed: np.uint64, sample: int, path: Path, frontier: list, k: int) -> None:
-    """Frontier nodes beside a new path: siblings in its head, and one node for all later ones."""
+def _open(lat: Lattice, noise: np.ndarray, later: float, path: Path, frontier: list, k: int) -> None:
+    """Frontier nodes beside a new path: siblings in its head, and one node for all later ones. ``noise`` is the text's
+    stream for the siblings, ``later`` the uniform number of the later node."""
     done, length = path.fixed, len(path.edges)
     head = max(done, min(length, int(np.searchsorted(-path.sums, HEAD)) + 1))  # places with a likely enough beginning
     place, edge, phi = _siblings(lat, path, done, head)
     if len(edge):
-        value = _truncated(phi, path.perturbed, _uniform(_stream(seed, 7, sample, np.arange(len(edge)))))
+        value = _truncated(phi, path.perturbed, _uniform(_stream(noise, np.arange(len(edge)))))
         best = np.argsort(-value, kind="stable")[:k + 1]  # no more than k of them can be popped, and one bounds the rest
         frontier.extend((float(value[n]), path, int(place[n]), int(edge[n])) for n in best)
     if head < length:
@@ -316,8 +317,7 @@ def _open(lat: Lattice, seed: np.uint64, sample: int, path: Path, frontier: list
         rest = path.sums[-1] - start
         if rest < -1e-12:
             phi = start + np.log(-np.expm1(rest))
-            value = _truncated(np.array([phi]), path.perturbed, _uniform(_stream(seed, 8, sample, np.zeros(1))))
-            frontier.append((float(value[0]), path, head, -1))
+            frontier.append((float(_truncated(phi, path.perturbed, later)), path, head, -1))
 
 
 def _open_later(lat: Lattice, seed: np.uint64, sample: int, value: float, path: Path, head: int, frontier: list) -> None:
@@ -342,8 +342,10 @@ def sample_batch(lat: Lattice, texts: list[str], seeds: np.ndarray, k: int) -> l
     emitted: list[list[Path]] = [[] for _ in texts]
     frontier: list[list] = [[] for _ in texts]
     bound = [None] * len(texts)
-    todo = [(n, None, 0, -1, float(-np.log(-np.log(_uniform(_stream(seeds[n], 1))[0])))) for n in range(len(texts))]
+    roots = -np.log(-np.log(_uniform(_stream(seeds, 1))))
+    todo = [(n, None, 0, -1, float(roots[n])) for n in range(len(texts))]
     for sample in range(k):
+        noise, later = _stream(seeds, 7, sample), _uniform(_stream(seeds, 8, sample, 0))
         # the rest of each new path, drawn for all texts in lockstep
         parts, owners, tails = [], [], []
         for n, path, place, edge, _ in todo:
@@ -372,7 +374,7 @@ def sample_batch(lat: Lattice, texts: list[str], seeds: np.ndarray, k: int) -> l
                 fixed = place + 1
             made = Path(mine, unit, value, fixed, np.cumsum(lat.share[mine]))
             emitted[n].append(made)
-            _open(lat, seeds[n], sample, made, frontier[n], k)
+            _open(lat, noise[n:n + 1], later[n], made, frontier[n], k)
         todo = []
         for n in range(len(texts)):
             if len(emitted[n]) != sample + 1:
