@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from .common import connected_components, materialize
 from .idfilter import maybe_in
@@ -53,6 +54,14 @@ def _possible(na: Column, own_a: Column, nb: Column, own_b: Column, percent: int
     return (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (na - own_a >= need) & (nb - own_b >= need)
 
 
+def _meets(percent: int) -> Column:
+    """Sides ``_a`` and ``_b`` of a bucket can be a pair, and the bucket's token stands in both sides' prefixes for this very
+    pair: the prefix of sets of unlike or equal size is shorter than the one a set needs for its smallest partner."""
+    need = _overlap(F.col("n_a"), F.col("n_b"), percent)
+    near = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
+    return near & (F.col("pos_a") <= F.col("n_a") - F.col("own_a") - need) & (F.col("pos_b") <= F.col("n_b") - F.col("own_b") - need)
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of classes whose sets reach the threshold. A class with many pairs is split by AQE on the narrow side."""
     left = pairs.join(sets.select(F.col("cid").alias("a"), F.col("tokens").alias("x")), "a")
@@ -87,7 +96,7 @@ def _classes(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str)
     members = members.withColumn("gid", F.min("cid").over(Window.partitionBy("n", "prefix")))  # same size and prefix: same ``own``
     members = materialize(members, "prefix-groups")
 
-    buckets = members.where("gid = cid").select("gid", "n", "own", F.explode("prefix").alias("token"))
+    buckets = members.where("gid = cid").select("gid", "n", "own", F.posexplode("prefix").alias("pos", "token"))
     least = F.min(F.struct("own", "gid", "n")).over(Window.partitionBy("token"))
     star = buckets.withColumn("least", least).where(F.col("gid") != F.col("least.gid")).where(
         _possible(F.col("n"), F.col("own"), F.col("least.n"), F.col("least.own"), percent))
@@ -104,10 +113,10 @@ def _classes(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str)
     spread = buckets.join(parts, "gid")
     open_ = spread.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
     spread = spread.join(open_, "token")
-    x = spread.select("token", *[F.col(c).alias(f"{c}_a") for c in ("gid", "n", "own", "comp")])
-    y = spread.select("token", *[F.col(c).alias(f"{c}_b") for c in ("gid", "n", "own", "comp")])
-    crossed = x.join(y, (x["token"] == y["token"]) & (F.col("comp_a") < F.col("comp_b"))
-                     & _possible(F.col("n_a"), F.col("own_a"), F.col("n_b"), F.col("own_b"), percent)).select(
+    sides = ("gid", "n", "own", "pos", "comp")
+    x = spread.select("token", *[F.col(c).alias(f"{c}_a") for c in sides])
+    y = spread.select("token", *[F.col(c).alias(f"{c}_b") for c in sides])
+    crossed = x.join(y, (x["token"] == y["token"]) & (F.col("comp_a") < F.col("comp_b")) & _meets(percent)).select(
         "gid_a", "comp_a", "gid_b", "comp_b").distinct()
     side = lambda e: placed.select(F.col("gid").alias(f"gid_{e}"), F.col("comp").alias(f"comp_{e}"), F.col("cid").alias(e))
     expanded = crossed.join(side("a"), ["gid_a", "comp_a"]).join(side("b"), ["gid_b", "comp_b"]).select(
@@ -159,8 +168,8 @@ def deduplicate(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "d
     asked = found.where(~F.col("doc_id").eqNullSafe(F.col("least"))).select("doc_id").unionByName(repeated.select("doc_id")).distinct()
     suspects, sure = maybe_in(docs, id_col, materialize(asked, "suspects"), split=True)
     texts = [c for c in docs.columns if c != text_col]
-    marked = suspects.select(*texts, F.col(text_col).cast("binary").alias("text_")).mapInArrow(
-        digest_batches(k), suspects.select(*texts, F.col(text_col).cast("binary").alias("text_")).schema.add("digest_", "binary"))
+    source = suspects.select(*texts, F.col(text_col).cast("binary").alias("text_"))
+    marked = source.mapInArrow(digest_batches(k), StructType([*source.schema.fields, StructField("digest_", BinaryType())]))
     tied = marked.join(ids.select(F.col("digest").alias("digest_"), F.col("component").alias("component_"), F.col("least").alias("least_")), "digest_", "left")
     chosen = tied.where("component_ is not null").where(F.col(id_col).cast("long").eqNullSafe(F.col("least_"))).dropDuplicates(["component_"])
     kept = tied.where("component_ is null").unionByName(chosen).withColumn(text_col, F.col("text_").cast("string"))
