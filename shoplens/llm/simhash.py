@@ -84,7 +84,7 @@ def near_pairs(asked: DataFrame, held: DataFrame, radius: int = 3, blocks: int =
         first = F.when(differ.bitwiseAND(m) == 0, n).otherwise(first)
     a, b = keyed(asked, "q"), keyed(held, "fp")
     on = (a["t"] == b["t"]) & (a["key"] == b["key"]) & (F.bit_count(differ) <= radius) & (first == a["t"])
-    return a.join(b, on).drop("t", "key")
+    return a.hint("merge").join(b, on).drop("t", "key")  # keys are exploded: sizes known before that say nothing
 
 
 def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -130,9 +130,10 @@ def fingerprint_report(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     edited = F.concat(F.substring("text", F.lit(1), chars - half), F.substring(F.coalesce(F.col("after"), F.lit("")), F.lit(1), half))
     rows = placed.select("bucket", "n", "own", "doc_id", chars.alias("n_chars"), "text", edited.alias("edited"))
     facts = rows.select("bucket", "n", "own", "doc_id", F.col("n_chars").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
-    both = rows.select("bucket", "n", F.explode(F.array(F.struct(F.lit(0).alias("kind"), "text"), F.struct(F.lit(1).alias("kind"), F.col("edited").alias("text")))).alias("v")
-                       ).select("bucket", "n", "v.kind", "v.text")
-    prints = fingerprints(both, ["bucket", "n", "kind"]).groupBy("bucket", "n").agg(
+    # the same columns as ``facts`` takes, so that the one shuffle of the texts serves both
+    both = rows.select("bucket", "n", "own", "doc_id", F.explode(F.array(F.struct(F.lit(0).alias("kind"), "text"), F.struct(F.lit(1).alias("kind"), F.col("edited").alias("text")))).alias("v")
+                       ).select("bucket", "n", "own", "doc_id", "v.kind", "v.text")
+    prints = fingerprints(both, ["bucket", "n", "own", "doc_id", "kind"]).groupBy("bucket", "n").agg(
         F.max(F.when(F.col("kind") == 0, F.col("fp"))).alias("fp"), F.max(F.when(F.col("kind") == 1, F.col("fp"))).alias("edited_fp"))
     joined = facts.join(prints, ["bucket", "n"])
     follows = Window.partitionBy("bucket").orderBy("n")
