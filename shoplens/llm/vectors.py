@@ -114,25 +114,26 @@ def _compare(threshold: float, needed: int):
                 u, v = u[near], v[near]
                 np.add.at(links, u, weight[v])
                 np.add.at(links, v, weight[u])
-                while len(u):  # hook the ends of each link to the least root around them, until nothing changes
-                    least = np.minimum(root[u], root[v])
-                    before = root.copy()
-                    for end in (u, v, before[u], before[v]):
-                        np.minimum.at(root, end, least)
-                    root = root[root]
-                    if (root == before).all():
-                        break
-        root = _settled(root)
+                root = _hooked(root, u, v)
         out = np.flatnonzero(links)
         return pa.table({"cid": pa.array(cid[out], pa.int64()), "links": pa.array(links[out], pa.int64()), "hook": pa.array(cid[root[out]], pa.int64())})
 
     return run
 
 
-def _settled(root: np.ndarray) -> np.ndarray:
-    while (root[root] != root).any():
-        root = root[root]
-    return root
+def _hooked(root: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """``root`` (the least of each set) after the links u-v. Only roots are hooked, so no set made before falls apart; a root
+    with links to several others takes the least, and its links stay until both their ends have one root."""
+    root = root.copy()
+    while True:
+        a, b = root[u], root[v]
+        apart = a != b
+        if not apart.any():
+            return root
+        u, v, a, b = u[apart], v[apart], a[apart], b[apart]
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while (root[root] != root).any():
+            root = root[root]
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec_id", vector_col: str = "embedding",

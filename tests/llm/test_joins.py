@@ -156,6 +156,31 @@ def test_vectors_on_the_given_table(spark, monkeypatch):
     assert sorted(tuple(r) for r in got) == sorted(brute_vectors(rows))
 
 
+def test_hooks_of_later_links_keep_earlier_ones():
+    batches = [[(0, 303), (1, 305), (2, 301), (2, 302), (3, 300), (3, 304)], [(300, 301), (302, 303), (304, 305)]]
+    root = np.arange(306)
+    for links in batches:
+        root = vectors._hooked(root, *np.array(links).T)
+    assert {n for n in range(306) if root[n] != n or n == 0} == {0, 1, 2, 3, 300, 301, 302, 303, 304, 305}
+    assert set(root[[n for pair in sum(batches, []) for n in pair]]) == {0}
+
+
+def test_long_shuffled_chain_in_one_part(spark):
+    rng = np.random.default_rng(0)
+    first = vectors.directions(64)[:, 0]
+    chain = []
+    for _ in range(640):  # steps across the first direction: all vectors lie in one strip
+        step = rng.standard_normal(64)
+        step -= step @ first * first
+        if chain:
+            step -= step @ chain[-1] * chain[-1]
+        step /= np.linalg.norm(step)
+        chain.append(np.cos(0.28) * chain[-1] + np.sin(0.28) * step if chain else step)
+    rows = [(n, (chain[c] + 0.1 * first).tolist(), 0) for n, c in enumerate(rng.permutation(640))]
+    got = sorted(tuple(r) for r in vectors.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect())
+    assert got == sorted(brute_vectors(rows)) and {g[2] for g in got} == {0}
+
+
 def test_empty_tables(spark):
     assert ngram_join.ngram_components(spark.createDataFrame([], "doc_id long, text string")).collect() == []
     assert vectors.near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
