@@ -22,7 +22,7 @@ never the least id unless the class has no other. Extra columns are ignored; an
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
@@ -79,6 +79,7 @@ def _classes(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str)
     classes = rows.groupBy("digest").agg(F.min("row").alias("cid"), F.min("doc_id").alias("doc"), F.max("n").alias("n"))
 
     firsts = rows.where("n > 0").groupBy("digest").agg(F.min("row").alias("cid"), F.max("n").alias("n"), F.min_by("prefix", "row").alias("prefix"))
+    firsts = materialize(firsts, "prefixes")  # read twice below: for the counts and for the rows that they meet
     tokens = firsts.select("cid", F.col("n").cast("int").alias("n"), F.explode("prefix").alias("token"))
     left = _shared(tokens).groupBy("cid", "n").agg(F.count("*").alias("shared")).where(F.col("shared") >= _needed(F.col("n"), percent))
     left = materialize(left.select("cid"), "classes-left")
@@ -93,12 +94,12 @@ def _classes(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str)
     own = F.col("n") - F.size("t")
     joinable = F.size("t") - F.ceil(F.col("n") * percent / 100).cast("int") + 1
     members = listed.where(joinable >= 1).select("cid", "n", own.alias("own"), F.transform(F.slice("t", F.lit(1), joinable), lambda x: x["token"]).alias("prefix"))
-    members = members.withColumn("gid", F.min("cid").over(Window.partitionBy("n", "prefix")))  # same size and prefix: same ``own``
-    members = materialize(members, "prefix-groups")
+    members = materialize(members.withColumn("key", F.md5(F.col("prefix").cast("string"))), "prefixes")
+    groups = materialize(members.groupBy("n", "key").agg(F.min("cid").alias("gid")), "groups")  # same size and prefix: same ``own``
+    members = materialize(members.hint("merge").join(groups, ["n", "key"]).drop("key"), "prefix-groups")
 
     buckets = members.where("gid = cid").select("gid", "n", "own", F.posexplode("prefix").alias("pos", "token"))
-    least = F.min(F.struct("own", "gid", "n")).over(Window.partitionBy("token"))
-    star = buckets.withColumn("least", least).where(F.col("gid") != F.col("least.gid")).where(
+    star = _with_least(buckets).where(F.col("gid") != F.col("least.gid")).where(
         _possible(F.col("n"), F.col("own"), F.col("least.n"), F.col("least.own"), percent))
     first = star.select(F.least("least.gid", "gid").alias("a"), F.greatest("least.gid", "gid").alias("b")).unionByName(
         members.where("gid < cid").select(F.col("gid").alias("a"), F.col("cid").alias("b"))).distinct()
@@ -140,8 +141,18 @@ def ngram_components(docs: DataFrame, k: int = 3, percent: int = 90, id_col: str
 
 
 def _shared(tokens: DataFrame) -> DataFrame:
-    """Tokens (cid, n, token) that several classes hold, with their number of classes ``df``."""
-    return tokens.withColumn("df", F.count("*").over(Window.partitionBy("token"))).where("df > 1")
+    """Tokens (cid, n, token) that several classes hold, with their number of classes ``df``.
+
+    Counts are added up in every task first and stored, so that both sides of the join come straight from a shuffle: AQE can
+    split a token that many classes hold. Most tokens of one class leave by the bit table before they are shuffled."""
+    counts = materialize(tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "token-counts")
+    return maybe_in(tokens, "token", counts.select("token")).hint("merge").join(counts, "token")
+
+
+def _with_least(buckets: DataFrame) -> DataFrame:
+    """Each row of a bucket with ``least``, the bucket's group with the fewest tokens of its own; planned as ``_shared``."""
+    least = buckets.groupBy("token").agg(F.min(F.struct("own", "gid", "n")).alias("least"), F.count("*").alias("df")).where("df > 1")
+    return buckets.hint("merge").join(materialize(least.drop("df"), "bucket-least"), "token")
 
 
 def _whole_sets(source: DataFrame, members: DataFrame, classes: DataFrame, k: int) -> DataFrame:

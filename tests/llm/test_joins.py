@@ -91,6 +91,18 @@ def test_one_of_each_component_stays(spark, case):
     assert sorted(str(r.doc_id) for r in kept if not shingles(r.text, 5)) == empties
 
 
+def test_hot_tokens_are_counted_without_a_window(spark):
+    held = [(c, 3, t) for c in range(300) for t in (7, 1000 + c, 2000 + c // 2)]
+    shared = ngram_join._shared(spark.createDataFrame(held, "cid long, n int, token long"))
+    assert sorted((r.cid, r.token, r.df) for r in shared.collect()) == sorted((c, t, 300 if t == 7 else 2) for c, _, t in held if not 1000 <= t < 2000)
+    groups = [(g, 9, 300 - g, 0, 7) for g in range(300)] + [(300, 9, 0, 0, 8)]
+    least = ngram_join._with_least(spark.createDataFrame(groups, "gid long, n int, own int, pos int, token long"))
+    assert {tuple(r.least) for r in least.where("token = 7").collect()} == {(1, 299, 9)}
+    for df in (shared, least):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan and "SortMergeJoin" in plan
+
+
 def test_long_chain_and_star_components(spark):
     edges = [(n, n + 1) for n in range(0, 120)] + [(1000, 1000 + n) for n in range(1, 200)] + [(5000, 5001), (5001, 5000), (7, 7)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
