@@ -66,18 +66,22 @@ def license_spans(docs: DataFrame, templates=TEMPLATES, k: int = K, slack: int =
     grams = tokens.select("row", "doc_id", F.size("words").alias("n_words"), pair_words("words", k).alias("grams_"))
     hits = grams.select("row", "doc_id", "n_words", F.posexplode_outer("grams_").alias("pos", "h")).join(
         F.broadcast(positions), "h", "left")
+    # bits of the template's k-grams that voted: one that votes again on a near diagonal covers nothing more
+    words = range(max((len(t.words.split()) - k for t in templates), default=0) // 63 + 1)
+    places = [F.bit_or(F.when(F.floor(F.col("tpos") / 63) == w, F.call_function("shiftleft", F.lit(1).cast("long"), F.col("tpos") % 63))).alias(f"bits{w}")
+              for w in words]
     votes = hits.groupBy("row", "doc_id", "n_words", "tpl", "label", "base", "grams",
-                         (F.col("pos") - F.col("tpos")).alias("diagonal")).agg(F.count("tpos").alias("votes"))
-    # single votes of longer templates are noise of common word pairs; exact phrases need all their votes at once
-    kept = votes.where(F.col("tpl").isNull() | F.when(F.col("base"), F.col("votes") == F.col("grams"))
-                       .otherwise(F.col("votes") >= F.least(F.lit(2), F.col("grams"))))
+                         (F.col("pos") - F.col("tpos")).alias("diagonal")).agg(F.count("tpos").alias("votes"), *places)
+    # exact phrases need all their votes at once; a lone vote of a notice counts if its span is covered
+    kept = votes.where(F.col("tpl").isNull() | ~F.col("base") | (F.col("votes") == F.col("grams")))
     order = Window.partitionBy("row", "tpl").orderBy("diagonal")
     step = F.col("diagonal") - F.lag("diagonal").over(order)
     marked = kept.withColumn("opens", F.when(F.col("base") | step.isNull() | (step > slack), 1).otherwise(0))
     merged = marked.withColumn("span", F.sum("opens").over(order)).groupBy(
         "row", "doc_id", "n_words", "tpl", "label", "base", "grams", "span").agg(
-        F.greatest(F.min("diagonal"), F.lit(0)).cast("long").alias("start"), F.sum("votes").alias("votes"))
-    cover = F.least(F.col("votes") / F.col("grams"), F.lit(1.0))
+        F.greatest(F.min("diagonal"), F.lit(0)).cast("long").alias("start"), F.sum("votes").alias("votes"),
+        sum((F.bit_count(F.coalesce(F.bit_or(f"bits{w}"), F.lit(0).cast("long"))) for w in words), F.lit(0)).alias("covered"))
+    cover = F.col("covered") / F.col("grams")
     verified = F.col("tpl").isNotNull() & (cover >= min_cover)
     return merged.select(
         "row", "doc_id", F.col("n_words").cast("long").alias("n_words"),

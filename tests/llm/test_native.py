@@ -58,6 +58,12 @@ def test_license_notice_with_gaps_is_labelled(spark):
     assert r[1].labels == "" and r[1].score == 0
 
 
+def test_license_lone_votes_count_in_their_span_once(spark):
+    texts = ["licensed under both the apache license version 2 0", "all rights all rights"]
+    got = {r.doc_id: r for r in licenses.license_report(make_docs(spark, list(enumerate(texts)))).collect()}
+    assert got[0].labels == "apache,apache-2.0" and got[1].labels == ""
+
+
 @pytest.mark.parametrize("name", ["op1_license_scan", "op7_pii"])
 def test_oracles(spark, duck, name):
     got = E.queries()[name](spark, SF_SMALL).toPandas()
