@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, licenses, mixing, ngram_join, pii, quality, segment, sharding, simhash, vectors
+from . import conversations, language, licenses, mixing, ngram_join, pii, quality, segment, sharding, simhash, vectors
 from .common import read_table
 
 
@@ -62,11 +62,16 @@ def op10_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segment.sample_segmentations(read_table(spark, sf_dir, "documents"), k=2)
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_conversations(conversations.damage(read_table(spark, sf_dir, "conversations")), alive="alive")
+
+
 #: For the pipeline, whose first stage has taken poor documents out: less toxic text, the other domains as they stand. A
 #: target of 0 is no choice here: with soft membership every document has a share in every domain.
 PIPELINE_WEIGHTS = {"good-toxic": 0.03}
 
 
 def registry() -> dict:
-    found = [op1_license_scan, op2_quality, op3_ngram_join, op4_sharding, op5_language, op6_fingerprints, op7_pii, op8_near_vectors, op9_mixing, op10_sampled_pieces]
+    found = [op1_license_scan, op2_quality, op3_ngram_join, op4_sharding, op5_language, op6_fingerprints, op7_pii, op8_near_vectors, op9_mixing, op10_sampled_pieces,
+             op12_conversation_repair]
     return {f.__name__: f for f in found}

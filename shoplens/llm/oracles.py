@@ -131,5 +131,64 @@ def pii() -> str:
     FROM docs LEFT JOIN reports USING (rid)"""
 
 
+def conversation_repair() -> str:
+    """Best edits by dynamic programming over (rows decided, role state), with the repaired lines carried along; the checksum
+    of the damage is computed bit by bit."""
+    crc = ("xor(list_reduce(list_prepend(4294967295, list_transform(string_split(key, ''), lambda c: CAST(ascii(c) AS BIGINT))), "
+           "lambda acc, b: list_reduce([xor(acc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)")
+    white = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return rf"""
+    WITH RECURSIVE keyed AS (
+      SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+             coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+    hits AS (SELECT *, {crc} % 20 AS hit FROM keyed),
+    damaged AS (
+      SELECT conv_id, turn, CASE WHEN hit = 4 THEN 'user' ELSE role END AS role,
+             CASE hit WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+             unnest(CASE WHEN hit = 3 THEN [0, 1] ELSE [0] END) AS copy
+      FROM hits WHERE hit <> 0),
+    ended AS (
+      SELECT *, rtrim(text, {white}) AS body, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i
+      FROM damaged),
+    faults AS (
+      SELECT *, CASE WHEN body = '' THEN 1 WHEN seen > 1 THEN 2 WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+             left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+      FROM ended),
+    counts AS (
+      SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank,
+             count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+             count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n
+      FROM faults GROUP BY conv_id),
+    inserts(p, letters, cost, q, added) AS (VALUES
+      (0, '', 0, 0, []::VARCHAR[]), (1, '', 0, 1, []), (2, '', 0, 2, []), (3, '', 0, 3, []),
+      (0, 'I', 3, 2, ['user:']), (1, 'I', 3, 2, ['user:']), (2, 'I', 3, 3, ['assistant:']), (3, 'I', 3, 2, ['user:']),
+      (0, 'II', 6, 3, ['user:', 'assistant:']), (1, 'II', 6, 3, ['user:', 'assistant:'])),
+    best AS (
+      SELECT conv_id, CAST(0 AS BIGINT) AS i, 0 AS state, CAST(0 AS BIGINT) AS cost, '' AS audit, []::VARCHAR[] AS lines FROM counts
+      UNION ALL
+      SELECT conv_id, i, state, cost, audit, lines FROM (
+        SELECT b.conv_id, f.i, e.state, b.cost + s.cost + e.cost AS cost, b.audit || s.letters || e.letter AS audit,
+               list_concat(list_concat(b.lines, s.added), e.line) AS lines
+        FROM best b JOIN inserts s ON s.p = b.state JOIN faults f ON f.conv_id IS NOT DISTINCT FROM b.conv_id AND f.i = b.i + 1,
+        LATERAL (
+          SELECT 'D' AS letter, 4 AS cost, s.q AS state, []::VARCHAR[] AS line
+          UNION ALL SELECT 'R', CASE WHEN f.fault = 3 THEN 6 ELSE 3 END, CASE WHEN s.q = 2 THEN 3 ELSE 2 END,
+                           [CASE WHEN s.q = 2 THEN 'assistant:' ELSE 'user:' END || f.text] WHERE f.fault NOT IN (1, 2)
+          UNION ALL SELECT 'K', CASE WHEN f.fault = 3 THEN 3 ELSE 0 END, CASE f.initial WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END, [f.role || ':' || f.text]
+                    WHERE f.fault NOT IN (1, 2) AND CASE f.initial WHEN 's' THEN s.q = 0 WHEN 'u' THEN s.q <> 2 WHEN 'a' THEN s.q = 2 ELSE false END) e)
+      QUALIFY row_number() OVER (PARTITION BY conv_id, i, state ORDER BY cost, audit) = 1),
+    ends AS (
+      SELECT b.conv_id, b.cost + s.cost AS cost, b.audit || s.letters AS audit, list_concat(b.lines, s.added) AS lines
+      FROM best b JOIN counts c ON c.conv_id IS NOT DISTINCT FROM b.conv_id AND c.n = b.i JOIN inserts s ON s.p = b.state AND s.q IN (0, 3)
+      QUALIFY row_number() OVER (PARTITION BY b.conv_id ORDER BY b.cost + s.cost, b.audit || s.letters) = 1)
+    SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+           CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+           CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost, coalesce(audit, '') AS audit,
+           sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) o
+    LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM o.conv_id"""
+
+
 def all_oracles() -> dict[str, str]:
-    return {"op1_license_scan": license_scan(), "op7_pii": pii()}
+    return {"op1_license_scan": license_scan(), "op7_pii": pii(), "op12_conversation_repair": conversation_repair()}
