@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import conversations, language, licenses, mixing, ngram_join, pii, quality, segment, sharding, simhash, vectors
+from shoplens.session import ensure_checkpoint_dir
+
+from . import conversations, language, licenses, mixing, ngram_join, pii, quality, secrets, segment, sharding, simhash, vectors
 from .common import read_table
 
 
@@ -66,6 +70,12 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair_conversations(conversations.damage(read_table(spark, sf_dir, "conversations")), alive="alive")
 
 
+def op13_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every call starts a ledger of its own, so all blobs are new to it."""
+    docs = read_table(spark, sf_dir, "documents")
+    return secrets.secret_report(docs, secrets.scan(docs, f"{ensure_checkpoint_dir(spark).rstrip('/')}/shoplens-ledger-{uuid.uuid4().hex[:12]}"))
+
+
 #: For the pipeline, whose first stage has taken poor documents out: less toxic text, the other domains as they stand. A
 #: target of 0 is no choice here: with soft membership every document has a share in every domain.
 PIPELINE_WEIGHTS = {"good-toxic": 0.03}
@@ -73,5 +83,5 @@ PIPELINE_WEIGHTS = {"good-toxic": 0.03}
 
 def registry() -> dict:
     found = [op1_license_scan, op2_quality, op3_ngram_join, op4_sharding, op5_language, op6_fingerprints, op7_pii, op8_near_vectors, op9_mixing, op10_sampled_pieces,
-             op12_conversation_repair]
+             op12_conversation_repair, op13_secret_ledger]
     return {f.__name__: f for f in found}

@@ -190,5 +190,41 @@ def conversation_repair() -> str:
     LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM o.conv_id"""
 
 
+#: The patterns as the contract states them, in the order of kinds, and the method's own; then what a match must pass.
+SECRET_PATTERNS = (
+    ("assign", """([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"""
+               """["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)""", "length(regexp_extract(value, '[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)$', 1)) >= 12"),
+    ("access", "AKIA[A-Z0-9]+", "length(value) >= 18"),
+    ("hex", "[0-9a-f]+", "length(value) >= 16"),
+    ("private-key", "-----BEGIN ([A-Z]+ ){0,3}PRIVATE KEY-----", "true"),
+    ("hosted-token", "(ghp|gho|ghs|ghu|glpat|xox[abprs])[_-][A-Za-z0-9_-]{16,}", "true"),
+    ("web-token", r"eyJ[A-Za-z0-9_-]{6,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", "true"),
+    ("url-login", r"://[A-Za-z0-9._~-]{1,64}:[^\x00-\x20/@:]{3,128}@", "true"),
+)
+
+
+def secret_ledger() -> str:
+    """Matches of whole texts, with no blobs and no ledger."""
+    found = " UNION ALL ".join(
+        f"SELECT rid, {n} AS kind, '{name}' AS name, i, value, gap FROM (SELECT rid, unnest(generate_series(1, len(m))) AS i, unnest(m) AS value, unnest(g[1:len(m)]) AS gap "
+        f"FROM (SELECT rid, regexp_extract_all(text, '{rx}') AS m, string_split_regex(text, '{rx}') AS g FROM docs) WHERE len(m) > 0)"
+        for n, (name, rx, _) in enumerate(SECRET_PATTERNS))
+    checks = " ".join(f"WHEN {n} THEN {check}" for n, (_, _, check) in enumerate(SECRET_PATTERNS))
+    return f"""
+    WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+    found AS ({found}),
+    placed AS (SELECT *, sum(length(gap) + length(value)) OVER (PARTITION BY rid, kind ORDER BY i) AS stop FROM found),
+    kept AS (SELECT rid, kind, name, CAST(stop - length(value) AS BIGINT) AS start, CAST(stop AS BIGINT) AS stop FROM placed WHERE CASE kind {checks} END),
+    reports AS (
+      SELECT rid, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+             string_agg(name || ':' || start || ':' || stop, ',' ORDER BY start, kind) FILTER (kind < 3) AS base,
+             string_agg(name || ':' || start || ':' || stop, ',' ORDER BY start, kind) AS spans
+      FROM kept GROUP BY rid)
+    SELECT doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign, CAST(coalesce(n_access, 0) AS BIGINT) AS n_access,
+           CAST(coalesce(n_hex, 0) AS BIGINT) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, sha256(text) AS blob
+    FROM docs LEFT JOIN reports USING (rid)"""
+
+
 def all_oracles() -> dict[str, str]:
-    return {"op1_license_scan": license_scan(), "op7_pii": pii(), "op12_conversation_repair": conversation_repair()}
+    return {"op1_license_scan": license_scan(), "op7_pii": pii(), "op12_conversation_repair": conversation_repair(),
+            "op13_secret_ledger": secret_ledger()}
