@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shoplens.session import ensure_checkpoint_dir
 
-from . import conversations, language, licenses, mixing, ngram_join, pii, quality, secrets, segment, sharding, simhash, vectors
+from . import alignment, conversations, language, licenses, mixing, ngram_join, pii, quality, secrets, segment, sharding, simhash, vectors
 from .common import read_table
 
 
@@ -66,6 +66,10 @@ def op10_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segment.sample_segmentations(read_table(spark, sf_dir, "documents"), k=2)
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_report(read_table(spark, sf_dir, "documents"))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair_conversations(conversations.damage(read_table(spark, sf_dir, "conversations")), alive="alive")
 
@@ -83,5 +87,5 @@ PIPELINE_WEIGHTS = {"good-toxic": 0.03}
 
 def registry() -> dict:
     found = [op1_license_scan, op2_quality, op3_ngram_join, op4_sharding, op5_language, op6_fingerprints, op7_pii, op8_near_vectors, op9_mixing, op10_sampled_pieces,
-             op12_conversation_repair, op13_secret_ledger]
+             op11_token_alignment, op12_conversation_repair, op13_secret_ledger]
     return {f.__name__: f for f in found}
