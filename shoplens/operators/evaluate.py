@@ -1,18 +1,16 @@
-"""Evaluation of fitted labelings: inertia, cluster shares, exact silhouettes, pairwise ARI.
+"""Evaluation of fitted labelings: exact silhouettes and pairwise ARI.
 
-Silhouette (Euclidean, full population) is quadratic by definition. It is computed on
-block pairs so that no task ever holds more than one row block and one column block:
+Silhouette (Euclidean, full population) is quadratic by definition. It is computed on block pairs, so that no task ever
+holds more than one row block and one column block:
 
-* every point gets a row block (≈ ``ROW_BLOCK`` points) and a column block (≤ ``COL_BLOCK``);
-* a point travels once per column block as a *row* and once per row block as a *column*,
-  keyed by (space, row block, column block); ``applyInPandas`` on that key computes the
-  distances of the row points to the column points in chunks and, for every labeling,
-  the per-cluster distance sums (one matrix product per labeling);
-* with one column block (up to ``COL_BLOCK`` points per space) the task already has the
-  full sums and returns silhouette partial sums; with more, the per-point sums are added
-  up by a Spark aggregate first.
+* every point gets a row block and a column block; a point travels once per column block as a *row* and once per row
+  block as a *column*, keyed by (space, row block, column block);
+* a task lays the labels of its columns out as one 0/1 matrix (columns × clusters of all labelings) and takes one matrix
+  product per chunk of distances: the per-cluster distance sums of every labeling at once;
+* these sums are added up over column blocks by an aggregate, and the silhouette of a point is a native expression.
 
-Point pairs are never rows: only sums leave a task.
+One path serves every size. Point pairs are never rows: only sums leave a task. Labelings that are equal as partitions
+are evaluated once (``sweeps`` passes distinct ones).
 """
 
 from __future__ import annotations
@@ -28,134 +26,73 @@ from ..session import materialize
 from .segments import adjusted_rand
 
 ROW_BLOCK = 2_000
-COL_BLOCK = 20_000
+COL_CELLS = 4_000_000  # cells of a task's 0/1 matrix: columns of a block x clusters of all labelings
 CHUNK = 128
 
 
-def _silhouette_values(sums: np.ndarray, own: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Per point silhouette from per-cluster distance sums (rows × k), own labels, sizes (k)."""
-    n_own = sizes[own]
-    idx = np.arange(len(own))
-    a = np.where(n_own > 1, sums[idx, own] / np.maximum(n_own - 1, 1), 0.0)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        means = sums / sizes[None, :]
-    means[:, sizes == 0] = np.inf
-    means[idx, own] = np.inf
-    b = means.min(axis=1)
-    denom = np.maximum(a, b)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        s = np.where((n_own > 1) & (denom > 0) & np.isfinite(b), (b - a) / denom, 0.0)
-    return s
-
-
 def silhouettes(labelled: DataFrame, sizes: dict[int, list[int]], fit_order: dict[str, list[int]]) -> DataFrame:
-    """Mean silhouette per fit.
+    """Mean silhouette per fit: (fit, silhouette).
 
-    ``labelled``: (space, customer_id, x, y, z, labels) with ``labels`` an array aligned with
-    ``fit_order[space]``. ``sizes``: cluster sizes per fit (bounded by fits × k).
+    ``labelled``: (space, customer_id, x, y, z, labels) with ``labels`` an array aligned with ``fit_order[space]``.
+    ``sizes``: cluster sizes per fit (bounded by fits × k). A point alone in its cluster counts 0.
     """
     spark = labelled.sparkSession
     counts = {r["space"]: r["n"] for r in labelled.groupBy("space").agg(F.count(F.lit(1)).alias("n")).collect()}
-    plan = {sp: (max(1, -(-n // ROW_BLOCK)), max(1, -(-n // COL_BLOCK))) for sp, n in counts.items()}
-    rb_map = F.create_map(*[x for sp, (r, _) in plan.items() for x in (F.lit(sp), F.lit(r))])
-    cb_map = F.create_map(*[x for sp, (_, c) in plan.items() for x in (F.lit(sp), F.lit(c))])
-    h = F.xxhash64("customer_id")
-    base = labelled.withColumns(
-        {
-            "_rb": F.pmod(h, rb_map[F.col("space")]),
-            "_cb": F.pmod(F.xxhash64("customer_id", F.lit("c")), cb_map[F.col("space")]),
-            "_nrb": rb_map[F.col("space")],
-            "_ncb": cb_map[F.col("space")],
-        }
-    )
-    as_row = base.select(
-        "space", "customer_id", "x", "y", "z", "labels", "_rb",
-        F.explode(F.sequence(F.lit(0), F.col("_ncb") - 1)).alias("_cb"), F.lit(True).alias("_is_row"),
-    )
-    as_col = base.select(
-        "space", "customer_id", "x", "y", "z", "labels",
-        F.explode(F.sequence(F.lit(0), F.col("_nrb") - 1)).alias("_rb"), "_cb", F.lit(False).alias("_is_row"),
-    )
-    whole = {sp: c == 1 for sp, (_, c) in plan.items()}
-    sizes_b = {f: np.asarray(v, dtype=np.float64) for f, v in sizes.items()}
-    order_b = {sp: list(v) for sp, v in fit_order.items()}
+    order = {sp: list(v) for sp, v in fit_order.items()}
+    width = {f: len(v) for f, v in sizes.items()}
+    kmax = max(width.values(), default=1)
+    blocks = {}
+    for sp, n in counts.items():
+        columns = max(1, COL_CELLS // max(1, sum(width[f] for f in order[sp])))
+        blocks[sp] = (max(1, -(-n // ROW_BLOCK)), max(1, -(-n // columns)))
+    plan = spark.createDataFrame([(sp, r, c) for sp, (r, c) in blocks.items()], "space string, rbs int, cbs int")
+    base = labelled.select("space", "customer_id", "x", "y", "z", "labels").join(F.broadcast(plan), "space").withColumns(
+        {"rb": F.pmod(F.xxhash64("customer_id"), "rbs"), "cb": F.pmod(F.xxhash64("customer_id", F.lit("c")), "cbs")})
+    cells = ("space", "customer_id", "x", "y", "z", "labels")
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n).cast("bigint") - 1))
+    as_row = base.select(*cells, "rb", every("cbs").alias("cb"), F.lit(True).alias("is_row"))
+    as_col = base.select(*cells, every("rbs").alias("rb"), "cb", F.lit(False).alias("is_row"))
+    names = [f"s{j}" for j in range(kmax)]
 
     def block(pdf: pd.DataFrame) -> pd.DataFrame:
-        space = pdf["space"].iloc[0]
-        fits = order_b[space]
-        rows = pdf[pdf["_is_row"]]
-        cols = pdf[~pdf["_is_row"]]
-        if rows.empty or cols.empty:
-            return pd.DataFrame({"fit": pd.Series([], dtype="int64"), "customer_id": pd.Series([], dtype="str"),
-                                 "sums": pd.Series([], dtype="object"), "s_sum": pd.Series([], dtype="float64"),
-                                 "n": pd.Series([], dtype="int64")})
-        R = rows[["x", "y", "z"]].to_numpy(np.float64)
-        C = cols[["x", "y", "z"]].to_numpy(np.float64)
-        RL = np.stack(rows["labels"].to_numpy()).astype(np.int64)
-        CL = np.stack(cols["labels"].to_numpy()).astype(np.int64)
-        kmax = int(max(CL.max(), RL.max())) + 1
-        acc = np.zeros((len(R), len(fits), kmax))
-        for s0 in range(0, len(R), CHUNK):
-            D = np.sqrt(((R[s0 : s0 + CHUNK, None, :] - C[None, :, :]) ** 2).sum(axis=2))
-            for fi in range(len(fits)):
-                onehot = np.zeros((len(C), kmax))
-                onehot[np.arange(len(C)), CL[:, fi]] = 1.0
-                acc[s0 : s0 + CHUNK, fi, :] = D @ onehot
-        if whole[space]:
-            out_fit, out_s, out_n = [], [], []
-            for fi, f in enumerate(fits):
-                sz = sizes_b[f]
-                k = len(sz)
-                s = _silhouette_values(acc[:, fi, :k], RL[:, fi], sz)
-                out_fit.append(f)
-                out_s.append(float(s.sum()))
-                out_n.append(len(s))
-            return pd.DataFrame({"fit": out_fit, "customer_id": [None] * len(out_fit), "sums": [None] * len(out_fit),
-                                 "s_sum": out_s, "n": out_n})
-        ids = rows["customer_id"].to_numpy()
-        recs_fit, recs_id, recs_sums = [], [], []
-        for fi, f in enumerate(fits):
-            k = len(sizes_b[f])
-            recs_fit.extend([f] * len(ids))
-            recs_id.extend(ids)
-            recs_sums.extend(list(acc[:, fi, :k]))
-        return pd.DataFrame({"fit": recs_fit, "customer_id": recs_id, "sums": [list(map(float, v)) for v in recs_sums],
-                             "s_sum": [None] * len(recs_fit), "n": [None] * len(recs_fit)})
-
-    schema = "fit long, customer_id string, sums array<double>, s_sum double, n long"
-    parts = as_row.unionByName(as_col).groupBy("space", "_rb", "_cb").applyInPandas(block, schema)
-    done = parts.where(F.col("s_sum").isNotNull()).groupBy("fit").agg(F.sum("s_sum").alias("s"), F.sum("n").alias("n"))
-    if all(whole.values()):
-        return done.select("fit", (F.col("s") / F.col("n")).alias("silhouette"))
-    # Several column blocks: add the per-point sums over column blocks, then finish per point.
-    partial = parts.where(F.col("sums").isNotNull())
-    summed = partial.select("fit", "customer_id", F.posexplode("sums").alias("c", "v")).groupBy("fit", "customer_id", "c").agg(
-        F.sum("v").alias("v")
-    )
-    vec = summed.groupBy("fit", "customer_id").agg(F.sort_array(F.collect_list(F.struct("c", "v"))).alias("cv"))
-    size_rows = [(f, list(map(float, v))) for f, v in sizes.items()]
-    size_df = spark.createDataFrame(size_rows, "fit long, sizes array<double>")
-    own = labelled.select("space", "customer_id", F.posexplode("labels").alias("pos", "label"))
-    pos_df = spark.createDataFrame([(sp, i, f) for sp, fl in fit_order.items() for i, f in enumerate(fl)], "space string, pos int, fit long")
-    own = own.join(F.broadcast(pos_df), ["space", "pos"]).select("fit", "customer_id", "label")
-
-    def finish(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for f, g in pdf.groupby("fit"):
-            sz = np.asarray(list(g["sizes"].iloc[0]), dtype=np.float64)
-            sums = np.stack([np.array([e["v"] for e in cv], dtype=np.float64) for cv in g["cv"]])
-            s = _silhouette_values(sums, g["label"].to_numpy(np.int64), sz)
-            out.append((int(f), float(s.sum()), len(s)))
-        return pd.DataFrame(out, columns=["fit", "s", "n"])
-
-    joined = vec.join(own, ["fit", "customer_id"]).join(F.broadcast(size_df), "fit")
-    rest = joined.mapInPandas(lambda it: (finish(p) for p in it), "fit long, s double, n long")
-    merged = done.unionByName(rest).groupBy("fit").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
-    return merged.select("fit", (F.col("s") / F.col("n")).alias("silhouette"))
+        fits = order[pdf["space"].iloc[0]]
+        rows, cols = pdf[pdf["is_row"]], pdf[~pdf["is_row"]]
+        if rows.empty:
+            return pd.DataFrame({"fit": np.zeros(0, np.int64), "customer_id": [], "label": np.zeros(0, np.int64), **{s: np.zeros(0) for s in names}})
+        place = np.concatenate([[0], np.cumsum([width[f] for f in fits])])
+        at, to = rows[["x", "y", "z"]].to_numpy(np.float64), cols[["x", "y", "z"]].to_numpy(np.float64)
+        mine = np.stack(rows["labels"].to_numpy()).astype(np.int64)
+        held = np.zeros((len(to), place[-1]))
+        if len(to):
+            theirs = np.stack(cols["labels"].to_numpy()).astype(np.int64)
+            held[np.arange(len(to))[:, None], theirs + place[:-1]] = 1.0
+        sums = np.empty((len(at), place[-1]))
+        for s in range(0, len(at), CHUNK):
+            sums[s:s + CHUNK] = np.sqrt(((at[s:s + CHUNK, None, :] - to[None, :, :]) ** 2).sum(axis=2)) @ held
+        wide = np.zeros((len(fits), len(at), kmax))
+        for n, f in enumerate(fits):
+            wide[n, :, :width[f]] = sums[:, place[n]:place[n + 1]]
+        flat = wide.reshape(-1, kmax)
+        return pd.DataFrame({"fit": np.repeat(fits, len(at)), "customer_id": np.tile(rows["customer_id"].to_numpy(), len(fits)),
+                             "label": mine.T.reshape(-1), **{s: flat[:, j] for j, s in enumerate(names)}})
+
+    schema = "fit long, customer_id string, label long, " + ", ".join(f"{s} double" for s in names)
+    parts = as_row.unionByName(as_col).groupBy("space", "rb", "cb").applyInPandas(block, schema)
+    sums = parts.groupBy("fit", "customer_id", "label").agg(*[F.sum(s).alias(s) for s in names])
+    size_rows = [(f, [int(n) for n in v] + [0] * (kmax - len(v))) for f, v in sizes.items()]
+    sized = sums.join(F.broadcast(spark.createDataFrame(size_rows, "fit long, sizes array<long>")), "fit")
+    own = F.get("sizes", F.col("label"))
+    cluster = lambda j: F.get("sizes", F.lit(j))
+    inner = F.get(F.array(*names), F.col("label")) / F.greatest(own - 1, F.lit(1))
+    outer = F.array_min(F.array(*[F.when((F.col("label") != j) & (cluster(j) > 0), F.col(s) / cluster(j)) for j, s in enumerate(names)]))
+    far = F.greatest("inner", "outer")
+    value = F.when((F.col("own") > 1) & F.col("outer").isNotNull() & (far > 0), (F.col("outer") - F.col("inner")) / far).otherwise(0.0)
+    points = sized.select("fit", own.alias("own"), inner.alias("inner"), outer.alias("outer"))
+    return points.groupBy("fit").agg(F.avg(value).alias("silhouette"))
 
 
 def pairwise_ari(labelled: DataFrame, groups: dict[str, list[tuple[str, list[int], list[int]]]]) -> DataFrame:
-    """ARI for every unordered pair of labelings inside each group.
+    """ARI for every unordered pair of labelings inside each group: (grp, fa, fb, ari).
 
     ``groups[space]`` lists (group name, positions in the labels array, fit ids). Customers with
     the same label vector are counted first, so the literal pair list (bounded by seeds²) is

@@ -8,9 +8,11 @@ go into later plans as literals, so no join is needed to apply them.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from dataclasses import dataclass
+from decimal import Decimal, localcontext
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import dec_to_double
@@ -18,6 +20,9 @@ from ..params import FEATURE_DIGITS
 from .quantiles import exact_quantiles
 
 
+SCALED = ("scaled_recency", "scaled_frequency", "scaled_net_monetary")
+
+
 @dataclass(frozen=True)
 class Caps:
     quantile: float | None
@@ -77,38 +82,63 @@ def apply_caps(rfm: DataFrame, caps: Caps) -> DataFrame:
     )
 
 
-SQUARE_DIGITS = 6
+SUM_DIGITS = 8  # places of the values that the variance is taken of; sums of their squares are exact
 
 
-def compute_scale(capped: DataFrame) -> Scale:
-    """Mean and population standard deviation of the three features.
+def compute_scale(df: DataFrame, values: Sequence[Column]) -> Scale:
+    """Mean and population standard deviation of the given (double) features.
 
-    Sums and sums of squares are DECIMAL, so they do not depend on partitioning or row order; the last steps are the
-    same double operations in every engine: mean = Σx / n, var = Σx² / n − mean²."""
-    values = [F.col("recency").cast("double"), F.col("frequency_capped"), F.col("net_monetary_capped")]
-    row = capped.agg(
+    Σx and Σx² are exact decimals (x to 8 places), so they do not depend on partitioning or row order, and the variance is
+    (n·Σx² − (Σx)²) / n² in whole numbers: a spread far below the mean loses no digit. One conversion at the end."""
+    fixed = [v.cast(f"decimal(18,{SUM_DIGITS})") for v in values]
+    row = df.agg(
         F.count(F.lit(1)).alias("n"),
-        *[dec_to_double(F.sum(v.cast("decimal(38,10)"))).alias(f"s{i}") for i, v in enumerate(values)],
-        *[dec_to_double(F.sum((v * v).cast(f"decimal(38,{SQUARE_DIGITS})"))).alias(f"q{i}") for i, v in enumerate(values)],
+        *[dec_to_double(F.sum(v.cast("decimal(38,10)"))).alias(f"m{i}") for i, v in enumerate(values)],
+        *[F.sum(v).cast("string").alias(f"s{i}") for i, v in enumerate(fixed)],
+        *[F.sum(v * v).cast("string").alias(f"q{i}") for i, v in enumerate(fixed)],
     ).first()
-    n = row["n"]
+    n, count = row["n"], len(fixed)
     if not n:
-        return Scale((0.0, 0.0, 0.0), (0.0, 0.0, 0.0))
-    means = tuple(row[f"s{i}"] / n for i in range(3))
-    return Scale(means, tuple(math.sqrt(max(0.0, row[f"q{i}"] / n - means[i] * means[i])) for i in range(3)))
+        return Scale((0.0,) * count, (0.0,) * count)
+    unit = 10**SUM_DIGITS
+    whole = lambda text, scale: int(Decimal(text).scaleb(scale).to_integral_value())
+    with localcontext() as exact:
+        exact.prec = 120
+        spread = [n * whole(row[f"q{i}"], 2 * SUM_DIGITS) - whole(row[f"s{i}"], SUM_DIGITS) ** 2 for i in range(count)]
+    return Scale(tuple(row[f"m{i}"] / n for i in range(count)), tuple(math.sqrt(float(v)) / (n * float(unit)) for v in spread))
+
 
+def model_features() -> list[Column]:
+    return [F.col("recency").cast("double"), F.col("frequency_capped"), F.col("net_monetary_capped")]
 
-def apply_scale(capped: DataFrame, scale: Scale) -> DataFrame:
+
+def apply_scale(df: DataFrame, scale: Scale, values: Sequence[Column] | None = None) -> DataFrame:
     """z = (x − mean) / std_pop (std 0 → 1), rounded to 10 places so that the clustering
     input is the same in every engine and on every partitioning."""
-    cols = [F.col("recency").cast("double"), F.col("frequency_capped"), F.col("net_monetary_capped")]
     out = {}
-    for name, c, mean, std in zip(
-        ("scaled_recency", "scaled_frequency", "scaled_net_monetary"), cols, scale.means, scale.stds, strict=True
-    ):
+    for name, c, mean, std in zip(SCALED, values or model_features(), scale.means, scale.stds, strict=True):
         divisor = std if std and std == std else 1.0
         out[name] = F.round((c - F.lit(float(mean))) / F.lit(float(divisor)), FEATURE_DIGITS)
-    return capped.withColumns(out)
+    return df.withColumns(out)
+
+
+# ---------------------------------------------------------------- alternatives to capping
+def robust_scale(rfm: DataFrame) -> Scale:
+    """Median and interquartile range of raw recency, frequency and net, as a Scale: exact distributed quantiles."""
+    long = rfm.select(F.inline(F.array(*[F.struct(F.lit(n).alias("feature"), v.alias("v")) for n, v in enumerate(raw_features())])))
+    found = {(r["feature"], r["p"]): float(r["q"]) for r in exact_quantiles(long, ["feature"], "v", [0.25, 0.5, 0.75]).collect()}
+    if not found:
+        return Scale((0.0,) * 3, (0.0,) * 3)
+    return Scale(tuple(found[n, 0.5] for n in range(3)), tuple(found[n, 0.75] - found[n, 0.25] for n in range(3)))
+
+
+def raw_features() -> list[Column]:
+    return [F.col("recency").cast("double"), F.col("frequency").cast("double"), dec_to_double(F.col("net_monetary"))]
+
+
+def log_features() -> list[Column]:
+    """ln(1 + x) of the raw features, rounded like every clustering input; for customers with a positive net value."""
+    return [F.round(F.log(F.lit(1.0) + v), FEATURE_DIGITS) for v in raw_features()]
 
 
 def non_finite_count(df: DataFrame, cols: tuple[str, ...]) -> DataFrame:

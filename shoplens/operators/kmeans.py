@@ -11,9 +11,13 @@ bounded by the number of fits × k, which the caller fixes, never by the data.
 One Lloyd round is one job: every point meets the centres of its space's fits, takes the
 nearest (an ``array_min`` over (distance, label) structs, so ties go to the lower label),
 and a hash aggregate with map-side partial sums returns fits × k rows to the driver.
-Converged fits drop out of later rounds. Coordinates are summed as DECIMAL, so centres are
+Settled fits drop out of later rounds. Coordinates are summed as DECIMAL, so centres are
 exact and do not depend on partitioning or row order.
 
+A fit is settled *strictly* when no centre moves any more, or within *tolerance* when the squared shifts of all its centres
+add up to at most ``tol`` × the mean population variance of its space's coordinates. Labels always come from one closing
+assignment to the final centres, so a fit that stopped on tolerance is as consistent as one that stopped strictly.
+
 Seeded start
 ------------
 For seed s, init i, step j and customer c, u = (h + 0.5) / 2^52 with h the first 13 hex of
@@ -57,37 +61,17 @@ class FitState:
     initial: list[Centre] = field(default_factory=list)
     picks: list[str] = field(default_factory=list)
     iterations: int = 0
-    converged: bool = False
+    settled: str = ""  # "strict", "tolerance", or empty while the fit is open
+    empty_rounds: list[int] = field(default_factory=list)  # rounds in which a cluster had no member
     history: list[list[Centre]] | None = None  # centres after each round, kept on request
 
 
-def _d2(prefix: str, j: int) -> Column:
-    """Rounded squared distance from (x, y, z) to centre j of the fit row."""
-    t = None
-    for axis in ("x", "y", "z"):
-        d = F.col(axis) - F.col(f"{prefix}{j}_{axis}")
-        t = d * d if t is None else t + d * d
-    return F.round(t, DISTANCE_DIGITS)
-
-
-def nearest(kmax: int, prefix: str = "c") -> Column:
-    """(d2, l) struct of the nearest centre: ``array_min`` over (distance, label) structs, so
-    ties go to the lower label; missing centres (k < kmax) are null elements and skipped.
-    Plain element expressions keep the whole round in generated code."""
-    elems = [F.when(F.lit(j) < F.col("k"), F.struct(_d2(prefix, j).alias("d2"), F.lit(j).alias("l"))) for j in range(kmax)]
-    return F.array_min(F.array(*elems))
-
-
-def min_d2(kmax: int, prefix: str = "c") -> Column:
-    terms = [F.when(F.lit(j) < F.col("k"), _d2(prefix, j)) for j in range(kmax)]
-    return terms[0] if len(terms) == 1 else F.least(*terms)
+class EmptyCluster(ValueError):
+    """A fit lost a cluster. Other fits of its batch go on; it is raised where this fit is asked for."""
 
 
-def draw(seed_col, init_col, step_col, id_col="customer_id"):
-    """Deterministic uniform in (0, 1) from md5 of 'seed|init|step|customer'."""
-    key = F.concat_ws("|", seed_col.cast("string"), init_col.cast("string"), step_col.cast("string"), F.col(id_col))
-    h = F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("double")
-    return (h + F.lit(0.5)) / F.lit(float(1 << 52))
+class UnstableTrace(ValueError):
+    """A trace ended, at its round limit, before two rounds had the same labels."""
 
 
 _FITS = itertools.count()
@@ -166,6 +150,8 @@ def _d2_text(prefix: str, j: int) -> str:
 
 
 def nearest_text(kmax: int, prefix: str = "c") -> str:
+    """(d2, l) struct of the nearest centre: ``array_min`` over (distance, label) structs, so ties go to the lower label;
+    missing centres (k < kmax) are null elements and skipped. Plain element expressions keep a round in generated code."""
     elems = ", ".join(
         f"CASE WHEN {j} < k THEN named_struct('d2', {_d2_text(prefix, j)}, 'l', {j}) END"
         for j in range(kmax)
@@ -231,42 +217,30 @@ def seed_centres(points: DataFrame, specs: Sequence[FitSpec]) -> dict[int, FitSt
     return states
 
 
-def lloyd_round(paired: DataFrame, kmax: int, with_changes: bool = False) -> DataFrame:
-    """One assignment + recentring round over ``with_fits`` rows: (fit, l, n, x, y, z, inertia[, changed])."""
-    a = paired.select(
-        "fit", "x", "y", "z", nearest(kmax).alias("b"), *([nearest(kmax, "p").alias("pb")] if with_changes else [])
-    )
-    aggs = [
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.col("x").cast(COORD_DEC)).alias("sx"),
-        F.sum(F.col("y").cast(COORD_DEC)).alias("sy"),
-        F.sum(F.col("z").cast(COORD_DEC)).alias("sz"),
-        F.sum(F.col("b.d2").cast(D2_DEC)).alias("inertia"),
-    ]
-    if with_changes:
-        aggs.append(F.count(F.when(F.col("pb.l") != F.col("b.l"), 1)).alias("changed"))
-    g = a.groupBy("fit", F.col("b.l").alias("l")).agg(*aggs)
-    return g.select(
-        "fit",
-        "l",
-        "n",
-        (dec_to_double(F.col("sx")) / F.col("n")).alias("x"),
-        (dec_to_double(F.col("sy")) / F.col("n")).alias("y"),
-        (dec_to_double(F.col("sz")) / F.col("n")).alias("z"),
-        "inertia",
-        *(["changed"] if with_changes else []),
-    )
+def one_round(points: DataFrame, states: Sequence[FitState]) -> DataFrame:
+    """One assignment + recentring round: (fit, l, n, x, y, z, inertia)."""
+    values, kmax = fits_view(points.sparkSession, states)
+    return points.sparkSession.sql(round_sql(points_view(points), values, kmax))
 
 
-def run_lloyd(points: DataFrame, states: dict[int, FitState], max_iter: int) -> dict[int, FitState]:
-    """Lloyd rounds until every fit's centres stop moving (labels stable) or ``max_iter``.
+def tolerances(points: DataFrame, tol: float) -> dict[str, float]:
+    """``tol`` × the mean population variance of the coordinates, for each space (exact decimal sums)."""
+    square = lambda a: F.sum((F.col(a).cast("decimal(18,10)") * F.col(a).cast("decimal(18,10)")).cast("decimal(28,15)"))
+    rows = points.groupBy("space").agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.col(a).cast(COORD_DEC)).alias(f"s{a}") for a in "xyz"],
+                                       *[square(a).alias(f"q{a}") for a in "xyz"]).collect()
+    return {r["space"]: tol * sum(max(0.0, float(r[f"q{a}"]) / r["n"] - (float(r[f"s{a}"]) / r["n"]) ** 2) for a in "xyz") / 3 for r in rows}
 
-    An empty cluster keeps its previous centre. Fits that have not settled say so: their ``converged`` stays false and
-    a warning names them.
+
+def run_lloyd(points: DataFrame, states: dict[int, FitState], max_iter: int, tol: dict[str, float] | None = None) -> dict[int, FitState]:
+    """Lloyd rounds until every fit is settled or has ``max_iter`` rounds behind it; without ``tol`` only strictly settled fits
+    end early.
+
+    An empty cluster keeps its previous centre and the fit notes the round. Fits that have not settled say so: their
+    ``settled`` stays empty and a warning names them.
     """
     spark = points.sparkSession
-    for _ in range(max_iter):
-        active = [st for st in states.values() if not st.converged]
+    while True:
+        active = [st for st in states.values() if not st.settled and st.iterations < max_iter]
         if not active:
             break
         values, kmax = fits_view(spark, active)
@@ -279,14 +253,19 @@ def run_lloyd(points: DataFrame, states: dict[int, FitState], max_iter: int) ->
             got = new.get(st.spec.fit, {})
             updated = [got.get(i, c) for i, c in enumerate(st.centres)]
             st.iterations += 1
+            if len(got) < len(st.centres):
+                st.empty_rounds.append(st.iterations)
+            shift = sum((a - b) * (a - b) for u, c in zip(updated, st.centres, strict=True) for a, b in zip(u, c, strict=True))
             if updated == st.centres:
-                st.converged = True
+                st.settled = "strict"
+            elif tol is not None and shift <= tol[st.spec.space]:
+                st.settled = "tolerance"
             st.centres = updated
             if st.history is not None:
                 st.history.append(list(updated))
-    open_fits = [st.spec.fit for st in states.values() if not st.converged]
+    open_fits = [st.spec.fit for st in states.values() if not st.settled]
     if open_fits:
-        warnings.warn(f"fits {open_fits} have not converged in {max_iter} rounds", stacklevel=2)
+        warnings.warn(f"fits {open_fits} have not settled in {max_iter} rounds", stacklevel=2)
     return states
 
 
@@ -300,7 +279,7 @@ def assign(points: DataFrame, states: Sequence[FitState]) -> DataFrame:
         "x",
         "y",
         "z",
-        nearest(kmax).alias("b"),
+        F.expr(nearest_text(kmax)).alias("b"),
     ).select(
         "fit", "space", "customer_id", "x", "y", "z", F.col("b.l").alias("label"), F.col("b.d2").alias("d2")
     )
@@ -314,11 +293,11 @@ def inertia_table(assigned: DataFrame) -> DataFrame:
     )
 
 
-def fit_many(points: DataFrame, specs: Sequence[FitSpec], max_iter: int, keep_history: Sequence[int] = ()) -> dict[int, FitState]:
+def fit_many(points: DataFrame, specs: Sequence[FitSpec], max_iter: int, keep_history: Sequence[int] = (), tol: float = 0.0) -> dict[int, FitState]:
     states = seed_centres(points, specs)
     for f in keep_history:
         states[f].history = [list(states[f].initial)]
-    return run_lloyd(points, states, max_iter)
+    return run_lloyd(points, states, max_iter, tolerances(points, tol) if tol > 0 else None)
 
 
 def best_of(points: DataFrame, states: dict[int, FitState], groups: dict[int, list[int]]) -> dict[int, FitState]:
@@ -331,20 +310,27 @@ def best_of(points: DataFrame, states: dict[int, FitState], groups: dict[int, li
     return out
 
 
+def trace_history(points: DataFrame, state: FitState, max_iter: int) -> list[list[Centre]]:
+    """Centres of one fit from its seeded start to its strict end. A fit that stopped on tolerance goes on from where it
+    stood; the fit itself keeps its centres."""
+    if state.history is not None and state.settled == "strict":
+        return state.history
+    kept = state.history if state.history is not None else [list(state.initial)]
+    st = FitState(state.spec, list(kept[-1]), history=list(kept), iterations=len(kept) - 1)
+    return run_lloyd(points, {state.spec.fit: st}, max_iter)[state.spec.fit].history
+
+
 def trace(points: DataFrame, state: FitState, max_iter: int) -> list[dict]:
     """Lloyd trace of one fit from its seeded start: per iteration the centres before and
     after, cluster sizes, changed-label count (0 in the first round) and the largest centre
     shift; it stops at the first round whose labels equal the previous round's.
 
-    The fit kept its centre history, so every frame is recomputed in ONE job: frame i is a
-    pseudo-fit with centres c(i−1) and previous centres c(i−2), and a single batched round
-    gives its sizes, new centres and changed-label count."""
+    Every frame is recomputed from the centre history in ONE job: frame i is a pseudo-fit with
+    centres c(i−1) and previous centres c(i−2), and a single batched round gives its sizes,
+    new centres and changed-label count. Raises ``EmptyCluster`` for a frame that lost a
+    cluster, ``UnstableTrace`` where the round limit came first."""
     spark = points.sparkSession
-    hist = state.history
-    if hist is None:
-        hist = [list(state.initial)]
-        st = FitState(state.spec, list(state.initial), history=hist)
-        run_lloyd(points, {state.spec.fit: st}, max_iter)
+    hist = trace_history(points, state, max_iter)
     n_frames = min(len(hist), max_iter)  # frames 1..T+1 (T rounds kept, plus the stable one)
     frames_states, previous = [], {}
     for i in range(1, n_frames + 1):
@@ -361,7 +347,9 @@ def trace(points: DataFrame, state: FitState, max_iter: int) -> list[dict]:
         i = st.spec.fit
         centres = st.centres
         got = by.get(i, {})
-        updated = [(got[j]["x"], got[j]["y"], got[j]["z"]) if j in got else c for j, c in enumerate(centres)]
+        if len(got) < len(centres):
+            raise EmptyCluster(f"fit {state.spec} has no member in cluster {sorted(set(range(len(centres))) - set(got))} of frame {i}")
+        updated = [(got[j]["x"], got[j]["y"], got[j]["z"]) for j in range(len(centres))]
         changed = sum(int(r["changed"]) for r in got.values()) if i >= 2 else 0
         shift = max(math.sqrt(sum((a - b) * (a - b) for a, b in zip(u, c, strict=True))) for u, c in zip(updated, centres, strict=True))
         frames.append(
@@ -369,11 +357,28 @@ def trace(points: DataFrame, state: FitState, max_iter: int) -> list[dict]:
                 "iteration": i,
                 "centres_before": centres,
                 "centres_after": updated,
-                "sizes": [int(got[j]["n"]) if j in got else 0 for j in range(len(centres))],
+                "sizes": [int(got[j]["n"]) for j in range(len(centres))],
                 "changed_count": changed,
                 "max_centroid_shift": shift,
             }
         )
         if i >= 2 and changed == 0:
-            break
-    return frames
+            return frames
+    raise UnstableTrace(f"fit {state.spec} still changes labels in frame {n_frames}")
+
+
+def label_changes(points: DataFrame, frames: Sequence[dict]) -> DataFrame:
+    """(iteration, customer_id, label_before, label_after) of every point whose label changed between neighbouring frames.
+
+    One scan: a point's labels of all frames are an array built in place from the frames' centres (frames × k literals);
+    neighbours are compared inside it, and only the changes are exploded."""
+    def label(centres: Sequence[Centre]) -> Column:
+        near = F.array(*[F.struct(F.round(sum(((F.col(a) - F.lit(float(v))) * (F.col(a) - F.lit(float(v))) for a, v in zip("xyz", c, strict=True)), F.lit(0.0)),
+                                          DISTANCE_DIGITS).alias("d2"), F.lit(j).alias("l")) for j, c in enumerate(centres)])
+        return F.array_min(near)["l"]
+
+    labelled = points.select("customer_id", F.array(*[label(f["centres_before"]) for f in frames]).alias("labels"))
+    steps = F.transform(F.sequence(F.lit(1), F.lit(len(frames) - 1)), lambda i: F.struct(
+        (i + 1).cast("bigint").alias("iteration"), F.get("labels", i - 1).cast("bigint").alias("label_before"), F.get("labels", i).cast("bigint").alias("label_after")))
+    moved = labelled.select("customer_id", F.explode(F.filter(steps, lambda s: s["label_before"] != s["label_after"])).alias("s"))
+    return moved.select("s.iteration", "customer_id", "s.label_before", "s.label_after")

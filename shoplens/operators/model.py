@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 from ..params import Params
 from ..session import materialize
 from . import kmeans as K
-from .features import Caps, Scale, apply_caps, apply_scale, compute_caps, compute_scale
+from .features import SCALED, Caps, Scale, apply_caps, apply_scale, compute_caps, compute_scale, model_features
 from .segments import code_expr, representatives, semantic_mapping
 
-XYZ = ("scaled_recency", "scaled_frequency", "scaled_net_monetary")
+XYZ = SCALED
 
 
 @dataclass
@@ -73,7 +73,7 @@ def labels_for(centres: list[K.Centre]) -> tuple[Column, Column]:
 def prepare_customers(rfm: DataFrame, quantile: float | None) -> tuple[Caps, Scale, DataFrame]:
     caps = compute_caps(rfm, quantile)
     capped = apply_caps(rfm, caps)
-    scale = compute_scale(capped)
+    scale = compute_scale(capped, model_features())
     return caps, scale, apply_scale(capped, scale)
 
 
@@ -114,7 +114,7 @@ def fit_model(rfm: DataFrame, params: Params, space: str = "base") -> Model:
     points = iteration_input(as_points(customers, space), customers.count(), params.n_init).persist()
     specs = [K.FitSpec(fit=i, space=space, k=params.k, seed=params.seed, init=i) for i in range(params.n_init)]
     # Restart 0 keeps its centre history: the Lloyd trace is recomputed from it in one job.
-    states = K.fit_many(points, specs, params.max_iter, keep_history=[0])
+    states = K.fit_many(points, specs, params.max_iter, keep_history=[0], tol=params.tol)
     best = K.best_of(points, states, {0: [s.fit for s in specs]})[0]
     label, dist = labels_for(best.centres)
     labelled = customers.select("customer_id", "net_monetary", label.alias("raw_cluster"), dist.alias("centroid_distance"))

@@ -20,6 +20,17 @@ def semantic_mapping(labelled: DataFrame, label_col: str = "raw_cluster") -> dic
     return {int(label): f"S{i + 1}" for i, (_, label) in enumerate(ordered)}
 
 
+class NotOneToOne(ValueError):
+    """Two clusters share a segment, or a segment has no cluster."""
+
+
+def require_one_to_one(mapping: dict[int, str], segments: Sequence[str]) -> dict[int, str]:
+    """The mapping itself; raises where it does not name every segment exactly once."""
+    if sorted(mapping.values()) != sorted(segments):
+        raise NotOneToOne(f"clusters {mapping} do not name the segments {sorted(segments)} one to one")
+    return mapping
+
+
 def mapping_frame(spark: SparkSession, mapping: dict[int, str]) -> DataFrame:
     return spark.createDataFrame(
         [(int(k), v, int(v[1:])) for k, v in sorted(mapping.items())],

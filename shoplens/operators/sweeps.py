@@ -1,138 +1,258 @@
-"""Model-selection and sensitivity workloads as one batch of fits.
-
-Every clustering input is a *space*: the baseline customers under each cap threshold, and
-the customers of each line variant (copies kept, product-like lines only, home country
-only). All spaces share one checkpointed point table; all fits — k sweep × seeds, cap
-thresholds × seeds, variants × (k sweep × seeds + restarts) — advance together, one
-aggregate job per Lloyd round. Variant RFMs come from one aggregate keyed by
-(variant, customer) over a union of the line sources, not one scan per variant.
+"""Model-selection and sensitivity workloads: units of fits, run when a query first needs them.
+
+Every clustering input is a *space*: the baseline customers under each cap threshold, the customers of each line variant
+(copies kept, product-like lines only, home country only), and the preprocessing alternatives. A *unit* is one (space, k)
+with its seeds, or with the restarts of a representative model. A query names its units; those that no earlier query has run
+advance together in one batch, one aggregate job per Lloyd round, over one checkpointed point table. Variant RFMs come from
+one aggregate keyed by (variant, customer) over a union of the line sources, not one scan per variant.
+
+**Distinct labelings.** Different seeds often end in the same partition under other cluster numbers. A cluster's signature is
+(its least member, its size, two 64-bit checksums of its members); a fit's canonical form is the list of its clusters'
+signatures by least member, from the same aggregate that gives sizes and inertia. Fits of a space with equal forms are one
+labeling: it gets one silhouette and one ARI row, which count for all of its fits.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 from decimal import Decimal
+from functools import cached_property
+from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import country_display
 from ..params import DISTANCE_DIGITS, Params
 from ..session import cut_lineage, materialize
 from . import kmeans as K
 from .evaluate import pairwise_ari, silhouettes
+from .features import Caps, Scale, apply_scale, compute_scale, log_features, raw_features, robust_scale
 from .model import as_points, iteration_input, partitioned, prepare_customers
 
 BASE_SPACE = "cap995"
+ROBUST, LOG = "robust", "log"  # uncapped: median and interquartile range; ln(1 + x) of customers with a positive net value
+SEEDS, RESTARTS = "seeds", "restarts"
+
+
+@dataclass(frozen=True)
+class Unit:
+    """The fits of one (space, k): every seed once, or the restarts of the model seed."""
+
+    space: str
+    k: int
+    kind: str = SEEDS
 
 
 @dataclass
-class Sweep:
-    params: Params
+class Space:
+    customers: DataFrame
+    caps: Caps
+    scale: Scale
+    count: int
+
+
+@dataclass
+class Batch:
+    """Units that were fitted together: labels, and what the driver keeps of them (fits × k rows)."""
+
     points: DataFrame
     states: dict[int, K.FitState]
-    keys: dict[tuple[str, int, int, int], int]
-    fit_order: dict[str, list[int]]
-    space_info: dict[str, dict]
-    customers: dict[str, DataFrame] = field(default_factory=dict)
-    _labelled: DataFrame | None = None
-    _sizes: dict[int, list[int]] | None = None
-    _inertia: dict[int, float] | None = None
-    _sil: dict[int, float] | None = None
-
-    def fit_id(self, space: str, k: int, seed: int, init: int = 0) -> int:
-        return self.keys[(space, k, seed, init)]
-
-    @property
+    order: dict[str, list[int]]  # space -> fits, the order of its label vectors
+    sizes: dict[int, list[int]] = field(default_factory=dict)
+    inertia: dict[int, float] = field(default_factory=dict)
+    same_as: dict[int, int] = field(default_factory=dict)  # fit -> first fit with the same partition
+
+    @cached_property
     def labelled(self) -> DataFrame:
-        """(space, customer_id, x, y, z, labels) with labels aligned to ``fit_order[space]``;
-        checkpointed, as silhouettes and ARIs both read it.
-
-        Each point meets its space's fits once (a broadcast equi-join on the space to one row
-        per space holding that space's fits, bounded by fits × k), and one higher-order
-        expression gives the nearest label for every fit: label vectors are built in place,
-        with no shuffle of (point, fit) rows. Cluster sizes and inertia are partial
-        aggregates over the exploded vectors (fits × k rows reach the driver)."""
-        if self._labelled is None:
-            spark = self.points.sparkSession
-            rows = []
-            for sp, fl in self.fit_order.items():
-                fits = [(f, [(i, *c) for i, c in enumerate(self.states[f].centres)]) for f in fl]
-                rows.append((sp, fits))
-            by_space = spark.createDataFrame(
-                rows, "space string, fits array<struct<fit:int, cs:array<struct<l:int, x:double, y:double, z:double>>>>"
-            )
-            best = F.expr(
-                "transform(fits, f -> array_min(transform(f.cs, c -> named_struct("
-                f"'d2', round((x - c.x) * (x - c.x) + (y - c.y) * (y - c.y) + (z - c.z) * (z - c.z), {DISTANCE_DIGITS}), "
-                "'l', c.l))))"
-            )
-            lab = self.points.join(F.broadcast(by_space), "space").select(
-                "space", "customer_id", "x", "y", "z", best.alias("best")
-            )
-            self._labelled = cut_lineage(
-                lab.select(
-                    "space", "customer_id", "x", "y", "z",
-                    F.transform("best", lambda b: b["l"]).alias("labels"),
-                    F.transform("best", lambda b: b["d2"]).alias("d2s"),
-                )
-            )
-            pos = spark.createDataFrame(
-                [(sp, i, f) for sp, fl in self.fit_order.items() for i, f in enumerate(fl)], "space string, pos int, fit int"
-            )
-            stats = (
-                self._labelled.select("space", F.posexplode(F.arrays_zip("labels", "d2s")).alias("pos", "v"))
-                .join(F.broadcast(pos), ["space", "pos"])
-                .groupBy("fit", F.col("v.labels").alias("label"))
-                .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("v.d2s").cast(K.D2_DEC)).alias("d2"))
-                .collect()
-            )
-            sizes: dict[int, dict[int, int]] = {}
-            exact: dict[int, Decimal] = {}
-            for r in stats:
-                sizes.setdefault(r["fit"], {})[r["label"]] = r["n"]
-                exact[r["fit"]] = exact.get(r["fit"], Decimal(0)) + r["d2"]
-            self._sizes = {
-                f: [sizes.get(f, {}).get(i, 0) for i in range(self.states[f].spec.k)] for f in self.states
-            }
-            self._inertia = {f: float(str(v)) for f, v in exact.items()}
-        return self._labelled
-
-    @property
-    def sizes(self) -> dict[int, list[int]]:
-        self.labelled
-        return self._sizes
-
-    @property
-    def inertia(self) -> dict[int, float]:
-        self.labelled
-        return self._inertia
-
-    @property
-    def silhouette(self) -> dict[int, float]:
-        if self._sil is None:
-            rows = silhouettes(self.labelled, self.sizes, self.fit_order).collect()
-            self._sil = {r["fit"]: r["silhouette"] for r in rows}
-        return self._sil
-
-    def seed_aris(self, space: str, k: int) -> DataFrame:
-        """ARI of every pair of single-init seeds at (space, k)."""
-        fits = [self.fit_id(space, k, s) for s in self.params.seeds]
-        order = self.fit_order[space]
-        positions = [order.index(f) for f in fits]
-        return pairwise_ari(self.labelled.where(F.col("space") == space), {space: [(f"{space}|{k}", positions, fits)]})
-
-    def all_seed_aris(self) -> DataFrame:
-        """Pairwise seed ARIs for every (space, k) with a full seed set: grp = 'space|k'."""
-        groups: dict[str, list] = {}
-        for space, order in self.fit_order.items():
-            ks = sorted({self.states[f].spec.k for f in order})
-            for k in ks:
-                try:
-                    fits = [self.fit_id(space, k, s) for s in self.params.seeds]
-                except KeyError:
+        """(space, customer_id, x, y, z, labels, d2s) with labels aligned to ``order[space]``; checkpointed.
+
+        Each point meets its space's fits once (a broadcast equi-join on the space to one row per space holding that
+        space's fits, bounded by fits × k), and one higher-order expression gives the nearest label for every fit: label
+        vectors are built in place, with no shuffle of (point, fit) rows."""
+        spark = self.points.sparkSession
+        rows = [(sp, [(f, [(i, *c) for i, c in enumerate(self.states[f].centres)]) for f in fl]) for sp, fl in self.order.items()]
+        by_space = spark.createDataFrame(
+            rows, "space string, fits array<struct<fit:int, cs:array<struct<l:int, x:double, y:double, z:double>>>>")
+        best = F.expr(
+            "transform(fits, f -> array_min(transform(f.cs, c -> named_struct("
+            f"'d2', round((x - c.x) * (x - c.x) + (y - c.y) * (y - c.y) + (z - c.z) * (z - c.z), {DISTANCE_DIGITS}), "
+            "'l', c.l))))")
+        lab = self.points.join(F.broadcast(by_space), "space").select("space", "customer_id", "x", "y", "z", best.alias("best"))
+        return cut_lineage(lab.select("space", "customer_id", "x", "y", "z", F.transform("best", lambda b: b["l"]).alias("labels"),
+                                      F.transform("best", lambda b: b["d2"]).alias("d2s")))
+
+    def measure(self) -> None:
+        """Sizes, inertia and canonical forms of all fits, from one partial aggregate over the label vectors."""
+        spark = self.points.sparkSession
+        pos = spark.createDataFrame([(sp, i, f) for sp, fl in self.order.items() for i, f in enumerate(fl)], "space string, pos int, fit int")
+        member = self.labelled.select("space", "customer_id", F.xxhash64("customer_id").alias("h1"), F.xxhash64("customer_id", F.lit("second")).alias("h2"),
+                                      F.posexplode(F.arrays_zip("labels", "d2s")).alias("pos", "v"))
+        stats = member.join(F.broadcast(pos), ["space", "pos"]).groupBy("fit", F.col("v.labels").alias("label")).agg(
+            F.count(F.lit(1)).alias("n"), F.sum(F.col("v.d2s").cast(K.D2_DEC)).alias("d2"), F.min("customer_id").alias("least"),
+            F.bit_xor("h1").alias("h1"), F.bit_xor("h2").alias("h2")).collect()
+        clusters: dict[int, dict[int, tuple]] = {f: {} for f in self.states}
+        exact: dict[int, Decimal] = dict.fromkeys(self.states, Decimal(0))
+        for r in stats:
+            clusters[r["fit"]][r["label"]] = (r["least"], r["n"], r["h1"], r["h2"])
+            exact[r["fit"]] += r["d2"]
+        self.inertia = {f: float(str(v)) for f, v in exact.items()}
+        self.sizes = {f: [clusters[f].get(i, (None, 0))[1] for i in range(st.spec.k)] for f, st in self.states.items()}
+        first: dict[tuple, int] = {}
+        for sp, fits in self.order.items():
+            for f in fits:
+                self.same_as[f] = first.setdefault((sp, *sorted(clusters[f].values())), f)
+
+    def distinct(self, fits: Iterable[int]) -> list[int]:
+        return sorted({self.same_as[f] for f in fits})
+
+    def vectors(self, fits: dict[str, list[int]]) -> DataFrame:
+        """``labelled`` with the labels of some fits of each space only."""
+        spark = self.points.sparkSession
+        at = spark.createDataFrame([(sp, [self.order[sp].index(f) for f in fl]) for sp, fl in fits.items()], "space string, at array<int>")
+        return self.labelled.join(F.broadcast(at), "space").select(
+            "space", "customer_id", "x", "y", "z", F.transform("at", lambda i: F.get("labels", i)).alias("labels"))
+
+
+class Sweep:
+    """Fits by unit, each run once; silhouettes and ARIs of distinct labelings."""
+
+    def __init__(self, build):
+        self.build = build
+        self.params: Params = build.params
+        self._spaces: dict[str, Space] = {}
+        self._fits: dict[Unit, list[int]] = {}
+        self._batch: dict[int, Batch] = {}
+        self._silhouette: dict[int, float] = {}
+        self._ari: dict[tuple[int, int], float] = {}
+
+    # --- inputs
+    @cached_property
+    def variants(self) -> DataFrame:
+        return variant_rfm(self.build)
+
+    def space(self, name: str) -> Space:
+        if name not in self._spaces:
+            quantiles = dict(self.params.cap_specs)
+            if name in quantiles:
+                caps, scale, scaled = prepare_customers(self.build.rfm, quantiles[name])
+            elif name in self.params.variants:
+                mine = self.variants.where(F.col("variant") == name).drop("variant")
+                caps, scale, scaled = prepare_customers(mine, self.params.cap_quantile)
+            elif name == ROBUST:
+                caps, scale = Caps(None, None, None), robust_scale(self.build.rfm)
+                scaled = apply_scale(self.build.rfm, scale, raw_features())
+            elif name == LOG:
+                positive = self.build.rfm.where("net_monetary > 0")
+                caps, scale = Caps(None, None, None), compute_scale(positive, log_features())
+                scaled = apply_scale(positive, scale, log_features())
+            else:
+                raise KeyError(f"unknown space {name}")
+            customers = materialize(scaled, f"space-{name}")
+            self._spaces[name] = Space(customers, caps, scale, customers.count())
+        return self._spaces[name]
+
+    # --- fits
+    def run(self, units: Sequence[Unit]) -> None:
+        """Fit the units that are not there yet, all in one batch."""
+        todo = [u for u in dict.fromkeys(units) if u not in self._fits]
+        if not todo:
+            return
+        p, specs = self.params, []
+        number = len(self._batch)
+        for u in todo:
+            wanted = [(s, 0) for s in p.seeds] if u.kind == SEEDS else [(p.seed, i) for i in range(p.n_init)]
+            self._fits[u] = list(range(number, number + len(wanted)))
+            specs.extend(K.FitSpec(number + n, u.space, u.k, s, i) for n, (s, i) in enumerate(wanted))
+            number += len(wanted)
+        names = list(dict.fromkeys(u.space for u in todo))
+        points = None
+        for name in names:
+            part = as_points(self.space(name).customers, name)
+            points = part if points is None else points.unionByName(part)
+        points = cut_lineage(partitioned(points))
+        work = sum(self.space(s.space).count for s in specs)
+        rounds = iteration_input(points, max(work // len(specs), 1), len(specs)).persist()
+        order: dict[str, list[int]] = {}
+        for s in specs:
+            order.setdefault(s.space, []).append(s.fit)
+        batch = Batch(points, K.fit_many(rounds, specs, p.max_iter, tol=p.tol), order)
+        rounds.unpersist()
+        batch.measure()
+        self._batch.update(dict.fromkeys(batch.states, batch))
+
+    def fits(self, unit: Unit) -> list[int]:
+        self.run([unit])
+        return self._fits[unit]
+
+    def state(self, fit: int) -> K.FitState:
+        return self._batch[fit].states[fit]
+
+    def inertia(self, fit: int) -> float:
+        return self._batch[fit].inertia[fit]
+
+    def sizes(self, fit: int) -> list[int]:
+        return self._batch[fit].sizes[fit]
+
+    def best(self, unit: Unit) -> K.FitState:
+        """The restart with the least inertia; ties to the first."""
+        return self.state(min(self.fits(unit), key=lambda f: (self.inertia(f), self.state(f).spec.init)))
+
+    def labelings(self, unit: Unit) -> list[tuple[int, int]]:
+        """Distinct labelings of a unit with the number of their fits."""
+        fits = self.fits(unit)
+        first = [self._batch[f].same_as[f] for f in fits]
+        return [(f, first.count(f)) for f in dict.fromkeys(first)]
+
+    # --- evaluation
+    def _by_batch(self, fits: Iterable[int]) -> dict[int, tuple[Batch, list[int]]]:
+        found: dict[int, tuple[Batch, list[int]]] = {}
+        for f in fits:
+            batch = self._batch[f]
+            found.setdefault(id(batch), (batch, []))[1].append(f)
+        return found
+
+    def silhouettes(self, units: Sequence[Unit]) -> dict[int, float]:
+        """Silhouette of every fit of the units: one computation for each distinct labeling."""
+        self.run(units)
+        fits = [f for u in units for f in self._fits[u]]
+        for batch, mine in self._by_batch(fits).values():
+            todo = [f for f in batch.distinct(mine) if f not in self._silhouette]
+            if todo:
+                spaces: dict[str, list[int]] = {}
+                for f in todo:
+                    spaces.setdefault(batch.states[f].spec.space, []).append(f)
+                rows = silhouettes(batch.vectors(spaces), {f: batch.sizes[f] for f in todo}, spaces).collect()
+                self._silhouette.update({r["fit"]: r["silhouette"] for r in rows})
+        return {f: self._silhouette[self._batch[f].same_as[f]] for f in fits}
+
+    def aris(self, units: Sequence[Unit]) -> dict[Unit, list[tuple[int, int, float]]]:
+        """(fit, fit, ARI) for every pair of fits of each unit; equal labelings agree fully, the others are compared once."""
+        self.run(units)
+        for batch, mine in self._by_batch(f for u in units for f in self._fits[u]).values():
+            groups: dict[str, list] = {}
+            spaces: dict[str, list[int]] = {}
+            for u in units:
+                if self._fits[u][0] not in mine:
                     continue
-                groups.setdefault(space, []).append((f"{space}|{k}", [order.index(f) for f in fits], fits))
-        return pairwise_ari(self.labelled, groups)
+                firsts = batch.distinct(self._fits[u])
+                if any(pair not in self._ari for pair in combinations(firsts, 2)):
+                    held = spaces.setdefault(u.space, [])
+                    groups.setdefault(u.space, []).append((f"{u.space}|{u.k}|{u.kind}", list(range(len(held), len(held) + len(firsts))), firsts))
+                    held.extend(firsts)
+            if groups:
+                vectors = batch.vectors(spaces).select("space", "labels")
+                self._ari.update({(r["fa"], r["fb"]): r["ari"] for r in pairwise_ari(vectors, groups).collect()})
+        out = {}
+        for u in units:
+            same = self._batch[self._fits[u][0]].same_as
+            pairs = []
+            for a, b in combinations(self._fits[u], 2):
+                x, y = sorted((same[a], same[b]))
+                pairs.append((a, b, 1.0 if x == y else self._ari[x, y]))
+            out[u] = pairs
+        return out
 
 
 def variant_lines(build) -> DataFrame:
@@ -150,8 +270,6 @@ def variant_rfm(build) -> DataFrame:
     """RFM per (variant, customer) in one aggregate, checkpointed (customer-sized)."""
     v = variant_lines(build)
     valid = F.col("is_valid_positive_purchase")
-    from ..functions.text import country_display
-
     agg = v.groupBy("variant", "customer_id").agg(
         F.max(F.when(valid, F.to_date("invoice_date"))).alias("last_purchase"),
         F.count_distinct(F.when(valid, F.col("invoice_no"))).alias("frequency"),
@@ -171,55 +289,3 @@ def variant_rfm(build) -> DataFrame:
         "net_monetary",
     )
     return materialize(out, "variant_rfm")
-
-
-def run_sweep(build) -> Sweep:
-    p: Params = build.params
-    spaces: dict[str, tuple[DataFrame, float | None]] = {}
-    for name, q in p.cap_specs:
-        spaces[name] = (build.rfm, q)
-    vrfm = variant_rfm(build)
-    for v in p.variants:
-        spaces[v] = (vrfm.where(F.col("variant") == v).drop("variant"), p.cap_quantile)
-    customers: dict[str, DataFrame] = {}
-    info: dict[str, dict] = {}
-    pts = None
-    for name, (rfm, q) in spaces.items():
-        caps, scale, scaled = prepare_customers(rfm, q)
-        customers[name] = scaled
-        info[name] = {"caps": caps, "scale": scale}
-        sp = as_points(scaled, name)
-        pts = sp if pts is None else pts.unionByName(sp)
-    points_all = cut_lineage(partitioned(pts))
-    counts = {r["space"]: r["n"] for r in points_all.groupBy("space").agg(F.count(F.lit(1)).alias("n")).collect()}
-    for name in spaces:
-        info[name]["customers"] = counts.get(name, 0)
-    specs: list[K.FitSpec] = []
-    keys: dict[tuple[str, int, int, int], int] = {}
-
-    def add(space: str, k: int, seed: int, init: int = 0) -> None:
-        if (space, k, seed, init) in keys:
-            return
-        fid = len(specs)
-        keys[(space, k, seed, init)] = fid
-        specs.append(K.FitSpec(fid, space, k, seed, init))
-
-    for k in p.k_values:
-        for s in p.seeds:
-            add(BASE_SPACE, k, s)
-    for name, _ in p.cap_specs:
-        for s in p.seeds:
-            add(name, p.k, s)
-    for v in p.variants:
-        for k in p.k_values:
-            for s in p.seeds:
-                add(v, k, s)
-        for i in range(p.n_init):
-            add(v, p.k, p.seed, i)
-    total_pairs = sum(counts.get(s.space, 0) for s in specs)
-    points = iteration_input(points_all, max(total_pairs // max(len(specs), 1), 1), len(specs)).persist()
-    states = K.fit_many(points, specs, p.max_iter)
-    order: dict[str, list[int]] = {}
-    for s in specs:
-        order.setdefault(s.space, []).append(s.fit)
-    return Sweep(p, points, states, keys, order, info, customers)

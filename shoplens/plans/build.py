@@ -133,6 +133,6 @@ class Build:
 
     @cached_property
     def sweep(self):
-        from ..operators.sweeps import run_sweep
+        from ..operators.sweeps import Sweep
 
-        return run_sweep(self)
+        return Sweep(self)

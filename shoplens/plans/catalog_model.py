@@ -75,7 +75,7 @@ def kpp_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = b.model.points
     steps = [K.FitState(K.FitSpec(j, st.spec.space, st.spec.k, st.spec.seed, st.spec.init), st.initial[:j]) for j in range(1, st.spec.k)]
     paired, kmax = K.with_fits(points, steps)
-    d = paired.select(F.col("fit").alias("step"), "customer_id", K.min_d2(kmax).alias("d2"))
+    d = paired.select(F.col("fit").alias("step"), "customer_id", F.expr(K.min_d2_text(kmax)).alias("d2"))
     totals = d.groupBy("step").agg(dec_to_double(F.sum(F.col("d2").cast(K.D2_DEC))).alias("total"))
     caps = exact_quantiles(d.where(F.col("d2") > 0), ["step"], "d2", [0.995]).select("step", F.col("q").alias("cap"))
     picks = spark.createDataFrame([(j, pid) for j, pid in enumerate(st.picks)], "step int, pick_id string")
@@ -121,7 +121,7 @@ def lloyd_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = _b(spark, sf_dir)
     st = b.model.states[0]
     start = K.FitState(st.spec, list(st.initial))
-    r = K.lloyd_round(*K.with_fits(b.model.points, [start]))
+    r = K.one_round(b.model.points, [start])
     return r.select(
         F.col("l").cast("bigint").alias("label"),
         F.col("n").cast("bigint").alias("size"),
@@ -159,6 +159,12 @@ def lloyd_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def lloyd_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers whose label changed, for every round of the first restart's trace."""
+    b = _b(spark, sf_dir)
+    return K.label_changes(b.model.points, b.trace)
+
+
 # ---------------------------------------------------------------- segments
 def semantic_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw cluster → segment by median raw net value, with the medians and sizes."""
@@ -183,8 +189,8 @@ def semantic_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def majority_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The traced run's clusters named by their majority final segment, with agreement and
-    the ARI between the traced labels and the final segments (E22, I12)."""
+    """The traced run's clusters named by their majority final segment, with agreement, the ARI between the traced labels
+    and the final segments, and whether the naming is one to one (E22, I12). ``segments.require_one_to_one`` raises on it."""
     b = _b(spark, sf_dir)
     final = b.trace[-1]["centres_before"]
     label, _ = labels_for(final)
@@ -197,12 +203,14 @@ def majority_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
         .where("rk = 1")
     )
     ari = adjusted_rand(pairs, "trace_label", "segment_code")
-    return _one(best).join(F.broadcast(_one(ari)), "_one").select(
+    whole = best.agg(((F.count_distinct("segment_code") == b.params.k) & (F.count(F.lit(1)) == b.params.k)).alias("one_to_one"))
+    return _one(best).join(F.broadcast(_one(ari)), "_one").join(F.broadcast(_one(whole)), "_one").select(
         F.col("trace_label").cast("bigint").alias("raw_cluster"),
         "segment_code",
         F.col("members").cast("bigint").alias("members"),
         F.col("n").cast("bigint").alias("agreeing"),
         dbl(F.col("ari")).alias("ari_vs_final"),
+        "one_to_one",
     )
 
 
@@ -551,6 +559,7 @@ def registry() -> dict:
         "assign_nearest": assign_nearest,
         "lloyd_step": lloyd_step,
         "lloyd_trace": lloyd_trace,
+        "lloyd_changes": lloyd_changes,
         "semantic_mapping": semantic_mapping,
         "majority_mapping": majority_mapping,
         "segment_profiles": segment_profiles,

@@ -228,9 +228,12 @@ def prep_ctes(quantile: float | None, src: str = "rfm", prefix: str = "") -> dic
     P = prefix
 
     def exact(v: str, i: int = 0) -> str:
-        """Decimal sum and sum of squares of a double, as doubles (independent of row order)."""
-        text = lambda e, d: f"CAST(CAST(sum(CAST({e} AS DECIMAL(38,{d}))) AS VARCHAR) AS DOUBLE)"
-        return f"{text(v, 10)} AS t{i}, {text(f'{v} * {v}', 6)} AS q{i}"
+        """Decimal sum of a double as a double; whole-number sum and sum of squares of its 8 places."""
+        unit = f"CAST(CAST({v} AS DECIMAL(18,8)) * 100000000 AS HUGEINT)"
+        return f"CAST(CAST(sum(CAST({v} AS DECIMAL(38,10))) AS VARCHAR) AS DOUBLE) AS t{i}, sum({unit}) AS u{i}, sum({unit} * {unit}) AS q{i}"
+
+    def spread(i: int) -> str:
+        return f"sqrt(CAST(CAST(n * CAST(q{i} AS HUGEINT) - CAST(u{i} AS HUGEINT) * CAST(u{i} AS HUGEINT) AS VARCHAR) AS DOUBLE)) / (CAST(n AS DOUBLE) * 100000000.0::DOUBLE)"
 
     return {
         f"{P}caps": caps,
@@ -240,11 +243,9 @@ def prep_ctes(quantile: float | None, src: str = "rfm", prefix: str = "") -> dic
                    ({ff}) OR ({mf}) AS any_capped_flag
             FROM (SELECT *, CAST(frequency AS DOUBLE) AS f, {net_d()} AS m FROM {src}) r, {P}caps""",
         f"{P}stats": f"""
-            SELECT m0, m1, m2, sqrt(greatest(0.0, q0 / n - m0 * m0)) AS s0, sqrt(greatest(0.0, q1 / n - m1 * m1)) AS s1,
-                   sqrt(greatest(0.0, q2 / n - m2 * m2)) AS s2
-            FROM (SELECT n, q0, q1, q2, t0 / n AS m0, t1 / n AS m1, t2 / n AS m2
-                  FROM (SELECT CAST(count(*) AS DOUBLE) AS n, {exact("CAST(recency AS DOUBLE)")},
-                               {exact("frequency_capped", 1)}, {exact("net_monetary_capped", 2)} FROM {P}capped))""",
+            SELECT t0 / CAST(n AS DOUBLE) AS m0, t1 / CAST(n AS DOUBLE) AS m1, t2 / CAST(n AS DOUBLE) AS m2, {spread(0)} AS s0, {spread(1)} AS s1, {spread(2)} AS s2
+            FROM (SELECT CAST(count(*) AS HUGEINT) AS n, {exact("CAST(recency AS DOUBLE)")},
+                         {exact("frequency_capped", 1)}, {exact("net_monetary_capped", 2)} FROM {P}capped)""",
         f"{P}scaled": f"""
             SELECT c.*,
                    round((CAST(recency AS DOUBLE) - m0) / CASE WHEN s0 = 0 OR s0 IS NULL THEN 1 ELSE s0 END, 10) AS scaled_recency,
@@ -291,10 +292,11 @@ def kpp_ctes(fits: str, k_max: int, prefix: str = "", points: str = "points") ->
     return out
 
 
-def lloyd_ctes(fits: str, max_iter: int, prefix: str = "", points: str = "points") -> dict[str, str]:
-    """Lloyd rounds for every fit until its centres stop moving: ``{prefix}final`` holds
-    (fit, l, cx, cy, cz, iterations)."""
+def lloyd_ctes(fits: str, p: Params, prefix: str = "", points: str = "points") -> dict[str, str]:
+    """Lloyd rounds for every fit until its centres stop moving or their squared shifts add up to no more than the tolerance:
+    ``{prefix}final`` holds (fit, l, cx, cy, cz, iterations)."""
     P = prefix
+    shift = "sum((nx - cx) * (nx - cx) + (ny - cy) * (ny - cy) + (nz - cz) * (nz - cz)) OVER (PARTITION BY fit)"
     dec = "DECIMAL(18,10)"
 
     def mean(c: str, old: str) -> str:
@@ -309,7 +311,7 @@ def lloyd_ctes(fits: str, max_iter: int, prefix: str = "", points: str = "points
             SELECT 0 AS it, fit, l, cx, cy, cz, true AS moving FROM {P}kpp
             UNION ALL
             SELECT it + 1, fit, l, nx, ny, nz,
-                   bool_or(nx <> cx OR ny <> cy OR nz <> cz) OVER (PARTITION BY fit) AS moving
+                   {shift} > 0 AND {shift} > (SELECT {p.tol!r}::DOUBLE * (var_pop(x) + var_pop(y) + var_pop(z)) / 3 FROM {points}) AS moving
             FROM (
               SELECT it, fit, l, cx, cy, cz, {mean('x', 'cx')} AS nx, {mean('y', 'cy')} AS ny, {mean('z', 'cz')} AS nz
               FROM (
@@ -317,7 +319,7 @@ def lloyd_ctes(fits: str, max_iter: int, prefix: str = "", points: str = "points
                        (min({{'d2': {d2_sql('p.x', 'p.y', 'p.z', 's.cx', 's.cy', 's.cz')}, 'l': s.l}})
                           OVER (PARTITION BY s.fit, p.customer_id)).l AS w
                 FROM {P}lloyd s JOIN {fits} f ON s.fit = f.fit JOIN {points} p ON true
-                WHERE s.moving AND s.it < {max_iter}
+                WHERE s.moving AND s.it < {p.max_iter}
               ) GROUP BY it, fit, l, cx, cy, cz
             )""",
         f"{P}final": f"""
@@ -346,7 +348,7 @@ def model_ctes(p: Params = DEFAULT) -> dict[str, str]:
         f"FROM range({p.n_init})"
     )
     out.update(kpp_ctes("mfits", p.k, prefix="m_"))
-    out.update(lloyd_ctes("mfits", p.max_iter, prefix="m_"))
+    out.update(lloyd_ctes("mfits", p, prefix="m_"))
     out["m_assign"] = assign_sql("m_final")
     out["m_best"] = """
         SELECT fit FROM (SELECT fit, sum(CAST(d2 AS DECIMAL(20,10))) AS inertia FROM m_assign GROUP BY fit)
@@ -574,6 +576,14 @@ def model_oracles(p: Params = DEFAULT) -> dict[str, str]:
            FROM trace_out""",
         tr,
     )
+    q["lloyd_changes"] = mq(
+        """SELECT CAST(b.it AS BIGINT) AS iteration, b.customer_id, CAST(a.l AS BIGINT) AS label_before, CAST(b.l AS BIGINT) AS label_after
+           FROM ch_labels a JOIN ch_labels b ON a.customer_id = b.customer_id AND b.it = a.it + 1 AND a.l <> b.l""",
+        tr,
+        {"ch_labels": f"""
+            SELECT t.it, p.customer_id, (min({{'d2': {d2_sql('p.x', 'p.y', 'p.z', 't.b_x', 't.b_y', 't.b_z')}, 'l': t.l}})).l AS l
+            FROM points p, trace t GROUP BY t.it, p.customer_id"""},
+    )
     q["semantic_mapping"] = mq(
         f"""SELECT CAST(m.raw_cluster AS BIGINT) AS raw_cluster, m.segment_code, CAST(m.segment_order AS BIGINT) AS segment_order,
                    {q8('m.med')} AS median_net_monetary, CAST(c.n AS BIGINT) AS customers
@@ -581,7 +591,8 @@ def model_oracles(p: Params = DEFAULT) -> dict[str, str]:
     )
     q["majority_mapping"] = mq(
         """SELECT CAST(trace_label AS BIGINT) AS raw_cluster, segment_code, CAST(members AS BIGINT) AS members,
-                  CAST(n AS BIGINT) AS agreeing, round((SELECT ari FROM mm_ari), 6) AS ari_vs_final
+                  CAST(n AS BIGINT) AS agreeing, round((SELECT ari FROM mm_ari), 6) AS ari_vs_final,
+                  count(*) OVER () = 4 AND (SELECT count(DISTINCT segment_code) FROM mm_top) = 4 AS one_to_one
            FROM (SELECT trace_label, segment_code, n, sum(n) OVER (PARTITION BY trace_label) AS members,
                         row_number() OVER (PARTITION BY trace_label ORDER BY n DESC, segment_code) AS rk
                  FROM (SELECT trace_label, segment_code, count(*) AS n FROM mm_pairs GROUP BY ALL))
@@ -589,6 +600,8 @@ def model_oracles(p: Params = DEFAULT) -> dict[str, str]:
         tr,
         {
             "mm_pairs": "SELECT t.trace_label, s.segment_code FROM trace_labels t JOIN segmented s USING (customer_id)",
+            "mm_top": """SELECT segment_code FROM (SELECT trace_label, segment_code, count(*) AS n FROM mm_pairs GROUP BY ALL)
+                         QUALIFY row_number() OVER (PARTITION BY trace_label ORDER BY n DESC, segment_code) = 1""",
             "mm_ari": ari_sql("mm_pairs", "trace_label", "segment_code"),
         },
     )
@@ -745,7 +758,7 @@ def eval_oracles(p: Params = DEFAULT) -> dict[str, str]:
         )
     }
     kcurve.update(kpp_ctes("ifits", max(p.k_values), prefix="i_"))
-    kcurve.update(lloyd_ctes("ifits", p.max_iter, prefix="i_"))
+    kcurve.update(lloyd_ctes("ifits", p, prefix="i_"))
     kcurve["i_assign"] = assign_sql("i_final")
     q["inertia_by_k"] = mq(
         """SELECT CAST(f.k AS BIGINT) AS k, CAST(CAST(sum(CAST(a.d2 AS DECIMAL(20,10))) AS VARCHAR) AS DOUBLE) AS inertia,
@@ -891,7 +904,7 @@ def eval_oracles(p: Params = DEFAULT) -> dict[str, str]:
         "sfits": " UNION ALL ".join(f"SELECT {i} AS fit, {s_} AS seed, 0 AS init, {p.k} AS k" for i, s_ in enumerate(p.seeds))
     }
     seeds.update(kpp_ctes("sfits", p.k, prefix="s_"))
-    seeds.update(lloyd_ctes("sfits", p.max_iter, prefix="s_"))
+    seeds.update(lloyd_ctes("sfits", p, prefix="s_"))
     seeds["s_assign"] = assign_sql("s_final")
     seeds["s_lab"] = "SELECT f.seed, a.customer_id, a.label FROM s_assign a JOIN sfits f ON a.fit = f.fit"
     seeds["s_cells"] = """

@@ -41,8 +41,9 @@ def assign(X, centres):
     return [min(range(len(centres)), key=lambda j: (d2(p, centres[j]), j)) for p in X]
 
 
-def lloyd(X, centres, max_iter=300):
+def lloyd(X, centres, max_iter=300, tol=1e-4):
     it = 0
+    bound = tol * float(np.var(np.asarray(X), axis=0).mean())
     for it in range(1, max_iter + 1):
         labels = assign(X, centres)
         new = []
@@ -53,10 +54,11 @@ def lloyd(X, centres, max_iter=300):
                 continue
             sums = [sum(Decimal(repr(round(p[a], 10))) for p in members) for a in range(3)]
             new.append(tuple(float(str(s)) / len(members) for s in sums))
-        if new == list(centres):
-            centres = new
-            break
+        moved = sum((a - b) * (a - b) for u, c in zip(new, centres) for a, b in zip(u, c))
+        stop = new == list(centres) or moved <= bound
         centres = new
+        if stop:
+            break
     return centres, assign(X, centres), it
 
 
