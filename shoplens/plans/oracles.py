@@ -229,7 +229,7 @@ def prep_ctes(quantile: float | None, src: str = "rfm", prefix: str = "") -> dic
 
     def exact(v: str, i: int = 0) -> str:
         """Decimal sum of a double as a double; whole-number sum and sum of squares of its 8 places."""
-        unit = f"CAST(CAST({v} AS DECIMAL(18,8)) * 100000000 AS HUGEINT)"
+        unit = f"CAST(CAST(CAST({v} AS DECIMAL(18,8)) AS DECIMAL(37,8)) * 100000000 AS HUGEINT)"
         return f"CAST(CAST(sum(CAST({v} AS DECIMAL(38,10))) AS VARCHAR) AS DOUBLE) AS t{i}, sum({unit}) AS u{i}, sum({unit} * {unit}) AS q{i}"
 
     def spread(i: int) -> str:
