@@ -1,4 +1,5 @@
 import hashlib
+import json
 import random
 from collections import Counter
 
@@ -126,7 +127,7 @@ def odd_texts():
     rng = random.Random(8)
     marks = "abé ß日本😀▁ ́\t\n.,<0x41>𝄞한글ﬁ"
     out = edge_pairs() + [(30, "<|endoftext|> <s> </s> <unk>"), (31, "▁already marked"), (32, "naïve café ﬁne Ⅻ"), (33, "  two  spaces "), (34, "​﻿"),
-                          (35, "<0x41>"), (36, "x" * 9_000), (37, "日本語" * 3_000)]
+                          (35, "<0x41>"), (36, "x" * 9_000), (38, " " * 12_000 + "a"), (39, "a" + "\n" * 12_000), (40, "tail  "), (41, " "), (42, "b "), (37, "日本語" * 3_000)]
     return out + [(100 + n, "".join(rng.choice(marks) for _ in range(rng.randint(1, 60)))) for n in range(60)]
 
 
@@ -143,3 +144,33 @@ def test_blocks_of_pairs_and_empty_table(spark, plain, monkeypatch):
     pairs = odd_texts()[:14]
     assert got(alignment.alignment_report(make_docs(spark, pairs))) == expected(plain, pairs)
     assert alignment.alignment_report(make_docs(spark, [])).collect() == []
+
+
+def test_ranks_give_the_ids_of_the_file(rows):
+    """The rank encoder against the library of the file's own format, odd and long texts included; other files are not taken."""
+    with open(public_tokenizers.path("byte_bpe_50k.json"), "rb") as f:
+        raw = f.read()
+    slow = tokenizers.Tokenizer.from_str(raw.decode())
+    slow.encode_special_tokens = True
+    fast = alignment.ranked(raw)
+    texts = [" " + (t or "") for _, t in rows + odd_texts()] + [" " * 30_000, "a b" * 20_000, "\n" * 9_000 + "x", "^" * 9_000, "don't we'll I'VE 12ab3"]
+    assert [fast.encode_ordinary(t) for t in texts] == [e.ids for e in slow.encode_batch(texts, add_special_tokens=False)]
+    spec = json.loads(raw)
+    spec["model"]["merges"][10], spec["model"]["merges"][11] = spec["model"]["merges"][11], spec["model"]["merges"][10]
+    assert alignment.ranked(json.dumps(spec).encode()) is None
+
+
+def test_units_give_the_pieces_of_the_whole(rows, monkeypatch):
+    """Remembered units against whole texts; without them, and with a memory of a few, the ids are the same."""
+    files = [open(f, "rb").read() for f in alignment.default_files()]  # noqa: SIM115
+    texts = [t or "" for _, t in rows + odd_texts()]
+    pair = alignment.Pair(*files)
+    assert pair.by_unit
+    made = pair.encode(texts)
+    monkeypatch.setattr(alignment, "REMEMBERED", 5)
+    few = alignment.Pair(*files)
+    few_made = [few.encode(texts[n:n + 7]) for n in range(0, len(texts), 7)]
+    pair.by_unit, pair.ranked = False, None
+    whole = pair.encode(texts)
+    for side in (0, 1):
+        assert [x.tolist() for x in made[side]] == [x.tolist() for x in whole[side]] == [x.tolist() for m in few_made for x in m[side]]
