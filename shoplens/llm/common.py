@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,10 +16,31 @@ ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Separators of alphanumeric words: every ASCII character but 0-9 and a-z (the text is lower-cased first).
 WORD_SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
-__all__ = ["ascii_lower", "connected_components", "inline_table", "materialize", "pair_words", "read_table", "row_id", "text_of",
+SLICE_BYTES = 4 << 20  # text that a task holds as Python objects at a time (or a single longer text)
+
+__all__ = ["ascii_lower", "connected_components", "free_name", "inline_table", "materialize", "pair_words", "read_table", "row_id", "sliced", "text_of",
            "word_array"]
 
 
+def free_name(columns: Sequence[str], stem: str) -> str:
+    """A column name like ``stem`` that none of ``columns`` has (names are compared without case, as Spark does)."""
+    taken = {c.lower() for c in columns}
+    while stem.lower() in taken:
+        stem = "_" + stem
+    return stem
+
+
+def sliced(batch: pa.RecordBatch, column: int | str, limit: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Views of a batch in row order whose texts in ``column`` hold about ``limit`` bytes each."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    begin, limit = 0, limit or SLICE_BYTES
+    while begin < batch.num_rows:
+        held = size[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(size, held + limit, side="right")))
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
 def text_of(column: str = "text") -> Column:
     """The whole text; null counts as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

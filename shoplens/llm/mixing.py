@@ -13,8 +13,8 @@ words without the marks around them, the marks that end words, and whether words
 
 Null texts count as empty; documents without words get the posterior of the intercepts and no tokens, and their rate.
 Rows with a null domain are not learned from. Without labelled rows there is one domain and every rate is 1. A domain
-whose target cannot be reached (no document leans to it) keeps its distance. Repeated rows and null ids are rated like
-any others; extra columns are kept by ``mixed`` and ignored by the report; an empty table gives an empty result.
+whose target cannot be reached (no document leans to it) keeps its distance, and ``Mix.missed`` names it. Repeated rows and
+null ids are rated like any others (the draw of a row's fraction hashes id and text); extra columns are kept by ``mixed`` and ignored by the report; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,14 +24,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import free_name, materialize, sliced
 from .quality import labelled_sample
 
 MAX_LABELLED = 12_000
+REMEMBERED = 100_000  # words that a worker remembers before it starts anew (memory only, no effect on results)
 WORDS = 256
 LEAST_TEXTS = 8  # a term must be in so many labelled texts
 STEPS, TOLERANCE = 30, 1e-5  # of all tokens
@@ -61,7 +61,7 @@ class TermIndex(dict):
         self.known = known
 
     def __missing__(self, word: bytes) -> tuple[int, ...]:
-        if len(self) >= 500_000:
+        if len(self) >= REMEMBERED:
             self.clear()
         found = self[word] = tuple(self.known[t] for t in terms_of(word) if t in self.known)
         return found
@@ -73,11 +73,11 @@ class Domains:
     words: dict
     weights: np.ndarray  # (words + 1) x domains, the last row the intercepts
 
-    def posteriors(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-        """(tokens, posteriors) of whole texts: words are runs without ASCII white space."""
+    def posteriors(self, texts: list[bytes | None], index: TermIndex | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(tokens, posteriors) of whole texts: words are runs without ASCII white space. A task keeps its ``index``."""
         tokens = np.zeros(len(texts), np.int64)
         z = np.repeat(self.weights[-1][None, :], len(texts), 0)
-        index = TermIndex(self.words)
+        index = TermIndex(self.words) if index is None else index
         for n, text in enumerate(texts):
             words = text.split() if text else []
             tokens[n] = len(words)
@@ -122,8 +122,8 @@ def fit_domains(docs: DataFrame, labels: DataFrame, domain_col: str = "domain",
     known = {w: n for n, w in enumerate(chosen)}
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            index = TermIndex(known)
+        index = TermIndex(known)
+        for batch in (part for whole in batches for part in sliced(whole, "text")):
             at = [sorted(set().union(*map(index.__getitem__, set((t or b"").split())))) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(at, pa.list_(pa.int32()))], names=["doc_id", "label", "at"])
 
@@ -151,6 +151,12 @@ class Mix:
     targets: list  # tokens per domain
     reached: list  # expected tokens per domain at the end
 
+    @property
+    def missed(self) -> dict[str, float]:
+        """Domains whose expected tokens stay off their target by more than the tolerance, with the difference."""
+        off = [(n, r - t) for n, r, t in zip(self.domains.names, self.reached, self.targets, strict=True)]
+        return {n: d for n, d in off if abs(d) >= TOLERANCE * max(1.0, sum(self.targets))}
+
     def rate(self, p: np.ndarray) -> np.ndarray:
         """Rates of posteriors (rows x domains): the gradient steps folded with the projection on r >= 0."""
         r = np.ones(len(p))
@@ -170,13 +176,20 @@ def _posterior_table(docs: DataFrame, domains: Domains, id_col: str, text_col: s
     count = len(domains.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            tokens, p = domains.posteriors(batch.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(tokens), *[pa.array(p[:, g]) for g in range(count)]],
-                                             names=["doc_id", "tokens", *[f"p{g}" for g in range(count)]])
+        index = TermIndex(domains.words)
+        for batch in (part for whole in batches for part in sliced(whole, "text")):
+            tokens, p = domains.posteriors(batch.column("text").to_pylist(), index)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(tokens), batch.column("chance"), *[pa.array(p[:, g]) for g in range(count)]],
+                                             names=["doc_id", "tokens", "chance", *[f"p{g}" for g in range(count)]])
+
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), _chance(id_col, text_col).alias("chance"))
+    return materialize(source.mapInArrow(run, "doc_id long, tokens long, chance double, " + ", ".join(f"p{g} double" for g in range(count))), "posteriors")
+
 
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    return materialize(source.mapInArrow(run, "doc_id long, tokens long, " + ", ".join(f"p{g} double" for g in range(count))), "posteriors")
+def _chance(id_col: str, text_col: str) -> Column:
+    """The draw in [0, 1) that decides about the fraction of a row's rate: a hash of its id and text, the same in the report
+    and in the mixed rows. Rows that repeat both share it; rows with a null id differ by their texts."""
+    return F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.col(text_col).cast("string"), F.lit(9)), F.lit(1 << 30)) / float(1 << 30)
 
 
 def fit_mix(table: DataFrame, domains: Domains, weights: dict[str, float]) -> Mix:
@@ -232,22 +245,25 @@ def mix_report(docs: DataFrame, labels: DataFrame, weights: dict[str, float], do
     rate = F.round(_rate_column(mix.steps, len(names)), 9)
     best = F.array_max(F.array(*[F.struct(F.col(f"p{g}").alias("p"), F.lit(-g).alias("g")) for g in range(len(names))]))["g"]
     return table.select("doc_id", "tokens", F.get(F.array(*[F.lit(n) for n in names]), -best).alias("domain"),
-                        *[F.col(f"p{g}").alias(f"posterior_{n}") for g, n in enumerate(names)], rate.alias("rate")).withColumn(
-        "copies", F.floor(F.col("rate") + F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1 << 30)) / float(1 << 30)).cast("int"))
+                        *[F.col(f"p{g}").alias(f"posterior_{n}") for g, n in enumerate(names)], rate.alias("rate"), "chance").withColumn(
+        "copies", F.floor(F.col("rate") + F.col("chance")).cast("int")).drop("chance")
 
 
 def mixed(docs: DataFrame, labels: DataFrame, weights: dict[str, float], domain_col: str = "domain", id_col: str = "doc_id",
           text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, each as often as its rate asks for (whole part, and the fraction by hash of the id)."""
+    """The rows of ``docs``, each as often as its rate asks for: the whole part, and one more by a draw that hashes id and text
+    (``mix_report`` shows the same number). The draw goes along as one column behind the caller's, by place, not by name."""
     domains = fit_domains(docs, labels, domain_col, id_col, text_col)
     mix = fit_mix(_posterior_table(docs, domains, id_col, text_col), domains, weights)
-    texts, ids = docs.columns.index(text_col), docs.columns.index(id_col)
+    texts = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            _, p = domains.posteriors(batch.column(texts).cast(pa.binary()).to_pylist())
-            chance = np.array([xxhash.xxh3_64_intdigest(str(x).encode()) / 2 ** 64 for x in batch.column(ids).to_pylist()])
+        index = TermIndex(domains.words)
+        for batch in (part for whole in batches for part in sliced(whole, texts)):
+            _, p = domains.posteriors(batch.column(texts).cast(pa.binary()).to_pylist(), index)
+            chance = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False)
             copies = np.floor(np.round(mix.rate(p), 9) + chance).astype(np.int64)
-            yield batch.take(pa.array(np.repeat(np.arange(batch.num_rows), copies)))
+            rows = pa.RecordBatch.from_arrays(batch.columns[:-1], schema=pa.schema(list(batch.schema)[:-1]))
+            yield rows.take(pa.array(np.repeat(np.arange(batch.num_rows), copies)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.select("*", _chance(id_col, text_col).alias(free_name(docs.columns, "chance"))).mapInArrow(run, docs.schema)

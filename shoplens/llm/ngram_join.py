@@ -12,7 +12,8 @@
    bucket's group with the fewest tokens of its own, and each group's members against their group's least member: as
    many pairs as members. Their links are contracted to components; then every pair of groups that share a bucket is
    expanded, but only to members whose components still differ. Pairs inside a component cannot change the result, so a
-   large group of near copies costs no square; no other pair is left out.
+   large group of near copies costs no square. Each set has a bitmap in which every token turns one bit: sets whose bitmaps
+   differ in more bits than the threshold lets tokens differ are no pair, and never become a row. No other pair is left out.
 5. Pairs are verified on whole sets.
 
 Null and empty texts, and texts without words, have the empty set: size 0, linked with nothing, a component of their own.
@@ -28,7 +29,7 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 
 from .common import connected_components, materialize
 from .idfilter import maybe_in
-from .sets import digest_batches, prefix_batches, set_batches
+from .sets import PARITY_WORDS, digest_batches, prefix_batches, set_batches
 
 EXTRA = 20  # one token in so many is added to the prefix for the shared-token filter
 
@@ -62,6 +63,15 @@ def _meets(percent: int) -> Column:
     return near & (F.col("pos_a") <= F.col("n_a") - F.col("own_a") - need) & (F.col("pos_b") <= F.col("n_b") - F.col("own_b") - need)
 
 
+def _close(all_a: str, any_a: str, all_b: str, any_b: str, percent: int) -> Column:
+    """No pair of members is ruled out by the bitmaps: ``all`` holds the bits that every member of a side has, ``any`` those
+    that one has (both are the bitmap of a single set). Bits that surely differ are tokens that one set lacks."""
+    cell = lambda c, i: F.get(F.col(c), F.lit(i))
+    apart = sum((F.bit_count((cell(all_a, i).bitwiseAND(F.bitwise_not(cell(any_b, i)))).bitwiseOR(cell(all_b, i).bitwiseAND(F.bitwise_not(cell(any_a, i)))))
+                 for i in range(PARITY_WORDS)), F.lit(0))
+    return apart <= F.col("n_a") + F.col("n_b") - 2 * _overlap(F.col("n_a"), F.col("n_b"), percent)
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of classes whose sets reach the threshold. A class with many pairs is split by AQE on the narrow side."""
     left = pairs.join(sets.select(F.col("cid").alias("a"), F.col("tokens").alias("x")), "a")
@@ -108,20 +118,26 @@ def _classes(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str)
     reached = connected_components(links, "a", "b")
 
     placed = members.select("cid", "gid", "n", "own").join(reached.withColumnRenamed("node", "cid"), "cid", "left").select(
-        "cid", "gid", "n", "own", F.coalesce("component", "cid").alias("comp"))
+        "cid", "gid", "n", "own", F.coalesce("component", "cid").alias("comp")).join(sets.select("cid", "parity"), "cid")
     placed = materialize(placed, "placed")
-    parts = placed.select("gid", "comp").distinct()
-    spread = buckets.join(parts, "gid")
+    words = [F.get("parity", F.lit(i)) for i in range(PARITY_WORDS)]
+    parts = placed.groupBy("gid", "comp").agg(F.array(*[F.bit_and(w) for w in words]).alias("all"), F.array(*[F.bit_or(w) for w in words]).alias("any"))
+    parts = materialize(parts, "parts")
+    spread = buckets.join(parts.select("gid", "comp"), "gid")
     open_ = spread.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
-    spread = spread.join(open_, "token")
-    sides = ("gid", "n", "own", "pos", "comp")
+    spread = spread.join(open_, "token").join(parts, ["gid", "comp"])
+    sides = ("gid", "n", "own", "pos", "comp", "all", "any")
     x = spread.select("token", *[F.col(c).alias(f"{c}_a") for c in sides])
     y = spread.select("token", *[F.col(c).alias(f"{c}_b") for c in sides])
-    crossed = x.join(y, (x["token"] == y["token"]) & (F.col("comp_a") < F.col("comp_b")) & _meets(percent)).select(
-        "gid_a", "comp_a", "gid_b", "comp_b").distinct()
-    side = lambda e: placed.select(F.col("gid").alias(f"gid_{e}"), F.col("comp").alias(f"comp_{e}"), F.col("cid").alias(e))
-    expanded = crossed.join(side("a"), ["gid_a", "comp_a"]).join(side("b"), ["gid_b", "comp_b"]).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    crossed = x.join(y, (x["token"] == y["token"]) & (F.col("comp_a") < F.col("comp_b")) & _meets(percent)
+                     & _close("all_a", "any_a", "all_b", "any_b", percent)).select("gid_a", "comp_a", "n_a", "gid_b", "comp_b", "n_b").distinct()
+
+    def side(e: str) -> DataFrame:
+        return placed.select(F.col("gid").alias(f"g_{e}"), F.col("comp").alias(f"c_{e}"), F.col("cid").alias(e), F.col("parity").alias(f"bits_{e}"))
+
+    left = crossed.join(side("a"), (F.col("gid_a") == F.col("g_a")) & (F.col("comp_a") == F.col("c_a")))
+    both = left.join(side("b"), (F.col("gid_b") == F.col("g_b")) & (F.col("comp_b") == F.col("c_b")) & _close("bits_a", "bits_a", "bits_b", "bits_b", percent))
+    expanded = both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     rest = _verified(expanded.join(first, ["a", "b"], "left_anti"), sets, percent)
     found = connected_components(links.unionByName(rest), "a", "b")
 
@@ -144,7 +160,8 @@ def _shared(tokens: DataFrame) -> DataFrame:
     """Tokens (cid, n, token) that several classes hold, with their number of classes ``df``.
 
     Counts are added up in every task first and stored, so that both sides of the join come straight from a shuffle: AQE can
-    split a token that many classes hold. Most tokens of one class leave by the bit table before they are shuffled."""
+    split a token that many classes hold. Most tokens of one class leave by a bit table, sized by the tokens that are
+    shared, before they are shuffled."""
     counts = materialize(tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "token-counts")
     return maybe_in(tokens, "token", counts.select("token")).hint("merge").join(counts, "token")
 
@@ -156,7 +173,7 @@ def _with_least(buckets: DataFrame) -> DataFrame:
 
 
 def _whole_sets(source: DataFrame, members: DataFrame, classes: DataFrame, k: int) -> DataFrame:
-    """(cid, tokens) of the classes that are left, from one more pass over their texts.
+    """(cid, tokens, parity) of the classes that are left, from one more pass over their texts.
 
     A fixed-size bit table of ids lets other texts go before the shuffle; the join after it is exact."""
     left = classes.join(members.select("cid"), "cid", "left_semi").select("digest", "cid", "doc")
@@ -164,8 +181,8 @@ def _whole_sets(source: DataFrame, members: DataFrame, classes: DataFrame, k: in
     ids = left.select(F.col("doc").alias("doc_id")).distinct()
     texts = maybe_in(source.where("doc_id is not null"), "doc_id", ids).join(ids, "doc_id", "left_semi")
     nameless = source.where("doc_id is null")  # classes of rows without ids only
-    sets = texts.unionByName(nameless).select("text").mapInArrow(set_batches(k), "digest binary, tokens array<long>")
-    return materialize(sets.join(left.select("digest", "cid"), "digest").dropDuplicates(["cid"]).select("cid", "tokens"), "sets")
+    sets = texts.unionByName(nameless).select("text").mapInArrow(set_batches(k), "digest binary, tokens array<long>, parity array<long>")
+    return materialize(sets.join(left.select("digest", "cid"), "digest").dropDuplicates(["cid"]).select("cid", "tokens", "parity"), "sets")
 
 
 def deduplicate(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -178,10 +195,13 @@ def deduplicate(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "d
     repeated = found.where(F.col("doc_id").eqNullSafe(F.col("least"))).groupBy("component", "doc_id").count().where("count > 1")
     asked = found.where(~F.col("doc_id").eqNullSafe(F.col("least"))).select("doc_id").unionByName(repeated.select("doc_id")).distinct()
     suspects, sure = maybe_in(docs, id_col, materialize(asked, "suspects"), split=True)
-    texts = [c for c in docs.columns if c != text_col]
-    source = suspects.select(*texts, F.col(text_col).cast("binary").alias("text_"))
+    # the caller's columns travel in one struct, so that none of the names used here can meet one of theirs
+    others = [c for c in docs.columns if c != text_col]
+    source = suspects.select(F.struct(*[F.col(f"`{c}`") for c in others]).alias("whole"), F.col(id_col).cast("long").alias("id"),
+                             F.col(text_col).cast("binary").alias("text_"))
     marked = source.mapInArrow(digest_batches(k), StructType([*source.schema.fields, StructField("digest_", BinaryType())]))
-    tied = marked.join(ids.select(F.col("digest").alias("digest_"), F.col("component").alias("component_"), F.col("least").alias("least_")), "digest_", "left")
-    chosen = tied.where("component_ is not null").where(F.col(id_col).cast("long").eqNullSafe(F.col("least_"))).dropDuplicates(["component_"])
-    kept = tied.where("component_ is null").unionByName(chosen).withColumn(text_col, F.col("text_").cast("string"))
-    return sure.unionByName(kept.select(*docs.columns))
+    tied = marked.join(ids.select(F.col("digest").alias("digest_"), "component", "least"), "digest_", "left")
+    chosen = tied.where("component is not null").where(F.col("id").eqNullSafe(F.col("least"))).dropDuplicates(["component"])
+    kept = tied.where("component is null").unionByName(chosen)
+    back = [F.col("text_").cast("string").alias(c) if c == text_col else F.col("whole").getField(c).alias(c) for c in docs.columns]
+    return sure.unionByName(kept.select(*back))

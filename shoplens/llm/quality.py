@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import sliced
 from .idfilter import maybe_in
 
 MAX_LABELLED = 30_000
@@ -180,7 +181,7 @@ def _matrix(texts: pa.Array) -> np.ndarray:
 
 
 def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (part for whole in batches for part in sliced(whole, "text")):
         x = _matrix(batch.column("text"))
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(x[:, f]) for f in range(x.shape[1])]], names=["doc_id", *FEATURES])
 
@@ -210,7 +211,7 @@ def fit_on(docs: DataFrame, labels: DataFrame, label: str = "quality", limit: in
 
 def score_batches(model: Additive) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in sliced(whole, "text")):
             score = model.scores(_matrix(batch.column("text")))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(score)], names=["doc_id", "held_out", "score"])
 
@@ -229,7 +230,7 @@ def keep_good(docs: DataFrame, model: Additive, text_col: str = "text") -> DataF
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in sliced(whole, at)):
             yield batch.filter(pa.array(model.scores(_matrix(batch.column(at).cast(pa.binary()))) >= 0.5))
 
     return docs.mapInArrow(run, docs.schema)

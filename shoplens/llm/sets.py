@@ -8,7 +8,10 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
-CACHED_WORDS = 500_000  # word hashes that a worker remembers before it starts anew (memory only, no effect on results)
+from .common import sliced
+
+CACHED_WORDS = 200_000  # word hashes that a worker remembers before it starts anew (memory only, no effect on results)
+PARITY_WORDS = 16  # 64-bit words of a set's bitmap
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -57,7 +60,7 @@ def prefix_batches(k: int, width: Callable[[int], int]) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = WordHashes()
-        for batch in batches:
+        for batch in (part for whole in batches for part in sliced(whole, "text")):
             sets = [shingle_set(t, k, seen) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([digest(s) for s in sets], pa.binary()),
@@ -66,14 +69,22 @@ def prefix_batches(k: int, width: Callable[[int], int]) -> Callable:
     return run
 
 
+def parity(tokens: np.ndarray) -> np.ndarray:
+    """Bitmap of a set: each token turns one of 64 * ``PARITY_WORDS`` bits. Two sets differ in at least as many tokens as their
+    bitmaps differ in bits."""
+    odd = np.bincount(tokens & (64 * PARITY_WORDS - 1), minlength=64 * PARITY_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def set_batches(k: int) -> Callable:
-    """Arrow batches (text as binary) -> (digest, tokens): the whole set."""
+    """Arrow batches (text as binary) -> (digest, tokens, parity): the whole set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = WordHashes()
-        for batch in batches:
+        for batch in (part for whole in batches for part in sliced(whole, "text")):
             sets = [shingle_set(t, k, seen) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([digest(s) for s in sets], pa.binary()), list_column(sets)], names=["digest", "tokens"])
+            yield pa.RecordBatch.from_arrays([pa.array([digest(s) for s in sets], pa.binary()), list_column(sets), list_column([parity(s) for s in sets])],
+                                             names=["digest", "tokens", "parity"])
 
     return run
 
@@ -83,7 +94,7 @@ def digest_batches(k: int) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = WordHashes()
-        for batch in batches:
+        for batch in (part for whole in batches for part in sliced(whole, "text_")):
             made = [digest(shingle_set(t, k, seen)) for t in batch.column("text_").to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.binary())], names=[*batch.schema.names, "digest_"])
 

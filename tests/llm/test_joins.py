@@ -196,3 +196,57 @@ def test_long_shuffled_chain_in_one_part(spark):
 def test_empty_tables(spark):
     assert ngram_join.ngram_components(spark.createDataFrame([], "doc_id long, text string")).collect() == []
     assert vectors.near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+CLASHES = ["_w", "_hit", "_at", "_word", "_bits", "text_", "digest_", "component_", "least_", "whole", "at", "row", "words", "id", "component", "least", "chance",
+           "digest", "tokens", "bits", "doc", "n"]
+
+
+def test_every_internal_name_may_be_a_callers_column(spark):
+    """The bit table and the deduplication keep a caller's columns as they are, whatever their names."""
+    from pyspark.sql import functions as F
+
+    from shoplens.llm import mixing, ngram_join, quality
+    from shoplens.llm.idfilter import maybe_in
+
+    base = " ".join(f"word{n}" for n in range(40))
+    pairs = [(1, base), (2, base + " more"), (3, "quite another text with some words of its own"), (4, None), (5, base), (None, base), (6, "")]
+    docs = make_docs(spark, pairs)
+    extra = docs.select("*", *[F.concat(F.lit(f"{n}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))).alias(c) for n, c in enumerate(CLASHES)])
+
+    def whole(df):
+        return sorted(map(repr, (tuple(r) for r in df.collect())))
+
+    kept = ngram_join.deduplicate(extra, k=5, percent=80)
+    assert kept.columns == extra.columns
+    wanted = extra.where("doc_id IN (1, 3, 4, 6)")
+    assert whole(kept) == whole(wanted)
+    held, other = maybe_in(extra, "doc_id", docs.select("doc_id").where("doc_id < 3"), split=True)
+    assert whole(held.unionByName(other)) == whole(extra) and {1, 2} <= {r.doc_id for r in held.collect()}
+    assert whole(quality.keep_good(extra, quality.Additive(1.0))) == whole(extra)
+    model = mixing.Domains(["a"], {}, np.zeros((1, 1)))
+    mixed = mixing.mixed(extra, docs.select("doc_id", F.lit("a").alias("domain")), {})
+    assert mixed.columns == extra.columns and whole(mixed) == whole(extra) and model.names == ["a"]
+
+
+def test_bitmaps_never_rule_out_a_pair():
+    from shoplens.llm.sets import PARITY_WORDS, parity
+
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        a = np.unique(rng.integers(-(1 << 62), 1 << 62, rng.integers(0, 400)))
+        b = np.unique(np.concatenate([a[rng.random(len(a)) < 0.9], rng.integers(-(1 << 62), 1 << 62, rng.integers(0, 60))]))
+        apart = int(np.bitwise_count((parity(a) ^ parity(b)).view(np.uint64)).sum())
+        assert len(parity(a)) == PARITY_WORDS and apart <= len(np.setxor1d(a, b))
+
+
+def test_bit_table_grows_with_its_ids(spark, monkeypatch):
+    from shoplens.llm import idfilter
+
+    ids, rows = spark.range(0, 30_000, 3), spark.range(0, 30_000)
+    sized = idfilter.maybe_in(rows, "id", ids).count()
+    assert 10_000 <= sized < 13_000  # about 6 % of the others
+    monkeypatch.setattr(idfilter, "MOST", 1 << 10)
+    monkeypatch.setattr(idfilter, "LEAST", 1 << 10)
+    full = idfilter.maybe_in(rows, "id", ids)
+    assert full.count() == 30_000 and full.join(ids, "id", "left_semi").count() == 10_000
