@@ -34,10 +34,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from .common import sliced
+
 SPACE = "▁"
 HEAD = 45.0
 NODES, EDGES = 1_500_000, 3_500_000  # lattice kept in a worker; it starts anew beyond that (memory only, no effect on results)
-BATCH_CHARS = 500_000
+BATCH_BYTES = 500_000  # texts that are sampled in lockstep (or a single longer one)
 NO_CHAR = 0x1FFFFF  # stands for U+0000, whose column the space mark has; no piece holds either
 DENSE = 256  # code points below it have a column of their own in the trie (the space mark takes column 0)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -89,6 +91,9 @@ class Vocabulary:
                 self.text[n] = piece.replace(SPACE, " ").encode()
         if any(SPACE in p.lstrip(SPACE) for p in plain):
             raise ValueError("a piece holds a space mark after another character: word units would not be exact")
+        self.length = np.array([len(t) for t in self.text], np.int64)
+        self.begin = np.cumsum(self.length) - self.length
+        self.spelled = np.frombuffer(b"".join(self.text), np.uint8)
         self.weight = -alpha * np.log(np.arange(size) + 10.0)
         self.byte_weight = float(self.weight[-1])
         self.longest = max(map(len, plain))
@@ -152,8 +157,16 @@ class Vocabulary:
         return out
 
     def decode(self, ids: np.ndarray) -> bytes:
-        joined = b"".join(map(self.text.__getitem__, ids.tolist()))
-        return joined[1:] if joined[:1] == b" " else joined
+        return self.decode_all([ids])[0]
+
+    def decode_all(self, listed: list[np.ndarray]) -> list[bytes]:
+        """Texts of many id lists, as one gather over the pieces' bytes; the mark before a text goes."""
+        ids = np.concatenate(listed) if listed else np.zeros(0, np.int64)
+        size = self.length[ids]
+        upto = np.cumsum(size)
+        flat = self.spelled[np.arange(upto[-1] if len(upto) else 0) + np.repeat(self.begin[ids] - (upto - size), size)].tobytes()
+        ends = np.concatenate([[0], upto])[np.cumsum([0, *map(len, listed)])].tolist()
+        return [flat[a + (flat[a:a + 1] == b" " and b > a):b] for a, b in zip(ends, ends[1:], strict=False)]
 
 
 class Lattice:
@@ -310,7 +323,8 @@ def _open(lat: Lattice, noise: np.ndarray, later: float, path: Path, frontier: l
     place, edge, phi = _siblings(lat, path, done, head)
     if len(edge):
         value = _truncated(phi, path.perturbed, _uniform(_stream(noise, np.arange(len(edge)))))
-        best = np.argsort(-value, kind="stable")[:k + 1]  # no more than k of them can be popped, and one bounds the rest
+        # no more than k of them can be popped, and one bounds the rest
+        best = np.argpartition(-value, k)[:k + 1] if len(value) > k + 1 else np.arange(len(value))
         frontier.extend((float(value[n]), path, int(place[n]), int(edge[n])) for n in best)
     if head < length:
         start = path.sums[head - 1] if head else 0.0
@@ -419,32 +433,22 @@ def sample_segmentations(docs: DataFrame, k: int = 2, model_path: str | None = N
         model = f.read()
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def groups(texts: list[str]) -> Iterator[tuple[int, int]]:
-        a = size = 0
-        for n, t in enumerate(texts):
-            size += len(t)
-            if size >= BATCH_CHARS:
-                yield a, n + 1
-                a, size = n + 1, 0
-        if a < len(texts):
-            yield a, len(texts)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lat = Lattice(Vocabulary(shared.value, alpha))
-        for batch in batches:
+        for batch in (part for whole in batches for part in sliced(whole, "text", BATCH_BYTES)):
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            keys, seeds = batch.column("doc_id").to_pylist(), batch.column("seed").to_numpy(zero_copy_only=False).view(np.uint64)
-            for a, b in groups(texts):
-                made = sample_batch(lat, texts[a:b], seeds[a:b], k)
-                rows = [(key, j, *r, lat.v.decode(r[0]) == text.replace(SPACE, " ").encode("utf-8", "replace"))
-                        for key, text, rs in zip(keys[a:b], texts[a:b], made, strict=True) for j, r in enumerate(rs)]
-                ids = [r[2] for r in rows]
-                ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32)))
-                cols = [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), lists,
-                        pa.array([len(x) for x in ids], pa.int64()), *[pa.array([r[c] for r in rows], pa.float64()) for c in (3, 4, 5)],
-                        pa.array([r[6] for r in rows], pa.bool_())]
-                yield pa.RecordBatch.from_arrays(cols, schema=_SCHEMA)
+            keys, seeds = batch.column("doc_id"), batch.column("seed").to_numpy(zero_copy_only=False).view(np.uint64)
+            made = sample_batch(lat, texts, seeds, k)
+            owner = np.repeat(np.arange(len(texts)), [len(rs) for rs in made])
+            rows = [(j, *r) for rs in made for j, r in enumerate(rs)]
+            ids = [r[1] for r in rows]
+            wanted = [t.replace(SPACE, " ").encode("utf-8", "replace") for t in texts]
+            whole = [got == wanted[n] for got, n in zip(lat.v.decode_all(ids), owner.tolist(), strict=True)]
+            ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32()))
+            cols = [keys.take(pa.array(owner)), pa.array([r[0] for r in rows], pa.int32()), lists, pa.array(np.diff(ends).astype(np.int64)),
+                    *[pa.array([r[c] for r in rows], pa.float64()) for c in (2, 3, 4)], pa.array(whole, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(cols, schema=_SCHEMA)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(id_col).cast("long"), F.lit(seed)).alias("seed"),
                        F.col(text_col).cast("string").alias("text"))
