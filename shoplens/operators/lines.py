@@ -32,13 +32,15 @@ def _order_keys(cols: Sequence[str]) -> list[Column]:
 
 
 def deduplicate(raw: DataFrame) -> DataFrame:
-    """One row per distinct 8-column line, with the number of copies it had.
+    """One row per distinct 8-column line, with the number of copies it had. Where lines carry their place in the source
+    (``source_row_number``), the first copy is the one that is kept: its number stays.
 
     A hash aggregate with map-side partial aggregation: a group of copies holding a large
     share of all rows is reduced in every map task before the shuffle, so no single
     task receives the hot group whole.
     """
-    return raw.groupBy(*LINE_COLUMNS).agg(F.count(F.lit(1)).alias("copies"))
+    first = [F.min("source_row_number").alias("source_row_number")] if "source_row_number" in raw.columns else []
+    return raw.groupBy(*LINE_COLUMNS).agg(F.count(F.lit(1)).alias("copies"), *first)
 
 
 def duplicate_extra_rows(raw: DataFrame) -> DataFrame:
@@ -174,12 +176,15 @@ def clean_lines(raw: DataFrame) -> DataFrame:
 
 
 def number_deduplicated(dedup: DataFrame) -> DataFrame:
+    """``source_row_number`` of the first copy and ``line_id`` (1, 2, ... over known lines), both in source order. Lines of a
+    file bring their row numbers; a source without an order (joined tables) is numbered in the order of its eight columns."""
     cid = py_strip(F.col("customer_id"))
     is_known = (cid.isNotNull() & (cid != "")).cast("int")
-    ranked = running_ranks(
+    if "source_row_number" in dedup.columns:
+        return running_ranks(dedup, ["source_row_number"], {"line_id": is_known}, {"line_id": 1})
+    return running_ranks(
         dedup,
         LINE_COLUMNS,
         {"source_row_number": F.col("copies"), "line_id": is_known},
         {"source_row_number": 2, "line_id": 1},
     )
-    return ranked

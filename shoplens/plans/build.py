@@ -30,11 +30,11 @@ class Build:
 
     @classmethod
     def from_csv(cls, spark: SparkSession, path: str, params: Params = DEFAULT, multi_line: bool = False) -> "Build":
-        """A build over a CSV file or folder. Copies are removed on the text of the eight columns, as written: two
-        spellings of one date are two lines."""
-        from ..sources.csv_source import read_source_text
+        """A build over a CSV file or folder. Copies are removed on the text of the eight columns, as written (two
+        spellings of one date are two lines), and the first one in file order is kept, with its row number."""
+        from ..sources.csv_source import in_source_order
 
-        return cls(spark, path, params, read_source_text(spark, path, multi_line))
+        return cls(spark, path, params, in_source_order(spark, path, multi_line))
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str, params: Params = DEFAULT) -> "Build":
@@ -53,7 +53,7 @@ class Build:
         """The source after exact-copy removal, with the copy count of every line: written
         once (Parquet, shared checkpoint folder), so the star-schema joins run once per build
         and every line-level query scans only the columns it needs."""
-        return self.stored.select(*LINE_COLUMNS, "copies")
+        return self.stored.select(*LINE_COLUMNS, "copies", *[c for c in ("source_row_number",) if c in self.stored.columns])
 
     @cached_property
     def stored(self) -> DataFrame:

@@ -7,6 +7,7 @@ to 6 places, counts as BIGINT.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +15,9 @@ from pyspark.sql import functions as F
 
 from ..functions.output import day_text, dbl, money_out, quantile_out, timestamp_text
 from ..operators import lines as L
-from ..params import DEFAULT, Params
-from ..sources.adapter import LINE_COLUMNS
+from ..params import DEFAULT, SOURCE_COLUMNS, Params
+from ..session import ensure_checkpoint_dir
+from ..sources.adapter import LINE_COLUMNS, source_lines
 from .build import Build
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,8 +74,24 @@ def lines_deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lines_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Known, normalised lines with line id and the five flags."""
-    numbered = _b(spark, sf_dir).numbered.drop("copies")
-    flagged = L.known_lines(numbered)
+    return _flagged(_b(spark, sf_dir))
+
+
+def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from CSV files: the source lines are written as a folder of files in the order of their columns, and read
+    again by position, header contract, missing-value tokens and strict types (A1-A4, B2, B3, F1, F2)."""
+    raw = source_lines(spark, sf_dir)
+    order = [F.col(c).asc_nulls_first() for c in LINE_COLUMNS]
+    shown = [F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss") if c == "invoice_date" else F.col(c) for c in LINE_COLUMNS]
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/shoplens-csv-{uuid.uuid4().hex[:12]}"
+    parts = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    raw.repartitionByRange(parts, *order).sortWithinPartitions(*order).select(
+        *[c.alias(n) for c, n in zip(shown, SOURCE_COLUMNS, strict=True)]).write.option("header", True).option("escape", '"').csv(path)
+    return _flagged(Build.from_csv(spark, path))
+
+
+def _flagged(build: Build) -> DataFrame:
+    flagged = L.known_lines(build.numbered.drop("copies"))
     return flagged.select(
         "line_id",
         "source_row_number",
@@ -146,6 +164,7 @@ def registry() -> dict[str, Query]:
         "duplicate_audit": duplicate_audit,
         "lines_deduplicated": lines_deduplicated,
         "lines_flagged": lines_flagged,
+        "csv_lines": csv_lines,
         "customer_countries": customer_countries,
         "customer_segments": customer_segments,
         **catalog_model.registry(),

@@ -186,6 +186,7 @@ def oracle_texts(p: Params = DEFAULT) -> dict[str, str]:
         p,
         {"numbered": numbered},
     )
+    q["csv_lines"] = q["lines_flagged"]  # the same rows by way of CSV files in the order of their columns
     q["customer_countries"] = with_ctes(
         f"""SELECT customer_id, country, CAST(count(*) AS BIGINT) AS transaction_lines,
                    CAST(count(DISTINCT invoice_no) AS BIGINT) AS distinct_invoices,

@@ -9,12 +9,13 @@ turning into null.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.text import na_to_null
 from ..params import SOURCE_COLUMNS
+from ..session import materialize
 from .adapter import LINE_COLUMNS
 
 # Timestamp layouts accepted for InvoiceDate, tried in order.
@@ -42,8 +43,12 @@ def source_schema() -> StructType:
     return StructType([StructField(c, StringType(), True) for c in SOURCE_COLUMNS])
 
 
-def read_source_text(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """The 8 columns as text with snake_case names, missing-value tokens as null.
+#: Where a line stands: its file, the first byte of its split, and a number that rises along the split.
+POSITION = ("source_file", "source_block", "source_at")
+
+
+def read_source_text(spark: SparkSession, path: str, multi_line: bool = False, positions: bool = False) -> DataFrame:
+    """The 8 columns as text with snake_case names, missing-value tokens as null; with ``positions`` also ``POSITION``.
 
     Doubled quotes inside a quoted field are read as quotes. ``multi_line`` also reads quoted line breaks; a file is
     one task then (Spark cannot split it), so it is off unless asked for."""
@@ -57,7 +62,23 @@ def read_source_text(spark: SparkSession, path: str, multi_line: bool = False) -
         .option("multiLine", multi_line)
         .csv(path)
     )
-    return raw.select(*[na_to_null(F.col(s)).alias(d) for s, d in zip(SOURCE_COLUMNS, LINE_COLUMNS, strict=True)])
+    place = [F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()]
+    return raw.select(*[na_to_null(F.col(s)).alias(d) for s, d in zip(SOURCE_COLUMNS, LINE_COLUMNS, strict=True)],
+                      *([c.alias(n) for c, n in zip(place, POSITION, strict=True)] if positions else []))
+
+
+def in_source_order(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """The text lines with ``source_row_number``: 2, 3, ... along the files in path order, copies included (1 is a header).
+
+    A line's number is the rows of all splits before its own plus its place in the split. Lines are written once with their
+    positions, so a task that runs again cannot move them; one small aggregate counts the rows of each split, and their
+    running sum is a window over one row per split. No sort and no shuffle of the lines."""
+    written = materialize(read_source_text(spark, path, multi_line, positions=True), "source-lines")
+    splits = written.groupBy("source_file", "source_block").agg(F.count(F.lit(1)).alias("rows"), F.min("source_at").alias("first"))
+    before = F.coalesce(F.sum("rows").over(Window.orderBy("source_file", "source_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = splits.select("source_file", "source_block", (before - F.col("first") + 2).alias("shift"))
+    placed = written.join(offsets, ["source_file", "source_block"])
+    return placed.select(*LINE_COLUMNS, (F.col("source_at") + F.col("shift")).cast("bigint").alias("source_row_number"))
 
 
 def parse_date(text: Column) -> Column:

@@ -1,6 +1,7 @@
 """Sources and sinks: typed CSV scan with header contract, model table round trip, build write."""
 
 import os
+import random
 import tempfile
 
 import pytest
@@ -125,3 +126,44 @@ def test_json_export_keeps_nulls(spark):
     back = spark.read.json(paths["kpp_weights"])
     first = back.where("center_number = 1").select("probability").first()
     assert "probability" in back.columns and first.probability is None
+
+
+def _folder(files: dict[str, str]) -> str:
+    d = tempfile.mkdtemp(prefix="shoplens-csv-", dir="/tmp")
+    for name, text in files.items():
+        with open(os.path.join(d, name), "w") as fh:
+            fh.write(text)
+    return d
+
+
+def test_rows_are_numbered_in_file_order_and_the_first_copy_stays(spark):
+    """Several files and many splits of one file: numbers 2..n+1 along the files, whatever the splits and partitions."""
+    rng = random.Random(2)
+    lines = [f"{rng.randint(1, 60)},{rng.randint(10000, 10009)},D{rng.randint(1, 3)},{rng.randint(1, 3)},2011-03-0{rng.randint(1, 9)} 10:00:00,1.5,{rng.choice(['7', '8', ''])},UK\n"
+             for _ in range(900)]
+    cuts = [0, 5, 400, 400, 900]
+    path = _folder({f"part-{n}.csv": HEADER + "".join(lines[a:b]) for n, (a, b) in enumerate(zip(cuts, cuts[1:]))})
+    first, copies = {}, {}
+    for n, line in enumerate(lines):
+        first.setdefault(line, n + 2)
+        copies[line] = copies.get(line, 0) + 1
+    known = {line: i + 1 for i, line in enumerate(sorted((x for x in first if x.split(",")[6]), key=first.get))}
+
+    def text(r):
+        return f"{r.invoice_no},{r.stock_code},{r.description},{r.quantity},{r.invoice_date},{r.unit_price},{r.customer_id or ''},{r.country}\n"
+
+    before = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.shuffle.partitions")}
+    try:
+        for size, cost, parts in (("128m", "4m", "8"), ("3000", "0", "3"), ("700", "0", "8")):
+            for conf, value in zip(before, (size, cost, parts)):
+                spark.conf.set(conf, value)
+            build = Build.from_csv(spark, path)
+            splits = build.raw.count()
+            assert splits == len(lines)
+            assert sorted(r.source_row_number for r in build.raw.select("source_row_number").collect()) == list(range(2, len(lines) + 2))
+            rows = build.numbered.collect()
+            assert {text(r): (r.source_row_number, r.copies) for r in rows} == {line: (n, copies[line]) for line, n in first.items()}
+            assert {text(r): r.line_id for r in rows if r.customer_id} == known
+    finally:
+        for conf, value in before.items():
+            spark.conf.set(conf, value)
