@@ -1,14 +1,9 @@
-"""Audits: constraint report, net reconciliation, content fingerprints.
-
-Each constraint is one aggregate (or an anti join) that counts violating rows; the report
-is their union, so every check runs distributed and only counts reach the driver.
-"""
+"""Audits: net reconciliation, content fingerprints, expected and archived facts. Every check runs distributed and only
+counts reach the driver."""
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,40 +12,6 @@ from .lines import running_ranks
 FINGERPRINT_BUCKET = 1_000_000
 
 
-def _row(table: str, constraint: str, violations) -> DataFrame:
-    return violations.select(F.lit(table).alias("table_name"), F.lit(constraint).alias("constraint_name"), F.col("v").cast("bigint").alias("violations"))
-
-
-def not_null(df: DataFrame, table: str, cols: Sequence[str]) -> list[DataFrame]:
-    """All NOT NULL checks of a table in one scan (one aggregate), then one row per column."""
-    counts = df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(f"not_null:{c}") for c in cols])
-    long = counts.unpivot([], [f"not_null:{c}" for c in cols], "constraint_name", "v")
-    return [long.select(F.lit(table).alias("table_name"), "constraint_name", F.col("v").cast("bigint").alias("violations"))]
-
-
-def unique(df: DataFrame, table: str, cols: Sequence[str], name: str) -> DataFrame:
-    """Rows beyond the first per key (a partial aggregate per key, then a sum)."""
-    dup = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("v"))
-    return _row(table, name, dup)
-
-
-def check_in(df: DataFrame, table: str, col: str, allowed: Sequence[str]) -> DataFrame:
-    return _row(table, f"check:{col}", df.agg(F.count(F.when(~F.col(col).isin(list(allowed)), 1)).alias("v")))
-
-
-def foreign_key(child: DataFrame, parent: DataFrame, table: str, cols: Sequence[str], ref: str) -> DataFrame:
-    """Child rows whose key is absent from the parent (left anti join)."""
-    orphans = child.select(*cols).join(parent.select(*cols).distinct(), list(cols), "left_anti")
-    return _row(table, f"foreign_key:{','.join(cols)}->{ref}", orphans.agg(F.count(F.lit(1)).alias("v")))
-
-
-def union_all(parts: Sequence[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
 def net_reconciliation(customers: DataFrame, lines: DataFrame) -> DataFrame:
     """Customer net against Σ line amounts per customer: compared rows and largest gap."""
     line_net = lines.groupBy("customer_id").agg(F.sum("line_amount").alias("line_net"))

@@ -829,6 +829,11 @@ def eval_oracles(p: Params = DEFAULT) -> dict[str, str]:
         "SELECT 'cluster_centroids', 'foreign_key:segment_code->segment_profiles', CAST(count(*) AS BIGINT) FROM centroids c "
         "WHERE NOT EXISTS (SELECT 1 FROM profiles s WHERE s.segment_code = c.segment_code)",
     ]
+    flag = lambda t, src, c: f"SELECT '{t}', 'check:{c}', CAST(count(*) FILTER (WHERE CAST({c} AS INTEGER) NOT IN (0, 1)) AS BIGINT) FROM {src}"
+    checks += [flag("transaction_lines", "known", c) for c in ("is_cancellation", "is_valid_positive_purchase", "is_nonpositive_quantity", "is_nonpositive_price", "is_product_like")]
+    checks += [flag("customer_segments", "segmented", c) for c in ("frequency_capped_flag", "monetary_capped_flag", "any_capped_flag", "is_representative")]
+    checks += [f"SELECT 'model_metadata', '{c}', CAST(0 AS BIGINT)" for c in ("not_null:metadata_key", "not_null:metadata_value", "not_null:value_type",
+                                                                              "not_null:description", "primary_key")]
     # the tenth not-null check names the line amount column
     checks[9] = checks[9].replace("not_null:CAST(quantity * unit_price AS DECIMAL(18,4))", "not_null:line_amount")
     q["constraint_report"] = mq("\nUNION ALL\n".join(checks), sv, {"tl": tl})
@@ -926,8 +931,18 @@ def eval_oracles(p: Params = DEFAULT) -> dict[str, str]:
     return q
 
 
+def stored_build_sql(q: dict[str, str]) -> str:
+    """Rows of each stored table, counted from the queries that make them; the last ones have a fixed number of rows."""
+    counted = {"transaction_lines": "lines_flagged", "invoice_timeline": "invoice_timeline", "customer_segments": "customer_segments",
+               "customer_countries": "customer_countries", "core_checks": "core_checks"}
+    fixed = {"segment_profiles": 4, "cluster_centroids": 4, "model_metadata": 20, "model_params": 4}
+    parts = [f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS stored_rows, true AS unchanged FROM ({q[name]})" for t, name in counted.items()]
+    return "\nUNION ALL\n".join(parts + [f"SELECT '{t}', CAST({n} AS BIGINT), true" for t, n in fixed.items()])
+
+
 def all_oracles(p: Params = DEFAULT) -> dict[str, str]:
     out = oracle_texts(p)
     out.update(model_oracles(p))
     out.update(eval_oracles(p))
+    out["stored_build"] = stored_build_sql(out)
     return out

@@ -107,10 +107,9 @@ class StoredBuild:
         return self.customers.select("customer_id", label.alias("label")).orderBy("customer_id")
 
     def points(self, axes: str = "rf", segments: Sequence[str] = (), countries: Sequence[str] = (), cap_status: str = "all") -> DataFrame:
-        """Points of the filtered customers on one slice of the scaled features, capped ones told apart."""
-        if axes not in SLICES:
-            raise ValueError(f"unknown slice {axes!r}: one of {sorted(SLICES)}")
-        x, y = SLICES[axes]
+        """Points of the filtered customers on one slice of the scaled features, capped ones told apart. An unknown slice is
+        the first one."""
+        x, y = SLICES.get(axes, SLICES["rf"])
         rows = filtered_customers(self.customers, self.table("customer_countries"), segments, countries, cap_status)
         return rows.select("customer_id", "segment_code", F.col("any_capped_flag").alias("capped"), F.col(x).alias("x"), F.col(y).alias("y"))
 
@@ -123,13 +122,22 @@ class StoredBuild:
         now = bucketed_fingerprint(seg, "customer_id", F.concat_ws(",", "customer_id", "segment_code")).first()
         return now["fingerprint"] == self.metadata["assignment_sha256"]
 
+    def changed_tables(self) -> list[str]:
+        """Stored tables whose rows are not those that the manifest's digests were taken of, in any order of rows or files."""
+        from ..operators.audit import content_digest
+
+        return [n for n, digest in sorted(self.manifest["digests"].items()) if content_digest(self.table(n)) != digest]
+
     def verify(self, expected: dict[str, float | str] | None = None) -> DataFrame:
-        """Counts of the manifest, the fingerprint and any expected facts of the caller as (check_name, expected, actual,
+        """Counts and contents of the manifest's tables, the fingerprint and any expected facts of the caller as (check_name, expected, actual,
         passed); raises after all checks when one fails."""
         from ..operators.audit import expectation_report, require_passed
 
         actual: dict[str, float | str] = {f"rows:{n}": float(self.table(n).count()) for n in sorted(self.manifest["counts"])}
         wanted: dict[str, float | str] = {f"rows:{n}": float(c) for n, c in self.manifest["counts"].items()}
+        changed = set(self.changed_tables())
+        actual |= {f"content:{n}": "changed" if n in changed else "same" for n in self.manifest["digests"]}
+        wanted |= {f"content:{n}": "same" for n in self.manifest["digests"]}
         actual["assignment_fingerprint"] = "same" if self.fingerprint_matches() else "different"
         wanted["assignment_fingerprint"] = "same"
         for r in self.table("core_checks").collect():

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from shoplens.operators.audit import archive_comparison, expectation_report, require_passed
 from shoplens.plans.build import Build
 from shoplens.sources import sinks
+from shoplens.operators.constraints import Constraints, constraint_report, table_report
 from shoplens.sources.repository import SLICES, StoredBuild
 
 from .conftest import SF_SMALL
@@ -54,8 +55,7 @@ def test_slices_and_options(stored):
         got = {r.customer_id: (r.x, r.y) for r in stored.points(axes, segments=["S2"]).collect()}
         want = {r.customer_id: (r[x], r[y]) for r in stored.customers.where("segment_code = 'S2'").collect()}
         assert got == want
-    with pytest.raises(ValueError):
-        stored.points("xy")
+    assert sorted(map(tuple, stored.points("xy").collect())) == sorted(map(tuple, stored.points("rf").collect()))
     countries = [r.country for r in stored.country_options("EUROPE").collect()]
     assert countries[0] == "EUROPE" and countries[1:] == sorted(countries[1:])
     assert stored.customer_options().first().label
@@ -74,10 +74,37 @@ def test_verification_reports_and_raises(spark, stored):
     first = seg.orderBy("customer_id").first().customer_id
     seg.withColumn("segment_code", F.when(F.col("customer_id") == first, "S0").otherwise(F.col("segment_code"))).write.parquet(
         os.path.join(broken, "customer_segments"))
-    with pytest.raises(ValueError, match="assignment_fingerprint"):
+    assert StoredBuild(spark, broken).changed_tables() == ["customer_segments"]
+    with pytest.raises(ValueError, match="assignment_fingerprint.*content:customer_segments"):
         StoredBuild(spark, broken).verify()
 
 
+def test_digests_do_not_see_order_but_every_change(spark, stored):
+    moved = tempfile.mkdtemp(prefix="shoplens-moved-", dir="/tmp")
+    for name in os.listdir(stored.path):
+        if name != "_manifest":
+            stored.table(name).repartition(3).orderBy(F.rand(1)).write.mode("overwrite").parquet(os.path.join(moved, name))
+    spark.read.text(os.path.join(stored.path, "_manifest")).write.text(os.path.join(moved, "_manifest"))
+    again = StoredBuild(spark, moved)
+    assert again.changed_tables() == [] and again.verify().where("not passed").count() == 0
+    fewer = stored.table("invoice_timeline").limit(stored.manifest["counts"]["invoice_timeline"] - 1)
+    fewer.write.mode("overwrite").parquet(os.path.join(moved, "invoice_timeline"))
+    assert again.changed_tables() == ["invoice_timeline"]
+
+
+def test_constraints_are_counted_in_one_scan(spark):
+    rows = [(1, "a", 1, 10), (1, "b", 0, 11), (2, None, 2, 12), (None, "c", None, 99), (3, "a", 1, 10), (None, None, 1, None)]
+    child = spark.createDataFrame(rows, "id int, name string, flag int, ref int")
+    parent = spark.createDataFrame([(10,), (11,), (12,), (12,)], "ref int")
+    c = Constraints("t", ("id", "name"), {"primary_key": ("id",), "unique:pair": ("id", "name")}, {"flag": "flag IN (0, 1)"}, ((("ref",), "p"),))
+    found = {r.constraint_name: r.violations for r in constraint_report({"t": child, "p": parent}, [c]).collect()}
+    assert found == {"not_null:id": 2, "not_null:name": 2, "primary_key": 1, "unique:pair": 0, "check:flag": 1, "foreign_key:ref->p": 1}
+    plan = table_report(child, c)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") == 1
+    empty = {r.constraint_name: r.violations for r in constraint_report({"t": child.limit(0), "p": parent}, [c]).collect()}
+    assert set(empty.values()) == {0}
+
+
 def test_expected_facts_and_archives(spark):
     report = expectation_report(spark, {"a": 1.0, "b": "x"}, {"a": 1.0000001, "b": "y", "c": 2})
     assert {r.check_name: r.passed for r in report.collect()} == {"a": True, "b": False, "c": False}
