@@ -69,31 +69,50 @@ def test_additive_model_learns_an_interaction():
     assert ((model.scores(x[3000:]) >= 0.5) == (y[3000:] > 0)).mean() > 0.9
 
 
-def longest_match_phrases(text, sample, block):
-    """Greedy parse of each block into longest matches inside the sample; a letter that is not in it is a phrase."""
-    n = 0
-    for a in range(0, len(text), block):
-        piece, at = text[a:a + block], 0
-        while at < len(piece):
-            end = at + 1
-            while end <= len(piece) and piece[at:end] in sample:
-                end += 1
-            at = max(at + 1, end - 1)
-            n += 1
+def longest_match_phrases(text, sample):
+    """Greedy parse of a whole text into longest matches inside the sample; a letter that is not in it is a phrase."""
+    n = at = 0
+    while at < len(text):
+        end = at + 1
+        while end <= len(text) and text[at:end] in sample:
+            end += 1
+        at = max(at + 1, end - 1)
+        n += 1
     return n
 
 
-def test_phrases_equal_a_plain_longest_match_parse():
+@pytest.mark.parametrize(("block", "dense"), [(512, 46), (5, 46), (1, 2), (37, 1)])
+def test_phrases_equal_a_plain_longest_match_parse(monkeypatch, block, dense):
+    """Whatever the blocks and however many letters have a column, the parse is that of the whole text."""
+    monkeypatch.setattr(language, "BLOCK", block)
     rng = np.random.default_rng(2)
-    samples = {"a": ["".join(rng.choice(list("abc "), 900))], "b": ["".join(rng.choice(list("bcd "), 900))]}
-    model = language.learn(samples, 800)
-    texts = ["".join(rng.choice(list("abcde "), n)) for n in (1, 3, 200, 1500)]
+    samples = {"a": ["".join(rng.choice(list("abc "), 900))], "b": ["".join(rng.choice(list("bcd "), 900))], "c": ["ab" * 300 + "d" + "ab" * 100]}
+    model = language.learn(samples, 800, dense)
+    texts = ["".join(rng.choice(list("abcde "), n)) for n in (1, 3, 200, 1500)] + ["ab" * 700, "e" * 60, "", "ab" * 90 + "e" + "ab" * 300, samples["a"][0][:700]]
     coded = [language.spelled(t, model.classes) for t in texts]
     got = language.phrases(coded, model)
+    text = lambda x: "".join(map(chr, x.tolist()))
     for k, name in enumerate(model.names):
-        sample = bytes(c for c in language.spelled(samples[name][0][:800], model.classes).tolist() if c != language.UNKNOWN)
+        sample = text(language.spelled(samples[name][0][:800], model.classes))
         for n, c in enumerate(coded):
-            assert got[n, k] == longest_match_phrases(bytes(c.tolist()), sample, language.BLOCK)
+            assert got[n, k] == longest_match_phrases(text(c), sample)
+
+
+def test_every_script_of_the_samples_counts(spark):
+    """Five scripts with far more letters than there are columns: each text is told by its own letters; long texts are learned
+    from any place, so a foreign beginning does not stand for a language."""
+    rng = np.random.default_rng(4)
+    scripts = {"el": range(0x3B1, 0x3CA), "en": range(97, 123), "he": range(0x5D0, 0x5EB), "ru": range(0x430, 0x450), "zh": range(0x4E00, 0x4E00 + 700)}
+    letters = {k: list(map(chr, v)) for k, v in scripts.items()}
+    words = {k: ["".join(rng.choice(v, rng.integers(1, 7))) for _ in range(300)] for k, v in letters.items()}
+    rows = [(n, " ".join(rng.choice(words[k], 120)), k) for n, k in enumerate(sorted(words) * 30)]
+    rows += [(1000 + n, " ".join(rng.choice(words["en"], 700)) + " " + " ".join(rng.choice(words["ru"], 60_000)), "ru") for n in range(6)]
+    docs = make_docs(spark, [(i, t) for i, t, _ in rows]).drop("lang").join(spark.createDataFrame([(i, k) for i, _, k in rows], "doc_id long, lang string"), "doc_id")
+    model = language.fit_on(docs)
+    assert model.classes.max() > 500 and model.steps.shape[1] == language.DENSE + 2 and len(model.keys)
+    fresh = [(n, " ".join(rng.choice(words[k], 40)), k) for n, k in enumerate(sorted(words) * 20)]
+    found = {r.doc_id: r.lang_pred for r in language.predict_languages(make_docs(spark, [(i, t) for i, t, _ in fresh]), model).collect()}
+    assert all(found[i] == k for i, _, k in fresh)
 
 
 def test_language_held_out_accuracy(spark, big):
