@@ -29,17 +29,17 @@ def license_scan() -> str:
              unnest(list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1])) AS gram
       FROM tokens WHERE len(w) >= 2),
     votes AS (
-      SELECT rid, tpl, label, base, grams, pos - tpos AS diagonal, count(*) AS votes
+      SELECT rid, tpl, label, base, grams, pos - tpos AS diagonal, count(*) AS votes, list(tpos) AS places
       FROM grams_ JOIN positions USING (gram) GROUP BY ALL),
-    kept AS (SELECT * FROM votes WHERE CASE WHEN base THEN votes = grams ELSE votes >= least(2, grams) END),
+    kept AS (SELECT * FROM votes WHERE NOT base OR votes = grams),
     marked AS (
       SELECT *, CASE WHEN base OR lag(diagonal) OVER o IS NULL OR diagonal - lag(diagonal) OVER o > 3 THEN 1 ELSE 0 END AS opens
       FROM kept WINDOW o AS (PARTITION BY rid, tpl ORDER BY diagonal)),
     numbered AS (SELECT *, sum(opens) OVER (PARTITION BY rid, tpl ORDER BY diagonal) AS span FROM marked),
     spans AS (
-      SELECT rid, label, base, greatest(min(diagonal), 0) AS start, least(sum(votes) / grams, 1.0) AS cover
+      SELECT rid, label, base, greatest(min(diagonal), 0) AS start, len(list_distinct(flatten(list(places)))) / grams AS cover
       FROM numbered GROUP BY rid, tpl, label, base, grams, span
-      HAVING least(sum(votes) / grams, 1.0) >= 0.8),
+      HAVING len(list_distinct(flatten(list(places)))) / grams >= 0.8),
     reports AS (
       SELECT rid, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word, max(start) FILTER (base) AS last_word,
              list_aggregate(list_sort(list(DISTINCT label) FILTER (base)), 'string_agg', ',') AS base_labels,

@@ -228,3 +228,20 @@ def test_sharding(spark, docs, rows, case):
 def test_sharding_matches_sql(spark, duck):
     got = {(r.doc_id, r.shard) for r in E.queries()["op4_sharding"](spark, SF_SMALL).collect()}
     assert got == {(r[0], r[3]) for r in duck.sql(oracles.sharding()).fetchall()}
+
+
+def test_license_sql_has_the_rule_of_lone_votes(spark):
+    """Texts that tell the merging of lone votes, and the count of each place once, from the rules before them."""
+    import duckdb
+
+    from shoplens.llm import licenses, oracles
+
+    pairs = [(1, "licensed under both the apache license version 2 0"), (2, "licensed under the licensed under the licensed under the apache"), (3, "all rights reserved"),
+             (4, "all rights were reserved"), (5, None), (6, "the mit license the mit license")]
+    found = {r.doc_id: (r.labels, r.base_labels, r.n_base, r.first_word, r.last_word, round(r.score, 9)) for r in licenses.license_report(make_docs(spark, pairs)).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", pairs)
+    rows = con.execute(f"SELECT doc_id, labels, base_labels, n_base, first_word, last_word, score FROM ({oracles.license_scan()})").fetchall()
+    assert found == {r[0]: (*r[1:6], round(r[6], 9)) for r in rows}
+    assert found[1][0] == "apache,apache-2.0" and found[2][0] == ""
