@@ -85,11 +85,12 @@ def apply_caps(rfm: DataFrame, caps: Caps) -> DataFrame:
 SUM_DIGITS = 8  # places of the values that the variance is taken of; sums of their squares are exact
 
 
-def compute_scale(df: DataFrame, values: Sequence[Column]) -> Scale:
-    """Mean and population standard deviation of the given (double) features.
+def compute_scale(df: DataFrame, values: Sequence[Column] | None = None) -> Scale:
+    """Mean and population standard deviation of the given (double) features, by default the model's.
 
     Σx and Σx² are exact decimals (x to 8 places), so they do not depend on partitioning or row order, and the variance is
     (n·Σx² − (Σx)²) / n² in whole numbers: a spread far below the mean loses no digit. One conversion at the end."""
+    values = values or model_features()
     fixed = [v.cast(f"decimal(18,{SUM_DIGITS})") for v in values]
     row = df.agg(
         F.count(F.lit(1)).alias("n"),

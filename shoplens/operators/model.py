@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..params import Params
 from ..session import materialize
 from . import kmeans as K
-from .features import SCALED, Caps, Scale, apply_caps, apply_scale, compute_caps, compute_scale, model_features
+from .features import SCALED, Caps, Scale, apply_caps, apply_scale, compute_caps, compute_scale
 from .segments import code_expr, representatives, semantic_mapping
 
 XYZ = SCALED
@@ -73,7 +73,7 @@ def labels_for(centres: list[K.Centre]) -> tuple[Column, Column]:
 def prepare_customers(rfm: DataFrame, quantile: float | None) -> tuple[Caps, Scale, DataFrame]:
     caps = compute_caps(rfm, quantile)
     capped = apply_caps(rfm, caps)
-    scale = compute_scale(capped, model_features())
+    scale = compute_scale(capped)
     return caps, scale, apply_scale(capped, scale)
 
 
