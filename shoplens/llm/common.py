@@ -79,8 +79,8 @@ def connected_components(edges: DataFrame, a: str, b: str, max_rounds: int = 60)
 
     Rounds of large-star and small-star (every node is hooked to the least node it knows of); each round is two
     aggregations over the edges, written to the shared checkpoint folder, and the edge set only shrinks. The driver
-    sees one count and one checksum a round. A star of any size converges in a round; a hub never has all its
-    neighbours in one task, because only its minimum is gathered (with map-side combine) and joined back.
+    sees one count and one checksum a round. A star of any size converges in a round; a hub's minimum is gathered with
+    map-side combine, and joined back to its edges by a shuffle that AQE splits where the hub's part is large enough.
     """
     cur = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
     cur = materialize(cur, "edges")
