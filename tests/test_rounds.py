@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shoplens.operators import evaluate, kmeans as K
-from shoplens.operators.nearest import Centres, centre, round_sums, whole_units
+from shoplens.operators.nearest import Centres, centre, least_of_fits, round_sums, whole_units
 from shoplens.params import DEFAULT
 from shoplens.plans import oracles
 
@@ -76,3 +76,16 @@ def test_label_changes_of_points_without_coordinates(spark):
     frames = [{"centres_before": [(1.0, 0.0, 0.0), (5.0, 0.0, 0.0)]}, {"centres_before": [(9.0, 0.0, 0.0), (1.0, 0.0, 0.0)]}]
     assert [tuple(r) for r in K.label_changes(points, frames).collect()] == [(2, "2", 0, 1)]
     assert K.label_changes(points.where(F.lit(False)), frames).collect() == []
+
+
+def test_seeding_neither_sorts_nor_shuffles_point_rows(spark):
+    """The least row of each fit leaves its task alone; equal scores go to the lower id, missing coordinates stay missing."""
+    rows = [(f, float((i * 7 + f) % 5), f"{i:03d}", None if i == 5 else float(i), 0.0, 1.0) for f in (3, 9) for i in range(40)] + [(4, float("inf"), c, 1.0, 2.0, 3.0) for c in "ba"]
+    table = spark.createDataFrame(rows, "fit int, s double, customer_id string, x double, y double, z double").repartition(3)
+    found = least_of_fits(table)
+    want = {f: min((r[1], r[2]) for r in rows if r[0] == f) for f in (3, 4, 9)}
+    assert {r.fit: (r.p.s, r.p.customer_id) for r in found.collect()} == want
+    assert {r.fit: r.p.x for r in found.collect()}[3] == next(r[3] for r in rows if r[:3] == (3, *want[3]))
+    plan = least_of_fits(table)._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("MapInArrow"):]
+    assert "Sort" not in below and "Aggregate" not in below
