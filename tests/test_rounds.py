@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shoplens.operators import evaluate, kmeans as K
-from shoplens.operators.nearest import Centres, centre, least_of_fits, round_sums, whole_units
+from shoplens.operators.nearest import Centres, centre, label_vectors, least_of_fits, round_sums, rounded, whole_units
 from shoplens.params import DEFAULT
 from shoplens.plans import oracles
 
@@ -89,3 +89,40 @@ def test_seeding_neither_sorts_nor_shuffles_point_rows(spark):
     plan = least_of_fits(table)._jdf.queryExecution().executedPlan().toString()
     below = plan[plan.index("MapInArrow"):]
     assert "Sort" not in below and "Aggregate" not in below
+
+
+def test_fits_of_one_seed_share_a_start_and_pick_as_the_sql_text(spark, monkeypatch):
+    _, some = cloud(spark, 300)
+    odd = [("a", None, 9.0, 9.0, 9.0), ("a", "gone", None, 1.0, 2.0), ("b", "same1", 1.0, 1.0, 1.0), ("b", "same0", 1.0, 1.0, 1.0), ("a", "far", 90000.5, -70000.25, 1.0)]
+    points = some.unionByName(spark.createDataFrame(odd, SCHEMA)).repartition(4).cache()
+    specs = [K.FitSpec(n, sp, k, seed, init) for n, (sp, k, seed, init) in enumerate(
+        [("a", 2, 1, 0), ("a", 5, 1, 0), ("a", 3, 1, 0), ("a", 4, 2, 0), ("a", 4, 1, 1), ("b", 2, 1, 0)])]
+    drawn = []
+    real = K.seed_picks
+    monkeypatch.setattr(K, "seed_picks", lambda points, fits, step: drawn.append(sorted(f[0] for m in fits.values() for f in m)) or real(points, fits, step))
+    states = K.seed_centres(points, specs)
+    assert drawn == [[1, 3, 4, 5], [1, 3, 4, 5], [1, 3, 4], [1, 3, 4], [1]]
+    for st in states.values():
+        assert len(st.picks) == len(st.initial) == st.spec.k
+        for step in range(st.spec.k):
+            one = K.FitState(st.spec, st.initial[:step])
+            view, kmax = K.fits_view(spark, [one])
+            rows = spark.sql(K.seed_sql(K.points_view(points), view, kmax, step)).collect()
+            p = min(rows, key=lambda r: (r.s, r.customer_id is not None, r.customer_id or ""))
+            assert (st.picks[step], st.initial[step]) == (p.customer_id, (p.x, p.y, p.z))
+    assert states[5].picks[1] == "same0"  # no distance left: the lower id
+
+
+def test_label_vectors_are_the_assignments(spark):
+    _, some = cloud(spark, 300)
+    odd = [("a", "gone", None, 1.0, 2.0), ("b", "1", 1.0, 2.0, 3.0), ("c", "unused", 7.0, 7.0, 7.0), ("a", "far", 90000.5, -70000.25, 1.0)]
+    points = some.unionByName(spark.createDataFrame(odd, SCHEMA)).repartition(3)
+    states = [K.FitState(K.FitSpec(0, "a", 3, 0), [(0.0, 0.0, 0.0), (1.0, 1.0, 1.0), (-2.0, 3.0, 30.0)]),
+              K.FitState(K.FitSpec(1, "a", 2, 0), [(1.0, 1.0, 1.0), (0.0, 0.0, 0.0)]), K.FitState(K.FitSpec(2, "b", 1, 0), [(9.0, 9.0, 9.0)])]
+    want = {(r.customer_id, r.fit): (r.label, r.d2) for r in K.assign(points, states).collect()}
+    order = {"a": [0, 1], "b": [2]}
+    got = {}
+    for r in label_vectors(points, {sp: [states[f].centres for f in fl] for sp, fl in order.items()}).collect():
+        got.update({(r.customer_id, f): (lab, d2) for f, lab, d2 in zip(order[r.space], r.labels, r.d2s, strict=True)})
+    assert got == want
+    assert rounded(np.array([0.12345678905, 0.0, 4.9e-11, 5e-11, 1e15 + 0.125])).tolist() == [0.1234567891, 0.0, 0.0, 1e-10, 1e15 + 0.125]
