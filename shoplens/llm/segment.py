@@ -26,7 +26,8 @@ null keys share one stream. Extra columns are ignored; an empty table gives an e
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,8 @@ from .common import sliced
 SPACE = "▁"
 HEAD = 45.0
 NODES, EDGES = 1_500_000, 3_500_000  # lattice kept in a worker; it starts anew beyond that (memory only, no effect on results)
-BATCH_BYTES = 500_000  # texts that are sampled in lockstep (or a single longer one)
+ADD_CHARS = 30_000  # characters of new word units that are added at once (their work arrays stay in the processor's cache)
+BATCH_BYTES = 250_000  # texts that are sampled in lockstep (or a single longer one)
 NO_CHAR = 0x1FFFFF  # stands for U+0000, whose column the space mark has; no piece holds either
 DENSE = 256  # code points below it have a column of their own in the trie (the space mark takes column 0)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -109,7 +111,7 @@ class Vocabulary:
                 state = steps[key]
             accepts[state] = n
         # characters below DENSE step through a table, others through sorted keys
-        self.table = np.zeros((len(accepts), DENSE), np.int32)
+        self.table = np.zeros((len(accepts), DENSE), np.uint16 if len(accepts) < 1 << 16 else np.int32)
         self.table[tuple(np.array([(k >> 21, self._column(k & 0x1FFFFF)) for k in steps if self._column(k & 0x1FFFFF) < DENSE]).T)] = [
             n for k, n in steps.items() if self._column(k & 0x1FFFFF) < DENSE]
         self.keys = np.array(sorted(steps), np.int64)
@@ -186,13 +188,30 @@ class Lattice:
 
     def nodes(self, units: list[str]) -> np.ndarray:
         """Start node of each unit; unknown ones are added, and the table starts anew when it is full."""
-        fresh = [u for u in dict.fromkeys(units) if u not in self.start]
-        if fresh and not self._add(fresh):
-            every = list(dict.fromkeys(units))
+        found = np.fromiter(map(self.start.get, units, repeat(-1)), np.int64, len(units))
+        new = np.flatnonzero(found < 0)
+        if not len(new):
+            return found
+        fresh = dict.fromkeys(map(units.__getitem__, new.tolist()))
+        if not self._add_all(fresh):
+            every = dict.fromkeys(units)
             size = sum(map(len, every))
             self._new(max(NODES, size), max(EDGES, size * self.v.longest))
-            self._add(every)
-        return np.fromiter(map(self.start.__getitem__, units), np.int64, len(units))
+            self._add_all(every)
+            new = np.arange(len(units))
+        found[new] = np.fromiter(map(self.start.__getitem__, map(units.__getitem__, new.tolist())), np.int64, len(new))
+        return found
+
+    def _add_all(self, units: Iterable[str]) -> bool:
+        part, size = [], 0
+        for u in units:
+            part.append(u)
+            size += len(u)
+            if size >= ADD_CHARS:
+                if not self._add(part):
+                    return False
+                part, size = [], 0
+        return not part or self._add(part)
 
     def _add(self, units: list[str]) -> bool:
         v = self.v
@@ -201,43 +220,48 @@ class Lattice:
         left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(chars))  # characters to the unit's end
         columns = np.where(chars == ord(SPACE), 0, np.where(chars == 0, NO_CHAR, chars))
         at, state = np.arange(len(chars)), np.zeros(len(chars), np.int64)
-        srcs, spans, labels = [], [], []
-        lone = np.ones(len(chars), bool)
+        found = []  # a span's pieces: their places and labels
+        degree = np.zeros(len(chars), np.int64)
         for span in range(1, v.longest + 1):
             ok = left[at] >= span
             at, state = at[ok], state[ok]
             state = v.step(state, columns[at + span - 1])
             hit = state > 0
             at, state = at[hit], state[hit]
-            if not len(at):
+            if not len(at) and span > 1:
                 break
             label = v.accepts[state]
             got = label >= 0
-            srcs.append(at[got])
-            spans.append(np.full(int(got.sum()), span))
-            labels.append(label[got])
-            if span == 1:
-                lone[at[got]] = False
-        bytes_at = np.flatnonzero(lone)
-        c = chars[bytes_at]
-        n_bytes = 1 + (c > 0x7F) + (c > 0x7FF) + (c > 0xFFFF)
-        src = np.concatenate([*srcs, bytes_at])
-        span = np.concatenate([*spans, np.ones(len(c), np.int64)])
-        label = np.concatenate([*labels, -1 - c])
-        weight = np.concatenate([*(v.weight[x] for x in labels), n_bytes * v.byte_weight])
+            place, label = at[got], label[got]
+            weight = v.weight[label]
+            if span == 1:  # a character that is no piece is spelled in bytes
+                lone = np.ones(len(chars), bool)
+                lone[place] = False
+                lone = np.flatnonzero(lone)
+                c = chars[lone]
+                place, label = np.concatenate([place, lone]), np.concatenate([label, -1 - c])
+                weight = np.concatenate([weight, (1 + (c > 0x7F) + (c > 0x7FF) + (c > 0xFFFF)) * v.byte_weight])
+            degree[place] += 1
+            found.append((span, place, label, weight))
+        size = sum(len(place) for _, place, _, _ in found)
         e, n = self.n_edges, self.n_nodes
-        if n + len(chars) >= len(self.first) - 1 or e + len(src) > len(self.dst):
+        if n + len(chars) >= len(self.first) - 1 or e + size > len(self.dst):
             return False
         # nodes are numbered from the units' ends backwards, all units at a time, and masses are made in that order
-        by = np.argsort(left, kind="stable")
+        by = np.argsort(left.astype(np.uint16) if left.max() < 1 << 16 else left, kind="stable")
         number = np.empty(len(chars), np.int64)
         number[by] = np.arange(1, len(chars) + 1)
-        node = number[src]
-        order = np.argsort((node << 5) - span, kind="stable")  # longer pieces first: they are mostly the likelier ones
-        src, span, label, weight, node = src[order], span[order], label[order], weight[order], node[order]
-        dst = np.where(left[src] == span, 0, number[np.minimum(src + span, len(chars) - 1)])
-        degree = np.bincount(node, minlength=len(chars) + 1)[1:]
+        degree = degree[by]
         first = np.cumsum(degree) - degree
+        node, label, dst, weight = np.repeat(np.arange(1, len(chars) + 1), degree), np.empty(size, np.int64), np.zeros(size, np.int64), np.empty(size)
+        free = np.empty(len(chars), np.int64)
+        free[by] = first
+        for span, place, some, heavy in reversed(found):  # longer pieces first: they are mostly the likelier ones
+            to = free[place]
+            free[place] = to + 1
+            label[to], weight[to] = some, heavy
+            inner = left[place] > span
+            dst[to[inner]] = number[place[inner] + span]
         mass = np.zeros(len(chars) + 1)
         stops = np.searchsorted(left[by], np.arange(1, left.max() + 2))
         for a, b in zip(stops.tolist(), stops[1:].tolist(), strict=False):
@@ -301,44 +325,52 @@ class Path:
         return float(self.sums[-1]) if len(self.sums) else 0.0
 
 
-def _siblings(lat: Lattice, path: Path, a: int, b: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Edges passed by at the path's places a..b-1: (place, edge, log-probability of the paths behind it)."""
-    e = path.edges[a:b]
-    node = lat.src[e]
+def _siblings(lat: Lattice, edges: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Edges passed by on the way along ``edges``: (position in ``edges``, edge, log-probability of the paths behind it).
+    ``before`` is the log-probability of the beginning before each edge."""
+    node = lat.src[edges]
     lo, hi = lat.first[node].astype(np.int64), lat.first[node + 1].astype(np.int64)
     n = hi - lo
-    place = np.repeat(np.arange(a, b), n)
-    edge = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
-    other = edge != path.edges[place]
-    place, edge = place[other], edge[other]
-    before = np.where(place > 0, path.sums[place - 1], 0.0) if len(place) else np.zeros(0)
-    return place, edge, before + lat.share[edge]
-
-
-def _open(lat: Lattice, noise: np.ndarray, later: float, path: Path, frontier: list, k: int) -> None:
-    """Frontier nodes beside a new path: siblings in its head, and one node for all later ones. ``noise`` is the text's
-    stream for the siblings, ``later`` the uniform number of the later node."""
-    done, length = path.fixed, len(path.edges)
-    head = max(done, min(length, int(np.searchsorted(-path.sums, HEAD)) + 1))  # places with a likely enough beginning
-    place, edge, phi = _siblings(lat, path, done, head)
-    if len(edge):
-        value = _truncated(phi, path.perturbed, _uniform(_stream(noise, np.arange(len(edge)))))
+    at = np.repeat(np.arange(len(edges)), n)
+    edge = np.arange(len(at)) + np.repeat(lo - (np.cumsum(n) - n), n)
+    other = edge != edges[at]
+    at, edge = at[other], edge[other]
+    return at, edge, before[at] + lat.share[edge]
+
+
+def _open(lat: Lattice, noise: np.ndarray, later: np.ndarray, paths: list[Path], frontiers: list[list], k: int) -> None:
+    """Frontier nodes beside new paths, one path a text: siblings in its head, and one node for all later ones. ``noise`` is
+    each text's stream for the siblings, ``later`` the uniform number of its later node."""
+    if not paths:
+        return
+    heads = [max(p.fixed, min(len(p.edges), int(np.searchsorted(-p.sums, HEAD)) + 1)) for p in paths]  # places with a likely enough beginning
+    took = np.array([h - p.fixed for p, h in zip(paths, heads, strict=True)], np.int64)
+    perturbed = np.array([p.perturbed for p in paths])
+    text = np.repeat(np.arange(len(paths)), took)
+    place = np.arange(len(text)) - np.repeat(np.cumsum(took) - took - np.array([p.fixed for p in paths], np.int64), took)
+    before = np.concatenate([np.concatenate([[0.0], p.sums])[p.fixed:h] for p, h in zip(paths, heads, strict=True)])
+    at, edge, phi = _siblings(lat, np.concatenate([p.edges[p.fixed:h] for p, h in zip(paths, heads, strict=True)]), before)
+    text, place = text[at], place[at]
+    ends = np.searchsorted(text, np.arange(len(paths) + 1))
+    value = _truncated(phi, perturbed[text], _uniform(_stream(noise[text], np.arange(len(text)) - ends[text])))
+    for n, (a, b) in enumerate(zip(ends.tolist(), ends[1:].tolist(), strict=False)):
         # no more than k of them can be popped, and one bounds the rest
-        best = np.argpartition(-value, k)[:k + 1] if len(value) > k + 1 else np.arange(len(value))
-        frontier.extend((float(value[n]), path, int(place[n]), int(edge[n])) for n in best)
-    if head < length:
-        start = path.sums[head - 1] if head else 0.0
-        rest = path.sums[-1] - start
-        if rest < -1e-12:
-            phi = start + np.log(-np.expm1(rest))
-            frontier.append((float(_truncated(phi, path.perturbed, later)), path, head, -1))
+        best = np.argpartition(-value[a:b], k)[:k + 1] + a if b - a > k + 1 else np.arange(a, b)
+        frontiers[n].extend(zip(value[best].tolist(), repeat(paths[n]), place[best].tolist(), edge[best].tolist(), strict=False))
+    start = np.array([p.sums[h - 1] if h else 0.0 for p, h in zip(paths, heads, strict=True)])
+    rest = np.array([p.log_prob for p in paths]) - start
+    tail = np.flatnonzero((rest < -1e-12) & (np.array(heads) < [len(p.edges) for p in paths]))
+    value = _truncated(start[tail] + np.log(-np.expm1(rest[tail])), perturbed[tail], later[tail])
+    for n, x in zip(tail.tolist(), value.tolist(), strict=True):
+        frontiers[n].append((x, paths[n], heads[n], -1))
 
 
 def _open_later(lat: Lattice, seed: np.uint64, sample: int, value: float, path: Path, head: int, frontier: list) -> None:
     """The node of all later siblings was popped: one of them inherits its value, the others lie below."""
-    place, edge, phi = _siblings(lat, path, head, len(path.edges))
+    at, edge, phi = _siblings(lat, path.edges[head:], np.concatenate([[0.0], path.sums])[head:-1])
     if not len(edge):
         return
+    place = at + head
     u = _uniform(_stream(seed, 9, sample, np.arange(len(edge) + 1)))
     share = np.exp(phi - phi.max())
     heir = int(np.searchsorted(np.cumsum(share), u[-1] * share.sum()))
@@ -379,6 +411,7 @@ def sample_batch(lat: Lattice, texts: list[str], seeds: np.ndarray, k: int) -> l
         edge_unit, edge_text = np.repeat(units, took), np.repeat(text_of, took)
         lo = np.searchsorted(edge_text, np.arange(len(texts)), side="left")
         hi = np.searchsorted(edge_text, np.arange(len(texts)), side="right")
+        opened = []
         for n, path, place, edge, value in todo:
             mine, unit = edges[lo[n]:hi[n]], edge_unit[lo[n]:hi[n]]
             fixed = 0
@@ -386,9 +419,9 @@ def sample_batch(lat: Lattice, texts: list[str], seeds: np.ndarray, k: int) -> l
                 mine = np.concatenate([path.edges[:place], [edge], mine])
                 unit = np.concatenate([path.unit[:place + 1], unit])
                 fixed = place + 1
-            made = Path(mine, unit, value, fixed, np.cumsum(lat.share[mine]))
-            emitted[n].append(made)
-            _open(lat, noise[n:n + 1], later[n], made, frontier[n], k)
+            emitted[n].append(Path(mine, unit, value, fixed, np.cumsum(lat.share[mine])))
+            opened.append(n)
+        _open(lat, noise[opened], later[opened], [emitted[n][-1] for n in opened], [frontier[n] for n in opened], k)
         todo = []
         for n in range(len(texts)):
             if len(emitted[n]) != sample + 1:

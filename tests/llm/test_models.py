@@ -278,3 +278,18 @@ def test_small_tables_of_the_lattice_change_nothing(lattice):
     for n in range(3):
         got = segment.sample_batch(tight, texts[n:n + 1], seeds[n:n + 1], 2)[0]
         assert [(r[0].tolist(), r[1], r[2]) for r in got] == [(r[0].tolist(), r[1], r[2]) for r in want[n]]
+
+
+def test_new_units_are_added_in_small_parts(lattice, monkeypatch):
+    texts = ["the quick brown fox\njumps  over", "ünïcödé ☃ 日本 the quick", "x" * 200]
+    seeds = np.array([1, 2, 3], np.uint64)
+    want = segment.sample_batch(segment.Lattice(lattice.v), texts, seeds, 2)
+    parts, add = [], segment.Lattice._add
+    monkeypatch.setattr(segment, "ADD_CHARS", 10)
+    monkeypatch.setattr(segment.Lattice, "_add", lambda self, units: (parts.append(units), add(self, units))[1])
+    got = segment.sample_batch(segment.Lattice(lattice.v), texts, seeds, 2)
+    assert len(parts) > 3 and all(sum(map(len, p[:-1])) < 10 for p in parts)
+    assert len({u for p in parts for u in p}) == sum(map(len, parts))
+    for a, b in zip(got, want, strict=True):
+        assert [(r[0].tolist(), r[3]) for r in a] == [(r[0].tolist(), r[3]) for r in b]
+        assert np.allclose([r[1:3] for r in a], [r[1:3] for r in b], rtol=0, atol=1e-9)
