@@ -174,9 +174,9 @@ class Vocabulary:
 class Lattice:
     """Nodes and edges of remembered word units, with the share of each edge among the paths through its node."""
 
-    def __init__(self, vocabulary: Vocabulary) -> None:
-        self.v = vocabulary
-        self._new(NODES, EDGES)
+    def __init__(self, vocabulary: Vocabulary, nodes: int = NODES) -> None:
+        self.v, self.nodes_kept, self.edges_kept = vocabulary, nodes, nodes * EDGES // NODES
+        self._new(self.nodes_kept, self.edges_kept)
 
     def _new(self, nodes: int, edges: int) -> None:
         """Empty tables (touched only as far as they are filled). Node 0 is the end of every unit."""
@@ -196,7 +196,7 @@ class Lattice:
         if not self._add_all(fresh):
             every = dict.fromkeys(units)
             size = sum(map(len, every))
-            self._new(max(NODES, size), max(EDGES, size * self.v.longest))
+            self._new(max(self.nodes_kept, size), max(self.edges_kept, size * self.v.longest))
             self._add_all(every)
             new = np.arange(len(units))
         found[new] = np.fromiter(map(self.start.__getitem__, map(units.__getitem__, new.tolist())), np.int64, len(new))
@@ -245,7 +245,7 @@ class Lattice:
             found.append((span, place, label, weight))
         size = sum(len(place) for _, place, _, _ in found)
         e, n = self.n_edges, self.n_nodes
-        if n + len(chars) >= len(self.first) - 1 or e + size > len(self.dst):
+        if n + len(chars) >= len(self.first) or e + size > len(self.dst):
             return False
         # nodes are numbered from the units' ends backwards, all units at a time, and masses are made in that order
         by = np.argsort(left.astype(np.uint16) if left.max() < 1 << 16 else left, kind="stable")
@@ -451,6 +451,16 @@ def sample_batch(lat: Lattice, texts: list[str], seeds: np.ndarray, k: int) -> l
 
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("sample", pa.int32()), ("ids", pa.list_(pa.int32())), ("n_pieces", pa.int64()),
                      ("log_prob", pa.float64()), ("perturbed", pa.float64()), ("inclusion", pa.float64()), ("round_trip", pa.bool_())])
+_COLUMNS = "sample int, ids array<int>, n_pieces long, log_prob double, perturbed double, inclusion double, round_trip boolean"
+
+
+def _one_row(samples: pa.RecordBatch) -> pa.RecordBatch:
+    """A row for each text: its first sample, with the later ones as ``others``."""
+    sample = samples.column("sample").to_numpy()
+    first, later = np.flatnonzero(sample == 0), samples.take(pa.array(np.flatnonzero(sample > 0)))
+    ends = np.append(first - np.arange(len(first)), len(later)).astype(np.int32)
+    others = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(later.columns[1:], fields=list(_SCHEMA)[1:]))
+    return pa.RecordBatch.from_arrays([*samples.take(pa.array(first)).columns, others], names=[*_SCHEMA.names, "others"])
 
 
 def default_model() -> str:
@@ -460,15 +470,19 @@ def default_model() -> str:
 
 
 def sample_segmentations(docs: DataFrame, k: int = 2, model_path: str | None = None, alpha: float = 0.3, seed: int = 42,
-                         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, sample (0 is the largest perturbed value), ids, n_pieces, log_prob, perturbed, inclusion, round_trip."""
+                         id_col: str = "doc_id", text_col: str = "text", one_row: bool = False,
+                         nodes: int = NODES, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+    """doc_id, sample (0 is the largest perturbed value), ids, n_pieces, log_prob, perturbed, inclusion, round_trip.
+
+    With ``one_row`` each input row gives one row: its sample 0, and the later samples as an array of structs ``others``.
+    ``nodes`` (lattice kept in a worker) and ``batch_bytes`` trade memory for time and change no result."""
     with open(model_path or default_model(), "rb") as f:  # half a MB, read on the driver and shipped
         model = f.read()
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lat = Lattice(Vocabulary(shared.value, alpha))
-        for batch in (part for whole in batches for part in sliced(whole, "text", BATCH_BYTES)):
+        lat = Lattice(Vocabulary(shared.value, alpha), nodes)
+        for batch in (part for whole in batches for part in sliced(whole, "text", batch_bytes)):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             keys, seeds = batch.column("doc_id"), batch.column("seed").to_numpy(zero_copy_only=False).view(np.uint64)
             made = sample_batch(lat, texts, seeds, k)
@@ -481,11 +495,13 @@ def sample_segmentations(docs: DataFrame, k: int = 2, model_path: str | None = N
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32()))
             cols = [keys.take(pa.array(owner)), pa.array([r[0] for r in rows], pa.int32()), lists, pa.array(np.diff(ends).astype(np.int64)),
                     *[pa.array([r[c] for r in rows], pa.float64()) for c in (2, 3, 4)], pa.array(whole, pa.bool_())]
-            yield pa.RecordBatch.from_arrays(cols, schema=_SCHEMA)
+            flat = pa.RecordBatch.from_arrays(cols, schema=_SCHEMA)
+            yield _one_row(flat) if one_row else flat
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(id_col).cast("long"), F.lit(seed)).alias("seed"),
                        F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, sample int, ids array<int>, n_pieces long, log_prob double, perturbed double, inclusion double, round_trip boolean")
+    others = ", others array<struct<" + _COLUMNS + ">>" if one_row else ""
+    return rows.mapInArrow(run, f"doc_id long, {_COLUMNS}{others}")
 
 
 def decode_ids(samples: DataFrame, model_path: str | None = None, ids_col: str = "ids") -> DataFrame:

@@ -293,3 +293,11 @@ def test_new_units_are_added_in_small_parts(lattice, monkeypatch):
     for a, b in zip(got, want, strict=True):
         assert [(r[0].tolist(), r[3]) for r in a] == [(r[0].tolist(), r[3]) for r in b]
         assert np.allclose([r[1:3] for r in a], [r[1:3] for r in b], rtol=0, atol=1e-9)
+
+
+def test_memory_settings_change_nothing(spark, rows):
+    table = make_docs(spark, rows[:80])
+    fields = ("doc_id", "sample", "ids", "n_pieces", "log_prob", "perturbed", "inclusion", "round_trip")
+    key = lambda r: str([getattr(r, f) if f not in ("log_prob", "perturbed", "inclusion") else round(getattr(r, f), 9) for f in fields])
+    want = sorted(map(key, segment.sample_segmentations(table, k=2).collect()))
+    assert sorted(map(key, segment.sample_segmentations(table, k=2, nodes=2_000, batch_bytes=3_000).collect())) == want

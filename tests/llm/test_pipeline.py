@@ -73,6 +73,15 @@ def test_pieces_stage_spells_its_input(stages):
     assert len(out) == stages[4].count() and all(r.decoded == texts[r.doc_id] and r.round_trip for r in out)
 
 
+def test_pieces_stage_keeps_both_samples(spark, stages):
+    fields = ("sample", "ids", "n_pieces", "log_prob", "perturbed", "inclusion", "round_trip")
+    flat = lambda i, r: (i, *[str(r[f]) for f in fields])
+    want = sorted(flat(r.doc_id, r) for r in segment.sample_segmentations(stages[4], k=2).collect())
+    got = stages[5].collect()
+    assert sorted([flat(r.doc_id, r) for r in got] + [flat(r.doc_id, o) for r in got for o in r.others]) == want
+    assert all([o.sample for o in r.others] == [1] and r.others[0].ids != r.ids for r in got if r.n_pieces > 1)
+
+
 def test_run_writes_every_stage(spark, stages):
     got = P.run(spark, SF_SMALL)
     key = lambda r: (r.doc_id, r.sample, r.n_pieces, str(r.ids))
