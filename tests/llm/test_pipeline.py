@@ -3,6 +3,7 @@
 import collections
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline as P
@@ -82,6 +83,22 @@ def test_pieces_stage_keeps_both_samples(spark, stages):
     assert all([o.sample for o in r.others] == [1] and r.others[0].ids != r.ids for r in got if r.n_pieces > 1)
 
 
+def test_python_stages_get_small_batches(spark, docs):
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes]), pa.array([b.num_rows])], names=["size", "rows"])
+
+    wide = make_docs(spark, [(n, "word " * 50_000) for n in range(40)]).coalesce(1)
+    limit = spark.conf.get(P.BATCH_SETTING)
+    for name, stage in P.STAGES:
+        spark.conf.set(P.BATCH_SETTING, str(64 << 20))
+        stage(spark, docs, SF_SMALL)
+        if name != "pii":  # its redaction runs without Python workers
+            got = wide.mapInArrow(sizes, "size long, rows long").collect()
+            assert sum(r["rows"] for r in got) == 40 and max(r["size"] for r in got) < 3 << 20, name
+    spark.conf.set(P.BATCH_SETTING, limit)
+
+
 def test_run_writes_every_stage(spark, stages):
     got = P.run(spark, SF_SMALL)
     key = lambda r: (r.doc_id, r.sample, r.n_pieces, str(r.ids))
