@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shoplens.operators import evaluate, kmeans as K
+from shoplens.operators.model import iteration_input
 from shoplens.operators.nearest import Centres, centre, label_vectors, least_of_fits, round_sums, rounded, whole_units
 from shoplens.params import DEFAULT
 from shoplens.plans import oracles
@@ -126,3 +127,45 @@ def test_label_vectors_are_the_assignments(spark):
         got.update({(r.customer_id, f): (lab, d2) for f, lab, d2 in zip(order[r.space], r.labels, r.d2s, strict=True)})
     assert got == want
     assert rounded(np.array([0.12345678905, 0.0, 4.9e-11, 5e-11, 1e15 + 0.125])).tolist() == [0.1234567891, 0.0, 0.0, 1e-10, 1e15 + 0.125]
+
+
+def test_labels_of_near_ties_and_fits_of_unequal_width():
+    """The first of equal centres wins, one within the rounding of distances wins by its place; fillers never win."""
+    tiny = 1e-12
+    sets = [[(0.0, 0.0, 0.0), (0.0, 0.0, 0.0), (5.0, 0.0, 0.0)], [(1.0 + tiny, 0.0, 0.0), (-1.0, 0.0, 0.0)], [(3.0, 0.0, 0.0)]]
+    c = Centres(sets)
+    points = np.array([[0.0, 0.0, 0.0], [4.0, 1.0, 0.0], [-2.0, 0.0, 1.0]])
+    assert c.labels(points).tolist() == [[0, 0, 0], [2, 0, 0], [0, 1, 0]]
+    assert c.least(points).tolist() == [[0.0, 1.0, 9.0], [2.0, 10.0, 2.0], [5.0, 2.0, 26.0]]
+
+
+def test_silhouette_columns_with_equal_labels_are_added_up_first(monkeypatch):
+    """Ordered by label vector, columns meet the clusters of all labelings once a vector, not once a column; in any order the sums are those
+    of all pairs."""
+    rng = np.random.default_rng(5)
+    at, vectors = rng.normal(size=(300, 3)), rng.integers(0, 3, size=(4, 7))
+    of = rng.integers(0, 4, size=300)
+    far = np.sqrt(((at[:, None] - at[None]) ** 2).sum(axis=2))
+    for ordered, order in ((True, np.argsort(of)), (False, rng.permutation(300))):
+        widest = []
+
+        class Seen(np.ndarray):
+            def __matmul__(self, other):
+                widest.append((self.shape[1], other.shape[1]))
+                return np.asarray(self) @ np.asarray(other)
+
+        block = evaluate._Block(list(range(7)), {f: [1, 1, 1] for f in range(7)})
+        block.add_rows(at[:40], vectors[of[:40]])
+        real = np.empty
+        monkeypatch.setattr(evaluate.np, "empty", lambda *a, **k: real(*a, **k).view(Seen))
+        block.add_columns(at[order], vectors[of[order]])
+        monkeypatch.undo()
+        expected = [far[:40][:, vectors[of][:, f] == c].sum(axis=1) for f in range(7) for c in range(3)]
+        assert np.allclose(block.sums, np.array(expected).T, rtol=1e-12)
+        assert max(width for columns, width in widest if columns == 300) == (4 if ordered else 21)
+
+
+def test_a_round_has_few_tasks(spark):
+    """A task of a round holds about a million (point, fit) pairs: its start cost more than the pairs of a tenth of that."""
+    points = spark.range(1000).repartition(8).selectExpr("'base' AS space", "CAST(id AS STRING) AS customer_id", "id * 1D AS x", "0D AS y", "0D AS z")
+    assert iteration_input(points, 90_000, 20).rdd.getNumPartitions() == 2
