@@ -39,7 +39,7 @@ from .common import sliced
 
 SPACE = "▁"
 HEAD = 45.0
-NODES, EDGES = 1_500_000, 3_500_000  # lattice kept in a worker; it starts anew beyond that (memory only, no effect on results)
+NODES, EDGES = 3_000_000, 7_000_000  # lattice kept in a worker; it starts anew beyond that (memory only, no effect on results)
 ADD_CHARS = 30_000  # characters of new word units that are added at once (their work arrays stay in the processor's cache)
 BATCH_BYTES = 250_000  # texts that are sampled in lockstep (or a single longer one)
 NO_CHAR = 0x1FFFFF  # stands for U+0000, whose column the space mark has; no piece holds either
@@ -100,6 +100,7 @@ class Vocabulary:
         self.byte_weight = float(self.weight[-1])
         self.longest = max(map(len, plain))
         self.cuts = "".join(c for c in "\n\t\r" if not any(c in p for p in plain))
+        self.cut_byte = np.isin(np.arange(256), [ord(c) for c in self.cuts])
         steps, accepts = {}, [-1]
         for piece, n in plain.items():
             state = 0
@@ -139,6 +140,26 @@ class Vocabulary:
         """Word units; a space mark is put before the text, as the model was made."""
         return self.units.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
+    def split_all(self, texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """``split`` of many texts at once: the different units (UTF-8, marks as spaces), the place of
+        every unit among them, and each text's number of units."""
+        spelled = [(" " + t.replace(SPACE, " ")).encode("utf-8", "surrogatepass") if t else b"" for t in texts]
+        raw = np.frombuffer(b"".join(spelled), np.uint8)
+        if not len(raw):  # no text has a unit
+            return [], np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
+        upto = np.cumsum([0, *map(len, spelled)])
+        space, cut = raw == ord(" "), self.cut_byte[raw]
+        new = cut.copy()
+        new[1:] |= cut[:-1] | (space[1:] & ~space[:-1])
+        new[upto[:-1][np.diff(upto) > 0]] = True
+        begin = np.flatnonzero(new)
+        ends = pa.py_buffer(np.append(begin, len(raw)).astype(np.int32))
+        units = pa.Array.from_buffers(pa.binary(), len(begin), [None, ends, pa.py_buffer(raw)]).dictionary_encode()
+        _, ends, spelled = units.dictionary.buffers()
+        ends, spelled = np.frombuffer(ends, np.int32)[:len(units.dictionary) + 1].tolist(), spelled.to_pybytes()
+        different = [spelled[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+        return different, units.indices.to_numpy().astype(np.int64), np.diff(np.searchsorted(begin, upto))
+
     def ids(self, labels: np.ndarray) -> np.ndarray:
         """Piece ids of edge labels: an id, or -1 - code point for a character spelled in bytes."""
         odd = np.flatnonzero(labels < 0)
@@ -180,13 +201,13 @@ class Lattice:
 
     def _new(self, nodes: int, edges: int) -> None:
         """Empty tables (touched only as far as they are filled). Node 0 is the end of every unit."""
-        self.start: dict[str, int] = {}
+        self.start: dict[bytes, int] = {}
         self.n_nodes, self.n_edges = 1, 0
         self.first = np.zeros(nodes + 2, np.int32)
         self.src, self.dst, self.label = np.zeros(edges, np.int32), np.zeros(edges, np.int32), np.zeros(edges, np.int32)
         self.share, self.cum = np.zeros(edges), np.zeros(edges)
 
-    def nodes(self, units: list[str]) -> np.ndarray:
+    def nodes(self, units: list[bytes]) -> np.ndarray:
         """Start node of each unit; unknown ones are added, and the table starts anew when it is full."""
         found = np.fromiter(map(self.start.get, units, repeat(-1)), np.int64, len(units))
         new = np.flatnonzero(found < 0)
@@ -202,7 +223,7 @@ class Lattice:
         found[new] = np.fromiter(map(self.start.__getitem__, map(units.__getitem__, new.tolist())), np.int64, len(new))
         return found
 
-    def _add_all(self, units: Iterable[str]) -> bool:
+    def _add_all(self, units: Iterable[bytes]) -> bool:
         part, size = [], 0
         for u in units:
             part.append(u)
@@ -213,10 +234,11 @@ class Lattice:
                 part, size = [], 0
         return not part or self._add(part)
 
-    def _add(self, units: list[str]) -> bool:
-        v = self.v
-        lengths = np.fromiter(map(len, units), np.int64, len(units))
-        chars = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    def _add(self, units: list[bytes]) -> bool:
+        v, spelled = self.v, b"".join(units)
+        sizes = np.fromiter(map(len, units), np.int64, len(units))
+        lengths = np.add.reduceat((np.frombuffer(spelled, np.uint8) & 0xC0) != 0x80, np.cumsum(sizes) - sizes, dtype=np.int64)
+        chars = np.frombuffer(spelled.decode("utf-8", "surrogatepass").replace(" ", SPACE).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
         left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(chars))  # characters to the unit's end
         columns = np.where(chars == ord(SPACE), 0, np.where(chars == 0, NO_CHAR, chars))
         at, state = np.arange(len(chars)), np.zeros(len(chars), np.int64)
@@ -286,25 +308,28 @@ class Lattice:
 
     def draw(self, starts: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """A path from each start node to the end of its unit, drawn by mass: edges in order and their counts."""
-        cur, live = starts.copy(), np.flatnonzero(starts > 0)
-        took, steps = np.zeros(len(starts), np.int64), []
+        live = np.flatnonzero(starts > 0)
+        node, took, steps = starts[live], np.zeros(len(starts), np.int64), []
+        seeds = seeds[live]
         while len(live):
-            node = cur[live]
             e = self.first[node].astype(np.int64)
             many = np.flatnonzero(self.first[node + 1] - e > 1)
             if len(many):
-                u = _uniform(seeds[live[many]] + _STEP * np.full(1, len(steps) + 1, np.uint64))
+                u = _uniform(seeds[many] + _STEP * np.full(1, len(steps) + 1, np.uint64))
                 em = e[many]
                 more = np.flatnonzero(u > self.cum[em])
+                high, at = u[more], em[more]
                 while len(more):
-                    em[more] += 1
-                    more = more[u[more] > self.cum[em[more]]]
+                    at += 1
+                    em[more] = at
+                    left = np.flatnonzero(high > self.cum[at])
+                    more, high, at = more[left], high[left], at[left]
                 e[many] = em
             steps.append((live, e))
-            took[live] += 1
-            to = self.dst[e].astype(np.int64)
-            cur[live] = to
-            live = live[to > 0]
+            took[live] = len(steps)
+            node = self.dst[e]
+            left = np.flatnonzero(node)
+            live, node, seeds = live[left], node[left].astype(np.int64), seeds[left]
         begin = np.cumsum(took) - took
         out = np.zeros(int(took.sum()), np.int64)
         for n, (who, e) in enumerate(steps):
@@ -381,10 +406,9 @@ def _open_later(lat: Lattice, seed: np.uint64, sample: int, value: float, path:
 
 def sample_batch(lat: Lattice, texts: list[str], seeds: np.ndarray, k: int) -> list[list[tuple[np.ndarray, float, float, float]]]:
     """For each text up to ``k`` distinct segmentations: (ids, log-probability, perturbed value, inclusion score)."""
-    split = [lat.v.split(t) for t in texts]
-    counts = np.array([len(s) for s in split], np.int64)
+    units, place_of, counts = lat.v.split_all(texts)
     begin = np.cumsum(counts) - counts
-    starts = lat.nodes([u for s in split for u in s])
+    starts = lat.nodes(units)[place_of]
     emitted: list[list[Path]] = [[] for _ in texts]
     frontier: list[list] = [[] for _ in texts]
     bound = [None] * len(texts)

@@ -301,3 +301,14 @@ def test_memory_settings_change_nothing(spark, rows):
     key = lambda r: str([getattr(r, f) if f not in ("log_prob", "perturbed", "inclusion") else round(getattr(r, f), 9) for f in fields])
     want = sorted(map(key, segment.sample_segmentations(table, k=2).collect()))
     assert sorted(map(key, segment.sample_segmentations(table, k=2, nodes=2_000, batch_bytes=3_000).collect())) == want
+
+
+def test_units_of_many_texts_are_those_of_each(lattice):
+    """One pass over the bytes of a batch cuts it where the pattern cuts each text, and names a repeated unit once."""
+    texts = ["a  b\nc", "", " ", "\n\n x\t▁y ", "a  b", "é 日本 \U0001f600\x00 \ud800z", "\r", "a "]
+    units, place, counts = lattice.v.split_all(texts)
+    assert len(set(units)) == len(units)
+    spelled = [units[n].decode("utf-8", "surrogatepass").replace(" ", segment.SPACE) for n in place]
+    ends = np.cumsum(counts)
+    assert [spelled[e - n:e] for e, n in zip(ends, counts, strict=True)] == [lattice.v.split(t) for t in texts]
+    assert lattice.v.split_all(["", ""])[2].tolist() == [0, 0]
