@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shoplens.operators import evaluate, kmeans as K
+from shoplens.operators import evaluate, kmeans as K, nearest
 from shoplens.operators.model import iteration_input
 from shoplens.operators.nearest import Centres, centre, label_vectors, least_of_fits, round_sums, rounded, whole_units
 from shoplens.params import DEFAULT
@@ -169,3 +169,59 @@ def test_a_round_has_few_tasks(spark):
     """A task of a round holds about a million (point, fit) pairs: its start cost more than the pairs of a tenth of that."""
     points = spark.range(1000).repartition(8).selectExpr("'base' AS space", "CAST(id AS STRING) AS customer_id", "id * 1D AS x", "0D AS y", "0D AS z")
     assert iteration_input(points, 90_000, 20).rdd.getNumPartitions() == 2
+
+
+def test_boxes_change_the_work_and_no_result(spark, monkeypatch):
+    """Most boxes of a laid-out cloud are settled as a whole, and labels are those of every point by itself: equal distances, centres in
+    the middle of a box, points without a coordinate, fits of unequal width."""
+    rng = np.random.default_rng(3)
+    at = np.round(rng.normal(size=(20_000, 3)), 10)
+    at[:500] = 0.0  # one place, half-way between the centres of the last fit
+    bad = np.zeros(len(at), bool)
+    bad[7000] = True
+    order = nearest._kd_order(at)
+    assert sorted(order.tolist()) == list(range(len(at)))
+    sets = [[tuple(map(float, c)) for c in rng.normal(size=(k, 3))] for k in (1, 2, 3, 5, 8)] + [[(1.0, 0.0, 0.0), (-1.0, 0.0, 0.0)], [(0.0, 0.0, 0.0)] * 2]
+    c, alone = Centres(sets), [Centres([s]) for s in sets]
+    boxes = nearest._Boxes(at[order], bad[order])
+    want = c.labels(at[order])
+    want[bad[order]] = 0
+    assert (boxes.labels(c, alone) == want).all()
+    settled = boxes.settled(c)
+    assert (settled[:, :5] >= 0).mean() > 0.5  # else nothing is saved
+    assert (settled[boxes.odd] == -1).all() and (settled[:, 6] == -1).all()
+    scattered = nearest._Boxes(at, bad)
+    assert (scattered.labels(c, alone)[order] == want).all()
+
+
+def test_points_laid_out_are_the_same_points(spark):
+    _, some = cloud(spark, 3000)
+    odd = [("b", None, 1.0, 2.0, 3.0), ("a", "gone", None, 1.0, 2.0), ("b", "twice", 1.0, 2.0, 3.0), ("b", "twice", 1.0, 2.0, 3.0)]
+    points = some.unionByName(spark.createDataFrame(odd, SCHEMA)).repartition(5)
+    for parts in (1, 4):
+        laid = nearest.near_together(points, parts)
+        assert laid.rdd.getNumPartitions() == parts
+        assert sorted(map(str, laid.collect())) == sorted(map(str, points.collect()))
+
+
+def test_fits_are_measured_where_the_points_are(spark):
+    """Sizes, inertia and equal partitions without (point, fit) rows; label vectors hold distinct labelings only."""
+    from shoplens.operators.sweeps import Batch
+
+    rows = [("a", f"{i:03d}", float(i % 7), float(i % 5), 0.5) for i in range(300)] + [("a", None, 6.0, 6.0, 6.0), ("a", "gone", None, 1.0, 1.0), ("a", "far", 20000.0, 0.0, 0.0)]
+    points = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    centres = [(0.0, 0.0, 0.0), (6.0, 4.0, 0.0), (3.0, 2.0, 1.0)]
+    fits = [centres, centres[::-1], centres[:2], [(3.0, 2.0, 0.0)]]
+    batch = Batch(points, {f: K.FitState(K.FitSpec(f, "a", len(c), f), c) for f, c in enumerate(fits)}, {"a": [0, 1, 2, 3]})
+    batch.measure()
+    held = K.assign(points, list(batch.states.values())).collect()
+    for f, st in batch.states.items():
+        # the point without a coordinate counts in the first cluster and adds no distance
+        sizes = [sum(r.fit == f and r.label == j for r in held) for j in range(st.spec.k)]
+        assert batch.sizes[f] == sizes and sum(sizes) == len(rows)
+        assert batch.inertia[f] == pytest.approx(sum(r.d2 for r in held if r.fit == f and r.d2 is not None), rel=1e-13)
+    assert batch.same_as[2] == 2 and batch.same_as[3] == 3
+    assert batch.firsts["a"] == [f for f in range(4) if batch.same_as[f] == f]
+    assert {len(r.labels) for r in batch.labelled.collect()} == {len(batch.firsts["a"])}
+    plan = nearest.fit_stats(points, {"a": [(f, st.centres) for f, st in batch.states.items()]})._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Join" not in plan
